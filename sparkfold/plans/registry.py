@@ -3,11 +3,14 @@ driver tables under an ``sf_dir``."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkfold.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -26,7 +29,13 @@ def query(name: str, oracle: str | None = None, bench: bool = True):
     def wrap(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, oracle.strip() if oracle else None, bench)
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Entry(name, run, oracle.strip() if oracle else None, bench)
         return fn
     return wrap
 

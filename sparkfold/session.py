@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -67,3 +68,28 @@ def local_path(uri: str) -> str:
 def ensure_dir(uri: str) -> str:
     os.makedirs(local_path(uri), exist_ok=True)
     return uri
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sparkfold`` importable in Python workers (the ``--py-files``
+    mechanism): zip the package once per SparkContext and ``addPyFile`` it."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="sparkfold-pyfiles-")
+    zpath = os.path.join(out_dir, "sparkfold.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
