@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.functions.langid import fit_language_profiles, identify_language
 from sparkfold.functions.langnames import with_language_name
 from sparkfold.functions.text import clean_social_text, strip_newlines
 from sparkfold.operators.spread import id_spread, spread_report
@@ -158,3 +159,39 @@ def clean_text(spark: SparkSession, sf_dir: str):
     """First RT, letter handles and URLs removed; newlines -> blanks."""
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", strip_newlines(clean_social_text(F.col("text"))).alias("clean_text"))
+
+
+_LANGID_ORACLE = r"""
+WITH d AS (SELECT doc_id, lang, text,
+                  ' ' || regexp_replace(
+                     regexp_replace(regexp_replace(regexp_replace(text, 'RT', ''), '@\p{L}+', '', 'g'),
+                                    'https?://\S+\s?', '', 'g'),
+                     '[\t\n\r ]+', ' ', 'g') || ' ' AS t
+           FROM documents),
+g AS (SELECT doc_id, lang, substr(t, i::INT, 3) AS tri FROM d, range(1, length(t) - 1) r(i) WHERE length(t) >= 3),
+pc AS (SELECT lang, tri, count(*) AS c FROM g GROUP BY lang, tri),
+pt AS (SELECT lang, sum(c) AS n FROM pc GROUP BY lang),
+pf AS (SELECT lang, tri, c / n AS f FROM pc JOIN pt USING (lang)),
+nr AS (SELECT lang, sum(f * f) AS norm FROM pf GROUP BY lang),
+fb AS (SELECT lang, norm FROM nr ORDER BY norm, lang LIMIT 1),
+dc AS (SELECT doc_id, tri, count(*) AS c FROM g GROUP BY doc_id, tri),
+dn AS (SELECT doc_id, sum(c) AS n FROM dc GROUP BY doc_id),
+dt AS (SELECT dc.doc_id, pf.lang, sum(dc.c / dn.n * pf.f) AS dot
+       FROM dc JOIN dn USING (doc_id) JOIN pf USING (tri) GROUP BY dc.doc_id, pf.lang),
+sc AS (SELECT doc_id, lang, round(norm - 2 * dot, 9) AS s FROM dt JOIN nr USING (lang)
+       UNION ALL SELECT doc_id, fb.lang, round(fb.norm, 9) FROM d, fb),
+best AS (SELECT doc_id, arg_min(lang, (s, lang)) AS l FROM sc GROUP BY doc_id)
+SELECT d.doc_id,
+       CASE WHEN l = 'lt' AND regexp_matches(text, '\p{Hiragana}') THEN 'ja'
+            WHEN l = 'lt' AND regexp_matches(text, '\p{Hangul}') THEN 'ko' ELSE l END AS predicted
+FROM d JOIN best USING (doc_id)
+"""
+
+
+@query("language_id", oracle=_LANGID_ORACLE)
+def language_id(spark: SparkSession, sf_dir: str):
+    """Trigram profiles fitted on the labelled documents, then every
+    document scored against every language profile it shares trigrams with."""
+    d = table(spark, sf_dir, "documents")
+    profiles = fit_language_profiles(d.select("text", "lang"))
+    return identify_language(d.select("doc_id", "text"), profiles)

@@ -1,0 +1,73 @@
+"""Streaming queries over the ``events`` table read as a file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from sparkfold.plans.registry import query
+from sparkfold.streaming.windows import (dedup_stream, read_stream_table, run_available_now, window_counts,
+                                         windowed_spread, write_report_batch)
+
+_WINDOW_ORACLE = """
+WITH e AS (SELECT ts, event_type, value, time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events),
+w AS (SELECT b AS window_start, event_type, value FROM e
+      UNION ALL SELECT b - INTERVAL 30 MINUTE, event_type, value FROM e),
+lim AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n,
+       max(value) AS max_value, min(value) AS min_value
+FROM w, lim WHERE window_start + INTERVAL 1 HOUR <= wm
+GROUP BY window_start, event_type
+"""
+
+
+@query("stream_window_counts", oracle=_WINDOW_ORACLE)
+def stream_window_counts(spark: SparkSession, sf_dir: str):
+    """ST1 ST2 ST6: 1 h windows sliding by 30 min, 1 h watermark, append."""
+    s = read_stream_table(spark, sf_dir, "events")
+    agg = window_counts(s, "ts", "event_type", "value", "1 hour", "30 minutes", "1 hour")
+    return run_available_now(spark, agg, "stream-window-counts")
+
+
+_RETWEET_STREAM_ORACLE = """
+WITH e AS (SELECT ts, user_id AS id, event_type AS language_code, props AS text, trunc(value)::BIGINT AS c,
+                  time_bucket(INTERVAL 30 MINUTE, ts) AS b
+           FROM events WHERE event_type <> 'signup'),
+w AS (SELECT b - k * INTERVAL 30 MINUTE AS ws, e.* FROM e, range(0, 12) r(k)),
+lim AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM e),
+g AS (SELECT ws, id, language_code, text, min(c) AS mn, max(c) AS mx, count(*) AS n
+      FROM w GROUP BY ws, id, language_code, text),
+f AS (SELECT g.* FROM g, lim WHERE ws + INTERVAL 6 HOUR <= wm),
+ids AS (SELECT ws, id, max(mx) - min(mn) + 1 AS rc FROM f GROUP BY ws, id),
+j AS (SELECT f.*, ids.rc FROM f JOIN ids USING (ws, id)),
+tot AS (SELECT ws, language_code, sum(rc * n) AS total FROM j GROUP BY ws, language_code)
+SELECT ws AS window_start, ws + INTERVAL 6 HOUR AS window_end, id, language_code, text,
+       mn AS min_count, mx AS max_count, n, rc AS retweet_count, total::BIGINT AS total_retweets_in_lang,
+       language_code AS language
+FROM j JOIN tot USING (ws, language_code)
+"""
+
+
+@query("stream_retweets", oracle=_RETWEET_STREAM_ORACLE)
+def stream_retweets(spark: SparkSession, sf_dir: str):
+    """ST3 ST4 P5 P6 A4 A5 J2 J3 O3 K2: 6 h window sliding by 30 min; per id
+    spread, per language total weighted by rows, written per micro-batch."""
+    s = read_stream_table(spark, sf_dir, "events")
+    rt = s.where(F.col("event_type") != "signup").select(
+        "ts", F.col("user_id").alias("id"), F.col("event_type").alias("language_code"),
+        F.col("props").alias("text"), F.col("value").cast("bigint").alias("count"))
+    agg = windowed_spread(rt, "ts", "id", "language_code", "count", "text", "6 hours", "30 minutes", "1 hour")
+    out = run_available_now(spark, agg, "stream-retweets",
+                            lambda path: write_report_batch(path, "id", "language_code", "text"))
+    return out.drop("batch")
+
+
+@query("stream_dedup", oracle="SELECT DISTINCT event_id, ts, user_id, event_type FROM events")
+def stream_dedup(spark: SparkSession, sf_dir: str):
+    """ST7: the event stream read twice and de-duplicated on event_id within
+    a 1 h watermark."""
+    a = read_stream_table(spark, sf_dir, "events")
+    b = read_stream_table(spark, sf_dir, "events")
+    d = dedup_stream(a.unionByName(b), "ts", "event_id", "1 hour")
+    out = run_available_now(spark, d.select("event_id", "ts", "user_id", "event_type"), "stream-dedup")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
