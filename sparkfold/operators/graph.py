@@ -8,7 +8,7 @@ runs on the bipartite incidence table ``(group, vertex)``:
 * degree-style numbers come from group sizes joined back to memberships;
 * hop distances come from a breadth-first search that alternates
   vertex -> group -> vertex.  One hop of the projected graph is two joins;
-  visited groups are never expanded twice, so total work is linear in the
+  a group is expanded at most twice, so total work is linear in the
   incidence table.  The frontier of every hop is written with
   ``checkpoint()`` to the shared checkpoint folder, which cuts the lineage
   and survives executor loss.
@@ -51,36 +51,32 @@ def hop_distances(members: DataFrame, sources: DataFrame, max_hops: int | None =
     co-occurrence graph of ``members`` (``group``, ``vertex``).
 
     Returns (landmark, vertex, dist); unreachable vertices are absent.
+
+    One hop = frontier -> its groups -> their members, minus vertices already
+    reached.  Members of one group are adjacent, so their distances differ by
+    at most one: a group is expanded at most twice, and no visited-group set
+    is needed.  Each hop's new vertices are checkpointed (a plan leaf in the
+    shared checkpoint folder), so every hop plans as two joins and one
+    anti-join against the union of earlier leaves: one job plus an emptiness
+    probe per hop, and nothing to recompute after a lost executor.
     """
     spark = members.sparkSession
     checkpoint_root(spark)
     m = members.select("group", "vertex").checkpoint(eager=True)
     frontier = (sources.select("landmark", "vertex").join(m.select("vertex").distinct(), "vertex", "left_semi")
                 .distinct().withColumn("dist", F.lit(0)).checkpoint(eager=True))
-    reached = [frontier]
-    seen_groups: list[DataFrame] = []
+    reached: list[DataFrame] = [frontier]
     hop = 0
     while max_hops is None or hop < max_hops:
         groups = frontier.join(m, "vertex").select("landmark", "group").distinct()
-        for g in seen_groups:
-            groups = groups.join(g, ["landmark", "group"], "left_anti")
-        groups = groups.checkpoint(eager=True)
-        if groups.isEmpty():
-            break
-        seen_groups.append(groups)
-        nxt = groups.join(m, "group").select("landmark", "vertex").distinct()
-        for r in reached:
-            nxt = nxt.join(r.select("landmark", "vertex"), ["landmark", "vertex"], "left_anti")
-        hop += 1
-        nxt = nxt.withColumn("dist", F.lit(hop)).checkpoint(eager=True)
+        nxt = (groups.join(m, "group").select("landmark", "vertex").distinct()
+               .join(_union_all(reached).select("landmark", "vertex"), ["landmark", "vertex"], "left_anti")
+               .withColumn("dist", F.lit(hop + 1)).checkpoint(eager=True))
         if nxt.isEmpty():
             break
+        hop += 1
         reached.append(nxt)
         frontier = nxt
-        if len(reached) > 8:    # keep the anti-join chain short: fold into one table
-            reached = [_union_all(reached).checkpoint(eager=True)]
-        if len(seen_groups) > 8:
-            seen_groups = [_union_all(seen_groups).checkpoint(eager=True)]
     return _union_all(reached)
 
 

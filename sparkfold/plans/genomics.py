@@ -1,4 +1,4 @@
-"""Alignment / interval / variant queries (Lab-3 family).
+"""Alignment / interval / variant queries.
 
 Binding: every ``lineitem`` row is one read.  reference index = ``l_suppkey
 % 26`` over the dictionary below (0 = chrM, 1..22, 23 = chrX, 24 = chrY,

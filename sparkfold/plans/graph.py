@@ -1,4 +1,4 @@
-"""Cast-list and co-occurrence graph queries (Lab-2 family).
+"""Cast-list and co-occurrence graph queries.
 
 Binding: movie = ``l_orderkey``, actor = ``l_partkey`` (name from ``part``,
 ``is_male`` = even part key), title year = 1971 + quantity, so the

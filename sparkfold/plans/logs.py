@@ -1,4 +1,4 @@
-"""Queries over page-view and retweet style logs (Lab-1 family)."""
+"""Queries over page-view and retweet style logs."""
 
 from __future__ import annotations
 
