@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.functions.text import clean_social_text, script_override
+from sparkfold.session import checkpoint_root
 
 BLANKS = r"[\t\n\r ]+"
 SCORE_DIGITS = 9
@@ -42,21 +43,28 @@ def trigrams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.explode(grams).alias("tri"))
 
 
+def _profiles_from_counts(counts: DataFrame, lang: str) -> DataFrame:
+    per_lang = counts.groupBy(lang, "tri").agg(F.sum("c").alias("c"))
+    totals = per_lang.groupBy(lang).agg(F.sum("c").alias("n"))
+    return per_lang.join(totals, lang).select(F.col(lang).alias("lang"), "tri",
+                                              (F.col("c") / F.col("n")).alias("f"))
+
+
+def _doc_freqs(counts: DataFrame, id_col: str) -> DataFrame:
+    totals = counts.groupBy(id_col).agg(F.sum("c").alias("n"))
+    return counts.join(totals, id_col).select(id_col, "tri", (F.col("c") / F.col("n")).alias("fd"))
+
+
 def fit_language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """-> (lang, tri, f) with f = count / total trigrams of the language."""
     counts = trigrams(docs, text, [lang]).groupBy(lang, "tri").agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(lang).agg(F.sum("c").alias("n"))
-    return counts.join(totals, lang).select(F.col(lang).alias("lang"), "tri", (F.col("c") / F.col("n")).alias("f"))
+    return _profiles_from_counts(counts, lang)
 
 
-def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text: str = "text",
-                      out: str = "predicted") -> DataFrame:
+def _score(fd: DataFrame, profiles: DataFrame, docs: DataFrame, id_col: str, text: str, out: str) -> DataFrame:
     norms = profiles.groupBy("lang").agg(F.sum(F.col("f") * F.col("f")).alias("norm"))
     # a single scalar pair: the fallback candidate for documents that share no trigram
     fallback = norms.orderBy("norm", "lang").first()
-    counts = trigrams(docs, text, [id_col]).groupBy(id_col, "tri").agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(id_col).agg(F.sum("c").alias("n"))
-    fd = counts.join(totals, id_col).select(id_col, "tri", (F.col("c") / F.col("n")).alias("fd"))
     dots = (fd.join(profiles, "tri").groupBy(id_col, "lang").agg(F.sum(F.col("fd") * F.col("f")).alias("dot"))
             .join(norms, "lang"))
     score = F.round(F.col("norm") - 2 * F.col("dot"), SCORE_DIGITS)
@@ -66,3 +74,24 @@ def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_i
     choice = F.when(F.col("b").isNull() | (fb < F.col("b")), fb).otherwise(F.col("b"))
     res = res.withColumn("_c", choice)
     return res.select(id_col, script_override(F.col("_c.l"), F.col(text)).alias(out))
+
+
+def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text: str = "text",
+                      out: str = "predicted") -> DataFrame:
+    counts = trigrams(docs, text, [id_col]).groupBy(id_col, "tri").agg(F.count(F.lit(1)).alias("c"))
+    return _score(_doc_freqs(counts, id_col), profiles, docs, id_col, text, out)
+
+
+def fit_and_identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
+                     out: str = "predicted") -> DataFrame:
+    """Profiles fitted on ``docs`` and applied to the same documents; the
+    trigram explosion runs once: per-(doc, trigram) counts feed both the
+    language profiles and the document frequencies."""
+    checkpoint_root(docs.sparkSession)
+    # written once to the shared checkpoint folder: the regex pass over whole
+    # texts is the expensive part, both branches below read its result
+    counts = (trigrams(docs, text, [id_col, lang]).groupBy(id_col, lang, "tri")
+              .agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
+    profiles = _profiles_from_counts(counts, lang)
+    return _score(_doc_freqs(counts.select(id_col, "tri", "c"), id_col), profiles, docs, id_col, text, out)
+

@@ -3,7 +3,8 @@
 The reference hands these steps to external single-machine tools; here they
 are plain DataFrame expressions and aggregates:
 
-* quality decoding / re-encoding with higher-order array functions;
+* quality decoding / re-encoding with split, translate and regex
+  expressions (code-generated; no per-character lambda on the hot path);
 * duplicate marking as "best read per (reference, 5' position, strand)"
   found by an aggregate with a map-side partial stage (a hot position is
   pre-combined on every mapper), then joined back;
@@ -23,17 +24,26 @@ ILLUMINA_SHIFT = 31
 SANGER_MAX = 60
 
 
+def quality_chars(qual: Column) -> Column:
+    """Quality string -> array of its characters (one linear split)."""
+    return F.slice(F.split(qual, ""), 1, F.length(qual))
+
+
 def decode_quals(qual: Column, offset: int = PHRED_OFFSET) -> Column:
     """Quality string -> array<int> of ``ascii(c) - offset``."""
-    return F.when(F.length(qual) > 0, F.transform(F.sequence(F.lit(1), F.length(qual)),
-                                                  lambda i: F.ascii(F.substring(qual, i, 1)) - offset))
+    return F.when(F.length(qual) > 0, F.transform(quality_chars(qual), lambda c: F.ascii(c) - offset))
+
+
+def max_quality(qual: Column, offset: int = PHRED_OFFSET) -> Column:
+    """Highest decoded quality, without a per-character lambda."""
+    return F.when(F.length(qual) > 0, F.ascii(F.array_max(quality_chars(qual))) - offset)
 
 
 def quality_encoding(reads: DataFrame, group: str, qual: str = "qual", first_only_by: str | None = None) -> DataFrame:
     """Per group, max decoded quality and the encoding guess
     (> 60 -> ILLUMINA, else SANGER).  ``first_only_by`` = order column to use
     only the first read of the group (the original behaviour)."""
-    mq = F.array_max(decode_quals(F.col(qual)))
+    mq = max_quality(F.col(qual))
     if first_only_by:
         agg = F.min_by(mq, F.col(first_only_by))
     else:
@@ -42,13 +52,16 @@ def quality_encoding(reads: DataFrame, group: str, qual: str = "qual", first_onl
     return g.withColumn("encoding", F.when(F.col("max_qual") > SANGER_MAX, "ILLUMINA").otherwise("SANGER"))
 
 
-def fix_quality(qual: Column, shift: int = ILLUMINA_SHIFT) -> tuple[Column, Column]:
+def fix_quality(qual: Column, shift: int = ILLUMINA_SHIFT, offset: int = PHRED_OFFSET) -> tuple[Column, Column]:
     """every base quality lowered by ``shift``.  Returns (fixed string,
-    invalid flag): invalid when a shifted quality would fall below zero."""
-    chars = F.transform(F.sequence(F.lit(1), F.length(qual)),
-                        lambda i: F.chr(F.ascii(F.substring(qual, i, 1)) - shift))
-    bad = F.exists(decode_quals(qual), lambda q: q - shift < 0)
-    return F.array_join(chars, ""), bad
+    invalid flag): invalid when a shifted quality would fall below zero
+    (such characters are left as they are).  One ``translate`` and one
+    ``rlike``: both code-generated, no per-character lambda."""
+    lowest = offset + shift                      # first character that stays valid
+    src = "".join(chr(c) for c in range(lowest, 127))
+    dst = "".join(chr(c - shift) for c in range(lowest, 127))
+    bad = qual.rlike("[\\x00-\\x%02x]" % (lowest - 1))
+    return F.translate(qual, src, dst), bad
 
 
 def with_read_groups(reads: DataFrame, tags: dict[str, str]) -> DataFrame:

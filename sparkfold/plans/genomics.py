@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from sparkfold.operators.intervals import (bed_lines, intersect_intervals, island_extent, merge_intervals,
                                            region_strings)
+from sparkfold.operators.joins import small
 from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts, rank_in_group
 from sparkfold.operators.reads import (clean_alignments, concordance, fix_quality, mark_duplicates,
                                        quality_encoding, with_read_groups)
 from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
 from sparkfold.sinks.text import write_lines
-from sparkfold.sources.genomics import parse_sam, parse_vcf, read_bed, read_sequence_dict, sam_regions, \
+from sparkfold.sources.genomics import parse_vcf, read_bed, read_sam, read_sequence_dict, sam_regions, \
     sorted_variants
 
 # Reference sequences in dictionary order with their lengths (hg19).
@@ -48,36 +49,47 @@ def _ref_name(idx):
     return F.element_at(F.array(*[F.lit(n) for n, _ in REFERENCE_SEQUENCES]), idx + 1)
 
 
-def sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem rows as typed alignment records (the SAM columns + aln_end)."""
     li = table(spark, sf_dir, "lineitem")
     ci = (F.col("l_suppkey") % N_REF).cast("int")
     ln = F.col("l_quantity").cast("int")
     clipped = ((F.col("l_linenumber") % 3) == 0) & (ln > 4)
     cigar = F.when(clipped, F.concat(F.lit("2S"), (ln - 4).cast("string"), F.lit("M2S"))) \
              .otherwise(F.concat(ln.cast("string"), F.lit("M")))
-    flag = (F.col("l_linenumber") % 2) * 16 + F.when(F.col("l_discount") == 0, 4).otherwise(0)
-    off = F.when(ci % 5 == 0, 64).otherwise(33)
-    qual = F.array_join(F.transform(F.sequence(F.lit(1), ln), lambda i: F.chr(
-        off + (F.col("l_partkey") + F.col("l_suppkey") + i * 7) % 41)), "")
+    ref_len = F.when(clipped, ln - 4).otherwise(ln)
+    flag = ((F.col("l_linenumber") % 2) * 16 + F.when(F.col("l_discount") == 0, 4).otherwise(0)).cast("int")
+    # base i (1..len) gets quality (partkey + suppkey + 7 i) mod 41 at offset 64 on every
+    # fifth reference, else 33; 7 * 6 = 1 (mod 41), so the string is a substring of the
+    # cycle j -> 7 j mod 41 starting at 6 (partkey + suppkey) + 1 (plain codegen, no lambda)
+    cyc = {o: "".join(chr(o + (7 * j) % 41) for j in range(41)) * 3 for o in (33, 64)}
+    c = (F.col("l_partkey") + F.col("l_suppkey")) % 41
+    qual = F.substring(F.when(ci % 5 == 0, F.lit(cyc[64])).otherwise(F.lit(cyc[33])),
+                       ((c * 6 + 1) % 41 + 1).cast("int"), ln)
     seq = F.substring(F.repeat(F.lit("ACGT"), 13), (F.col("l_partkey") % 4 + 1).cast("int"), ln)
     qname = F.concat_ws("_", F.concat(F.lit("r"), F.col("l_orderkey").cast("string")),
                         F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
                         F.col("l_suppkey").cast("string"))
-    pos = (F.col("l_partkey") * 75 + F.col("l_linenumber")).cast("string")
-    body = li.select(F.concat_ws("\t", qname, flag.cast("string"), _ref_name(ci), pos,
-                                 ((F.col("l_tax") * 1000).cast("int") % 61).cast("string"), cigar,
-                                 F.lit("="), F.lit("0"), F.lit("0"), seq, qual).alias("value"))
+    pos = (F.col("l_partkey") * 75 + F.col("l_linenumber")).cast("int")
+    return li.select(qname.alias("qname"), flag.alias("flag"), _ref_name(ci).alias("rname"), pos.alias("pos"),
+                     ((F.col("l_tax") * 1000).cast("int") % 61).alias("mapq"), cigar.alias("cigar"),
+                     F.lit("=").alias("rnext"), F.lit(0).alias("pnext"), F.lit(0).alias("tlen"),
+                     seq.alias("seq"), qual.alias("qual"), (pos + ref_len - 1).alias("aln_end"))
+
+
+def sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header + one tab-separated SAM line per read."""
+    r = typed_reads(spark, sf_dir)
+    body = r.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in
+                                          ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext",
+                                           "tlen", "seq", "qual")]).alias("value"))
     header = spark.createDataFrame([("@HD\tVN:1.0\tSO:unsorted",)] +
                                    [(f"@SQ\tSN:{n}\tLN:{ln_}",) for n, ln_ in REFERENCE_SEQUENCES], "value string")
     return header.unionByName(body)
 
 
-def sam_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_sam(sam_lines(spark, sf_dir))
-
-
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sam_regions(sam_reads(spark, sf_dir), seq_dict_df(spark))
+    return sam_regions(typed_reads(spark, sf_dir), small(seq_dict_df(spark)))
 
 
 _DICT_VALUES = ", ".join(f"({i}, '{n}', {ln})" for i, (n, ln) in enumerate(REFERENCE_SEQUENCES))
@@ -104,8 +116,11 @@ regions AS (SELECT *, ref_idx AS region FROM reads WHERE flag & 4 = 0 AND ref_id
 SELECT qname, flag, rname, pos, mapq, cigar, aln_end, region FROM regions
 """)
 def sam_regions_query(spark: SparkSession, sf_dir: str):
-    """SAM text -> typed reads -> (region, read) for mapped reads on 1..24."""
-    return regions(spark, sf_dir).select("qname", "flag", "rname", "pos", "mapq", "cigar", "aln_end", "region")
+    """Reads written as SAM text, scanned and parsed back ->
+    (region, read) for mapped reads on references 1..24."""
+    path = write_lines(sam_lines(spark, sf_dir), scratch_path(spark, "sam"))
+    r = sam_regions(read_sam(spark, path), small(seq_dict_df(spark)))
+    return r.select("qname", "flag", "rname", "pos", "mapq", "cigar", "aln_end", "region")
 
 
 @query("region_counts", oracle=READS_SQL + "SELECT region, count(*) AS n FROM regions GROUP BY region")
@@ -382,7 +397,7 @@ FROM r LEFT JOIN k ON k.qname = r.qname
 """)
 def mark_duplicates_query(spark: SparkSession, sf_dir: str):
     """Duplicate flag per read from (reference, 5' position, strand)."""
-    d = mark_duplicates(sam_reads(spark, sf_dir))
+    d = mark_duplicates(typed_reads(spark, sf_dir))
     return d.select("qname", "rname", "pos5", "is_reverse", "is_dup")
 
 
@@ -396,5 +411,5 @@ FROM reads
 """)
 def clean_alignments_query(spark: SparkSession, sf_dir: str):
     """Ends clipped to the sequence length, MAPQ 0 when unmapped."""
-    c = clean_alignments(sam_reads(spark, sf_dir), seq_dict_df(spark))
+    c = clean_alignments(typed_reads(spark, sf_dir), small(seq_dict_df(spark)))
     return c.select("qname", "aln_end", "clean_end", "clean_mapq", "changed")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.functions.langid import fit_language_profiles, identify_language
+from sparkfold.functions.langid import fit_and_identify
 from sparkfold.functions.langnames import with_language_name
 from sparkfold.functions.text import clean_social_text, strip_newlines
 from sparkfold.operators.spread import id_spread, spread_report
@@ -192,6 +192,5 @@ FROM d JOIN best USING (doc_id)
 def language_id(spark: SparkSession, sf_dir: str):
     """Trigram profiles fitted on the labelled documents, then every
     document scored against every language profile it shares trigrams with."""
-    d = table(spark, sf_dir, "documents")
-    profiles = fit_language_profiles(d.select("text", "lang"))
-    return identify_language(d.select("doc_id", "text"), profiles)
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return fit_and_identify(d)
