@@ -69,20 +69,34 @@ def with_read_groups(reads: DataFrame, tags: dict[str, str]) -> DataFrame:
     return reads.withColumns({k: F.lit(v) for k, v in tags.items()})
 
 
+def clip_lengths(cigar: Column) -> tuple[Column, Column]:
+    """Leading / trailing soft-clip lengths (0 when absent) without a regex on
+    the common path: the text before the first ``S`` is a number only when
+    the CIGAR starts with a soft clip."""
+    lead = F.coalesce(F.substring_index(cigar, "S", 1).try_cast("int"), F.lit(0))
+    trail = F.when(cigar.endswith("S"),
+                   F.coalesce(F.regexp_extract(cigar, r"(\d+)S$", 1).try_cast("int"), F.lit(0))).otherwise(0)
+    return lead, trail
+
+
 def five_prime(pos: Column, aln_end: Column, cigar: Column, reverse: Column) -> Column:
-    lead = F.coalesce(F.regexp_extract(cigar, r"^(\d+)S", 1).try_cast("int"), F.lit(0))
-    trail = F.coalesce(F.regexp_extract(cigar, r"(\d+)S$", 1).try_cast("int"), F.lit(0))
+    lead, trail = clip_lengths(cigar)
     return F.when(reverse, aln_end + trail).otherwise(pos - lead)
 
 
 def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     """Among mapped reads with the same (rname, 5' position, strand), all
     but the one with the highest quality sum (then smallest name) are
-    duplicates.  Unmapped reads are never duplicates."""
-    r = reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0) \
-             .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0) \
-             .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse"))) \
-             .withColumn("qsum", F.aggregate(decode_quals(F.col("qual")), F.lit(0), lambda a, x: a + x))
+    duplicates.  Unmapped reads are never duplicates.
+
+    Plan: one aggregate per key keeps the best (quality sum, name) pair --
+    with a map-side partial stage, so a hot position is pre-combined on every
+    mapper -- and one join brings the flag back to every read.
+    """
+    r = (reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0)
+         .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
+         .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
+         .withColumn("qsum", F.aggregate(decode_quals(F.col("qual")), F.lit(0), lambda a, x: a + x)))
     rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"))
     keys = ["rname", "pos5", "is_reverse"]
     best = r.where("mapped").groupBy(*keys).agg(F.min(rank_key).alias("_best"))

@@ -1,6 +1,7 @@
 """Alignment / interval / variant queries.
 
-Binding: every ``lineitem`` row is one read.  reference index = ``l_suppkey
+Binding: every ``lineitem`` row is one read (name = order, line, part,
+supplier and price in cents: unique per row).  reference index = ``l_suppkey
 % 26`` over the dictionary below (0 = chrM, 1..22, 23 = chrX, 24 = chrY,
 25 = an unplaced contig); position = ``l_partkey * 75 + l_linenumber``;
 read length = quantity; reverse strand = odd line number; unmapped when the
@@ -69,7 +70,8 @@ def typed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.substring(F.repeat(F.lit("ACGT"), 13), (F.col("l_partkey") % 4 + 1).cast("int"), ln)
     qname = F.concat_ws("_", F.concat(F.lit("r"), F.col("l_orderkey").cast("string")),
                         F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
-                        F.col("l_suppkey").cast("string"))
+                        F.col("l_suppkey").cast("string"),
+                        (F.col("l_extendedprice") * 100).cast("bigint").cast("string"))
     pos = (F.col("l_partkey") * 75 + F.col("l_linenumber")).cast("int")
     return li.select(qname.alias("qname"), flag.alias("flag"), _ref_name(ci).alias("rname"), pos.alias("pos"),
                      ((F.col("l_tax") * 1000).cast("int") % 61).alias("mapq"), cigar.alias("cigar"),
@@ -97,7 +99,8 @@ READS_SQL = f"""
 WITH dict(idx, name, length) AS (VALUES {_DICT_VALUES}),
 li AS (SELECT *, (l_suppkey % {N_REF})::INT AS ci, trunc(l_quantity)::INT AS len FROM lineitem),
 reads AS (
-  SELECT 'r' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS qname,
+  SELECT 'r' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
+           || '_' || trunc(l_extendedprice * 100)::BIGINT AS qname,
          ((l_linenumber % 2) * 16 + CASE WHEN l_discount = 0 THEN 4 ELSE 0 END)::INT AS flag,
          d.name AS rname, d.idx AS ref_idx, d.length,
          (l_partkey * 75 + l_linenumber)::INT AS pos,
