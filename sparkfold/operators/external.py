@@ -3,9 +3,9 @@
 ``pipe_files``: one task per file of a folder listing; the task runs the
 program on the file path (the file is read by the program from the shared
 file system, never shipped through Spark) and every stdout line becomes a
-row.  ``pipe_partitions``: the rows of each partition are streamed as text
-lines into one process per partition (like ``RDD.pipe``), stdout lines come
-back as rows.  A non-zero exit status fails the task with the command and
+row.  ``pipe_partitions``: the rows of each partition (or of each run of
+one key inside it) are streamed as text lines into one process (like
+``RDD.pipe``), stdout lines come back as rows.  A non-zero exit status fails the task with the command and
 the tail of its stderr.
 """
 
@@ -15,6 +15,7 @@ import subprocess
 import threading
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,49 +59,74 @@ def pipe_files(files: DataFrame, argv: list[str], path_col: str = "path",
     return placed.mapInPandas(run, schema)
 
 
+class _Proc:
+    """One external process fed from the task and drained by two threads."""
+
+    def __init__(self, argv: list[str]):
+        self.argv = argv
+        self.p = subprocess.Popen(argv, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE)
+        self.out: list[bytes] = []
+        self.err: list[bytes] = []
+        self.threads = [threading.Thread(target=lambda: self.out.append(self.p.stdout.read())),
+                        threading.Thread(target=lambda: self.err.append(self.p.stderr.read()))]
+        for t in self.threads:
+            t.start()
+
+    def feed(self, lines) -> None:
+        self.p.stdin.write(("\n".join(lines) + "\n").encode())
+
+    def finish(self) -> list[str]:
+        self.p.stdin.close()
+        for t in self.threads:
+            t.join()
+        rc = self.p.wait()
+        if rc != 0:
+            tail = b"".join(self.err)[-2000:].decode(errors="replace")
+            raise RuntimeError(f"{' '.join(self.argv)} exited {rc}: {tail}")
+        return b"".join(self.out).decode(errors="replace").splitlines()
+
+
 def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
                     key_col: str | None = None) -> DataFrame:
-    """Stream each partition's ``line_col`` values into one process.
-    With ``key_col`` every partition must hold a single key (exact
-    placement); the key is attached to the output lines."""
+    """Stream ``line_col`` values into external processes.
+
+    Without ``key_col``: one process per partition (``RDD.pipe``).  With
+    ``key_col``: one process per contiguous run of equal keys inside a
+    partition, and the key is attached to the output lines.  Sorting by
+    (key, ...) inside range partitions (``place_and_sort``) makes every run a
+    whole slice of one key, so a hot key is spread over several tasks; with
+    exact placement (``repartitionById``) a key is one run in one task.
+    """
     cols = [line_col] + ([key_col] if key_col else [])
     key_type = dict(df.dtypes)[key_col] if key_col else None
     schema = "line string" + (f", {key_col} {key_type}" if key_col else "")
 
+    def emit(lines: list[str], key) -> pd.DataFrame:
+        res = pd.DataFrame({"line": lines})
+        if key_col:
+            res[key_col] = key
+        return res
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        proc = None
-        key = None
-        err: list[bytes] = []
-        out: list[bytes] = []
-        readers = []
+        proc, key = None, None
         for b in batches:
             if b.empty:
                 continue
-            if proc is None:
-                proc = subprocess.Popen(argv, stdin=subprocess.PIPE, stdout=subprocess.PIPE,
-                                        stderr=subprocess.PIPE)
-                readers = [threading.Thread(target=lambda: out.append(proc.stdout.read())),
-                           threading.Thread(target=lambda: err.append(proc.stderr.read()))]
-                for t in readers:
-                    t.start()
-            if key_col:
-                ks = b[key_col].unique()
-                if len(ks) != 1 or (key is not None and ks[0] != key):
-                    raise RuntimeError(f"partition holds several {key_col} values: use exact placement")
-                key = ks[0]
-            proc.stdin.write(("\n".join(b[line_col].astype(str)) + "\n").encode())
-        if proc is None:
-            return
-        proc.stdin.close()
-        for t in readers:
-            t.join()
-        rc = proc.wait()
-        if rc != 0:
-            raise RuntimeError(f"{' '.join(argv)} exited {rc}: {b''.join(err)[-2000:].decode(errors='replace')}")
-        lines = b"".join(out).decode(errors="replace").splitlines()
-        res = pd.DataFrame({"line": lines})
-        if key_col:
-            res[key_col] = key
-        yield res
+            if not key_col:
+                proc = proc or _Proc(argv)
+                proc.feed(b[line_col].astype(str))
+                continue
+            ks = b[key_col].to_numpy()
+            cut = [0, *(np.flatnonzero(ks[1:] != ks[:-1]) + 1).tolist(), len(ks)]
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                k = ks[lo]
+                if proc is not None and k != key:
+                    yield emit(proc.finish(), key)
+                    proc = None
+                if proc is None:
+                    proc, key = _Proc(argv), k
+                proc.feed(b[line_col].iloc[lo:hi].astype(str))
+        if proc is not None:
+            yield emit(proc.finish(), key)
 
     return df.select(*cols).mapInPandas(run, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.operators.external import list_files, pipe_files, pipe_partitions
 from sparkfold.operators.pairing import interleave, write_chunks
-from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts
+from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts, place_and_sort
 from sparkfold.plans.genomics import _GREEDY_SQL, N_GROUPS, regions
 from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
@@ -138,14 +138,14 @@ def file_fanout(spark: SparkSession, sf_dir: str):
 SELECT grp, sum(n)::BIGINT AS n_lines FROM g WHERE rn > 0 GROUP BY grp
 """)
 def partition_pipe(spark: SparkSession, sf_dir: str):
-    """Reads placed one balanced group per partition, each partition
-    streamed through one ``wc -l`` process."""
+    """Reads placed by balanced group and coordinate (range
+    placement: a heavy group spans several tasks), every contiguous run of a
+    group streamed through one ``wc -l`` process, counts summed per group."""
     r = regions(spark, sf_dir)
     groups = greedy_groups(key_counts(r, "region"), "region", "n", N_GROUPS)
-    placed = assign_groups(r, groups, "region").select("grp", F.col("qname").alias("line")) \
-        .repartitionById(N_GROUPS, "grp")
-    out = pipe_partitions(placed, ["wc", "-l"], key_col="grp")
-    return out.select("grp", F.trim("line").cast("bigint").alias("n_lines"))
+    placed = place_and_sort(assign_groups(r, groups, "region"), "grp", ["ref_idx", "pos", "qname"])
+    out = pipe_partitions(placed.select("grp", F.col("qname").alias("line")), ["wc", "-l"], key_col="grp")
+    return out.groupBy("grp").agg(F.sum(F.trim("line").cast("bigint")).alias("n_lines"))
 
 
 @query("report_csv_roundtrip", oracle="SELECT doc_id, lang, source, text FROM documents")

@@ -22,9 +22,8 @@ from sparkfold.operators.reads import (clean_alignments, concordance, fix_qualit
                                        quality_encoding, with_read_groups)
 from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
-from sparkfold.sinks.text import write_lines
-from sparkfold.sources.genomics import parse_vcf, read_bed, read_sam, read_sequence_dict, sam_regions, \
-    sorted_variants
+from sparkfold.sinks.text import write_lines, write_sorted_lines
+from sparkfold.sources.genomics import read_bed, read_sam, read_sequence_dict, read_vcf, sam_regions
 
 # Reference sequences in dictionary order with their lengths (hg19).
 REFERENCE_SEQUENCES = [
@@ -316,31 +315,39 @@ SELECT CASE WHEN chrom = 'chrX' THEN 23 WHEN chrom = 'chrY' THEN 24 ELSE TRY_CAS
 FROM v WHERE chrom NOT IN ('chrM', 'chrUn_gl000220')
 """)
 def vcf_sorted(spark: SparkSession, sf_dir: str):
-    """VCF lines -> numbered chromosomes, globally sorted
-    by (chr_num, pos); chrM and unplaced contigs go to the reject side."""
-    ok, _rejected = parse_vcf(vcf_lines(spark, sf_dir))
-    return sorted_variants(ok).select("chr_num", "pos", "line")
+    """VCF file -> numbered chromosomes (chrM and unplaced
+    contigs go to the reject side) -> globally sorted text written by range
+    partitions -> read back."""
+    root = scratch_path(spark, "vcf")
+    src = write_lines(vcf_lines(spark, sf_dir), f"{root}/calls")
+    ok, _rejected = read_vcf(spark, src)
+    out = write_sorted_lines(ok, f"{root}/sorted", ["chr_num", "pos", "line"], "line")
+    back, _ = read_vcf(spark, out)
+    return back.select("chr_num", "pos", "line")
 
 
 @query("seq_dict", oracle="""
-SELECT (row_number() OVER (ORDER BY s_suppkey % 2, s_suppkey) - 1)::INT AS idx, s_name AS name,
+SELECT (row_number() OVER (ORDER BY s_suppkey) - 1)::INT AS idx, s_name AS name,
        CASE WHEN s_acctbal < 0 THEN 0 ELSE trunc(s_acctbal * 1000)::BIGINT END AS length
 FROM supplier
 """)
 def seq_dict(spark: SparkSession, sf_dir: str):
-    """Dictionary file (header + @SQ lines per supplier, two files) ->
+    """Dictionary files (header + @SQ lines, suppliers in key ranges) ->
     (idx, name, length); unparsable LN -> 0."""
     s = table(spark, sf_dir, "supplier")
+    stats = s.agg(F.count(F.lit(1)).alias("n"), F.max("s_suppkey").alias("mx")).first()
+    n_files = max(2, -(-int(stats["n"]) // 50_000))       # grows with the table, order-preserving
+    top = int(stats["mx"] or 0) + 1
     ln = F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise((F.col("s_acctbal") * 1000).cast("bigint").cast("string"))
-    body = s.select((F.col("s_suppkey") % 2).cast("int").alias("chunk"), F.lit(1).alias("sec"),
+    body = s.select((F.col("s_suppkey") * n_files / top).cast("int").alias("chunk"), F.lit(1).alias("sec"),
                     F.col("s_suppkey").alias("k"),
                     F.concat_ws("\t", F.lit("@SQ"), F.concat(F.lit("SN:"), "s_name"), F.concat(F.lit("LN:"), ln),
                                 F.lit("UR:file:reference.fasta"),
                                 F.concat(F.lit("M5:"), F.md5(F.col("s_name")))).alias("value"))
-    head = spark.createDataFrame([(c, 0, 0, "@HD\tVN:1.0\tSO:unsorted") for c in range(2)],
+    head = spark.createDataFrame([(c, 0, 0, "@HD\tVN:1.0\tSO:unsorted") for c in range(n_files)],
                                  "chunk int, sec int, k bigint, value string")
     path = scratch_path(spark, "seqdict")
-    (body.unionByName(head).repartitionById(2, "chunk").sortWithinPartitions("sec", "k")
+    (body.unionByName(head).repartitionById(n_files, "chunk").sortWithinPartitions("sec", "k")
      .select("value").write.text(path))
     return read_sequence_dict(spark, path)
 

@@ -19,7 +19,7 @@ from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
 from sparkfold.sources.castlist import END_MARKER, START_MARKER, read_cast_list, scan_records, trim_markers
 
-N_CHUNKS = 4
+ROWS_PER_CHUNK = 20_000   # rendered cast-list lines per output file (at least two files)
 
 
 def actor_name(p: DataFrame):
@@ -27,8 +27,14 @@ def actor_name(p: DataFrame):
 
 
 def render_cast_files(spark: SparkSession, sf_dir: str) -> dict[bool, str]:
-    """Write the male / female cast lists; one block per part file (chunk)."""
+    """Write the male / female cast lists; every part file (chunk) is one
+    complete block (preamble, start marker, records, end marker, epilogue).
+    Chunks are ranges of part keys, so file order is part-key order, and
+    their number grows with the data (a record is never split)."""
     li = table(spark, sf_dir, "lineitem")
+    stats = li.agg(F.count(F.lit(1)).alias("n"), F.max("l_partkey").alias("mx")).first()
+    n_chunks = max(2, -(-int(stats["n"]) // ROWS_PER_CHUNK))
+    top = int(stats["mx"] or 0) + 1
     # total order of a part's lines: every lineitem column (rows are unique)
     order = F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_suppkey",
                      "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
@@ -45,14 +51,14 @@ def render_cast_files(spark: SparkSession, sf_dir: str) -> dict[bool, str]:
     is_first = F.col("ord") == F.col("_first")
     body = rows.select(
         (F.col("l_partkey") % 2 == 0).alias("is_male"),
-        ((F.col("l_partkey") / 2).cast("bigint") % N_CHUNKS).cast("int").alias("chunk"),
+        (F.col("l_partkey") * n_chunks / top).cast("int").alias("chunk"),
         F.lit(1).alias("sec"), F.col("l_partkey").alias("k1"), F.col("ord").alias("k2"),
         F.when(is_first, F.concat(F.lit("\n"), F.col("name"), F.lit("\t\t"), title))
          .otherwise(F.concat(F.lit("\t\t\t"), title)).alias("value"))
     pre = ["CAST LIST (rendered)", END_MARKER, "Name\t\t\tTitles", START_MARKER]
     post = ["\n" + END_MARKER, "SUBMITTING UPDATES", START_MARKER, "\t\t\tOrder 1 (2015)"]
-    frame = [(m, c, 0, i, v) for m in (True, False) for c in range(N_CHUNKS) for i, v in enumerate(pre)]
-    frame += [(m, c, 2, i, v) for m in (True, False) for c in range(N_CHUNKS) for i, v in enumerate(post)]
+    frame = [(m, c, 0, i, v) for m in (True, False) for c in range(n_chunks) for i, v in enumerate(pre)]
+    frame += [(m, c, 2, i, v) for m in (True, False) for c in range(n_chunks) for i, v in enumerate(post)]
     frame_df = (spark.createDataFrame(frame, "is_male boolean, chunk int, sec int, k1 bigint, value string")
                 .withColumn("k2", F.lit(None).cast(body.schema["k2"].dataType)))
     out = {}
@@ -60,7 +66,7 @@ def render_cast_files(spark: SparkSession, sf_dir: str) -> dict[bool, str]:
     for male in (True, False):
         path = f"{base}/{'actors' if male else 'actresses'}"
         (body.where(F.col("is_male") == male).unionByName(frame_df.where(F.col("is_male") == male))
-         .repartitionById(N_CHUNKS, "chunk")
+         .repartitionById(n_chunks, "chunk")
          .sortWithinPartitions("sec", "k1", "k2")
          .select(F.encode("value", "ISO-8859-1").cast("string").alias("value"))
          .write.text(path))
@@ -122,7 +128,7 @@ def trim_markers_query(spark: SparkSession, sf_dir: str):
 
 
 @query("cast_union_ids", oracle=_VALID_CAST + """
-SELECT row_number() OVER (ORDER BY is_male DESC, (l_partkey // 2) % 4, l_partkey) - 1 AS id, name, is_male
+SELECT row_number() OVER (ORDER BY is_male DESC, l_partkey) - 1 AS id, name, is_male
 FROM (SELECT DISTINCT l_partkey, name, is_male FROM valid)
 """)
 def cast_union_ids(spark: SparkSession, sf_dir: str):
