@@ -99,7 +99,6 @@ def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", e
                      F.col(chrom).alias("_name"), F.col(end).cast("long").alias("e"))
            .groupBy("key", "s")
            .agg(F.max("e").alias("e"), F.count(F.lit(1)).alias("n"), F.min("_name").alias("_name")))
-    names = pre.groupBy("key").agg(F.min("_name").alias("name"))
     nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (pre.repartitionByRange(nparts, "key", "s").sortWithinPartitions("key", "s")
                .select(F.spark_partition_id().alias("pid"), "key", "s", "e", "n"))
@@ -120,7 +119,12 @@ def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", e
     out_start = F.col("island")
     if clamp_start is not None:
         out_start = F.greatest(out_start, F.lit(clamp_start))
-    return isl.join(names, "key").select(F.col("name").alias(chrom), out_start.alias(start), end, "n")
+    if case_insensitive:    # report one spelling per key (one row per chromosome)
+        names = pre.groupBy("key").agg(F.min("_name").alias("name"))
+        isl = isl.join(names, "key")
+    else:
+        isl = isl.withColumn("name", F.col("key"))
+    return isl.select(F.col("name").alias(chrom), out_start.alias(start), end, "n")
 
 
 def island_extent(islands: DataFrame, chrom: str = "chrom", start: str = "start", end: str = "end") -> DataFrame:

@@ -15,6 +15,8 @@ are plain DataFrame expressions and aggregates:
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,24 @@ def decode_quals(qual: Column, offset: int = PHRED_OFFSET) -> Column:
     return F.when(F.length(qual) > 0, F.transform(quality_chars(qual), lambda c: F.ascii(c) - offset))
 
 
+def _byte_sums(q: pd.Series) -> pd.Series:
+    """Sum of the character codes of every string, vectorised per Arrow batch."""
+    enc = q.fillna("").str.encode("latin-1", errors="replace")
+    lens = enc.str.len().to_numpy(dtype=np.int64)
+    buf = np.frombuffer(b"".join(enc.tolist()), dtype=np.uint8).astype(np.int64)
+    starts = np.concatenate(([0], np.cumsum(lens)[:-1]))
+    sums = np.zeros(len(lens), dtype=np.int64)
+    nz = lens > 0
+    if nz.any():
+        sums[nz] = np.add.reduceat(buf, starts[nz])
+    return pd.Series(sums)
+
+
+def quality_sum(qual: Column, offset: int = PHRED_OFFSET) -> Column:
+    """Sum of decoded base qualities (no per-character lambda)."""
+    return F.pandas_udf(_byte_sums, "long")(qual) - F.length(qual) * offset
+
+
 def max_quality(qual: Column, offset: int = PHRED_OFFSET) -> Column:
     """Highest decoded quality, without a per-character lambda."""
     return F.when(F.length(qual) > 0, F.ascii(F.array_max(quality_chars(qual))) - offset)
@@ -96,7 +116,7 @@ def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     r = (reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0)
          .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
          .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
-         .withColumn("qsum", F.aggregate(decode_quals(F.col("qual")), F.lit(0), lambda a, x: a + x)))
+         .withColumn("qsum", quality_sum(F.col("qual"))))
     rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"))
     keys = ["rname", "pos5", "is_reverse"]
     best = r.where("mapped").groupBy(*keys).agg(F.min(rank_key).alias("_best"))
