@@ -130,3 +130,13 @@ def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
             yield emit(proc.finish(), key)
 
     return df.select(*cols).mapInPandas(run, schema)
+
+
+def observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, "Observation"]:
+    """Processing metrics beside the data (rows, plus any extra aggregate
+    expressions), collected by Spark from every task without an extra job;
+    read ``obs.get`` after the first action on the returned DataFrame."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics), obs

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.operators.external import list_files, pipe_files, pipe_partitions
+from sparkfold.operators.external import list_files, observed, pipe_files, pipe_partitions
 from sparkfold.operators.pairing import interleave, write_chunks
 from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts, place_and_sort
 from sparkfold.plans.genomics import _GREEDY_SQL, N_GROUPS, regions
@@ -128,7 +128,7 @@ def file_fanout(spark: SparkSession, sf_dir: str):
     path = scratch_path(spark, "fanout")
     c.select("c_nationkey", F.concat_ws("|", "c_name", "c_mktsegment").alias("value")) \
      .write.partitionBy("c_nationkey").text(path)
-    files = list_files(spark, path, "*.txt")
+    files, _obs = observed(list_files(spark, path, "*.txt"), "fanout-files", F.sum("length").alias("bytes"))
     out = pipe_files(files, ["wc", "-l"], keep=["c_nationkey"])
     n = F.split(F.trim(F.col("line")), r"\s+").getItem(0).cast("bigint")
     return out.groupBy("c_nationkey").agg(F.sum(n).alias("n_lines"))

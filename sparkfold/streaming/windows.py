@@ -77,6 +77,17 @@ def write_report_batch(path: str, id_col: str, group: str, carry: str) -> Callab
     return run
 
 
+def start_live(stream: DataFrame, sink_path: str, checkpoint: str, every: str = "5 seconds",
+               foreach_batch: Callable[[str], Callable] | None = None):
+    """ST1 ST6: run continuously with a processing-time trigger (the micro-
+    batch clock); returns the StreamingQuery handle."""
+    w = (stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+         .trigger(processingTime=every))
+    if foreach_batch is None:
+        return w.format("parquet").option("path", sink_path).start()
+    return w.foreachBatch(foreach_batch(sink_path)).start()
+
+
 def dedup_stream(stream: DataFrame, ts: str, key: str, delay: str) -> DataFrame:
     return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
