@@ -99,8 +99,10 @@ def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", e
                      F.col(chrom).alias("_name"), F.col(end).cast("long").alias("e"))
            .groupBy("key", "s")
            .agg(F.max("e").alias("e"), F.count(F.lit(1)).alias("n"), F.min("_name").alias("_name")))
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (pre.repartitionByRange(nparts, "key", "s").sortWithinPartitions("key", "s")
+    # without an explicit count AQE may coalesce neighbouring ranges (still in order)
+    ranged = (pre.repartitionByRange(num_partitions, "key", "s") if num_partitions
+              else pre.repartitionByRange("key", "s"))
+    ordered = (ranged.sortWithinPartitions("key", "s")
                .select(F.spark_partition_id().alias("pid"), "key", "s", "e", "n"))
     local = ordered.mapInPandas(_sweep(thr), _LOCAL_SCHEMA).checkpoint(eager=True)
 
@@ -153,10 +155,22 @@ def _bins(s, e, b: int):
     return F.sequence(F.floor(s / b).cast("long"), F.floor((e - 1) / b).cast("long"))
 
 
-def intersect_intervals(a: DataFrame, b: DataFrame, bin_size: int = 1000, chrom: str = "chrom",
+def auto_bin_size(a: DataFrame, b: DataFrame, start: str = "start", end: str = "end") -> int:
+    """Median interval length of both sides (one small approximate job): an
+    interval then covers about two bins on average, whatever its scale."""
+    lens = a.select((F.col(end) - F.col(start)).alias("l")).unionByName(
+        b.select((F.col(end) - F.col(start)).alias("l")))
+    med = lens.agg(F.percentile_approx("l", 0.5, 1000).alias("m")).first()["m"]
+    return max(int(med or 1), 1)
+
+
+def intersect_intervals(a: DataFrame, b: DataFrame, bin_size: int | None = None, chrom: str = "chrom",
                         start: str = "start", end: str = "end") -> DataFrame:
     """Half-open overlap of every (a, b) pair on the same chrom -> a's columns
-    with start/end cut to the overlap (``bedtools intersect -a A -b B``)."""
+    with start/end cut to the overlap (``bedtools intersect -a A -b B``).
+    ``bin_size=None`` picks the median interval length."""
+    if bin_size is None:
+        bin_size = auto_bin_size(a, b, start, end)
     a_cols = [c for c in a.columns]
     ax = a.where(F.col(end) > F.col(start)).select(
         *[F.col(c).alias(f"a_{c}") for c in a_cols],

@@ -259,7 +259,7 @@ def interval_intersect(spark: SparkSession, sf_dir: str):
     targets = read_bed(spark, path)
     isl = merged_islands(spark, sf_dir)
     b = isl.select("chrom", (F.col("start") - 1).alias("start"), "end")
-    return intersect_intervals(targets, b, bin_size=1000)
+    return intersect_intervals(targets, b)
 
 
 _VARIANTS_SQL = f"""
