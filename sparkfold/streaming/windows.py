@@ -45,10 +45,12 @@ def windowed_spread(stream: DataFrame, ts: str, id_col: str, group: str, count:
     """Stateful stage: per (window, id, group, carry) min / max count and rows."""
     s = event_time(stream, ts).withWatermark(ts, delay)
     agg = (s.groupBy(F.window(ts, size, slide).alias("w"), id_col, group, carry)
-           .agg(F.min(count).alias("min_count"), F.max(count).alias("max_count"), F.count(F.lit(1)).alias("n")))
+           .agg(F.min(count).alias("min_count"), F.max(count).alias("max_count"), F.count(F.lit(1)).alias("n"),
+                F.min(ts).alias("first_ts")))
     return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                      id_col, group, carry, "min_count", "max_count", "n")
+                      id_col, group, carry, "min_count", "max_count", "n",
+                      F.col("first_ts").cast("timestamp_ntz").alias("first_ts"))
 
 
 def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "total_retweets_in_lang",
@@ -65,12 +67,32 @@ def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "
             .orderBy(F.desc(total_col), F.desc(count_col)))
 
 
-def write_report_batch(path: str, id_col: str, group: str, carry: str) -> Callable[[DataFrame, int], None]:
-    """K2: ``foreachBatch`` writer; one folder per batch id, overwritten on a
-    retry, so a replayed batch never duplicates rows."""
+def write_report_batch(path: str, id_col: str, group: str, carry: str,
+                       warm_up: bool = True) -> Callable[[DataFrame, int], None]:
+    """K2 ST5: ``foreachBatch`` writer; one folder per batch id, overwritten
+    on a retry, so a replayed batch never duplicates rows.
+
+    Warm-up: windows that start before the first event of the stream saw
+    only part of their span and are not reported.  Windows close in event
+    time order, so the first batch with rows holds the earliest event; its
+    time is kept as one small marker table beside the output (written once,
+    read by every later batch)."""
+    marker = f"{path}/_first_event"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        out = finish_windows(batch, id_col, group)
+        spark = batch.sparkSession
+        if warm_up:
+            try:
+                first = spark.read.parquet(marker)
+            except Exception:  # noqa: BLE001 - no marker yet
+                first = batch.agg(F.min("first_ts").alias("t0"))
+                if first.first()["t0"] is None:
+                    return
+                first.write.mode("overwrite").parquet(marker)
+                first = spark.read.parquet(marker)
+            t0 = first.first()["t0"]
+            batch = batch.where(F.col("window_start") >= F.lit(t0))
+        out = finish_windows(batch.drop("first_ts"), id_col, group)
         out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
         out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
@@ -104,6 +126,7 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    # "_"-prefixed folders (the warm-up marker) are skipped by the file listing
     return spark.read.parquet(out)
 
 
