@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OPTS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
          "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-         "nullValue": "", "emptyValue": '""'}
+         "nullValue": "\\N"}           # null -> \N, so an empty string stays an empty string
 
 
 def write_report(df: DataFrame, path: str, order: list | None = None) -> str:
     out = df.orderBy(*order) if order else df
-    out.write.mode("overwrite").options(**_OPTS).csv(path)
+    out.write.mode("overwrite").options(**_OPTS).option("emptyValue", '""').csv(path)
     return path
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.options(**_OPTS).schema(schema).csv(path)
+    return spark.read.options(**_OPTS).option("emptyValue", "").schema(schema).csv(path)
