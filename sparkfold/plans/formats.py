@@ -25,7 +25,7 @@ from sparkfold.sources.fastq import fastq_text, read_fastq, with_record_ordinal
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASES = "ACGT" * 13
 QUAL_OF_BASE = ("ACGT", "@+I#")
-SPLIT_BYTES = 256 << 10
+SPLIT_BYTES = 4 << 20       # several splits per file even at sf0.01; tiny splits are unit-tested
 
 
 def bases(text):
@@ -47,9 +47,10 @@ def _qual_sql(s: str) -> str:
     return f"translate({s}, '{QUAL_OF_BASE[0]}', '{QUAL_OF_BASE[1]}')"
 
 
-def _write_fastq(df: DataFrame, path: str, order: list) -> str:
-    df.orderBy(*order).select(fastq_text("name", "sequence", "plus", "quality").alias("value")) \
-      .write.mode("overwrite").text(path)
+def _write_fastq(df: DataFrame, path: str, order: list | None = None) -> str:
+    """Records as FASTQ text; ``order`` only when file order matters (mates)."""
+    out = df.orderBy(*order) if order else df
+    out.select(fastq_text("name", "sequence", "plus", "quality").alias("value")).write.mode("overwrite").text(path)
     return path
 
 
@@ -62,9 +63,9 @@ def fastq_roundtrip(spark: SparkSession, sf_dir: str):
     """Documents -> FASTQ files -> byte-range splits with resync -> records."""
     d = table(spark, sf_dir, "documents")
     seq = bases(F.col("text"))
-    recs = d.select("doc_id", F.concat(F.lit("@doc"), F.col("doc_id").cast("string")).alias("name"),
+    recs = d.select(F.concat(F.lit("@doc"), F.col("doc_id").cast("string")).alias("name"),
                     seq.alias("sequence"), F.lit("+").alias("plus"), quals(seq).alias("quality"))
-    path = _write_fastq(recs, scratch_path(spark, "fastq-docs"), ["doc_id"])
+    path = _write_fastq(recs, scratch_path(spark, "fastq-docs"))
     r = read_fastq(spark, path, split_size=SPLIT_BYTES)
     return r.select("name", "sequence", "plus", "quality", "complete")
 

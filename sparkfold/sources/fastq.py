@@ -20,9 +20,10 @@ Files are opened through ``pyarrow.fs`` so any URI the cluster mounts works.
 from __future__ import annotations
 
 import gzip
-import io
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -111,51 +112,54 @@ def _complete_enough(data: bytes, rel_end: int) -> bool:
 
 def _records(path: str, data: bytes, base: int, start: int, end: int, final: bool):
     """Parse records whose first byte lies in [start, end) of the file;
-    ``data`` holds the file bytes from offset ``base``."""
-    # line starts (relative to data)
+    ``data`` holds the file bytes from offset ``base``.  Lines are split and
+    located in bulk (bytes.split, numpy offsets, Arrow casts); only the
+    resync probe at the start of a split looks at single lines."""
     pos = 0 if base == start else data.find(b"\n", 0) + 1   # first line starting at >= start
     if base != start and pos == 0:
         return
-    lines = []          # (abs_offset, bytes)
-    i = pos
-    n = len(data)
-    while i < n:
-        j = data.find(b"\n", i)
-        if j < 0:
-            lines.append((base + i, data[i:]))
-            break
-        lines.append((base + i, data[i:j]))
-        i = j + 1
+    lines = data[pos:].split(b"\n")
+    if lines and lines[-1] == b"" and data.endswith(b"\n"):
+        lines.pop()                               # the final newline ends a line, it does not start one
+    if not lines:
+        return
+    lens = np.fromiter((len(x) for x in lines), dtype=np.int64, count=len(lines))
+    offs = base + pos + np.concatenate(([0], np.cumsum(lens + 1)[:-1]))
     k = 0
     if start > 0:       # resync: '@' line whose second-next line starts with '+'
         while k < len(lines):
-            if lines[k][1].startswith(b"@") and k + 2 < len(lines) and lines[k + 2][1].startswith(b"+"):
+            if lines[k].startswith(b"@") and k + 2 < len(lines) and lines[k + 2].startswith(b"+"):
                 break
             k += 1
-    cols = {c: [] for c in _FIELDS}
-    rec = 0
-    while k < len(lines) and lines[k][0] < end:
-        chunk = lines[k:k + 4]
-        complete = len(chunk) == 4
-        if not complete and not final:
-            break
-        txt = [c[1].rstrip(b"\r").decode("utf-8", "replace") for c in chunk] + [None] * (4 - len(chunk))
-        for c, v in zip(_FIELDS, [path, start, rec, chunk[0][0], txt[0], txt[1], txt[2], txt[3], complete]):
-            cols[c].append(v)
-        rec += 1
-        k += 4
-        if rec % _BATCH == 0:
-            yield _batch(cols)
-            cols = {c: [] for c in _FIELDS}
-    if cols["file"]:
-        yield _batch(cols)
-
-
-def _batch(cols: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        cols, schema=pa.schema([("file", pa.string()), ("split_start", pa.int64()), ("rec_in_split", pa.int64()),
-                                ("offset", pa.int64()), ("name", pa.string()), ("sequence", pa.string()),
-                                ("plus", pa.string()), ("quality", pa.string()), ("complete", pa.bool_())]))
+    firsts = offs[k::4]
+    n_rec = int(np.searchsorted(firsts, end, side="left"))   # records starting before `end`
+    if n_rec == 0:
+        return
+    full = min(n_rec, (len(lines) - k) // 4)                  # records with all four lines present
+    if full < n_rec and not final:
+        n_rec = full
+    for lo in range(0, n_rec, _BATCH):
+        hi = min(lo + _BATCH, n_rec)
+        yield _bulk_batch(path, start, lines, k, offs, lo, hi, full)
+
+
+def _text(col: list) -> pa.Array:
+    arr = pa.array(col, type=pa.binary()).cast(pa.string())
+    return pc.utf8_rtrim(arr, characters="\r")
+
+
+def _bulk_batch(path: str, start: int, lines: list, k: int, offs, lo: int, hi: int, full: int) -> pa.RecordBatch:
+    n = hi - lo
+    fields = []
+    for f in range(4):
+        col = lines[k + 4 * lo + f: k + 4 * hi + f: 4]
+        col = col + [None] * (n - len(col))                    # lines missing from a truncated record
+        fields.append(_text(col))
+    complete = pa.array([lo + i < full for i in range(n)], type=pa.bool_())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * n, type=pa.string()), pa.array([start] * n, type=pa.int64()),
+         pa.array(np.arange(lo, hi, dtype=np.int64)), pa.array(offs[k + 4 * lo: k + 4 * hi: 4][:n]),
+         *fields, complete], names=_FIELDS)
 
 
 class FastqDataSource(DataSource):
@@ -200,9 +204,3 @@ def fastq_text(name, sequence, plus, quality):
     """One record as four lines (the writer adds the final newline)."""
     return F.concat_ws("\n", name, sequence, plus, quality)
 
-
-def gz_text(lines: list[str]) -> bytes:
-    buf = io.BytesIO()
-    with gzip.GzipFile(fileobj=buf, mode="wb") as g:
-        g.write(("\n".join(lines) + "\n").encode())
-    return buf.getvalue()
