@@ -99,7 +99,7 @@ FROM valid GROUP BY name, is_male
 def cast_parse(spark: SparkSession, sf_dir: str):
     """Latin-1 blank-line records -> (name, movies)."""
     a = read_actors(spark, sf_dir)
-    return a.select("name", "is_male", F.size("movies").alias("n_movies"),
+    return a.select("name", "is_male", F.size("movies").cast("bigint").alias("n_movies"),
                     F.array_join("movies", "|").alias("movies"))
 
 
