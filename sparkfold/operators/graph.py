@@ -18,7 +18,7 @@ Several landmarks run in the same search (a ``landmark`` column rides along).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkfold.operators.ordinals import with_dense_index
@@ -57,8 +57,9 @@ def hop_distances(members: DataFrame, sources: DataFrame, max_hops: int | None =
     at most one: a group is expanded at most twice, and no visited-group set
     is needed.  Each hop's new vertices are checkpointed (a plan leaf in the
     shared checkpoint folder), so every hop plans as two joins and one
-    anti-join against the union of earlier leaves: one job plus an emptiness
-    probe per hop, and nothing to recompute after a lost executor.
+    anti-join against the union of earlier leaves: one job per hop (its row
+    count is observed by that same job), and nothing to recompute after a
+    lost executor.
     """
     spark = members.sparkSession
     checkpoint_root(spark)
@@ -69,10 +70,12 @@ def hop_distances(members: DataFrame, sources: DataFrame, max_hops: int | None =
     hop = 0
     while max_hops is None or hop < max_hops:
         groups = frontier.join(m, "vertex").select("landmark", "group").distinct()
+        size = Observation(f"bfs-hop-{hop + 1}")      # row count gathered by the checkpoint job itself
         nxt = (groups.join(m, "group").select("landmark", "vertex").distinct()
                .join(_union_all(reached).select("landmark", "vertex"), ["landmark", "vertex"], "left_anti")
-               .withColumn("dist", F.lit(hop + 1)).checkpoint(eager=True))
-        if nxt.isEmpty():
+               .withColumn("dist", F.lit(hop + 1))
+               .observe(size, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True))
+        if size.get["rows"] == 0:
             break
         hop += 1
         reached.append(nxt)

@@ -82,6 +82,9 @@ def ship_package(spark: SparkSession) -> None:
     key = id(sc._jsc)
     if key in _SHIPPED:
         return
+    if "sparkfold" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        _SHIPPED.add(key)           # deployed with --py-files: executors already have it
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="sparkfold-pyfiles-")
     zpath = os.path.join(out_dir, "sparkfold.zip")
