@@ -117,8 +117,11 @@ def separation_histogram(dist: DataFrame, vertices: DataFrame, flag: str = "is_m
                                    F.count_if(~F.col(flag)).alias("female_count")))
     domain = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("dist"))
     h = domain.join(counts, "dist", "left").na.fill(0, ["male_count", "female_count"])
-    return h.select("dist", "male_count", exact_round(F.col("male_count") * 100, F.lit(tm), 2).alias("male_pct"),
-                    "female_count", exact_round(F.col("female_count") * 100, F.lit(tf), 2).alias("female_pct"))
+    h = h.select("dist", "male_count", exact_round(F.col("male_count") * 100, F.lit(tm), 2).alias("male_pct"),
+                 "female_count", exact_round(F.col("female_count") * 100, F.lit(tf), 2).alias("female_pct"))
+    # the printed form (values are already exactly rounded, so any printf agrees)
+    return h.withColumns({"male_share": F.format_string("%1.2f%%", "male_pct"),
+                          "female_share": F.format_string("%1.2f%%", "female_pct")})
 
 
 def separation_totals(dist: DataFrame, vertices: DataFrame, flag: str = "is_male",
@@ -128,9 +131,10 @@ def separation_totals(dist: DataFrame, vertices: DataFrame, flag: str = "is_male
     t = dist.where(F.col("dist").between(lo, hi)).agg(
         F.count(F.lit(1)).alias("in_range"), F.count_if(F.col(flag)).alias("male_in_range"),
         F.count_if(~F.col(flag)).alias("female_in_range"))
-    return t.select("in_range", exact_round(F.col("in_range"), F.lit(tm + tf), 7).alias("ratio"),
-                    "male_in_range", exact_round(F.col("male_in_range"), F.lit(tm), 7).alias("male_ratio"),
-                    "female_in_range", exact_round(F.col("female_in_range"), F.lit(tf), 7).alias("female_ratio"))
+    t = t.select("in_range", exact_round(F.col("in_range"), F.lit(tm + tf), 7).alias("ratio"),
+                 "male_in_range", exact_round(F.col("male_in_range"), F.lit(tm), 7).alias("male_ratio"),
+                 "female_in_range", exact_round(F.col("female_in_range"), F.lit(tf), 7).alias("female_ratio"))
+    return t.withColumn("ratio_text", F.format_string("%1.7f", "ratio"))
 
 
 def separation_listing(dist: DataFrame, at: int = 6, flag: str = "is_male", name: str = "name") -> DataFrame:

@@ -186,9 +186,13 @@ def graph_vertices(spark: SparkSession, sf_dir: str, members: DataFrame) -> Data
             .withColumn("is_male", F.col("vertex") % 2 == 0)
 
 
-def find_landmarks(vertices: DataFrame, cond) -> DataFrame:
-    """Landmark lookup; fails clearly when nothing matches."""
+def find_landmarks(vertices: DataFrame, cond, first_only: bool = False) -> DataFrame:
+    """Landmark lookup by a predicate (name and flag); ``first_only``
+    keeps the first match (smallest vertex id).  Fails clearly when nothing
+    matches."""
     hit = vertices.where(cond).select(F.col("vertex").alias("landmark"), "vertex")
+    if first_only:
+        hit = hit.orderBy("vertex").limit(1)
     if hit.isEmpty():
         raise ValueError("landmark not found among the vertices")
     return hit
@@ -230,7 +234,10 @@ dist AS (SELECT landmark, v, min(d) AS dist FROM bfs GROUP BY landmark, v)
 def _distances(spark: SparkSession, sf_dir: str, keys: list[int]):
     members = graph_members(spark, sf_dir)
     vertices = graph_vertices(spark, sf_dir, members)
-    sources = find_landmarks(vertices, F.col("vertex").isin(keys))
+    # landmarks by name and flag, like a lookup of a named person
+    by_name = F.col("name").rlike(", Désiré (" + "|".join(str(k) for k in keys) + ")$")
+    flag = F.col("is_male") if keys == [0] else F.lit(True)
+    sources = find_landmarks(vertices, by_name & flag, first_only=len(keys) == 1)
     d = hop_distances(members, sources)
     return d.join(vertices, "vertex"), vertices
 
@@ -266,7 +273,9 @@ c AS (SELECT dist, count(*) FILTER (WHERE is_male) AS mc, count(*) FILTER (WHERE
 SELECT k.dist, coalesce(mc, 0) AS male_count,
        ((coalesce(mc, 0) * 20000 + tm) // (2 * tm)) / 100.0::DOUBLE AS male_pct,
        coalesce(fc, 0) AS female_count,
-       ((coalesce(fc, 0) * 20000 + tf) // (2 * tf)) / 100.0::DOUBLE AS female_pct
+       ((coalesce(fc, 0) * 20000 + tf) // (2 * tf)) / 100.0::DOUBLE AS female_pct,
+       printf('%.2f%%', ((coalesce(mc, 0) * 20000 + tm) // (2 * tm)) / 100.0::DOUBLE) AS male_share,
+       printf('%.2f%%', ((coalesce(fc, 0) * 20000 + tf) // (2 * tf)) / 100.0::DOUBLE) AS female_share
 FROM k LEFT JOIN c USING (dist), tot
 """)
 def separation_histogram_query(spark: SparkSession, sf_dir: str):
@@ -280,7 +289,8 @@ def separation_histogram_query(spark: SparkSession, sf_dir: str):
                count(*) FILTER (WHERE NOT is_male) AS fc FROM dd WHERE dist BETWEEN 1 AND 6)
 SELECT n AS in_range, ((n * 20000000 + (tm + tf)) // (2 * (tm + tf))) / 1e7::DOUBLE AS ratio,
        mc AS male_in_range, ((mc * 20000000 + tm) // (2 * tm)) / 1e7::DOUBLE AS male_ratio,
-       fc AS female_in_range, ((fc * 20000000 + tf) // (2 * tf)) / 1e7::DOUBLE AS female_ratio
+       fc AS female_in_range, ((fc * 20000000 + tf) // (2 * tf)) / 1e7::DOUBLE AS female_ratio,
+       printf('%.7f', ((n * 20000000 + (tm + tf)) // (2 * (tm + tf))) / 1e7::DOUBLE) AS ratio_text
 FROM c, tot
 """)
 def separation_totals_query(spark: SparkSession, sf_dir: str):

@@ -88,4 +88,4 @@ def test_histogram_zero_rows_and_half_up_percent(spark):
     verts = spark.createDataFrame([(i, i % 2 == 1) for i in range(1, 9)], "vertex long, is_male boolean")
     h = {r["dist"]: tuple(r)[1:] for r in separation_histogram(dist, verts).collect()}
     assert sorted(h) == [1, 2, 3, 4, 5, 6]
-    assert h[1] == (1, 25.0, 1, 25.0) and h[6] == (0, 0.0, 0, 0.0)
+    assert h[1] == (1, 25.0, 1, 25.0, "25.00%", "25.00%") and h[6][:4] == (0, 0.0, 0, 0.0)
