@@ -99,3 +99,26 @@ def test_stream_report_feeds_batch_report(spark, tmp_path):
     rep = spread_report(read_retweet_log(spark, path), "id", "language_code", "max_count", "min_count", ["text"],
                         total_col="total")
     assert [(r["id"], r["retweet_count"], r["total"]) for r in rep.collect()] == [(1, 4, 5)]
+
+
+def test_quality_encoding_first_read_mode(spark):
+    from sparkfold.operators.reads import quality_encoding
+
+    df = spark.createDataFrame([("g", 1, "III"), ("g", 2, "hhh")], "g string, o int, qual string")
+    assert quality_encoding(df, "g").first()["encoding"] == "ILLUMINA"          # group max
+    assert quality_encoding(df, "g", first_only_by="o").first()["encoding"] == "SANGER"   # first read only
+
+
+def test_write_regions_sorted_per_group(spark, tmp_path):
+    from sparkfold.operators.placement import write_regions
+
+    rnd = random.Random(2)
+    rows = [(rnd.randint(0, 2), rnd.randint(1, 24), rnd.randint(1, 10_000)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "grp int, chr int, pos int")
+    path = write_regions(df, str(tmp_path / "regions"), "grp", ["chr", "pos"])
+    back = spark.read.parquet(path)
+    assert back.count() == 500
+    for g in range(3):
+        files = sorted((tmp_path / "regions" / f"grp={g}").glob("*.parquet"))
+        seq = [tuple(r) for f in files for r in spark.read.parquet(str(f)).collect()]
+        assert seq == sorted(seq)               # part files in order, rows sorted inside
