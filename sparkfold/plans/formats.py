@@ -25,7 +25,6 @@ from sparkfold.sources.fastq import fastq_text, read_fastq, with_record_ordinal
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASES = "ACGT" * 13
 QUAL_OF_BASE = ("ACGT", "@+I#")
-SPLIT_BYTES = 4 << 20       # several splits per file even at sf0.01; tiny splits are unit-tested
 
 
 def bases(text):
@@ -66,7 +65,7 @@ def fastq_roundtrip(spark: SparkSession, sf_dir: str):
     recs = d.select(F.concat(F.lit("@doc"), F.col("doc_id").cast("string")).alias("name"),
                     seq.alias("sequence"), F.lit("+").alias("plus"), quals(seq).alias("quality"))
     path = _write_fastq(recs, scratch_path(spark, "fastq-docs"))
-    r = read_fastq(spark, path, split_size=SPLIT_BYTES)
+    r = read_fastq(spark, path)
     return r.select("name", "sequence", "plus", "quality", "complete")
 
 
@@ -81,8 +80,8 @@ def _mates(spark: SparkSession, sf_dir: str):
     root = scratch_path(spark, "fastq-pairs")
     p1 = _write_fastq(m1, f"{root}/fastq1", ["conv_id", "turn"])
     p2 = _write_fastq(m2, f"{root}/fastq2", ["conv_id", "turn"])
-    a = with_record_ordinal(read_fastq(spark, p1, split_size=SPLIT_BYTES))
-    b = with_record_ordinal(read_fastq(spark, p2, split_size=SPLIT_BYTES))
+    a = with_record_ordinal(read_fastq(spark, p1))
+    b = with_record_ordinal(read_fastq(spark, p2))
     return a, b
 
 
@@ -114,9 +113,12 @@ UNION ALL
 SELECT '@c' || conv_id || '_' || turn || '/2', reverse(s), '+', {_qual_sql('reverse(s)')} FROM c2
 """)
 def paired_chunks(spark: SparkSession, sf_dir: str):
-    """Interleaved pairs -> 4 gzip chunks -> read back as records."""
+    """Interleaved pairs -> gzip chunks (at least 4, about one per
+    million pairs, so a chunk task stays bounded) -> read back as records."""
     a, b = _mates(spark, sf_dir)
-    path = write_chunks(interleave(a, b), 4, scratch_path(spark, "chunks"))
+    n_pairs = table(spark, sf_dir, "conversations").count()
+    n_chunks = max(4, -(-n_pairs // 1_000_000))
+    path = write_chunks(interleave(a, b), n_chunks, scratch_path(spark, "chunks"))
     back = read_fastq(spark, path)
     return back.select("name", "sequence", "plus", "quality")
 

@@ -336,7 +336,7 @@ def seq_dict(spark: SparkSession, sf_dir: str):
     (idx, name, length); unparsable LN -> 0."""
     s = table(spark, sf_dir, "supplier")
     stats = s.agg(F.count(F.lit(1)).alias("n"), F.max("s_suppkey").alias("mx")).first()
-    n_files = max(2, -(-int(stats["n"]) // 50_000))       # grows with the table, order-preserving
+    n_files = max(2, -(-int(stats["n"]) // 1_000_000))    # grows with the table, order-preserving
     top = int(stats["mx"] or 0) + 1
     ln = F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise((F.col("s_acctbal") * 1000).cast("bigint").cast("string"))
     body = s.select((F.col("s_suppkey") * n_files / top).cast("int").alias("chunk"), F.lit(1).alias("sec"),

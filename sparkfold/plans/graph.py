@@ -19,7 +19,7 @@ from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
 from sparkfold.sources.castlist import END_MARKER, START_MARKER, read_cast_list, scan_records, trim_markers
 
-ROWS_PER_CHUNK = 20_000   # rendered cast-list lines per output file (at least two files)
+ROWS_PER_CHUNK = 2_000_000   # rendered cast-list lines per output file (at least two files)
 
 
 def actor_name(p: DataFrame):

@@ -1,7 +1,8 @@
 """FASTQ source (S7) as a Python Data Source: ``spark.read.format("fastq")``.
 
-Every file is cut into byte ranges (``splitSize``); each range is one input
-partition read by an executor.  A reader that starts inside a file resyncs
+Every file is cut into byte ranges (``splitSize``; default ``auto`` = total
+size / 16 clamped to 4..128 MB); each range is one input partition read by
+an executor.  A reader that starts inside a file resyncs
 on the first line that starts with ``@`` and whose second-next line starts
 with ``+`` (a quality line may itself start with ``@``, but the line two
 below it is a sequence line, never ``+``).  A record belongs to the range
@@ -53,7 +54,8 @@ class _Split(InputPartition):
 class FastqReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path") or options.get("paths")
-        self.split_size = int(options.get("splitSize", str(64 << 20)))
+        size = options.get("splitSize", "auto")
+        self.split_size = None if size == "auto" else int(size)
 
     def partitions(self):
         fsys, root = _filesystem(self.path)
@@ -64,13 +66,14 @@ class FastqReader(DataSourceReader):
             infos = [info]
         files = sorted((i for i in infos if i.type == pafs.FileType.File
                         and not i.base_name.startswith(("_", "."))), key=lambda i: i.path)
+        split = self.split_size or _auto_split(sum(i.size for i in files))
         parts = []
         for i in files:
             if i.path.endswith(".gz"):
                 parts.append(_Split(i.path, 0, i.size, True))
                 continue
-            for s in range(0, max(i.size, 1), self.split_size):
-                parts.append(_Split(i.path, s, min(s + self.split_size, i.size), False))
+            for s in range(0, max(i.size, 1), split):
+                parts.append(_Split(i.path, s, min(s + split, i.size), False))
         return parts
 
     def read(self, split: _Split):
@@ -97,6 +100,11 @@ class FastqReader(DataSourceReader):
             yield from _records(split.path, data, base, split.start, split.end, final=at_eof)
 
 
+def _auto_split(total: int) -> int:
+    """About 16 splits for small inputs, 128 MB splits for large ones."""
+    return int(min(max(total // 16, 4 << 20), 128 << 20))
+
+
 def _complete_enough(data: bytes, rel_end: int) -> bool:
     # enough when, past rel_end, there are at least 4 more newlines
     n = 0
