@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.functions.text import clean_social_text, script_override
+from sparkfold.operators.joins import spread
 from sparkfold.session import checkpoint_root
 
 BLANKS = r"[\t\n\r ]+"
@@ -57,7 +58,7 @@ def _doc_freqs(counts: DataFrame, id_col: str) -> DataFrame:
 
 def fit_language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """-> (lang, tri, f) with f = count / total trigrams of the language."""
-    counts = trigrams(docs, text, [lang]).groupBy(lang, "tri").agg(F.count(F.lit(1)).alias("c"))
+    counts = trigrams(spread(docs), text, [lang]).groupBy(lang, "tri").agg(F.count(F.lit(1)).alias("c"))
     return _profiles_from_counts(counts, lang)
 
 
@@ -78,7 +79,7 @@ def _score(fd: DataFrame, profiles: DataFrame, docs: DataFrame, id_col: str, tex
 
 def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text: str = "text",
                       out: str = "predicted") -> DataFrame:
-    counts = trigrams(docs, text, [id_col]).groupBy(id_col, "tri").agg(F.count(F.lit(1)).alias("c"))
+    counts = trigrams(spread(docs), text, [id_col]).groupBy(id_col, "tri").agg(F.count(F.lit(1)).alias("c"))
     return _score(_doc_freqs(counts, id_col), profiles, docs, id_col, text, out)
 
 
@@ -90,7 +91,7 @@ def fit_and_identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     checkpoint_root(docs.sparkSession)
     # written once to the shared checkpoint folder: the regex pass over whole
     # texts is the expensive part, both branches below read its result
-    counts = (trigrams(docs, text, [id_col, lang]).groupBy(id_col, lang, "tri")
+    counts = (trigrams(spread(docs), text, [id_col, lang]).groupBy(id_col, lang, "tri")
               .agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
     profiles = _profiles_from_counts(counts, lang)
     return _score(_doc_freqs(counts.select(id_col, "tri", "c"), id_col), profiles, docs, id_col, text, out)

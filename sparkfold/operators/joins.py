@@ -17,3 +17,11 @@ DEFAULT_MAX_ROWS = 1_000_000
 def small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over the cluster's default parallelism when
+    it arrives in fewer partitions (one small file = one task); inputs that
+    already have enough partitions are returned unchanged (no shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
