@@ -34,7 +34,9 @@ def main() -> None:
         REGISTRY[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run("retweet_counts")                       # JVM / Python worker warm-up
+    run("retweet_counts")                       # JVM warm-up
+    spark.range(0, 1000, numPartitions=cpus).mapInPandas(lambda it: it, "id long") \
+        .write.format("noop").mode("overwrite").save()      # Python worker warm-up
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
     for n in names:
