@@ -122,3 +122,34 @@ def test_write_regions_sorted_per_group(spark, tmp_path):
         files = sorted((tmp_path / "regions" / f"grp={g}").glob("*.parquet"))
         seq = [tuple(r) for f in files for r in spark.read.parquet(str(f)).collect()]
         assert seq == sorted(seq)               # part files in order, rows sorted inside
+
+
+def test_region_filter_drops_chrM_unmapped_and_unplaced(spark):
+    from sparkfold.sources.genomics import sam_regions
+
+    d = spark.createDataFrame([(0, "chrM", 16571), (1, "chr1", 1000), (24, "chrY", 500), (25, "chrUn", 50)],
+                              "idx int, name string, length bigint")
+    reads = spark.createDataFrame([("a", 0, "chrM"), ("b", 0, "chr1"), ("c", 4, "chr1"), ("d", 0, "chrY"),
+                                   ("e", 0, "chrUn"), ("f", 0, "chrZ")], "qname string, flag int, rname string")
+    got = sorted((r["qname"], r["region"]) for r in sam_regions(reads, d).collect())
+    assert got == [("b", 1), ("d", 24)]
+
+
+def test_clean_alignments_clip_and_unmapped_mapq(spark):
+    from sparkfold.operators.reads import clean_alignments
+
+    d = spark.createDataFrame([(1, "chr1", 100)], "idx int, name string, length bigint")
+    reads = spark.createDataFrame([("a", 0, "chr1", 150, 30), ("b", 4, "chr1", 50, 30), ("c", 0, "chr1", 60, 30)],
+                                  "qname string, flag int, rname string, aln_end int, mapq int")
+    got = {r["qname"]: (r["clean_end"], r["clean_mapq"], r["changed"]) for r in clean_alignments(reads, d).collect()}
+    assert got == {"a": (100, 30, True), "b": (50, 0, True), "c": (60, 30, False)}
+
+
+def test_trim_markers_start_and_end_in_one_record(spark, tmp_path):
+    from sparkfold.sources.castlist import END_MARKER, START_MARKER, read_cast_list
+
+    p = tmp_path / "tight.list"
+    p.write_bytes(("junk\n" + START_MARKER + "\nA, B\t\tFilm (2015)\n" + END_MARKER + "\nC, D\t\tLate (2016)\n")
+                  .encode("latin-1"))
+    got = [(r["name"], r["movies"]) for r in read_cast_list(spark, str(p)).collect()]
+    assert got == [("A, B", ["Film (2015)"])]
