@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import gzip
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -80,8 +82,7 @@ class FastqReader(DataSourceReader):
         fsys, _ = _filesystem(split.path)
         if split.whole:
             with fsys.open_input_stream(split.path, compression=None) as raw:
-                data = gzip.decompress(raw.read()) if split.path.endswith(".gz") else raw.read()
-            yield from _records(split.path, data, 0, 0, len(data), final=True)
+                yield from _stream_records(split.path, gzip.GzipFile(fileobj=raw, mode="rb"))
             return
         with fsys.open_input_file(split.path) as f:
             size = f.size()
@@ -100,6 +101,44 @@ class FastqReader(DataSourceReader):
             yield from _records(split.path, data, base, split.start, split.end, final=at_eof)
 
 
+_BLOCK = 32 << 20
+
+
+def _stream_records(path: str, stream) -> Iterator[pa.RecordBatch]:
+    """A non-splittable (gzip) file, decompressed and parsed block by block:
+    each block is cut after its last complete 4-line record and the rest is
+    carried into the next block, so memory stays bounded by the block size."""
+    carry, consumed, rec0 = b"", 0, 0
+    while True:
+        chunk = stream.read(_BLOCK)
+        final = not chunk
+        data = carry + chunk
+        if not data:
+            return
+        cut = len(data) if final else _record_cut(data)
+        block, carry = data[:cut], data[cut:]
+        n = 0
+        for batch in _records(path, block, consumed, consumed, consumed + len(block) + 1, final=final,
+                              resync=False, split_start=0, rec_base=rec0):
+            n += batch.num_rows
+            yield batch
+        rec0 += n
+        consumed += len(block)
+        if final:
+            return
+
+
+def _record_cut(data: bytes) -> int:
+    """Byte position just after the last newline that closes a 4-line record."""
+    n = data.count(b"\n")
+    if n < 4:
+        return 0
+    pos = len(data)
+    for _ in range(n % 4 + 1):
+        pos = data.rfind(b"\n", 0, pos)
+    return pos + 1
+
+
 def _auto_split(total: int) -> int:
     """About 16 splits for small inputs, 128 MB splits for large ones."""
     return int(min(max(total // 16, 4 << 20), 128 << 20))
@@ -118,7 +157,8 @@ def _complete_enough(data: bytes, rel_end: int) -> bool:
     return True
 
 
-def _records(path: str, data: bytes, base: int, start: int, end: int, final: bool):
+def _records(path: str, data: bytes, base: int, start: int, end: int, final: bool,
+             resync: bool | None = None, split_start: int | None = None, rec_base: int = 0):
     """Parse records whose first byte lies in [start, end) of the file;
     ``data`` holds the file bytes from offset ``base``.  Lines are split and
     located in bulk (bytes.split, numpy offsets, Arrow casts); only the
@@ -134,7 +174,7 @@ def _records(path: str, data: bytes, base: int, start: int, end: int, final: boo
     lens = np.fromiter((len(x) for x in lines), dtype=np.int64, count=len(lines))
     offs = base + pos + np.concatenate(([0], np.cumsum(lens + 1)[:-1]))
     k = 0
-    if start > 0:       # resync: '@' line whose second-next line starts with '+'
+    if (start > 0) if resync is None else resync:   # '@' line whose second-next line starts with '+'
         while k < len(lines):
             if lines[k].startswith(b"@") and k + 2 < len(lines) and lines[k + 2].startswith(b"+"):
                 break
@@ -148,7 +188,8 @@ def _records(path: str, data: bytes, base: int, start: int, end: int, final: boo
         n_rec = full
     for lo in range(0, n_rec, _BATCH):
         hi = min(lo + _BATCH, n_rec)
-        yield _bulk_batch(path, start, lines, k, offs, lo, hi, full)
+        yield _bulk_batch(path, start if split_start is None else split_start, lines, k, offs, lo, hi, full,
+                          rec_base)
 
 
 def _text(col: list) -> pa.Array:
@@ -156,7 +197,8 @@ def _text(col: list) -> pa.Array:
     return pc.utf8_rtrim(arr, characters="\r")
 
 
-def _bulk_batch(path: str, start: int, lines: list, k: int, offs, lo: int, hi: int, full: int) -> pa.RecordBatch:
+def _bulk_batch(path: str, start: int, lines: list, k: int, offs, lo: int, hi: int, full: int,
+                rec_base: int = 0) -> pa.RecordBatch:
     n = hi - lo
     fields = []
     for f in range(4):
@@ -166,7 +208,7 @@ def _bulk_batch(path: str, start: int, lines: list, k: int, offs, lo: int, hi: i
     complete = pa.array([lo + i < full for i in range(n)], type=pa.bool_())
     return pa.RecordBatch.from_arrays(
         [pa.array([path] * n, type=pa.string()), pa.array([start] * n, type=pa.int64()),
-         pa.array(np.arange(lo, hi, dtype=np.int64)), pa.array(offs[k + 4 * lo: k + 4 * hi: 4][:n]),
+         pa.array(np.arange(lo, hi, dtype=np.int64) + rec_base), pa.array(offs[k + 4 * lo: k + 4 * hi: 4][:n]),
          *fields, complete], names=_FIELDS)
 
 
