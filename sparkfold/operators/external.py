@@ -11,6 +11,7 @@ the tail of its stderr.
 
 from __future__ import annotations
 
+import queue
 import subprocess
 import threading
 from collections.abc import Iterator
@@ -60,30 +61,60 @@ def pipe_files(files: DataFrame, argv: list[str], path_col: str = "path",
 
 
 class _Proc:
-    """One external process fed from the task and drained by two threads."""
+    """One external process fed from the task.  A reader thread moves stdout
+    into a queue in chunks, so output is handed on while input is still
+    being written (memory bounded by what is in flight, no pipe deadlock)."""
 
     def __init__(self, argv: list[str]):
         self.argv = argv
         self.p = subprocess.Popen(argv, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE)
-        self.out: list[bytes] = []
+        self.q: queue.Queue = queue.Queue()
         self.err: list[bytes] = []
-        self.threads = [threading.Thread(target=lambda: self.out.append(self.p.stdout.read())),
-                        threading.Thread(target=lambda: self.err.append(self.p.stderr.read()))]
+        self.rest = b""
+        self.threads = [threading.Thread(target=self._pump, daemon=True),
+                        threading.Thread(target=lambda: self.err.append(self.p.stderr.read()), daemon=True)]
         for t in self.threads:
             t.start()
 
+    def _pump(self) -> None:
+        for chunk in iter(lambda: self.p.stdout.read1(1 << 20), b""):
+            self.q.put(chunk)
+        self.q.put(None)
+
     def feed(self, lines) -> None:
         self.p.stdin.write(("\n".join(lines) + "\n").encode())
 
+    def ready_lines(self, block: bool = False) -> list[str]:
+        """Complete output lines available now (all of them when ``block``)."""
+        parts = []
+        while True:
+            try:
+                item = self.q.get(block=block)
+            except queue.Empty:
+                break
+            if item is None:
+                parts.append(None)
+                break
+            parts.append(item)
+        done = bool(parts) and parts[-1] is None
+        data = self.rest + b"".join(x for x in parts if x is not None)
+        if done:
+            self.rest = b""
+            return data.decode(errors="replace").splitlines()
+        cut = data.rfind(b"\n") + 1
+        self.rest = data[cut:]
+        return data[:cut].decode(errors="replace").splitlines()
+
     def finish(self) -> list[str]:
         self.p.stdin.close()
+        tail = self.ready_lines(block=True)
         for t in self.threads:
             t.join()
         rc = self.p.wait()
         if rc != 0:
-            tail = b"".join(self.err)[-2000:].decode(errors="replace")
-            raise RuntimeError(f"{' '.join(self.argv)} exited {rc}: {tail}")
-        return b"".join(self.out).decode(errors="replace").splitlines()
+            msg = b"".join(self.err)[-2000:].decode(errors="replace")
+            raise RuntimeError(f"{' '.join(self.argv)} exited {rc}: {msg}")
+        return tail
 
 
 def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
@@ -115,6 +146,9 @@ def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
             if not key_col:
                 proc = proc or _Proc(argv)
                 proc.feed(b[line_col].astype(str))
+                early = proc.ready_lines()
+                if early:
+                    yield emit(early, None)
                 continue
             ks = b[key_col].to_numpy()
             cut = [0, *(np.flatnonzero(ks[1:] != ks[:-1]) + 1).tolist(), len(ks)]
@@ -126,6 +160,9 @@ def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
                 if proc is None:
                     proc, key = _Proc(argv), k
                 proc.feed(b[line_col].iloc[lo:hi].astype(str))
+                early = proc.ready_lines()
+                if early:
+                    yield emit(early, key)
         if proc is not None:
             yield emit(proc.finish(), key)
 
