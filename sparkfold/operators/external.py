@@ -5,8 +5,7 @@ program on the file path (the file is read by the program from the shared
 file system, never shipped through Spark) and every stdout line becomes a
 row.  ``pipe_partitions``: the rows of each partition (or of each run of
 one key inside it) are streamed as text lines into one process (like
-``RDD.pipe``), stdout lines come back as rows.  A non-zero exit status fails the task with the command and
-the tail of its stderr.
+``RDD.pipe``), stdout lines come back as rows.
 """
 
 from __future__ import annotations
@@ -33,13 +32,6 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return r.load(folder).drop("content", "modificationTime")
 
 
-def _run(argv: list[str], stdin: bytes | None = None) -> list[str]:
-    p = subprocess.run(argv, input=stdin, capture_output=True, check=False)
-    if p.returncode != 0:
-        raise RuntimeError(f"{' '.join(argv)} exited {p.returncode}: {p.stderr[-2000:].decode(errors='replace')}")
-    return p.stdout.decode(errors="replace").splitlines()
-
-
 def pipe_files(files: DataFrame, argv: list[str], path_col: str = "path",
                keep: list[str] | None = None) -> DataFrame:
     """Run ``argv + [file]`` once per file, one file per task."""
@@ -52,10 +44,12 @@ def pipe_files(files: DataFrame, argv: list[str], path_col: str = "path",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for _, row in b.iterrows():
-                out = _run(argv + [local_path(row[path_col])])
-                rec = {path_col: row[path_col], **{k: row[k] for k in keep}}
-                yield pd.DataFrame([{**rec, "line": ln} for ln in out],
-                                   columns=[path_col, *keep, "line"])
+                proc = _Proc(argv + [local_path(row[path_col])])
+                for lines in proc.drain():        # output streamed in bounded slices
+                    out = pd.DataFrame({"line": lines})
+                    for k in reversed([path_col, *keep]):
+                        out.insert(0, k, row[k])
+                    yield out
 
     return placed.mapInPandas(run, schema)
 
@@ -105,6 +99,33 @@ class _Proc:
         self.rest = data[cut:]
         return data[:cut].decode(errors="replace").splitlines()
 
+    def drain(self, batch_lines: int = 100_000) -> Iterator[list[str]]:
+        """Close the input and hand out the output in bounded slices."""
+        self.p.stdin.close()
+        buf: list[str] = []
+        while True:
+            item = self.q.get()
+            if item is None:
+                break
+            data = self.rest + item
+            cut = data.rfind(b"\n") + 1
+            self.rest = data[cut:]
+            buf += data[:cut].decode(errors="replace").splitlines()
+            if len(buf) >= batch_lines:
+                yield buf
+                buf = []
+        if self.rest:
+            buf += self.rest.decode(errors="replace").splitlines()
+            self.rest = b""
+        for t in self.threads:
+            t.join()
+        rc = self.p.wait()
+        if rc != 0:
+            msg = b"".join(self.err)[-2000:].decode(errors="replace")
+            raise RuntimeError(f"{' '.join(self.argv)} exited {rc}: {msg}")
+        if buf:
+            yield buf
+
     def finish(self) -> list[str]:
         self.p.stdin.close()
         tail = self.ready_lines(block=True)
