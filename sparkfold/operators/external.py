@@ -5,7 +5,9 @@ program on the file path (the file is read by the program from the shared
 file system, never shipped through Spark) and every stdout line becomes a
 row.  ``pipe_partitions``: the rows of each partition (or of each run of
 one key inside it) are streamed as text lines into one process (like
-``RDD.pipe``), stdout lines come back as rows.
+``RDD.pipe``), stdout lines come back as rows.  Output is streamed back in
+bounded slices while the program runs; a non-zero exit status fails the
+task with the command and the tail of its stderr.
 """
 
 from __future__ import annotations
