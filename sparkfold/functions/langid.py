@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.functions.text import clean_social_text, script_override
+from sparkfold.functions.text import clean_social_text, script_flags, script_override_flags
 from sparkfold.operators.joins import spread
 from sparkfold.session import checkpoint_root
 
@@ -71,10 +71,12 @@ def _score(fd: DataFrame, profiles: DataFrame, docs: DataFrame, id_col: str, tex
     score = F.round(F.col("norm") - 2 * F.col("dot"), SCORE_DIGITS)
     best = dots.groupBy(id_col).agg(F.min(F.struct(score.alias("s"), F.col("lang").alias("l"))).alias("b"))
     fb = F.struct(F.round(F.lit(fallback["norm"]), SCORE_DIGITS).alias("s"), F.lit(fallback["lang"]).alias("l"))
-    res = docs.select(id_col, text).join(best, id_col, "left")
+    # only the two script flags travel to the final join, never the text
+    hira, hangul = script_flags(F.col(text))
+    res = docs.select(id_col, hira.alias("_hira"), hangul.alias("_hangul")).join(best, id_col, "left")
     choice = F.when(F.col("b").isNull() | (fb < F.col("b")), fb).otherwise(F.col("b"))
     res = res.withColumn("_c", choice)
-    return res.select(id_col, script_override(F.col("_c.l"), F.col(text)).alias(out))
+    return res.select(id_col, script_override_flags(F.col("_c.l"), F.col("_hira"), F.col("_hangul")).alias(out))
 
 
 def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text: str = "text",

@@ -26,10 +26,19 @@ def strip_newlines(c: Column) -> Column:
     return F.regexp_replace(c, NEWLINES, " ")
 
 
-def script_override(lang: Column, text: Column, wrong: str = "lt") -> Column:
+def script_flags(text: Column) -> tuple[Column, Column]:
+    """(has Hiragana, has Hangul) -- computed where the text is scanned."""
+    return text.rlike(HIRAGANA), text.rlike(HANGUL)
+
+
+def script_override_flags(lang: Column, hiragana: Column, hangul: Column, wrong: str = "lt") -> Column:
     """Fix a wrong guess: Hiragana -> ja, Hangul -> ko (only when lang == wrong)."""
     return (
-        F.when((lang == wrong) & text.rlike(HIRAGANA), F.lit("ja"))
-        .when((lang == wrong) & text.rlike(HANGUL), F.lit("ko"))
+        F.when((lang == wrong) & hiragana, F.lit("ja"))
+        .when((lang == wrong) & hangul, F.lit("ko"))
         .otherwise(lang)
     )
+
+
+def script_override(lang: Column, text: Column, wrong: str = "lt") -> Column:
+    return script_override_flags(lang, *script_flags(text), wrong=wrong)
