@@ -28,6 +28,8 @@ def _rows(cols, rows):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
+    con.execute("SET memory_limit='4GB'")
+    con.execute("SET max_temp_directory_size='4GB'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
