@@ -30,6 +30,7 @@ SCORE_DIGITS = 9
 
 
 def normalise(text: Column) -> Column:
+    """Cleaned text with blank runs collapsed, padded with one blank on each side."""
     return F.concat(F.lit(" "), F.regexp_replace(clean_social_text(text), BLANKS, " "), F.lit(" "))
 
 
@@ -39,6 +40,7 @@ OVERLAPPING_TRIGRAMS = r"(?s)(?=(.{3}))"
 
 
 def trigrams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """One row per overlapping character trigram of the normalised whole text."""
     t = normalise(F.col(text))
     grams = F.regexp_extract_all(t, F.lit(OVERLAPPING_TRIGRAMS), 1)
     return df.select(*keep, F.explode(grams).alias("tri"))
@@ -81,6 +83,7 @@ def _score(fd: DataFrame, profiles: DataFrame, docs: DataFrame, id_col: str, tex
 
 def identify_language(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text: str = "text",
                       out: str = "predicted") -> DataFrame:
+    """Score documents against fitted profiles; best language per document."""
     counts = trigrams(spread(docs), text, [id_col]).groupBy(id_col, "tri").agg(F.count(F.lit(1)).alias("c"))
     return _score(_doc_freqs(counts, id_col), profiles, docs, id_col, text, out)
 

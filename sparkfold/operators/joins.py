@@ -15,6 +15,7 @@ DEFAULT_MAX_ROWS = 1_000_000
 
 
 def small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only when ``df`` has at most ``max_rows`` rows (checked with one cheap job)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

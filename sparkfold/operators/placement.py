@@ -57,6 +57,7 @@ def assign_groups(df: DataFrame, groups: DataFrame, key: str, group_col: str = "
 
 def place_and_sort(df: DataFrame, group_col: str, sort_cols: list, exact: bool = False,
                    n: int | None = None) -> DataFrame:
+    """Order records by (group, sort keys): range placement by default, ``exact`` = one partition per group."""
     if exact:
         if n is None:
             raise ValueError("exact placement needs the number of groups")

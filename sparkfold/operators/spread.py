@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 def id_spread(df: DataFrame, id_col: str, hi: str, lo: str,
               count_col: str = "retweet_count") -> DataFrame:
+    """Per id: max, min and ``max - min + 1``."""
     return (
         df.groupBy(id_col)
         .agg(F.max(hi).alias("max_count"), F.min(lo).alias("min_count"))
@@ -35,6 +36,7 @@ def spread_report(df: DataFrame, id_col: str, group: str, hi: str, lo: str,
                   carry: list[str], min_count: int = 2,
                   count_col: str = "retweet_count",
                   total_col: str = "group_total") -> DataFrame:
+    """Distinct (group, id, carry) rows with the id spread and the group total; spread >= ``min_count``."""
     per_id = id_spread(df, id_col, hi, lo, count_col).select(id_col, count_col)
     rows = df.select(group, id_col, *carry).distinct().join(per_id, id_col)
     totals = rows.groupBy(group).agg(F.sum(count_col).alias(total_col))

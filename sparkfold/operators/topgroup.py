@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 def top_per_group(df: DataFrame, key: str, item: str, value: str,
                   total_col: str = "total", top_item_col: str = "top_item",
                   top_value_col: str = "top_value") -> DataFrame:
+    """Per ``key``: sum of ``value`` and the item with the largest value (ties: greatest item)."""
     best = F.max(F.struct(F.col(value).alias("v"), F.col(item).alias("i")))
     return (
         df.groupBy(key)
@@ -33,6 +34,7 @@ def top_per_group(df: DataFrame, key: str, item: str, value: str,
 def top_per_group_window(df: DataFrame, key: str, item: str, value: str,
                          total_col: str = "total", top_item_col: str = "top_item",
                          top_value_col: str = "top_value") -> DataFrame:
+    """Same result through ``row_number`` over a per-key window (differential twin)."""
     ranked = Window.partitionBy(key).orderBy(F.col(value).desc(), F.col(item).desc())
     whole = Window.partitionBy(key)
     return (

@@ -33,6 +33,7 @@ RECORD_SEP = "\n\n"
 
 
 def clean_title(line: Column, min_year: int = 2011, strict_year: bool = False) -> Column:
+    """Valid title of one cast-list line, or null."""
     second = F.substring_index(line, "\t", -1)
     if strict_year:
         year = F.regexp_extract(second, r"^(.*)\(([0-9]{4})", 2)
@@ -62,6 +63,7 @@ def parse_cast_records(records: DataFrame, text_col: str = "text", min_year: int
 
 
 def scan_records(spark: SparkSession, path: str, charset: str = "ISO-8859-1") -> DataFrame:
+    """Blank-line separated records with their file and record number, decoded from ``charset``."""
     raw = spark.read.option("lineSep", RECORD_SEP).text(path)
     numbered = with_file_ordinal(raw, name="rec_no")
     return numbered.select("file", "rec_no", F.decode(F.col("value").cast("binary"), charset).alias("text"))

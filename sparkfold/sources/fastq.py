@@ -225,10 +225,12 @@ class FastqDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the ``fastq`` data source with this session."""
     spark.dataSource.register(FastqDataSource)
 
 
 def read_fastq(spark: SparkSession, path: str, split_size: int | None = None) -> DataFrame:
+    """FASTQ files -> one row per record (see module docstring); ``split_size`` in bytes or auto."""
     register(spark)
     r = spark.read.format("fastq").option("path", path)
     if split_size:

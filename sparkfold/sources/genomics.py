@@ -20,6 +20,7 @@ REF_CONSUMING = "MDN=X"
 
 
 def cigar_ref_length(cigar: Column) -> Column:
+    """Reference bases covered by a CIGAR string (M, D, N, =, X)."""
     lens = F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{REF_CONSUMING}]"), 1)
     return F.aggregate(lens, F.lit(0), lambda acc, x: acc + x.cast("int"))
 
@@ -46,6 +47,7 @@ def sam_regions(sam: DataFrame, seq_dict: DataFrame, min_idx: int = 1, max_idx:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
+    """SAM text files -> typed reads."""
     return parse_sam(spark.read.text(path))
 
 
@@ -76,6 +78,7 @@ def sorted_variants(variants: DataFrame) -> DataFrame:
 
 
 def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """VCF text files -> (accepted, rejected) variant rows."""
     return parse_vcf(spark.read.text(path))
 
 

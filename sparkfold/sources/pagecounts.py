@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 
 def parse_pagecounts(lines: DataFrame, mode: str = "permissive", value_col: str = "value") -> DataFrame:
+    """Page-count text lines -> (language_code, page_title, view_count)."""
     parts = F.split(F.col(value_col), " ")
     parsed = lines.select(
         F.substring_index(F.get(parts, 0), ".", 1).alias("language_code"),
@@ -35,4 +36,5 @@ def parse_pagecounts(lines: DataFrame, mode: str = "permissive", value_col: str
 
 
 def read_pagecounts(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
+    """Read page-count text files (any Hadoop-FS path) and parse them."""
     return parse_pagecounts(spark.read.text(path), mode=mode)

@@ -27,6 +27,7 @@ def _string_schema() -> T.StructType:
 
 
 def read_retweet_log(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
+    """Retweet-log CSV -> typed rows; ``permissive`` drops malformed rows, ``failfast`` raises."""
     raw = spark.read.options(**_CSV_OPTS).schema(_string_schema()).csv(path)
     typed = raw.select(
         F.col("Language").alias("language"),

@@ -33,6 +33,7 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
 
 def window_counts(stream: DataFrame, ts: str, key: str, value: str, size: str, slide: str,
                   delay: str) -> DataFrame:
+    """Sliding event-time windows per key with a watermark: rows, max and min value (append mode)."""
     s = event_time(stream, ts).withWatermark(ts, delay)
     agg = (s.groupBy(F.window(ts, size, slide).alias("w"), key)
            .agg(F.count(F.lit(1)).alias("n"), F.max(value).alias("max_value"), F.min(value).alias("min_value")))
@@ -111,11 +112,13 @@ def start_live(stream: DataFrame, sink_path: str, checkpoint: str, every: str =
 
 
 def dedup_stream(stream: DataFrame, ts: str, key: str, delay: str) -> DataFrame:
+    """Drop repeated ``key`` values within the watermark delay."""
     return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
 def run_available_now(spark: SparkSession, stream: DataFrame, name: str,
                       foreach_batch: Callable[[str], Callable] | None = None) -> DataFrame:
+    """Run a streaming query over all available input into a fresh sink; return the sink as a DataFrame."""
     root = scratch_path(spark, name)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
     w = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True)
