@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sparkfold.plans import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -36,11 +37,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = {name for name, e in REGISTRY.items() if not e.oracle}
     assert missing == set()
+    assert set(REGISTRY) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n, e in REGISTRY.items() if e.oracle))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
