@@ -93,3 +93,36 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (archive_pages(spark, read_table(spark, sf_dir, "pages"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+# --- 9: BPE -----------------------------------------------------------------------------------------------------
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.bpe_codec import encode_corpus
+
+    return (encode_corpus(read_table(spark, sf_dir, "documents"), byte_bpe_path())
+            .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+# --- 7: language ID ---------------------------------------------------------------------------------------------
+
+def _fold(parts: int):
+    """crc32 of doc_id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.language_id import fit, identify
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, _fold(3) != 1)
+    return (identify(docs, model).withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+            .select("doc_id", "held_out", "lang_pred", "score", "ambiguous"))
