@@ -126,3 +126,25 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, _fold(3) != 1)
     return (identify(docs, model).withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
             .select("doc_id", "held_out", "lang_pred", "score", "ambiguous"))
+
+
+# --- 2: toxicity ------------------------------------------------------------------------------------------------
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.toxicity import THRESHOLD, fit, score_texts
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, read_table(spark, sf_dir, "labels"), _fold(4) != 2)
+    return (score_texts(docs.select("doc_id", "text"), model)
+            .select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score",
+                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+
+
+# --- 4: benchmark decontamination -------------------------------------------------------------------------------
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.decontaminate import find_leaks
+
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
