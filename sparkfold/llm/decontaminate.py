@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.llm.common import bounded_broadcast, settled
 
-MARK = ""                 # set before names
+MARK = "\ue000"                 # set before names
 #: fixed list: units of measure and money, as they stand after a number
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "feet", "ft", "yards", "miles", "mg", "g", "kg", "tons", "lb", "lbs", "ounces",
          "ml", "l", "liters", "litres", "gallons", "seconds", "minutes", "hours", "days", "weeks", "months", "years", "percent",
