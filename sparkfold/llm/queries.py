@@ -148,3 +148,32 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.decontaminate import find_leaks
 
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# --- 10: PII ----------------------------------------------------------------------------------------------------
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.pii import KINDS, count_of, find_pii, span_strings
+
+    found = span_strings(find_pii(read_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", *[count_of(k).alias(f"n_{k}") for k in KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+# --- 5: embedding near-duplicates -------------------------------------------------------------------------------
+
+@query("op5_embedding_neardup", """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id
+""")
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.embedding_neardup import link_embeddings
+
+    return link_embeddings(read_table(spark, sf_dir, "embeddings"))

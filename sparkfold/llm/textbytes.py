@@ -89,3 +89,34 @@ def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case:
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((_LOWER_BYTE if fold_case else _BYTE)[buf] * up[:len(buf)], out=total[1:])
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], most_rows: int = 1 << 16) -> Iterator[pa.Table]:
+    """Tables of whole runs of equal ``keys``, from batches sorted by them; several short runs come together."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < most_rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        first = run_starts(table, keys)[-1]
+        if first > 0:
+            yield table.slice(0, first)
+            table = table.slice(first)
+        held, rows = table.combine_chunks().to_batches(), table.num_rows
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def run_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """First row of every run of equal keys (integer columns without nulls)."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for k in keys:
+        x = table[k].to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
