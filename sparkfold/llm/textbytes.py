@@ -84,11 +84,19 @@ def words(buf: np.ndarray, borders: np.ndarray, inside: np.ndarray) -> tuple[np.
 
 
 def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case: bool = True) -> np.ndarray:
-    """A 64-bit hash of the bytes of every range; with ``fold_case`` A-Z count as a-z."""
-    up, down = _powers(len(buf))
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((_LOWER_BYTE if fold_case else _BYTE)[buf] * up[:len(buf)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    """A 64-bit hash of the bytes of every range (in order of start); with ``fold_case`` A-Z count as a-z."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):                            # some MiB at a time: prefix sums take eight bytes for each byte
+        upto = max(at + 1, int(np.searchsorted(end, start[at] + SLICE_BYTES, "right")))
+        lo, hi = int(start[at]), int(end[upto - 1])
+        s, e = start[at:upto] - lo, end[at:upto] - lo
+        up, down = _powers(hi - lo)
+        total = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum((_LOWER_BYTE if fold_case else _BYTE)[buf[lo:hi]] * up[:hi - lo], out=total[1:])
+        out[at:upto] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        at = upto
+    return out
 
 
 def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], most_rows: int = 1 << 16) -> Iterator[pa.Table]:

@@ -44,6 +44,7 @@ GRAMS = (3, 4, 5, 6)
 INPUTS = 2 + 2 * len(GRAMS)
 THRESHOLD = 0.3
 FOLDS = 5
+WORDS = 1 << 15                 # words whose n-grams are looked up together
 BLOCK = 2048                    # windows that are scored together
 
 
@@ -90,14 +91,15 @@ def _word_bucket(h: np.ndarray) -> np.ndarray:
 def word_inputs(model: Model, buf: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> np.ndarray:
     """(word, INPUTS); the last row is that of no word."""
     x = np.zeros((len(h) + 1, INPUTS), np.float32)
-    if len(h):
-        x[:-1, 0] = model.word_odds[_word_bucket(h)]
-        x[:-1, 1] = np.minimum(end - start, 40) / 20.0
-        for k, (bucket, first) in enumerate(_gram_places(buf, start, end)):
+    x[:-1, 0] = model.word_odds[_word_bucket(h)]
+    x[:-1, 1] = np.minimum(end - start, 40) / 20.0
+    for lo in range(0, len(h), WORDS):
+        some = slice(lo, min(lo + WORDS, len(h)))
+        for k, (bucket, first) in enumerate(_gram_places(buf, start[some], end[some])):
             odds = model.gram_odds[k][bucket]
             count = np.diff(np.append(first, len(odds)))
-            x[:-1, 2 + 2 * k] = np.maximum.reduceat(odds, first)
-            x[:-1, 3 + 2 * k] = np.add.reduceat(odds, first) / count
+            x[some, 2 + 2 * k] = np.maximum.reduceat(odds, first)
+            x[some, 3 + 2 * k] = np.add.reduceat(odds, first) / count
     return x
 
 
@@ -145,16 +147,23 @@ def _gru(net: dict, d: str, px: list[np.ndarray], keep: bool) -> tuple[list[np.n
     return states, tape
 
 
-def forward(net: dict, table: np.ndarray, ids: np.ndarray, keep: bool = False):
+def project(net: dict, table: np.ndarray) -> dict[str, np.ndarray]:
+    """What the inputs of every word add to the gates, per direction."""
+    return {d: table @ net[f"w_{d}"] + net[f"c_{d}"] for d in ("f", "b")}
+
+
+def forward(net: dict, table: np.ndarray, ids: np.ndarray, keep: bool = False, projected: dict | None = None):
     """Logit of every window.  ``table``: inputs of the distinct words, ``ids``: (window, step) rows of it, -1: none."""
     mask = ids >= 0
     steps = ids.shape[1]
+    if projected is None:                               # only the words at hand
+        used, ids = np.unique(ids, return_inverse=True)
+        projected, ids = project(net, table[used]), ids.reshape(mask.shape)
     out = {}
     tapes = {}
     for d in ("f", "b"):
-        projected = table @ net[f"w_{d}"] + net[f"c_{d}"]
         order = range(steps) if d == "f" else range(steps - 1, -1, -1)
-        states, tape = _gru(net, d, [projected[ids[:, t]] for t in order], keep)
+        states, tape = _gru(net, d, [projected[d][ids[:, t]] for t in order], keep)
         out[d], tapes[d] = (states if d == "f" else states[::-1]), tape
     h = np.concatenate([np.stack(out["f"], 1), np.stack(out["b"], 1)], 2)          # (window, step, 2 HIDDEN)
     q = h @ net["a_w"]
@@ -230,7 +239,8 @@ def score_slice(model: Model, buf: np.ndarray, borders: np.ndarray) -> np.ndarra
     h, place, number = _distinct(buf, start, end) if len(start) else (np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int))
     table = word_inputs(model, buf, start[place], end[place], h)
     ids, owner = window_ids(number, row, rows)
-    logit = np.concatenate([forward(model.net, table, ids[k:k + BLOCK]) for k in range(0, len(ids), BLOCK)]) \
+    projected = project(model.net, table)
+    logit = np.concatenate([forward(model.net, table, ids[k:k + BLOCK], projected=projected) for k in range(0, len(ids), BLOCK)]) \
         if len(ids) else np.zeros(0)
     worst = np.full(rows, -np.inf)
     np.maximum.at(worst, owner, logit)
@@ -243,7 +253,13 @@ def _pairs(row: np.ndarray, bucket: np.ndarray, size: int) -> tuple[np.ndarray,
     """The distinct (row, bucket) pairs."""
     both = np.sort(row.astype(np.int64) * size + bucket)
     both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
-    return both // size, both % size
+    return (both // size).astype(np.int32), (both % size).astype(np.int32)
+
+
+def _parts(doc: np.ndarray, docs: int = 100) -> Iterator[slice]:
+    """Slices of the sorted ``doc``, ``docs`` documents each."""
+    borders = np.searchsorted(doc, np.arange(0, doc[-1] + 1 + docs, docs)) if len(doc) else []
+    return (slice(a, b) for a, b in zip(borders, borders[1:]) if b > a)
 
 
 def _odds(row: np.ndarray, bucket: np.ndarray, toxic: np.ndarray, docs: np.ndarray, size: int) -> np.ndarray:
@@ -267,15 +283,20 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 300, b
     s, e = start[place], end[place]
     # n-grams belong to words: a document has those of the words it has
     doc, word = _pairs(row, number, len(h))
-    seen = [(*_pairs(doc, _word_bucket(h)[word], 1 << WORD_BITS), 1 << WORD_BITS)]
-    for bucket, at in _gram_places(buf, s, e):
-        count = np.diff(np.append(at, len(bucket)))[word]
-        flat = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(at[word], count)
-        seen.append((*_pairs(np.repeat(doc, count), bucket[flat], 1 << GRAM_BITS), 1 << GRAM_BITS))
+    kinds = [(_pairs(doc, _word_bucket(h)[word], 1 << WORD_BITS), 1 << WORD_BITS)]
+    parts: list[list] = [[] for _ in GRAMS]
+    for few in _parts(doc):                             # some documents at a time, to bound the memory
+        used, local = np.unique(word[few], return_inverse=True)
+        for k, (bucket, at) in enumerate(_gram_places(buf, s[used], e[used])):
+            count = np.diff(np.append(at, len(bucket)))[local]
+            flat = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(at[local], count)
+            parts[k].append(_pairs(np.repeat(doc[few], count), bucket[flat], 1 << GRAM_BITS))
+    kinds += [(tuple(np.concatenate(x) for x in zip(*part)), 1 << GRAM_BITS) for part in parts]
+    del parts
 
     def odds_of(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-odds from the marked documents alone."""
-        by_word, *by_gram = [_odds(of, bucket, label, docs, size) for of, bucket, size in seen]
+        by_word, *by_gram = [_odds(of, bucket, label, docs, size) for (of, bucket), size in kinds]
         return by_word, np.stack(by_gram)
 
     # a training document must not see evidence that it supplied: inputs of each fold come from the other folds
@@ -284,8 +305,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 300, b
     table = np.concatenate([*(t[:-1] for t in tables), tables[0][-1:]])
     model = Model(*odds_of(np.ones(len(texts), bool)), new_net(rng))
     ids, owner = window_ids(number, row, len(texts))
-    ids = np.where(ids >= 0, ids + (fold[owner] * len(h))[:, None], -1)
-    evidence = np.where(ids >= 0, table[ids][:, :, [0, *range(2, INPUTS, 2)]].sum(2), -9).max(1)
+    ids = np.where(ids >= 0, ids + (fold[owner] * len(h))[:, None], -1).astype(np.int32)
+    odds_sum = np.append(table[:-1, [0, *range(2, INPUTS, 2)]].sum(1), -9)
+    evidence = odds_sum[ids].max(1)
     first, second = {k: np.zeros_like(v) for k, v in model.net.items()}, {k: np.zeros_like(v) for k, v in model.net.items()}
     step = 0
     while step < steps:
@@ -297,9 +319,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 300, b
         clean = np.flatnonzero(~label[owner])
         good = np.concatenate([good, rng.choice(clean, min(len(clean), len(good)), replace=False)])
         for _ in range(75):
-            x = ids[np.concatenate([rng.choice(bad, batch // 2), rng.choice(good, batch - batch // 2)])]
+            x = ids[np.concatenate([rng.choice(bad, batch // 3), rng.choice(good, batch - batch // 3)])]
             x = np.concatenate([x, np.full((2, WINDOW), -1, ids.dtype)])           # empty windows are clean
-            y = (np.arange(len(x)) < batch // 2).astype(np.float32)
+            y = (np.arange(len(x)) < batch // 3).astype(np.float32)
             logit, saved = forward(model.net, table, x, keep=True)
             p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             grad = backward(model.net, table, x, saved, ((p - y) / len(y)).astype(np.float32))
