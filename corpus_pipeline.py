@@ -1,7 +1,77 @@
-"""Corpus pipeline (being laid down)."""
-STAGES = []
+"""Corpus pipeline: toxic documents go, boilerplate lines go, one document of each group of near copies
+stays, documents that hold benchmark items go, and what is left is encoded.
+
+Every stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``.  The result
+of each is written to the shared folder as Parquet and read again as the next one's docs.
+
+Cases.  Null or empty texts are kept by every filter (there is nothing to reject) and encode to no ids.
+Rows with a null id pass the stages that decide by id.  Repeated rows: as one document from the third
+stage on.  Empty tables give empty results.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkfold.llm.bpe_codec import encode_corpus
+from sparkfold.llm.common import read_table, settled
+from sparkfold.llm.decontaminate import drop_leaks
+from sparkfold.llm.line_dedup import dedup_lines
+from sparkfold.llm.ngram_join import link_documents
+from sparkfold.llm.queries import byte_bpe_path, fold
+from sparkfold.llm.toxicity import THRESHOLD, fit, score_texts
+from sparkfold.session import ship_package
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold; trained on the labelled ones outside the held-out fold."""
+    ship_package(spark)
+    model = fit(docs, read_table(spark, sf_dir, "labels"), fold(4) != 2)
+    return score_texts(docs, model, score_col="_toxic").where(F.col("_toxic") < THRESHOLD).drop("_toxic")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without boilerplate lines."""
+    ship_package(spark)
+    clean = dedup_lines(docs)
+    return clean.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of the n-gram join."""
+    ship_package(spark)
+    stay = settled(link_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct(), "pipeline-stay")
+    found = docs.join(stay, F.col("doc_id") == F.col("_stay")).drop("_stay").dropDuplicates(["doc_id"])
+    return found.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    ship_package(spark)
+    return drop_leaks(docs, read_table(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (little-endian 32-bit) of every document, with their number and digests."""
+    ship_package(spark)
+    return encode_corpus(docs, byte_bpe_path())
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("ngram_join", near_duplicates),
+    ("decontamination", decontamination),
+    ("bpe", encoding),
+]
+
+#: SQL can express neither the network nor the tokenizer; tests hold the result against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -113,7 +113,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 7: language ID ---------------------------------------------------------------------------------------------
 
-def _fold(parts: int):
+def fold(parts: int):
     """crc32 of doc_id as text, modulo ``parts``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
@@ -123,8 +123,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.language_id import fit, identify
 
     docs = read_table(spark, sf_dir, "documents")
-    model = fit(docs, _fold(3) != 1)
-    return (identify(docs, model).withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+    model = fit(docs, fold(3) != 1)
+    return (identify(docs, model).withColumn("held_out", F.coalesce(fold(3) == 1, F.lit(False)))
             .select("doc_id", "held_out", "lang_pred", "score", "ambiguous"))
 
 
@@ -135,9 +135,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.toxicity import THRESHOLD, fit, score_texts
 
     docs = read_table(spark, sf_dir, "documents")
-    model = fit(docs, read_table(spark, sf_dir, "labels"), _fold(4) != 2)
+    model = fit(docs, read_table(spark, sf_dir, "labels"), fold(4) != 2)
     return (score_texts(docs.select("doc_id", "text"), model)
-            .select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score",
+            .select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
@@ -177,3 +177,24 @@ def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.embedding_neardup import link_embeddings
 
     return link_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+# --- 8: n-gram Jaccard join -------------------------------------------------------------------------------------
+
+@query("op8_ngram_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS t FROM w),
+n AS (SELECT doc_id, len(t) AS n FROM s),
+tok AS (SELECT doc_id, unnest(t) AS token FROM s),
+links AS MATERIALIZED (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM tok x JOIN tok y USING (token)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = n.doc_id
+""")
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.ngram_join import link_documents
+
+    return link_documents(read_table(spark, sf_dir, "documents"))
