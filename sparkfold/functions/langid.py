@@ -68,13 +68,15 @@ def _score(fd: DataFrame, profiles: DataFrame, docs: DataFrame, id_col: str, tex
     norms = profiles.groupBy("lang").agg(F.sum(F.col("f") * F.col("f")).alias("norm"))
     # a single scalar pair: the fallback candidate for documents that share no trigram
     fallback = norms.orderBy("norm", "lang").first()
+    if fallback is None:                        # no profile: no guess
+        return docs.select(id_col, F.lit(None).cast("string").alias(out))
     dots = (fd.join(profiles, "tri").groupBy(id_col, "lang").agg(F.sum(F.col("fd") * F.col("f")).alias("dot"))
             .join(norms, "lang"))
     score = F.round(F.col("norm") - 2 * F.col("dot"), SCORE_DIGITS)
     best = dots.groupBy(id_col).agg(F.min(F.struct(score.alias("s"), F.col("lang").alias("l"))).alias("b"))
     fb = F.struct(F.round(F.lit(fallback["norm"]), SCORE_DIGITS).alias("s"), F.lit(fallback["lang"]).alias("l"))
     # only the two script flags travel to the final join, never the text
-    hira, hangul = script_flags(F.col(text))
+    hira, hangul = script_flags(clean_social_text(F.col(text)))
     res = docs.select(id_col, hira.alias("_hira"), hangul.alias("_hangul")).join(best, id_col, "left")
     choice = F.when(F.col("b").isNull() | (fb < F.col("b")), fb).otherwise(F.col("b"))
     res = res.withColumn("_c", choice)

@@ -1,14 +1,13 @@
 """Language code -> English display name.
 
-A code that is not in the table is returned unchanged, matching how a JVM
-locale reports an unknown language.  The table is joined with a broadcast
-hint: its size is fixed (the ISO 639-1 code list), so the hint is safe at any
-data scale.
+A code that is in no table is returned in lower case, as a JVM locale reports
+an unknown language.  The lookup is a literal map inside the expression: no
+join at any data scale.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ISO 639-1 two-letter codes with their English (CLDR) names.
@@ -52,18 +51,28 @@ ISO_639_1_NAMES = {
     "yo": "Yoruba", "za": "Zhuang", "zh": "Chinese", "zu": "Zulu",
 }
 
-
-def language_table(spark: SparkSession) -> DataFrame:
-    rows = sorted(ISO_639_1_NAMES.items())
-    return spark.createDataFrame(rows, "code string, name string")
+# Three-letter codes that public wiki projects use, and withdrawn two-letter codes, with their
+# English (CLDR) names.
+FURTHER_NAMES = {
+    "ace": "Acehnese", "ang": "Old English", "arc": "Aramaic", "arz": "Egyptian Arabic", "ast": "Asturian",
+    "ban": "Balinese", "bar": "Bavarian", "bpy": "Bishnupriya", "bug": "Buginese", "ceb": "Cebuano",
+    "ckb": "Central Kurdish", "dsb": "Lower Sorbian", "fil": "Filipino", "frr": "Northern Frisian", "gan": "Gan Chinese",
+    "got": "Gothic", "hak": "Hakka Chinese", "haw": "Hawaiian", "hsb": "Upper Sorbian", "ilo": "Iloko",
+    "in": "Indonesian", "iw": "Hebrew", "jbo": "Lojban", "ji": "Yiddish", "kab": "Kabyle",
+    "lmo": "Lombard", "lzh": "Literary Chinese", "min": "Minangkabau", "myv": "Erzya", "mzn": "Mazanderani",
+    "nan": "Min Nan Chinese", "nap": "Neapolitan", "nds": "Low German", "new": "Newari", "pam": "Pampanga",
+    "pap": "Papiamento", "pms": "Piedmontese", "pnb": "Western Punjabi", "scn": "Sicilian", "sco": "Scots",
+    "sh": "Serbo-Croatian", "szl": "Silesian", "tet": "Tetum", "tpi": "Tok Pisin", "udm": "Udmurt",
+    "vec": "Venetian", "war": "Waray", "wuu": "Wu Chinese", "xal": "Kalmyk", "yue": "Cantonese",
+}
 
 
 def language_name_expr(code: Column) -> Column:
-    """Pure-expression variant: a literal map lookup, no join at all."""
+    """A literal map lookup, no join at all."""
     flat = []
-    for k, v in sorted(ISO_639_1_NAMES.items()):
+    for k, v in sorted((ISO_639_1_NAMES | FURTHER_NAMES).items()):
         flat += [F.lit(k), F.lit(v)]
-    return F.coalesce(F.try_element_at(F.create_map(*flat), F.lower(code)), code)
+    return F.coalesce(F.try_element_at(F.create_map(*flat), F.lower(code)), F.lower(code))
 
 
 def with_language_name(df: DataFrame, code_col: str, out_col: str = "language") -> DataFrame:

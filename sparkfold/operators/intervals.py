@@ -98,7 +98,7 @@ def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", e
     pre = (df.select(key.cast("string").alias("key"), (F.col(start) - pad).cast("long").alias("s"),
                      F.col(chrom).alias("_name"), F.col(end).cast("long").alias("e"))
            .groupBy("key", "s")
-           .agg(F.max("e").alias("e"), F.count(F.lit(1)).alias("n"), F.min("_name").alias("_name")))
+           .agg(F.max("e").alias("e"), F.count(F.lit(1)).alias("n"), F.min("_name").alias("_name")))     # equal starts: smallest spelling
     # without an explicit count AQE may coalesce neighbouring ranges (still in order)
     ranged = (pre.repartitionByRange(num_partitions, "key", "s") if num_partitions
               else pre.repartitionByRange("key", "s"))
@@ -110,20 +110,19 @@ def merge_intervals(df: DataFrame, chrom: str = "chrom", start: str = "start", e
     summ = local.groupBy("pid", "key").agg(F.max("max_e").alias("pmax"))
     w = Window.partitionBy("key").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select("pid", "key", F.max("pmax").over(w).alias("carry_in"))
-    tagged = local.join(F.broadcast(summ), ["pid", "key"]).withColumn(
+    tagged = local.join(summ, ["pid", "key"]).withColumn(
         "cont", F.col("carry_in").isNotNull() & (F.col("first_s") <= F.col("carry_in") + thr))
     last_new = tagged.where(~F.col("cont")).groupBy("pid", "key").agg(F.max("first_s").alias("lns"))
     starts = (summ.select("pid", "key").join(last_new, ["pid", "key"], "left")
               .select("pid", "key", F.max("lns").over(w).alias("inherit")))
-    pieces = tagged.join(F.broadcast(starts), ["pid", "key"]).withColumn(
+    pieces = tagged.join(starts, ["pid", "key"]).withColumn(
         "island", F.when(F.col("cont"), F.col("inherit")).otherwise(F.col("first_s")))
     isl = pieces.groupBy("key", "island").agg(F.max("max_e").alias(end), F.sum("n").alias("n"))
     out_start = F.col("island")
     if clamp_start is not None:
         out_start = F.greatest(out_start, F.lit(clamp_start))
-    if case_insensitive:    # report one spelling per key (one row per chromosome)
-        names = pre.groupBy("key").agg(F.min("_name").alias("name"))
-        isl = isl.join(names, "key")
+    if case_insensitive:    # the spelling of the island's first interval
+        isl = isl.join(pre.select("key", F.col("s").alias("island"), F.col("_name").alias("name")), ["key", "island"])
     else:
         isl = isl.withColumn("name", F.col("key"))
     return isl.select(F.col("name").alias(chrom), out_start.alias(start), end, "n")

@@ -1,11 +1,7 @@
 """Balanced placement and ordering of keyed records.
 
 ``greedy_groups``: largest key first onto the least-loaded of ``n`` groups
-(ties: lowest group; equal weights: smaller key first).  The per-key weight
-table is small by construction (one row per key) and its size is checked
-before it is folded with one SQL ``aggregate`` over the sorted key array, so
-the greedy loop runs inside Spark; the key -> group map is then broadcast
-(size proven by the same check).
+(ties: lowest group; equal weights: smaller key first), for any number of keys.
 
 ``place_and_sort``: records ordered by (group, sort keys).  The default is a
 range partitioning on (group, sort keys): a hot group spans several
@@ -15,6 +11,8 @@ group (``repartitionById``) for tools that need a whole group in one task.
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,33 +24,31 @@ def key_counts(df: DataFrame, key: str, weight_col: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(weight_col)).orderBy(F.desc(weight_col), key)
 
 
-def greedy_groups(counts: DataFrame, key: str, weight: str, n: int, group_col: str = "grp",
-                  max_keys: int = 1_000_000) -> DataFrame:
-    """-> (key, weight, group) for every key of ``counts``."""
-    n_keys = counts.count()
-    if n_keys > max_keys:
-        raise ValueError(f"{n_keys} keys exceed max_keys={max_keys}; aggregate to coarser keys first")
+def greedy_groups(counts: DataFrame, key: str, weight: str, n: int, group_col: str = "grp") -> DataFrame:
+    """-> (key, weight, group) for every key of ``counts``.
+
+    The rule looks at one key after the other, so one task streams the sorted
+    (key, weight) rows past a heap of ``n`` loads; its memory does not grow
+    with the number of keys, and each key costs log n steps."""
     ktype = counts.schema[key].dataType.simpleString()
-    wtype = "bigint"
-    items = F.array_sort(F.collect_list(F.struct((-F.col(weight).cast(wtype)).alias("nw"),
-                                                 F.col(key).alias("k"),
-                                                 F.col(weight).cast(wtype).alias("w"))))
-    fold = f"""aggregate(items,
-        named_struct('loads', array_repeat(cast(0 as bigint), {int(n)}),
-                     'out', cast(array() as array<struct<k:{ktype},w:{wtype},g:int>>)),
-        (acc, x) -> named_struct(
-            'loads', transform(acc.loads, (l, i) ->
-                 IF(i = array_position(acc.loads, array_min(acc.loads)) - 1, l + x.w, l)),
-            'out', concat(acc.out, array(named_struct('k', x.k, 'w', x.w,
-                 'g', cast(array_position(acc.loads, array_min(acc.loads)) - 1 as int))))),
-        acc -> acc.out)"""
-    return (counts.agg(items.alias("items")).select(F.explode(F.expr(fold)).alias("o"))
-            .select(F.col("o.k").alias(key), F.col("o.w").alias(weight), F.col("o.g").alias(group_col)))
+    rows = counts.select(F.col(key).alias("k"), F.col(weight).cast("bigint").alias("w")).orderBy(F.desc("w"), "k").coalesce(1)
+
+    def assign(batches):
+        loads = [(0, g) for g in range(n)]
+        for pdf in batches:
+            groups = []
+            for w in pdf["w"].tolist():
+                load, g = loads[0]
+                heapq.heapreplace(loads, (load + w, g))
+                groups.append(g)
+            yield pdf.assign(g=groups)
+    return (rows.mapInPandas(assign, f"k {ktype}, w bigint, g int")
+            .select(F.col("k").alias(key), F.col("w").alias(weight), F.col("g").alias(group_col)))
 
 
 def assign_groups(df: DataFrame, groups: DataFrame, key: str, group_col: str = "grp") -> DataFrame:
-    """Key -> group lookup; ``groups`` went through the key-count check."""
-    return df.join(F.broadcast(groups.select(key, group_col)), key)
+    """Key -> group lookup (AQE broadcasts the map when it is measured to be small)."""
+    return df.join(groups.select(key, group_col), key)
 
 
 def place_and_sort(df: DataFrame, group_col: str, sort_cols: list, exact: bool = False,

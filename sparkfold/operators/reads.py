@@ -90,12 +90,12 @@ def with_read_groups(reads: DataFrame, tags: dict[str, str]) -> DataFrame:
 
 
 def clip_lengths(cigar: Column) -> tuple[Column, Column]:
-    """Leading / trailing soft-clip lengths (0 when absent) without a regex on
-    the common path: the text before the first ``S`` is a number only when
-    the CIGAR starts with a soft clip."""
-    lead = F.coalesce(F.substring_index(cigar, "S", 1).try_cast("int"), F.lit(0))
-    trail = F.when(cigar.endswith("S"),
-                   F.coalesce(F.regexp_extract(cigar, r"(\d+)S$", 1).try_cast("int"), F.lit(0))).otherwise(0)
+    """Leading / trailing clipped bases, hard and soft (0 when absent)."""
+    def run(pattern: str) -> Column:
+        return F.coalesce(F.regexp_extract(cigar, pattern, 1).try_cast("int"), F.lit(0))
+    clipped = cigar.rlike("[HS]")                    # most reads have none
+    lead = F.when(clipped, run(r"^(\d+)H") + run(r"^(?:\d+H)?(\d+)S")).otherwise(0)
+    trail = F.when(clipped, run(r"(\d+)H$") + run(r"(\d+)S(?:\d+H)?$")).otherwise(0)
     return lead, trail
 
 
@@ -106,8 +106,8 @@ def five_prime(pos: Column, aln_end: Column, cigar: Column, reverse: Column) ->
 
 def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     """Among mapped reads with the same (rname, 5' position, strand), all
-    but the one with the highest quality sum (then smallest name) are
-    duplicates.  Unmapped reads are never duplicates.
+    but the one with the highest quality sum (then smallest name, flag,
+    CIGAR, sequence and qualities) are duplicates.  Unmapped reads are never duplicates.
 
     Plan: one aggregate per key keeps the best (quality sum, name) pair --
     with a map-side partial stage, so a hot position is pre-combined on every
@@ -117,7 +117,7 @@ def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
          .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
          .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
          .withColumn("qsum", quality_sum(F.col("qual"))))
-    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"))
+    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"), "flag", "cigar", "seq", "qual")
     keys = ["rname", "pos5", "is_reverse"]
     best = r.where("mapped").groupBy(*keys).agg(F.min(rank_key).alias("_best"))
     out = r.join(best, keys, "left")

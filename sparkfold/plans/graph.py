@@ -171,12 +171,11 @@ def cast_summary(spark: SparkSession, sf_dir: str):
 
 # ---- co-occurrence graph straight from the tables -------------------------
 
-_MEMBERS_SQL = "m AS (SELECT DISTINCT l_orderkey AS g, l_partkey AS v FROM lineitem WHERE l_quantity >= 40)"
+_MEMBERS_SQL = "m AS (SELECT DISTINCT l_orderkey AS g, l_partkey AS v FROM lineitem)"
 
 
 def graph_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 40)
-    return incidence(li, "l_orderkey", "l_partkey")
+    return incidence(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
 
 
 def graph_vertices(spark: SparkSession, sf_dir: str, members: DataFrame) -> DataFrame:
@@ -222,12 +221,13 @@ def _bfs_sql(landmarks: str) -> str:
     return f"""
 WITH RECURSIVE {_MEMBERS_SQL},
 e AS (SELECT DISTINCT a.v AS src, b.v AS dst FROM m a JOIN m b ON a.g = b.g AND a.v <> b.v),
-bfs(landmark, v, d) AS (
+bfs(landmark, v, d) USING KEY (landmark, v) AS (
   SELECT p_partkey, p_partkey, 0 FROM part
   WHERE p_partkey IN ({landmarks}) AND p_partkey IN (SELECT v FROM m)
   UNION
-  SELECT bfs.landmark, e.dst, bfs.d + 1 FROM bfs JOIN e ON e.src = bfs.v WHERE bfs.d < 30),
-dist AS (SELECT landmark, v, min(d) AS dist FROM bfs GROUP BY landmark, v)
+  SELECT DISTINCT bfs.landmark, e.dst, bfs.d + 1 FROM bfs JOIN e ON e.src = bfs.v
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.landmark = bfs.landmark AND r.v = e.dst)),
+dist AS (SELECT landmark, v, d AS dist FROM bfs)
 """
 
 
@@ -301,10 +301,10 @@ def separation_totals_query(spark: SparkSession, sf_dir: str):
 
 @query("separation_listing", oracle=_bfs_sql("0") + """
 , named AS (SELECT p.p_name || ', Désiré ' || p.p_partkey AS name, p.p_partkey % 2 = 0 AS is_male, p.p_partkey
-            FROM dist JOIN part p ON p.p_partkey = dist.v WHERE dist = 6)
+            FROM dist JOIN part p ON p.p_partkey = dist.v WHERE dist = (SELECT max(dist) FROM dist))
 SELECT is_male, row_number() OVER (PARTITION BY is_male ORDER BY name, p_partkey) AS rank, name FROM named
 """)
 def separation_listing_query(spark: SparkSession, sf_dir: str):
-    """Numbered lists of the vertices at distance 6, per flag."""
+    """Numbered lists of the vertices farthest from the landmark, per flag."""
     d, _ = _distances(spark, sf_dir, [0])
-    return separation_listing(d, 6)
+    return separation_listing(d, d.agg(F.max("dist")).first()[0])

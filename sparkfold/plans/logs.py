@@ -162,12 +162,9 @@ def clean_text(spark: SparkSession, sf_dir: str):
 
 
 _LANGID_ORACLE = r"""
-WITH d AS (SELECT doc_id, lang, text,
-                  ' ' || regexp_replace(
-                     regexp_replace(regexp_replace(regexp_replace(text, 'RT', ''), '@\p{L}+', '', 'g'),
-                                    'https?://\S+\s?', '', 'g'),
-                     '[\t\n\r ]+', ' ', 'g') || ' ' AS t
-           FROM documents),
+WITH c AS (SELECT doc_id, lang, regexp_replace(regexp_replace(regexp_replace(text, 'RT', ''), '@\p{L}+', '', 'g'),
+                                                'https?://\S+\s?', '', 'g') AS text FROM documents),
+d AS (SELECT doc_id, lang, text, ' ' || regexp_replace(text, '[\t\n\r ]+', ' ', 'g') || ' ' AS t FROM c),
 g AS (SELECT doc_id, lang, substr(t, i::INT, 3) AS tri FROM d, range(1, length(t) - 1) r(i) WHERE length(t) >= 3),
 pc AS (SELECT lang, tri, count(*) AS c FROM g GROUP BY lang, tri),
 pt AS (SELECT lang, sum(c) AS n FROM pc GROUP BY lang),

@@ -45,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sparkfold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -56,6 +58,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/sparkfold/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    """Whether a Hadoop-FS path exists; errors other than absence are raised."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
+
+
+def is_directory(spark: SparkSession, uri: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory())
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme so Python code can open a local-mode path."""
     if uri.startswith("file://"):
@@ -65,12 +78,7 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def ensure_dir(uri: str) -> str:
-    os.makedirs(local_path(uri), exist_ok=True)
-    return uri
-
-
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -79,7 +87,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     if "sparkfold" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):

@@ -55,7 +55,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 def chrom_number(chrom: Column) -> Column:
     """``chrN`` -> N, chrX -> 23, chrY -> 24, anything else -> null."""
-    raw = F.substring(chrom, 4, 1 << 20)
+    raw = F.substr(chrom, F.lit(4))
     return (F.when(raw == "X", F.lit(23)).when(raw == "Y", F.lit(24)).otherwise(raw.try_cast("int")))
 
 
@@ -72,11 +72,6 @@ def parse_vcf(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, Da
     return p.where(ok), p.where(~ok)
 
 
-def sorted_variants(variants: DataFrame) -> DataFrame:
-    """Global (chr_num, pos) order; range partitioning, no single task."""
-    return variants.orderBy("chr_num", "pos", "line")
-
-
 def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """VCF text files -> (accepted, rejected) variant rows."""
     return parse_vcf(spark.read.text(path))
@@ -84,20 +79,17 @@ def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 # ---- sequence dictionary ----------------------------------------------------
 
-def _after_colon(c: Column) -> Column:
-    """Text after the first ``:`` (the whole text when there is none)."""
-    i = F.instr(c, ":")
-    return F.when(i > 0, F.substring(c, i + 1, 1 << 20)).otherwise(c)
+def _tag(line: Column, name: str) -> Column:
+    """The value of a ``NAME:value`` field of a tab-separated header line, wherever it stands."""
+    return F.regexp_extract(line, rf"\t{name}:([^\t]*)", 1)
 
 
 def read_sequence_dict(spark: SparkSession, path: str) -> DataFrame:
-    """Skip the first line of every file; ``SN:`` name and ``LN:`` length
-    (unparsable length -> 0); ``idx`` = 0-based position in (file, line) order."""
-    lines = with_file_ordinal(spark.read.text(path)).where(F.col("line_no") > 0)
-    f = F.split(F.col("value"), r"\s+")
-    parsed = lines.select("file", "line_no", _after_colon(F.get(f, 1)).alias("name"),
-                          F.coalesce(_after_colon(F.get(f, 2)).try_cast("int"), F.lit(0)).cast("bigint")
-                          .alias("length"))
+    """The ``@SQ`` lines, by tag: ``SN`` name and ``LN`` length (unparsable
+    length -> 0); ``idx`` = 0-based position in (file, line) order."""
+    lines = with_file_ordinal(spark.read.text(path)).where(F.col("value").startswith("@SQ\t"))
+    parsed = lines.select("file", "line_no", _tag(F.col("value"), "SN").alias("name"),
+                          F.coalesce(_tag(F.col("value"), "LN").try_cast("bigint"), F.lit(0)).alias("length"))
     return with_dense_index(parsed, ["file", "line_no"], "idx").select(F.col("idx").cast("int"), "name", "length")
 
 

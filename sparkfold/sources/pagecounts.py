@@ -4,8 +4,9 @@ Line layout: ``<project> <title> <views> [ignored...]``; the language is the
 project text up to its first dot, so ``en``, ``en.m`` and ``en.b`` merge.
 Rows whose title equals the language code are dropped.
 
-``mode="permissive"`` drops short / non-numeric lines; ``mode="failfast"``
-raises on them (the behaviour of a strict parser).
+``mode="permissive"`` sets short / non-numeric lines aside (``rejected_pagecounts``
+gives them back, to be counted or kept); ``mode="failfast"`` raises on them (the
+behaviour of a strict parser).
 """
 
 from __future__ import annotations
@@ -35,6 +36,13 @@ def parse_pagecounts(lines: DataFrame, mode: str = "permissive", value_col: str
     return parsed.where(F.col("language_code") != F.col("page_title"))
 
 
+def rejected_pagecounts(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The lines that the permissive parser leaves out as malformed, whole."""
+    parts = F.split(F.col(value_col), " ")
+    bad = F.get(parts, 1).isNull() | F.get(parts, 2).try_cast("bigint").isNull()
+    return lines.where(bad)
+
+
 def read_pagecounts(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
     """Read page-count text files (any Hadoop-FS path) and parse them."""
     return parse_pagecounts(spark.read.text(path), mode=mode)

@@ -26,9 +26,20 @@ def _string_schema() -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in LOG_COLUMNS])
 
 
+def _raw_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.options(**_CSV_OPTS).schema(_string_schema()).csv(path)
+
+
+def rejected_log_rows(spark: SparkSession, path: str) -> DataFrame:
+    """S3: the rows that the permissive reader leaves out, all columns as text."""
+    bad = [F.col(c).try_cast("bigint").isNull() for c in ("IDOfTweet", "MaxRetweetCount", "MinRetweetCount")]
+    return _raw_log(spark, path).where(bad[0] | bad[1] | bad[2])
+
+
 def read_retweet_log(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
-    """Retweet-log CSV -> typed rows; ``permissive`` drops malformed rows, ``failfast`` raises."""
-    raw = spark.read.options(**_CSV_OPTS).schema(_string_schema()).csv(path)
+    """Retweet-log CSV -> typed rows; ``permissive`` sets malformed rows aside
+    (``rejected_log_rows``), ``failfast`` raises."""
+    raw = _raw_log(spark, path)
     typed = raw.select(
         F.col("Language").alias("language"),
         F.col("`Language-code`").alias("language_code"),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.functions.langnames import with_language_name
 from sparkfold.functions.text import strip_newlines
-from sparkfold.session import scratch_path
+from sparkfold.session import is_directory, path_exists, scratch_path
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -65,7 +65,7 @@ def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "
     rows = batch.join(per_id, [*wk, id_col])
     totals = rows.groupBy(*wk, group).agg(F.sum(F.col(count_col) * F.col("n")).alias(total_col))
     return (rows.join(totals, [*wk, group])
-            .orderBy(F.desc(total_col), F.desc(count_col)))
+            .orderBy(*wk, F.desc(total_col), F.desc(count_col)))
 
 
 def write_report_batch(path: str, id_col: str, group: str, carry: str,
@@ -82,20 +82,23 @@ def write_report_batch(path: str, id_col: str, group: str, carry: str,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if warm_up:
-            try:
-                first = spark.read.parquet(marker)
-            except Exception:  # noqa: BLE001 - no marker yet
-                first = batch.agg(F.min("first_ts").alias("t0"))
-                if first.first()["t0"] is None:
-                    return
-                first.write.mode("overwrite").parquet(marker)
-                first = spark.read.parquet(marker)
-            t0 = first.first()["t0"]
-            batch = batch.where(F.col("window_start") >= F.lit(t0))
-        out = finish_windows(batch.drop("first_ts"), id_col, group)
-        out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
-        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch = batch.persist()                 # the stateful stage runs once for all uses below
+        try:
+            rows = batch
+            if warm_up:
+                # a marker counts once it is complete; any other failure to read it is an error
+                if not path_exists(spark, f"{marker}/_SUCCESS"):
+                    earliest = batch.agg(F.min("first_ts").alias("t0"))
+                    if earliest.first()["t0"] is not None:
+                        earliest.write.mode("overwrite").parquet(marker)
+                if path_exists(spark, f"{marker}/_SUCCESS"):
+                    t0 = spark.read.schema("t0 timestamp_ntz").parquet(marker).first()["t0"]
+                    rows = batch.where(F.col("window_start") >= F.lit(t0))
+            out = finish_windows(rows.drop("first_ts"), id_col, group)
+            out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
+            out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return run
 
@@ -129,11 +132,20 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    if not path_exists(spark, out):             # no input, no batch: an empty result of the same columns
+        empty = spark.createDataFrame([], stream.schema)
+        if foreach_batch is None:
+            return empty
+        foreach_batch(out)(empty, 0)
     # "_"-prefixed folders (the warm-up marker) are skipped by the file listing
     return spark.read.parquet(out)
 
 
 def read_stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream the files of one table (``<name>.parquet``) of a folder."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """Stream one table (``<name>.parquet``, a file or a directory of part files) of a folder."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if is_directory(spark, path):
+        return stream.parquet(path)
+    # a file stream watches a folder: of a single file, its folder and nothing but the file
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(folder)

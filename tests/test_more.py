@@ -50,14 +50,69 @@ def test_retweet_log_round_trip_and_failfast(spark, tmp_path):
 
 
 def test_size_checks(spark):
-    c = spark.createDataFrame([(i, 1) for i in range(5)], "k int, n long")
-    with pytest.raises(ValueError):
-        greedy_groups(c, "k", "n", 2, max_keys=3)
     big = spark.range(0, 100)
     assert small(big, max_rows=10) is big          # over the bound: no broadcast hint
     assert small(big, max_rows=1000) is not big
 
 
+def test_greedy_groups_many_keys(spark):
+    """Any number of keys, and the rule itself: heaviest first onto the least loaded group."""
+    rng = random.Random(2)
+    rows = [(i, rng.randint(0, 50)) for i in range(100_000)]
+    got = {r.k: r.grp for r in greedy_groups(spark.createDataFrame(rows, "k int, n long"), "k", "n", 7).collect()}
+    loads = [0] * 7
+    for k, n in sorted(rows, key=lambda x: (-x[1], x[0])):
+        g = loads.index(min(loads))
+        assert got[k] == g
+        loads[g] += n
+
+
+def test_stream_of_a_directory_table(spark, tmp_path):
+    from sparkfold.streaming.windows import read_stream_table, run_available_now, start_live, window_counts
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    whole = run_available_now(spark, read_stream_table(spark, str(tmp_path), "events"), "dir-stream")
+    assert whole.count() == events.count()
+    events.limit(0).write.parquet(str(tmp_path / "none.parquet"))
+    empty = run_available_now(spark, read_stream_table(spark, str(tmp_path), "none"), "empty-stream")
+    assert empty.count() == 0 and empty.columns == events.columns
+    counts = window_counts(read_stream_table(spark, str(tmp_path), "events"), "ts", "event_type", "value", "1 hour", "30 minutes", "1 hour")
+    q = start_live(counts, str(tmp_path / "live"), str(tmp_path / "live-checkpoint"), every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(str(tmp_path / "live")).count() > 0
+
+
+def test_names_and_script_override(spark):
+    from sparkfold.functions.langid import identify_language
+    from sparkfold.functions.langnames import with_language_name
+    rows = [("ceb", "Cebuano"), ("iw", "Hebrew"), ("sh", "Serbo-Croatian"), ("EN", "English"), ("ZZ", "zz"), (None, None)]
+    got = with_language_name(spark.createDataFrame(rows, "code string, want string"), "code").collect()
+    assert all(r.language == r.want for r in got)
+    docs = spark.createDataFrame([(1, "@ひらがな labas"), (2, "labas ひらがな"), (3, "labas 한국"), (4, "")], "doc_id long, text string")
+    profiles = spark.createDataFrame([("lt", "lab", 0.5), ("lt", "aba", 0.5)], "lang string, tri string, f double")
+    assert {r.doc_id: r.predicted for r in identify_language(docs, profiles).collect()} == {1: "lt", 2: "ja", 3: "ko", 4: "lt"}
+    assert {r.predicted for r in identify_language(docs, profiles.limit(0)).collect()} == {None}
+
+
+def test_dictionary_by_tag_and_clips(spark, tmp_path):
+    from sparkfold.operators.reads import clip_lengths
+    from sparkfold.sources.genomics import read_sequence_dict
+    (tmp_path / "d.dict").write_text("@HD\tVN:1.0\n@SQ\tAS:hg19\tLN:500\tSN:chr1\n@PG\tID:bwa\n@SQ\tSN:chr2\tLN:x\n")
+    assert [tuple(r) for r in read_sequence_dict(spark, str(tmp_path)).orderBy("idx").collect()] == [(0, "chr1", 500), (1, "chr2", 0)]
+    rows = [("5H2S10M", 7, 0), ("10M2S3H", 0, 5), ("10M", 0, 0), ("3S4M1S", 3, 1), ("2H8M", 2, 0), ("*", 0, 0)]
+    lead, trail = clip_lengths(F.col("c"))
+    got = spark.createDataFrame(rows, "c string, a int, b int").select("a", "b", lead.alias("x"), trail.alias("y")).collect()
+    assert all((r.a, r.b) == (r.x, r.y) for r in got)
+
+
+def test_islands_keep_their_own_spelling(spark):
+    from sparkfold.operators.intervals import merge_intervals
+    rows = [("chr1", 1, 10), ("CHR1", 5, 20), ("CHR1", 1000, 1010), ("Chr1", 1005, 1020)]
+    got = merge_intervals(spark.createDataFrame(rows, "chrom string, start long, end long"), case_insensitive=True).orderBy("start").collect()
+    assert [(r.chrom, r.start, r.end) for r in got] == [("chr1", 1, 20), ("CHR1", 1000, 1020)]
+
+
 def test_empty_inputs(spark):
     e = spark.createDataFrame([], "chrom string, start long, end long")
     assert merge_intervals(e).count() == 0
