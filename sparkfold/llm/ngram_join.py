@@ -7,8 +7,8 @@ Two documents link when the Jaccard similarity of their sets of word n-grams
    min-hash keys, and a small sketch of token frequencies.  Equal sets are one
    representative.
 2. *Groups*: representatives that share a min-hash key meet in blocks of at most
-   ``BLOCK``; those similar to a block's leader join it.  Four rounds, one for
-   each key, only leaders going on, turn families of any size into few
+   ``BLOCK``, where connected ones follow their smallest, the leader.  Rounds, one
+   for each key, only leaders going on, turn families of any size into few
    connected sets; each is cut into groups of at most ``BLOCK`` members.
 3. *Token-group matrix*: a document's rarest tokens (see below) are its
    signature.  Sorted by token, they form the matrix's rows: which groups hold
@@ -20,10 +20,12 @@ Two documents link when the Jaccard similarity of their sets of word n-grams
    exactly, until one links.  Sets found to be linked are one component.
 
 Signatures.  Tokens are ordered by (frequency class, hash); frequent ones come
-last.  If x and y (x the smaller) link, they share at least ``a`` tokens with
-a >= 6/7 |x| and a >= 3/4 |y| for 0.75, so their first ``l`` common tokens stand
-among the first |x| - 6/7 |x| + l of x and the first |y| - 3/4 |y| + l of y.
-``l = need(|x|)`` makes the bound strong.  No link is lost, in any order.
+last.  If x and y link, they share at least a = 3/7 (|x| + |y|) tokens for 0.75,
+so their first ``l`` common tokens stand among the first |x| - a + l of x and
+the first |y| - a + l of y (``reach``); l = need of the smaller makes the bound
+strong.  A signature is as long as the farthest reach, that for the smallest
+set that can link; a token counts for a pair within the pair's own reach only.
+No link is lost, in any order.
 
 Scale: what moves for all documents is their keys and signatures (about a
 third of the tokens, 8 bytes each); texts move only for documents in a block
@@ -97,11 +99,19 @@ def need(n):
     return 1 + n // 16
 
 
-def signature_lengths(n: int, num: int, den: int) -> tuple[int, int]:
-    """(as the smaller, as the larger) of a pair: how many of the first tokens are looked at."""
-    small = n - -(-2 * num * n // (num + den)) + need(n)
-    large = n - -(-num * n // den) + need(n)
-    return min(small, n), min(large, n)
+def common(x, y, num: int, den: int):
+    """Tokens that linked sets of these sizes share at least."""
+    return -(-num * (x + y) // (num + den))
+
+
+def reach(x, y, num: int, den: int):
+    """How far into a set of size x its first ``need`` tokens shared with a linked set of size y can stand."""
+    return x - common(x, y, num, den) + need(np.minimum(x, y))
+
+
+def signature_length(n: int, num: int, den: int) -> int:
+    """The farthest reach into a set of size n: that for the smallest set it can link with, or its own need."""
+    return min(n, n - -(-num * n // den) + need(n))
 
 
 def similar(a: int, b: int, both: int, num: int, den: int) -> bool:
@@ -168,8 +178,25 @@ def frequency_classes(described: DataFrame) -> np.ndarray:
 
 # --- groups -----------------------------------------------------------------------------------------------------
 
+def linked_rows(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """For every set of a block the number of the first one it is connected with (itself if none)."""
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    tokens, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    posting, first = owner[order], np.searchsorted(place[order], np.arange(len(tokens) + 1))
+    label = np.arange(len(sets))
+    for k, own in enumerate(np.split(place, np.cumsum(size)[:-1])):
+        count = first[own + 1] - first[own]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[own], count)
+        both = np.bincount(posting[at], minlength=len(sets))
+        near = np.flatnonzero((both > 0) & (den * both >= num * (size[k] + size - both)))
+        label[np.isin(label, label[near])] = label[near].min() if len(near) else label[k]
+    return label
+
+
 def join_leaders(n: int, num: int, den: int):
-    """Sorted batches of (k1, k2, doc, d1, text) -> (doc, leader) for the documents similar to a leader of their block."""
+    """Sorted batches of (k1, k2, doc, d1, text) -> (doc, leader): the smallest document of its block that it is connected with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_runs(batches, ["k1", "k2"], 512):
             ids, marks = group["doc"].to_numpy(), group["d1"].to_numpy()
@@ -178,23 +205,15 @@ def join_leaders(n: int, num: int, den: int):
             starts = run_starts(group, ["k1", "k2"])
             for s, e in zip(starts, np.append(starts[1:], len(ids))):
                 sets = token_sets(buf[borders[s]:borders[e]], borders[s:e + 1] - borders[s], n)
-                universe, place = np.unique(np.concatenate(sets), return_inverse=True)
-                places = np.split(place, np.cumsum([len(x) for x in sets])[:-1])
-                leaders: list[tuple[int, int, np.ndarray]] = []
-                for k in np.argsort(ids[s:e], kind="stable"):
-                    own, size = int(ids[s + k]), len(sets[k])
-                    if digest(sets[k])[0] != marks[s + k]:
-                        continue                          # another text with this id
-                    for head, other, held in leaders:
-                        if den * min(size, other) >= num * max(size, other) and similar(size, other, int(held[places[k]].sum()), num, den):
-                            if head != own:
-                                docs.append(own), heads.append(head)
-                            break
-                    else:
-                        held = np.zeros(len(universe), bool)
-                        held[places[k]] = True
-                        leaders.append((own, size, held))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(heads, pa.int64())], ["doc", "leader"])
+                own = [k for k in np.argsort(ids[s:e], kind="stable") if digest(sets[k])[0] == marks[s + k]]   # else another text with this id
+                if len(own) < 2:
+                    continue
+                label = linked_rows([sets[k] for k in own], num, den)
+                names = ids[s:e][own]
+                led = names != names[label]
+                docs.append(names[led]), heads.append(names[label][led])
+            if docs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(heads))], ["doc", "leader"])
     return run
 
 
@@ -220,7 +239,7 @@ def connected_sets(reps: DataFrame, texts: DataFrame, n: int, num: int, den: int
 # --- token-group matrix -----------------------------------------------------------------------------------------
 
 def signatures(n: int, num: int, den: int, classes):
-    """Batches of (doc, text) -> (token, doc, n, small): the document's first tokens; ``small``: also if it is the smaller of a pair."""
+    """Batches of (doc, text) -> (token, doc, n, rank): the document's first tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
         held: list[tuple] = []
@@ -229,17 +248,17 @@ def signatures(n: int, num: int, den: int, classes):
         def flush() -> pa.RecordBatch:
             arrays = [pa.array(np.concatenate([h[i] for h in held])) for i in range(4)]
             held.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["token", "doc", "n", "small"])
+            return pa.RecordBatch.from_arrays(arrays, ["token", "doc", "n", "rank"])
         for doc, tokens in _each_text(batches, n):
             if not len(tokens):
                 continue
             level = table[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
             if level.any():
                 tokens = tokens[np.argsort(level, kind="stable")]
-            small, large = signature_lengths(len(tokens), num, den)
-            held.append((tokens[:large].view(np.int64), np.full(large, doc, np.int64), np.full(large, len(tokens), np.int32),
-                         np.arange(large) < small))
-            rows += large
+            first = signature_length(len(tokens), num, den)
+            held.append((tokens[:first].view(np.int64), np.full(first, doc, np.int64), np.full(first, len(tokens), np.int32),
+                         np.arange(first, dtype=np.int32)))
+            rows += first
             if rows >= 1 << 17:
                 yield flush()
                 rows = 0
@@ -265,15 +284,16 @@ def candidates(num: int, den: int):
         for group in sorted_runs(batches, keys, 1 << 16):
             starts = run_starts(group, keys)
             doc, gid, comp = (group[c].to_numpy() for c in ("doc", "gid", "comp"))
-            size, small, side = group["n"].to_numpy().astype(np.int64), group["small"].to_numpy(), group["side"].to_numpy()
+            size, rank, side = (group[c].to_numpy().astype(np.int64) for c in ("n", "rank", "side"))
             out_doc, out_gid = [], []
             for s, e in zip(starts, np.append(starts[1:], group.num_rows)):
                 c = comp[s:e]
                 if e - s < 2 or (c == c[0]).all():
                     continue
-                m, sm, at = size[s:e], small[s:e], side[s:e]
-                fits = (c[:, None] < c[None, :]) & (den * m[:, None] >= num * m[None, :]) & (den * m[None, :] >= num * m[:, None])
-                fits &= np.where(m[:, None] < m[None, :], sm[:, None], np.where(m[:, None] > m[None, :], sm[None, :], sm[:, None] | sm[None, :]))
+                m, k, at = size[s:e], rank[s:e], side[s:e]
+                x, y = m[:, None], m[None, :]
+                fits = (c[:, None] < c[None, :]) & (den * x >= num * y) & (den * y >= num * x)
+                fits &= (k[:, None] < reach(x, y, num, den)) & (k[None, :] < reach(y, x, num, den))
                 if at.any() and not at.all():
                     fits &= at[:, None] != at[None, :]
                 i, j = np.nonzero(fits)
@@ -340,7 +360,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = label.groupBy("comp").agg(F.count("*").alias("size"))
     groups = settled(label.join(sizes, "comp").select(
         "doc", "d1", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK))).alias("gid")), "tgm-groups")
-    tokens = texts.mapInArrow(signatures(n, num, den, classes), "token long, doc long, n int, small boolean")
+    tokens = texts.mapInArrow(signatures(n, num, den, classes), "token long, doc long, n int, rank int")
     shared = settled(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(shared_rows, tokens.schema), "tgm-shared")
     matrix = settled(shared.join(groups.drop("d1"), "doc").distinct(), "tgm-matrix")
     spread = matrix.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"))
@@ -349,7 +369,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces = (matrix.join(spread, "token").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .select("token", (F.least(own, other) * F.col("chunks").cast("long") + F.greatest(own, other)).alias("piece"),
-                      (own > other).cast("int").alias("side"), "doc", "gid", "comp", "n", "small"))
+                      (own > other).cast("int").alias("side"), "doc", "gid", "comp", "n", "rank"))
     met = pieces.repartition("token", "piece").sortWithinPartitions("token", "piece").mapInArrow(candidates(num, den), "doc long, gid long")
     queries = (met.groupBy("doc", "gid").agg(F.count("*").alias("overlap")).join(label.select("doc", "n"), "doc")
                .where(F.col("overlap") >= 1 + F.floor(F.ceil(F.lit(num) * F.col("n") / F.lit(den)) / 16)).select("doc", "gid"))
