@@ -2,8 +2,10 @@
 
 Texts are canonicalised: numbers, units after a number and names (capitalised
 words inside a sentence) become typed placeholders, all else is lower-cased
-and stripped of punctuation.  Windows of ``window`` template words are hashed
-and joined.  For the matching windows the *slots*, what stands in a document
+and stripped of punctuation.  Windows of template words are hashed and joined;
+where one matches, the item is laid along the document, and the windows of
+``window`` words that are equal throughout cover the item's words.  For these
+the *slots*, what stands in a document
 and in the benchmark item where the template has a placeholder, are compared:
 if every slot is equal the passage is ``verbatim``; if each value of the item
 was replaced by one other value throughout, it is ``reworded`` (the question
@@ -12,15 +14,16 @@ with new parameters); slots that contradict each other count as a chance hit.
 A document holds an item if windows covering at least ``coverage`` of the
 item's words match along few alignments and the slots are consistent.
 
-Scale: the benchmark's windows are broadcast if proven to be few, else both
-sides shuffle by hash (128-bit equality is not needed: a hit is confirmed by
-coverage and slots).  Only hashes are exploded; texts are looked at again only
-for documents with a hit.
+Scale: every ``STRIDE``-th word of a document starts a hashed window, every
+word of an item does, so no full window is missed with a quarter of the rows.
+The benchmark's hashes are broadcast if proven to be few, else both sides
+shuffle by hash (a hit is only a hint; words decide).  Texts are looked at
+again only for documents with a hit.
 
 Cases.  Null or empty texts hold no window.  Items of fewer words than
-``window`` match as one window of their length against windows of that length.
-Windows with fewer than ``literals`` other words than placeholders are left
-out.  Repeated rows of documents or items give one result per pair of ids.
+``window`` are one window of their length.  Windows with fewer than
+``literals`` other words than placeholders do not count, and a hash of
+placeholders alone is no hint.  Repeated rows of documents or items give one result per pair of ids.
 Rows with a null id take no part.  Further columns are ignored by
 ``find_leaks`` and pass through ``drop_leaks``.
 """
@@ -32,95 +35,121 @@ from pyspark.sql import functions as F
 
 from sparkfold.llm.common import bounded_broadcast, settled
 
-MARK = "\ue000"                 # set before names
+STRIDE = 4
+#: set before names; what stands for a name, a number and a unit (a text's own such characters are taken for these)
+MARK, NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"
 #: fixed list: units of measure and money, as they stand after a number
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "feet", "ft", "yards", "miles", "mg", "g", "kg", "tons", "lb", "lbs", "ounces",
          "ml", "l", "liters", "litres", "gallons", "seconds", "minutes", "hours", "days", "weeks", "months", "years", "percent",
          "dollars", "euros", "pounds", "cents", "degrees", "km2", "m2", "mph", "kmh", "kb", "mb", "gb"]
 
 
-def raw_words(text: Column) -> Column:
-    """Words separated by single blanks; names are marked, decimals kept together."""
-    named = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu})", MARK)
-    whole = F.regexp_replace(named, r"(?<=\p{N})[.,](?=\p{N})", "d")
-    return F.trim(F.regexp_replace(whole, rf"[^\p{{L}}\p{{N}}{MARK}]+", " "))
+def marked_text(text: Column) -> Column:
+    """Lower-cased text; names get a mark, decimals are kept together.
 
+    In all patterns the look-arounds follow a character that most positions do not have."""
+    named = F.regexp_replace(text, r" (?=\p{Lu})(?<=[\p{L}\p{N},;:] )", f" {MARK}")
+    return F.lower(F.when(named.rlike(r"[.,]\p{N}"), F.regexp_replace(named, r"[.,](?=\p{N})(?<=\p{N}[.,])", "d")).otherwise(named))
 
-def template(raw: Column) -> Column:
-    """The same words with placeholders; one word for each of ``raw``."""
-    t = F.lower(F.regexp_replace(raw, rf"{MARK}\S+", "#NAME"))
-    t = F.regexp_replace(t, r"(?<!\S)\p{N}\S*", "#num")
-    return F.regexp_replace(t, rf"(?<=#num )(?:{'|'.join(UNITS)})(?!\S)", "#unit")
 
+def template_text(marked: Column) -> Column:
+    """The same text with one character for every name, number and unit."""
+    names = F.when(F.contains(marked, F.lit(MARK)), F.regexp_replace(marked, rf"{MARK}[\p{{L}}\p{{N}}]++", NAME)).otherwise(marked)
+    numbers = F.regexp_replace(names, rf"\p{{N}}(?<![\p{{L}}\p{{N}}{MARK}].)[\p{{L}}\p{{N}}]*+", NUMBER)
+    units = F.regexp_replace(numbers, rf"{NUMBER}([^\p{{L}}\p{{N}}{MARK}-{UNIT}]+)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])",
+                             f"{NUMBER}$1{UNIT}")
+    return F.when(names.rlike(r"\p{N}"), units).otherwise(names)
 
-def _words(text: Column) -> Column:
-    return F.when(text != "", F.split(text, " "))
 
+def split_words(text: Column) -> Column:
+    return F.array_remove(F.split(text, rf"[^\p{{L}}\p{{N}}{MARK}-{UNIT}]+"), "")
 
-def _window_hashes(words: Column, window: Column) -> Column:
-    """Hash of every window; null if the text has fewer words."""
-    return F.when(F.size(words) >= window, F.transform(
-        F.sequence(F.lit(1), F.size(words) - window + 1), lambda i: F.xxhash64(F.slice(words, i, window))))
+
+def _hashes(words: Column, width: Column, stride: int) -> Column:
+    """(position, hash) of the runs of ``width`` words, ``stride`` apart; none if the text has fewer words."""
+    return F.when(F.size(words) >= width, F.transform(
+        F.sequence(F.lit(0), F.size(words) - width, F.lit(stride)),
+        lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(words, i + 1, width)).alias("hash"))))
+
+
+def _canonical(rows: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """``keep``, plain (the words) and words (the template); both have the same length."""
+    return (rows.select(*keep, marked_text(F.col(text_col)).alias("marked"))
+            .select(*keep, split_words(F.col("marked")).alias("plain"), split_words(template_text(F.col("marked"))).alias("words")))
 
 
 def _prepared(rows: DataFrame, id_col: str, text_col: str, new_id: str) -> DataFrame:
-    return (rows.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(id_col).alias(new_id), raw_words(F.col(text_col)).alias("raw"))
-            .select(new_id, "raw", _words(template(F.col("raw"))).alias("words")).where("words IS NOT NULL"))
+    own = rows.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias(new_id), F.col(text_col))
+    return _canonical(own, text_col, new_id)
+
+
+def _is_slot(word: Column) -> Column:
+    return word.isin(NAME, NUMBER, UNIT)
 
 
-def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, literals: int) -> DataFrame:
-    """(hash, item, item_pos, width, item_words, item_slots) of every usable window of every item."""
-    own = _prepared(items, id_col, text_col, "item").dropDuplicates(["item", "raw"])
-    width = F.least(F.size("words"), F.lit(window))
-    one = (own.select("item", F.size("words").alias("item_words"), F.split("raw", " ").alias("raw_words"), "words", width.alias("width"))
-           .select("*", F.posexplode(_window_hashes(F.col("words"), F.col("width"))).alias("item_pos", "hash")))
-    part = F.slice("words", F.col("item_pos") + 1, F.col("width"))
-    return (one.where(F.size(F.filter(part, lambda w: ~w.startswith("#"))) >= F.least(F.lit(literals), F.col("width")))
-            .select("hash", "item", "item_pos", "width", "item_words",
-                    _slots(part, F.slice("raw_words", F.col("item_pos") + 1, F.col("width"))).alias("item_slots")))
+def _slot_free(words: Column) -> Column:
+    return F.size(F.filter(words, lambda w: ~_is_slot(w)))
 
 
-def _slots(words: Column, raw: Column) -> Column:
-    """What stands where the template has a placeholder, in order."""
-    return F.transform(F.filter(F.arrays_zip(words.alias("w"), raw.alias("r")), lambda x: x["w"].startswith("#")), lambda x: x["r"])
+def seeds(own: DataFrame, known: DataFrame, window: int) -> DataFrame:
+    """(doc, item, shift): alignments of a document with an item on which a seed matches.
+
+    A seed is ``window - STRIDE + 1`` words long and taken at every ``STRIDE``-th word of a document and at
+    every word of an item, so any run of ``window`` equal words holds one.  An item shorter than ``window``
+    is its own seed, looked for at every word."""
+    lengths = sorted(r[0] for r in known.select("width").distinct().collect())       # at most ``window`` numbers
+    hits = None
+    for length in lengths:
+        part = known.where(F.col("width") == length)
+        width, stride = (window - STRIDE + 1, STRIDE) if length == window else (length, 1)
+        bench = settled(part.select("item", F.explode(_hashes(F.col("words"), F.lit(width), 1)).alias("h"), "words")
+                        .where(_slot_free(F.slice("words", F.col("h.pos") + 1, F.lit(width))) > 0)
+                        .select("item", F.col("h.pos").alias("item_pos"), F.col("h.hash").alias("hash")), "bench-seeds")
+        rows = (own.select("doc", F.explode(_hashes(F.col("words"), F.lit(width), stride)).alias("h"))
+                .select("doc", F.col("h.pos").alias("pos"), F.col("h.hash").alias("hash")))
+        found = rows.join(bounded_broadcast(bench), "hash").select("doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
+        hits = found if hits is None else hits.unionByName(found)
+    return settled(hits.distinct(), "bench-hits") if hits is not None else None
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id",
                item_text: str = "text", window: int = 8, literals: int = 4, coverage: float = 0.5) -> DataFrame:
     """doc_id, item_id, coverage (share of the item's words), kind (verbatim or reworded) and first_word of every leak."""
-    bench = settled(benchmark_windows(items, item_id, item_text, window, literals), "bench-windows")
-    widths = sorted(r[0] for r in bench.select("width").distinct().collect())        # at most ``window`` numbers
+    known = settled(_prepared(items, item_id, item_text, "item").where(F.size("words") > 0).dropDuplicates(["item", "plain"])
+                    .select("*", F.least(F.size("words"), F.lit(window)).alias("width")), "bench")
     own = _prepared(docs, doc_id, doc_text, "doc")
-    known = bounded_broadcast(bench.select("hash", "width").distinct())
-    hits = None
-    for w in widths or [window]:
-        rows = own.select("doc", F.posexplode(_window_hashes(F.col("words"), F.lit(w))).alias("pos", "hash"))
-        found = rows.join(known.where(F.col("width") == w), "hash", "left_semi").select("doc", "pos", "hash", F.lit(w).alias("width"))
-        hits = found if hits is None else hits.unionByName(found)
-    hits = settled(hits, "bench-hits")
-    # the slots of the few documents with a hit
-    per_doc = settled(hits.groupBy("doc").agg(F.collect_set(F.struct("pos", "hash", "width")).alias("hits")), "bench-hit-docs")
-    texts = docs.withColumnRenamed(doc_id, "doc") if doc_id != "doc" else docs
-    again = (texts.select("doc", doc_text).join(bounded_broadcast(per_doc.select("doc")), "doc", "left_semi")
-             .join(per_doc, "doc").select("doc", "hits", raw_words(F.col(doc_text)).alias("raw"))
-             .select("doc", "hits", F.split("raw", " ").alias("raw_words"), F.split(template(F.col("raw")), " ").alias("words"))
-             .select("doc", F.explode("hits").alias("h"), "raw_words", "words"))
-    part = F.slice("words", F.col("h.pos") + 1, F.col("h.width"))
-    slots = again.where(F.xxhash64(part) == F.col("h.hash")).select(
-        "doc", "h.pos", "h.hash", "h.width", _slots(part, F.slice("raw_words", F.col("h.pos") + 1, F.col("h.width"))).alias("slots"))
-    pairs = slots.join(bench, ["hash", "width"])
+    hits = seeds(own, known, window)
+    if hits is None:                                       # no item at all
+        hits = own.select("doc", F.lit(None).cast(known.schema["item"].dataType).alias("item"), F.lit(0).alias("shift")).where(F.lit(False))
+    # the words of the few documents with a seed, laid along the item
+    hit_docs = bounded_broadcast(settled(hits.select("doc").distinct(), "bench-hit-docs"))
+    again = own.join(hit_docs, "doc", "left_semi").join(hits, "doc")
+    lo, skip = F.greatest(F.col("shift"), F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
+    long = F.greatest(F.least(F.col("m") - skip, F.size("words") - lo), F.lit(0))
+    laid = (again.join(known.select("item", F.col("plain").alias("item_plain"), F.col("words").alias("item_words"),
+                                    F.size("words").alias("m"), "width"), "item")
+            .where(long > 0)
+            .select("doc", "item", "m", "width", skip.alias("skip"), lo.alias("first"), F.arrays_zip(
+                F.slice("words", lo + 1, long).alias("w"), F.slice("plain", lo + 1, long).alias("p"),
+                F.slice("item_words", skip + 1, long).alias("iw"), F.slice("item_plain", skip + 1, long).alias("ip")).alias("z")))
+    # starts of full windows: all words equal, enough of them literal
+    starts = F.when(F.size("z") >= F.col("width"), F.sequence(F.lit(0), F.size("z") - F.col("width")))
+    full = F.filter(starts, lambda i: F.forall(
+        F.slice("z", i + 1, F.col("width")), lambda x: x["w"] == x["iw"]) & (F.size(F.filter(
+            F.slice("z", i + 1, F.col("width")), lambda x: ~_is_slot(x["w"]))) >= F.least(F.lit(literals), F.col("width"))))
+    runs = laid.withColumn("full", full).where(F.size("full") > 0)
+    covered = F.array_distinct(F.flatten(F.transform("full", lambda i: F.sequence(i, i + F.col("width") - 1))))
+    runs = runs.withColumn("covered", covered)
+    slots = F.array_distinct(F.filter(F.transform("covered", lambda i: F.get("z", i)), lambda x: _is_slot(x["w"])))
+    runs = runs.select("doc", "item", "m", (F.col("first") + F.array_min("full")).alias("first_word"),
+                       F.transform("covered", lambda i: i + F.col("skip")).alias("covered"),
+                       F.transform(slots, lambda x: F.struct(x["ip"].alias("a"), x["p"].alias("b"))).alias("map"))
     # consistent slots: a one-to-one map from the item's values to the document's
-    runs = (pairs.groupBy("doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
-            .agg(F.max("item_words").alias("item_words"), F.min("pos").alias("first_word"),
-                 F.array_distinct(F.flatten(F.collect_list(F.sequence("item_pos", F.col("item_pos") + F.col("width") - 1)))).alias("covered"),
-                 F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))))).alias("map")))
     one_to_one = ((F.size("map") == F.size(F.array_distinct(F.transform("map", lambda m: m["a"]))))
                   & (F.size("map") == F.size(F.array_distinct(F.transform("map", lambda m: m["b"])))))
-    same = F.forall("map", lambda m: m["a"] == m["b"])
-    return (runs.where(one_to_one).withColumn("same", same).groupBy("doc", "item")
-            .agg((F.size(F.array_distinct(F.flatten(F.collect_list("covered")))) / F.max("item_words")).alias("coverage"),
-                 F.min("same").alias("same"), F.min("first_word").alias("first_word"))
+    return (runs.where(one_to_one).groupBy("doc", "item")
+            .agg((F.size(F.array_distinct(F.flatten(F.collect_list("covered")))) / F.max("m")).alias("coverage"),
+                 F.min(F.forall("map", lambda m: m["a"] == m["b"])).alias("same"), F.min("first_word").alias("first_word"))
             .where(F.col("coverage") >= coverage)
             .select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "coverage",
                     F.when(F.col("same"), "verbatim").otherwise("reworded").alias("kind"), "first_word"))
