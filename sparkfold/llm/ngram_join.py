@@ -55,6 +55,7 @@ from sparkfold.llm.textbytes import SPACE, column_bytes, mix, range_hashes, run_
 
 KEYS = 4
 BLOCK = 256
+NEED = 12                       # a signature is longer by a twelfth of the set, and the bound as much stronger
 TILE = 2048
 SKETCH_BITS = 16
 SKETCH_PARTS = 16
@@ -96,7 +97,7 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
 
 def need(n):
     """Signature tokens that a linked pair shares at least, by the size of the smaller set."""
-    return 1 + n // 16
+    return 1 + n // NEED
 
 
 def common(x, y, num: int, den: int):
@@ -372,7 +373,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       (own > other).cast("int").alias("side"), "doc", "gid", "comp", "n", "rank"))
     met = pieces.repartition("token", "piece").sortWithinPartitions("token", "piece").mapInArrow(candidates(num, den), "doc long, gid long")
     queries = (met.groupBy("doc", "gid").agg(F.count("*").alias("overlap")).join(label.select("doc", "n"), "doc")
-               .where(F.col("overlap") >= 1 + F.floor(F.ceil(F.lit(num) * F.col("n") / F.lit(den)) / 16)).select("doc", "gid"))
+               .where(F.col("overlap") >= 1 + F.floor(F.ceil(F.lit(num) * F.col("n") / F.lit(den)) / NEED)).select("doc", "gid"))
     queries = settled(queries, "tgm-queries")
     load = queries.groupBy("gid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
     members = (groups.join(load, "gid").withColumn("k2", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
