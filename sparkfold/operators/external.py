@@ -67,6 +67,7 @@ class _Proc:
         self.q: queue.Queue = queue.Queue()
         self.err: list[bytes] = []
         self.rest = b""
+        self.done = False               # the program has closed its output
         self.threads = [threading.Thread(target=self._pump, daemon=True),
                         threading.Thread(target=lambda: self.err.append(self.p.stderr.read()), daemon=True)]
         for t in self.threads:
@@ -78,23 +79,34 @@ class _Proc:
         self.q.put(None)
 
     def feed(self, lines) -> None:
-        self.p.stdin.write(("\n".join(lines) + "\n").encode())
+        """Hand on input; a program that has stopped reading (``head``) is judged by its exit code alone."""
+        if self.p.stdin.closed:
+            return
+        try:
+            self.p.stdin.write(("\n".join(lines) + "\n").encode())
+        except BrokenPipeError:
+            self._close()
+
+    def _close(self) -> None:
+        try:
+            self.p.stdin.close()
+        except BrokenPipeError:
+            pass
 
     def ready_lines(self, block: bool = False) -> list[str]:
         """Complete output lines available now (all of them when ``block``)."""
         parts = []
-        while True:
+        while not self.done:
             try:
                 item = self.q.get(block=block)
             except queue.Empty:
                 break
             if item is None:
-                parts.append(None)
+                self.done = True
                 break
             parts.append(item)
-        done = bool(parts) and parts[-1] is None
-        data = self.rest + b"".join(x for x in parts if x is not None)
-        if done:
+        data = self.rest + b"".join(parts)
+        if self.done:
             self.rest = b""
             return data.decode(errors="replace").splitlines()
         cut = data.rfind(b"\n") + 1
@@ -103,11 +115,12 @@ class _Proc:
 
     def drain(self, batch_lines: int = 100_000) -> Iterator[list[str]]:
         """Close the input and hand out the output in bounded slices."""
-        self.p.stdin.close()
+        self._close()
         buf: list[str] = []
-        while True:
+        while not self.done:
             item = self.q.get()
             if item is None:
+                self.done = True
                 break
             data = self.rest + item
             cut = data.rfind(b"\n") + 1
@@ -128,17 +141,6 @@ class _Proc:
         if buf:
             yield buf
 
-    def finish(self) -> list[str]:
-        self.p.stdin.close()
-        tail = self.ready_lines(block=True)
-        for t in self.threads:
-            t.join()
-        rc = self.p.wait()
-        if rc != 0:
-            msg = b"".join(self.err)[-2000:].decode(errors="replace")
-            raise RuntimeError(f"{' '.join(self.argv)} exited {rc}: {msg}")
-        return tail
-
 
 def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
                     key_col: str | None = None) -> DataFrame:
@@ -178,7 +180,8 @@ def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
             for lo, hi in zip(cut[:-1], cut[1:]):
                 k = ks[lo]
                 if proc is not None and k != key:
-                    yield emit(proc.finish(), key)
+                    for lines in proc.drain():
+                        yield emit(lines, key)
                     proc = None
                 if proc is None:
                     proc, key = _Proc(argv), k
@@ -187,7 +190,8 @@ def pipe_partitions(df: DataFrame, argv: list[str], line_col: str = "line",
                 if early:
                     yield emit(early, key)
         if proc is not None:
-            yield emit(proc.finish(), key)
+            for lines in proc.drain():
+                yield emit(lines, key)
 
     return df.select(*cols).mapInPandas(run, schema)
 

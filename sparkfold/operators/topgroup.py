@@ -7,8 +7,8 @@ which makes ties deterministic: the greatest item wins.
 
 ``top_per_group_window`` is the ranking formulation (``row_number`` over the
 group ordered by value).  It returns the same rows and exists as the
-differential twin, but it sorts every row of a group inside one task, so it
-is not the plan for skewed data.
+differential twin.  The rank is limited to 1 (pre-filtered in every task) and
+the total is an aggregate of its own, so no group meets in one task whole.
 """
 
 from __future__ import annotations
@@ -36,11 +36,9 @@ def top_per_group_window(df: DataFrame, key: str, item: str, value: str,
                          top_value_col: str = "top_value") -> DataFrame:
     """Same result through ``row_number`` over a per-key window (differential twin)."""
     ranked = Window.partitionBy(key).orderBy(F.col(value).desc(), F.col(item).desc())
-    whole = Window.partitionBy(key)
-    return (
-        df.select(key, item, value,
-                  F.row_number().over(ranked).alias("_rn"),
-                  F.sum(value).over(whole).alias(total_col))
-        .where(F.col("_rn") == 1)
-        .select(key, total_col, F.col(item).alias(top_item_col), F.col(value).alias(top_value_col))
-    )
+    # a rank limit alone: Spark keeps one row per key and task before the shuffle
+    first = (df.select(F.col(key).alias("_key"), F.col(item).alias(top_item_col), F.col(value).alias(top_value_col),
+                       F.row_number().over(ranked).alias("_rn")).where(F.col("_rn") == 1))
+    totals = df.groupBy(key).agg(F.sum(value).alias(total_col))
+    return (totals.join(first, totals[key].eqNullSafe(F.col("_key")))
+            .select(key, total_col, top_item_col, top_value_col))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfold.operators.ordinals import with_file_ordinal
+from sparkfold.session import checkpoint_root
 
 # preamble/epilogue markers of the cast-list format.
 START_MARKER = "----\t\t\t------"
@@ -34,18 +35,11 @@ RECORD_SEP = "\n\n"
 
 def clean_title(line: Column, min_year: int = 2011, strict_year: bool = False) -> Column:
     """Valid title of one cast-list line, or null."""
-    second = F.substring_index(line, "\t", -1)
-    if strict_year:
-        year = F.regexp_extract(second, r"^(.*)\(([0-9]{4})", 2)
-        head = F.regexp_extract(second, r"^(.*\([0-9]{4})", 1)
-        ok = (year != "") & (year.cast("int") >= min_year)
-        title = F.concat(head, F.lit(")"))
-    else:
-        idx = F.instr(second, "(")          # == indexOf('(') + 1, 0 when absent
-        year = F.substring(second, idx + 1, 4)
-        ok = year.rlike("^[0-9]+$") & (year.cast("int") >= min_year)
-        title = F.concat(F.substring(second, F.lit(1), idx + 4), F.lit(")"))
-    return F.when(~second.startswith('"') & ok, title)
+    # the last tab field, not quoted, up to "(dddd": at its first parenthesis, or (strict) at the last that fits
+    before = r"[^\t]*" if strict_year else r"[^\t(]*"
+    pattern = rf'(?:^|\t)(?!")({before}\(([0-9]{{4}}))[^\t]*$'
+    year = F.regexp_extract(line, pattern, 2).try_cast("int")
+    return F.when(year >= min_year, F.concat(F.regexp_extract(line, pattern, 1), F.lit(")")))
 
 
 def parse_cast_records(records: DataFrame, text_col: str = "text", min_year: int = 2011,
@@ -65,7 +59,9 @@ def parse_cast_records(records: DataFrame, text_col: str = "text", min_year: int
 def scan_records(spark: SparkSession, path: str, charset: str = "ISO-8859-1") -> DataFrame:
     """Blank-line separated records with their file and record number, decoded from ``charset``."""
     raw = spark.read.option("lineSep", RECORD_SEP).text(path)
-    numbered = with_file_ordinal(raw, name="rec_no")
+    # numbered once: whoever looks for markers and records reads the numbered copy, not the text again
+    checkpoint_root(spark)
+    numbered = with_file_ordinal(raw, name="rec_no").checkpoint(eager=True)
     return numbered.select("file", "rec_no", F.decode(F.col("value").cast("binary"), charset).alias("text"))
 
 

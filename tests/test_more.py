@@ -208,3 +208,11 @@ def test_trim_markers_start_and_end_in_one_record(spark, tmp_path):
                   .encode("latin-1"))
     got = [(r["name"], r["movies"]) for r in read_cast_list(spark, str(p)).collect()]
     assert got == [("A, B", ["Film (2015)"])]
+
+
+def test_program_that_stops_reading(spark):
+    from sparkfold.operators.external import pipe_partitions
+    df = spark.range(0, 200_000, numPartitions=2).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("line"))
+    assert pipe_partitions(df, ["head", "-n", "1"]).count() == 2
+    with pytest.raises(Exception, match="exited 3"):
+        pipe_partitions(df, ["sh", "-c", "exit 3"]).count()
