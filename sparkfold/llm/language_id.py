@@ -104,6 +104,8 @@ def codewords(n: int, rng: np.random.Generator) -> np.ndarray:
 def train(texts: list[str], langs: list[str], seed: int = 11, rounds: int = 120) -> Model:
     rng = np.random.default_rng(seed)
     languages = sorted(set(langs))
+    if not languages:
+        return Model([], *(np.zeros((0, 0), np.float32) for _ in range(4)))
     code = codewords(len(languages), rng)
     # besides the whole texts, a short piece of each from a random place
     pieces = []
