@@ -1,7 +1,7 @@
 """Alignment-record operators.
 
-The reference hands these steps to external single-machine tools; here they
-are plain DataFrame expressions and aggregates:
+Steps that are often left to single-machine tools, as plain DataFrame
+expressions and aggregates:
 
 * quality decoding / re-encoding with split, translate and regex
   expressions (code-generated; no per-character lambda on the hot path);
