@@ -41,6 +41,18 @@ def test_toxicity_separates_made_up_insults():
     assert (score >= 0).all() and (score <= 1).all() and score[450] < toxicity.THRESHOLD
 
 
+def test_toxicity_held_out_accuracy(spark):
+    """On the larger table, where each class has some hundred training documents."""
+    table = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, table).collect()}
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{table}/labels.parquet").collect()}
+    held = [d for d in toxic if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert all(got[d].held_out for d in held) and len(got) == spark.read.parquet(f"{table}/documents.parquet").count()
+    assert sum(got[d].predicted == toxic[d] for d in held) >= 0.95 * len(held)
+    found = [got[d].predicted for d in held if toxic[d]]
+    assert sum(found) >= 0.9 * len(found)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in toxicity.new_net(rng).items()}
