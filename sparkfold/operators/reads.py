@@ -107,7 +107,7 @@ def five_prime(pos: Column, aln_end: Column, cigar: Column, reverse: Column) ->
 def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     """Among mapped reads with the same (rname, 5' position, strand), all
     but the one with the highest quality sum (then smallest name, flag,
-    CIGAR, sequence and qualities) are duplicates.  Unmapped reads are never duplicates.
+    CIGAR and qualities) are duplicates.  Unmapped reads are never duplicates.
 
     Plan: one aggregate per key keeps the best (quality sum, name) pair --
     with a map-side partial stage, so a hot position is pre-combined on every
@@ -117,7 +117,7 @@ def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
          .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
          .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
          .withColumn("qsum", quality_sum(F.col("qual"))))
-    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"), "flag", "cigar", "seq", "qual")
+    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"), "flag", "cigar", "qual")
     keys = ["rname", "pos5", "is_reverse"]
     best = r.where("mapped").groupBy(*keys).agg(F.min(rank_key).alias("_best"))
     out = r.join(best, keys, "left")
