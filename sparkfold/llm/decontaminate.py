@@ -1,8 +1,10 @@
 """Benchmark decontamination by template windows (native).
 
-Texts are canonicalised: numbers, units after a number and names (capitalised
-words inside a sentence) become typed placeholders, all else is lower-cased
-and stripped of punctuation.  Windows of template words are hashed and joined;
+Texts are canonicalised: numbers, units after a number and, in one of two
+forms, names (capitalised words inside a sentence) become typed placeholders,
+all else is lower-cased and stripped of punctuation.  The form without names
+does not depend on case, wrapping or punctuation.  A passage may match in
+either form.  Windows of template words are hashed and joined;
 where one matches, the item is laid along the document, and the windows of
 ``window`` words that are equal throughout cover the item's words.  For these
 the *slots*, what stands in a document
@@ -30,6 +32,8 @@ Rows with a null id take no part.  Further columns are ignored by
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,38 +48,66 @@ UNITS = ["mm", "cm", "m", "km", "inch", "inches", "feet", "ft", "yards", "miles"
          "dollars", "euros", "pounds", "cents", "degrees", "km2", "m2", "mph", "kmh", "kb", "mb", "gb"]
 
 
-def marked_text(text: Column) -> Column:
-    """Lower-cased text; names get a mark, decimals are kept together.
+def _steps(rows: DataFrame, keep: list[str], *steps: Callable[[Column], Column]) -> DataFrame:
+    """``keep`` and t after every step; a step of its own each, as an expression that uses t twice would double what stands in it."""
+    for step in steps:
+        rows = rows.select(*keep, step(F.col("t")).alias("t"))
+    return rows
+
 
-    In all patterns the look-arounds follow a character that most positions do not have."""
-    named = F.regexp_replace(text, r" (?=\p{Lu})(?<=[\p{L}\p{N},;:] )", f" {MARK}")
-    return F.lower(F.when(named.rlike(r"[.,]\p{N}"), F.regexp_replace(named, r"[.,](?=\p{N})(?<=\p{N}[.,])", "d")).otherwise(named))
+#: text to lower-cased text in which names have a mark and decimals are kept together.  A name is a capitalised word that
+#: neither starts the text nor follows a full stop, exclamation or question mark, whatever other white space and punctuation
+#: stands before it.  In all patterns the look-arounds follow a character that most positions do not have.
+MARKED = (
+    lambda t: F.when(F.contains(t, F.lit(MARK)), F.replace(t, F.lit(MARK), F.lit(" "))).otherwise(t),
+    lambda t: F.regexp_replace(t, r"\p{Lu}(?<![\p{L}\p{N}].)", f"{MARK}$0"),
+    lambda t: F.when(F.contains(t, F.lit(MARK)), F.regexp_replace(t, rf"(\A|[.!?])([^\p{{L}}\p{{N}}{MARK}]*+){MARK}", "$1$2")).otherwise(t),
+    lambda t: F.lower(F.when(t.rlike(r"[.,]\p{N}"), F.regexp_replace(t, r"[.,](?=\p{N})(?<=\p{N}[.,])", "d")).otherwise(t)),
+)
 
 
-def template_text(marked: Column) -> Column:
-    """The same text with one character for every name, number and unit."""
-    names = F.when(F.contains(marked, F.lit(MARK)), F.regexp_replace(marked, rf"{MARK}[\p{{L}}\p{{N}}]++", NAME)).otherwise(marked)
-    numbers = F.regexp_replace(names, rf"\p{{N}}(?<![\p{{L}}\p{{N}}{MARK}].)[\p{{L}}\p{{N}}]*+", NUMBER)
-    units = F.regexp_replace(numbers, rf"{NUMBER}([^\p{{L}}\p{{N}}{MARK}-{UNIT}]+)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])",
+def typed_text(marked: Column) -> Column:
+    """The same text with one character for every number and unit; names keep their mark."""
+    numbers = F.regexp_replace(marked, rf"\p{{N}}(?<![\p{{L}}\p{{N}}{MARK}].)[\p{{L}}\p{{N}}]*+", NUMBER)
+    units = F.regexp_replace(numbers, rf"{NUMBER}([^\p{{L}}\p{{N}}{MARK}-{UNIT}]+){MARK}?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])",
                              f"{NUMBER}$1{UNIT}")
-    return F.when(names.rlike(r"\p{N}"), units).otherwise(names)
+    return F.when(marked.rlike(r"\p{N}"), units).otherwise(marked)
+
+
+def _unmarked(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit(MARK)), F.replace(text, F.lit(MARK), F.lit(""))).otherwise(text)
 
 
 def split_words(text: Column) -> Column:
     return F.array_remove(F.split(text, rf"[^\p{{L}}\p{{N}}{MARK}-{UNIT}]+"), "")
 
 
-def _hashes(words: Column, width: Column, stride: int) -> Column:
-    """(position, hash) of the runs of ``width`` words, ``stride`` apart; none if the text has fewer words."""
-    return F.when(F.size(words) >= width, F.transform(
-        F.sequence(F.lit(0), F.size(words) - width, F.lit(stride)),
-        lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(words, i + 1, width)).alias("hash"))))
+def _hashes(width: int, stride: int) -> Column:
+    """(pos, hash) of the runs of ``width`` words, ``stride`` apart, in both forms; none if the text has fewer words.
+
+    Runs of placeholders alone are left out.  The form with names adds only runs that hold one."""
+    def run(words: str, i: Column) -> Column:
+        return F.slice(words, i + 1, width)
+
+    def hashed(words: str, at: Column) -> Column:
+        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(run(words, i)).alias("hash")))
+
+    starts = F.sequence(F.lit(0), F.size("typed") - width, F.lit(stride))
+    literal = F.when(F.array_contains("typed", NUMBER), F.filter(starts, lambda i: F.exists(run("typed", i), lambda w: ~_is_slot(w)))).otherwise(starts)
+    named = F.when(F.array_contains("words", NAME), F.filter(starts, lambda i: F.array_contains(run("words", i), NAME)
+                                                             & F.exists(run("words", i), lambda w: ~_is_slot(w))))
+    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    return F.when(F.size("typed") >= width, F.concat(hashed("typed", literal), F.coalesce(hashed("words", named), none)))
 
 
 def _canonical(rows: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """``keep``, plain (the words) and words (the template); both have the same length."""
-    return (rows.select(*keep, marked_text(F.col(text_col)).alias("marked"))
-            .select(*keep, split_words(F.col("marked")).alias("plain"), split_words(template_text(F.col("marked"))).alias("words")))
+    """``keep``, plain (the words), typed (numbers and units as placeholders) and words (names too); all have the same length."""
+    marked = _steps(rows.select(*keep, F.col(text_col).alias("t")), list(keep), *MARKED)
+    typed = marked.select(*keep, F.col("t").alias("marked"), typed_text(F.col("t")).alias("t"))
+    named = F.when(F.contains("t", F.lit(MARK)), split_words(F.regexp_replace("t", rf"{MARK}[\p{{L}}\p{{N}}]++", NAME)))
+    words = typed.select(*keep, split_words(_unmarked(F.col("marked"))).alias("plain"), split_words(_unmarked(F.col("t"))).alias("typed"),
+                         named.alias("named"))
+    return words.select(*keep, "plain", "typed", F.coalesce("named", "typed").alias("words"))
 
 
 def _prepared(rows: DataFrame, id_col: str, text_col: str, new_id: str) -> DataFrame:
@@ -87,8 +119,8 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def _slot_free(words: Column) -> Column:
-    return F.size(F.filter(words, lambda w: ~_is_slot(w)))
+def _is_value(word: Column) -> Column:
+    return word.isin(NUMBER, UNIT)
 
 
 def seeds(own: DataFrame, known: DataFrame, window: int) -> DataFrame:
@@ -102,10 +134,9 @@ def seeds(own: DataFrame, known: DataFrame, window: int) -> DataFrame:
     for length in lengths:
         part = known.where(F.col("width") == length)
         width, stride = (window - STRIDE + 1, STRIDE) if length == window else (length, 1)
-        bench = settled(part.select("item", F.explode(_hashes(F.col("words"), F.lit(width), 1)).alias("h"), "words")
-                        .where(_slot_free(F.slice("words", F.col("h.pos") + 1, F.lit(width))) > 0)
-                        .select("item", F.col("h.pos").alias("item_pos"), F.col("h.hash").alias("hash")), "bench-seeds")
-        rows = (own.select("doc", F.explode(_hashes(F.col("words"), F.lit(width), stride)).alias("h"))
+        bench = settled(part.select("item", F.explode(_hashes(width, 1)).alias("h"))
+                        .select("item", F.col("h.pos").alias("item_pos"), F.col("h.hash").alias("hash")).distinct(), "bench-seeds")
+        rows = (own.select("doc", F.explode(_hashes(width, stride)).alias("h"))
                 .select("doc", F.col("h.pos").alias("pos"), F.col("h.hash").alias("hash")))
         found = rows.join(bounded_broadcast(bench), "hash").select("doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
@@ -115,7 +146,7 @@ def seeds(own: DataFrame, known: DataFrame, window: int) -> DataFrame:
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id",
                item_text: str = "text", window: int = 8, literals: int = 4, coverage: float = 0.5) -> DataFrame:
     """doc_id, item_id, coverage (share of the item's words), kind (verbatim or reworded) and first_word of every leak."""
-    known = settled(_prepared(items, item_id, item_text, "item").where(F.size("words") > 0).dropDuplicates(["item", "plain"])
+    known = settled(_prepared(items, item_id, item_text, "item").where(F.size("words") > 0).dropDuplicates(["item", "plain", "words"])
                     .select("*", F.least(F.size("words"), F.lit(window)).alias("width")), "bench")
     own = _prepared(docs, doc_id, doc_text, "doc")
     hits = seeds(own, known, window)
@@ -123,7 +154,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
         hits = own.select("doc", F.lit(None).cast(known.schema["item"].dataType).alias("item"), F.lit(0).alias("shift")).where(F.lit(False))
     # the words of the few documents with a seed, laid along the item
     hit_docs = bounded_broadcast(settled(hits.select("doc").distinct(), "bench-hit-docs"))
-    again = own.join(hit_docs, "doc", "left_semi").join(hits, "doc")
+    again = settled(own.join(hit_docs, "doc", "left_semi").select("doc", "plain", "words"), "bench-again").join(hits, "doc")
     lo, skip = F.greatest(F.col("shift"), F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
     long = F.greatest(F.least(F.col("m") - skip, F.size("words") - lo), F.lit(0))
     laid = (again.join(known.select("item", F.col("plain").alias("item_plain"), F.col("words").alias("item_words"),
@@ -132,15 +163,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
             .select("doc", "item", "m", "width", skip.alias("skip"), lo.alias("first"), F.arrays_zip(
                 F.slice("words", lo + 1, long).alias("w"), F.slice("plain", lo + 1, long).alias("p"),
                 F.slice("item_words", skip + 1, long).alias("iw"), F.slice("item_plain", skip + 1, long).alias("ip")).alias("z")))
-    # starts of full windows: all words equal, enough of them literal
+    # starts of full windows: all words equal in one of the forms, enough of them literal
     starts = F.when(F.size("z") >= F.col("width"), F.sequence(F.lit(0), F.size("z") - F.col("width")))
-    full = F.filter(starts, lambda i: F.forall(
-        F.slice("z", i + 1, F.col("width")), lambda x: x["w"] == x["iw"]) & (F.size(F.filter(
-            F.slice("z", i + 1, F.col("width")), lambda x: ~_is_slot(x["w"]))) >= F.least(F.lit(literals), F.col("width"))))
-    runs = laid.withColumn("full", full).where(F.size("full") > 0)
+    least = F.least(F.lit(literals), F.col("width"))
+
+    def is_full(z: Column) -> Column:
+        named = F.forall(z, lambda x: x["w"] == x["iw"]) & (F.size(F.filter(z, lambda x: ~_is_slot(x["w"]))) >= least)
+        typed = (F.forall(z, lambda x: (x["p"] == x["ip"]) | ((x["w"] == x["iw"]) & _is_value(x["w"])))
+                 & (F.size(F.filter(z, lambda x: (x["p"] == x["ip"]) & ~_is_value(x["w"]))) >= least))
+        return named | typed
+    windows = F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice("z", i + 1, F.col("width")).alias("z")))
+    full = F.transform(F.filter(windows, lambda x: is_full(x["z"])), lambda x: x["at"])
+    # settled, as filters on what follows would repeat these expressions
+    runs = settled(laid.withColumn("full", full), "bench-runs").where(F.size("full") > 0)
     covered = F.array_distinct(F.flatten(F.transform("full", lambda i: F.sequence(i, i + F.col("width") - 1))))
     runs = runs.withColumn("covered", covered)
-    slots = F.array_distinct(F.filter(F.transform("covered", lambda i: F.get("z", i)), lambda x: _is_slot(x["w"])))
+    slots = F.array_distinct(F.filter(F.transform("covered", lambda i: F.get("z", i)), lambda x: (x["w"] == x["iw"]) & _is_slot(x["w"])))
     runs = runs.select("doc", "item", "m", (F.col("first") + F.array_min("full")).alias("first_word"),
                        F.transform("covered", lambda i: i + F.col("skip")).alias("covered"),
                        F.transform(slots, lambda x: F.struct(x["ip"].alias("a"), x["p"].alias("b"))).alias("map"))

@@ -124,6 +124,16 @@ def test_leaks_and_new_parameters(spark):
     assert find_leaks(docs, items.limit(0)).count() == 0 and drop_leaks(docs, items.limit(0)).count() == len(rows)
 
 
+def test_leaks_in_other_case_and_wrapping(spark):
+    moved = "In spring\nBoris walked 45 KM from  (Oslo), then \"Boris\" rested 7 hours before the last 45 km home."
+    rows = [(1, QUESTION.upper()), (2, QUESTION.title()), (3, QUESTION.lower()), (4, "noise here " + QUESTION.replace(" ", "\n")), (5, moved),
+            (6, "\ue000 " + QUESTION.upper().replace("12", "45")), (7, "IN SPRING ANNA STAYED AT HOME AND RESTED FROM ALL THE HOURS BEFORE")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    got = {r.doc_id: (r.kind, r.coverage) for r in find_leaks(docs, items).collect()}
+    assert got == {1: ("verbatim", 1.0), 2: ("verbatim", 1.0), 3: ("verbatim", 1.0), 4: ("verbatim", 1.0), 5: ("reworded", 1.0), 6: ("reworded", 1.0)}
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
