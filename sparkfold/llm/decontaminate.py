@@ -10,11 +10,13 @@ where one matches, the item is laid along the document, and the windows of
 the *slots*, what stands in a document
 and in the benchmark item where the template has a placeholder, are compared:
 if every slot is equal the passage is ``verbatim``; if each value of the item
-was replaced by one other value throughout, it is ``reworded`` (the question
-with new parameters); slots that contradict each other count as a chance hit.
+was replaced by one other value, it is ``reworded`` (the question with new
+parameters; two values may become the same one).  A window with a slot that
+contradicts most slots of its value counts as a chance hit, unless its words
+are plainly equal; the other windows stay.
 
 A document holds an item if windows covering at least ``coverage`` of the
-item's words match along few alignments and the slots are consistent.
+item's words match along few alignments.
 
 Scale: every ``STRIDE``-th word of a document starts a hashed window, every
 word of an item does, so no full window is missed with a quarter of the rows.
@@ -146,7 +148,7 @@ def seeds(own: DataFrame, known: DataFrame, window: int) -> DataFrame:
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id",
                item_text: str = "text", window: int = 8, literals: int = 4, coverage: float = 0.5) -> DataFrame:
     """doc_id, item_id, coverage (share of the item's words), kind (verbatim or reworded) and first_word of every leak."""
-    known = settled(_prepared(items, item_id, item_text, "item").where(F.size("words") > 0).dropDuplicates(["item", "plain", "words"])
+    known = settled(settled(_prepared(items, item_id, item_text, "item"), "bench-words").where(F.size("words") > 0).dropDuplicates(["item", "plain", "words"])
                     .select("*", F.least(F.size("words"), F.lit(window)).alias("width")), "bench")
     own = _prepared(docs, doc_id, doc_text, "doc")
     hits = seeds(own, known, window)
@@ -176,18 +178,39 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
     full = F.transform(F.filter(windows, lambda x: is_full(x["z"])), lambda x: x["at"])
     # settled, as filters on what follows would repeat these expressions
     runs = settled(laid.withColumn("full", full), "bench-runs").where(F.size("full") > 0)
-    covered = F.array_distinct(F.flatten(F.transform("full", lambda i: F.sequence(i, i + F.col("width") - 1))))
-    runs = runs.withColumn("covered", covered)
-    slots = F.array_distinct(F.filter(F.transform("covered", lambda i: F.get("z", i)), lambda x: (x["w"] == x["iw"]) & _is_slot(x["w"])))
-    runs = runs.select("doc", "item", "m", (F.col("first") + F.array_min("full")).alias("first_word"),
-                       F.transform("covered", lambda i: i + F.col("skip")).alias("covered"),
-                       F.transform(slots, lambda x: F.struct(x["ip"].alias("a"), x["p"].alias("b"))).alias("map"))
-    # consistent slots: a one-to-one map from the item's values to the document's
-    one_to_one = ((F.size("map") == F.size(F.array_distinct(F.transform("map", lambda m: m["a"]))))
-                  & (F.size("map") == F.size(F.array_distinct(F.transform("map", lambda m: m["b"])))))
-    return (runs.where(one_to_one).groupBy("doc", "item")
+
+    def words_of(starts: str) -> Column:
+        return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + F.col("width") - 1))))
+
+    def pair(x: Column) -> Column:
+        return F.struct(F.concat(x["w"], x["ip"]).alias("a"), F.concat(x["w"], x["p"]).alias("b"))
+
+    def is_pair(x: Column) -> Column:
+        return (x["w"] == x["iw"]) & _is_slot(x["w"])
+
+    # each of the item's values stands for the value that most of its slots have, its own if as many have that, else for none
+    slots = F.transform(F.filter(F.transform(words_of("full"), lambda i: F.get("z", i)), is_pair), pair)
+    runs = runs.withColumn("slots", slots)
+    votes = F.transform(F.array_distinct("slots"), lambda e: F.struct(
+        e["a"].alias("a"), e["b"].alias("b"), F.size(F.filter("slots", lambda x: x == e)).alias("n")))
+    unclear = (F.size(F.array_distinct(F.transform("slots", lambda x: F.concat_ws(" ", x["a"], x["b"]))))
+               > F.size(F.array_distinct(F.transform("slots", lambda x: x["a"]))))
+    runs = runs.withColumn("votes", F.when(unclear, votes))
+    against = F.transform(F.filter("votes", lambda v: F.exists("votes", lambda x: (x["a"] == v["a"]) & (x["b"] != v["b"]) & (
+        (x["n"] > v["n"]) | ((x["n"] == v["n"]) & (v["a"] != v["b"]))))), lambda v: F.struct(v["a"].alias("a"), v["b"].alias("b")))
+    runs = runs.withColumn("against", against)
+
+    def stays(z: Column) -> Column:
+        return F.forall(z, lambda x: x["p"] == x["ip"]) | ~F.exists(z, lambda x: is_pair(x) & F.exists("against", lambda y: y == pair(x)))
+    runs = runs.withColumn("stay", F.when(F.col("against").isNull(), F.col("full")).otherwise(
+        F.filter("full", lambda i: stays(F.slice("z", i + 1, F.col("width"))))))
+    runs = runs.withColumn("covered", words_of("stay"))
+    runs = settled(runs.select("doc", "item", "m", (F.col("first") + F.array_min("stay")).alias("first_word"),
+                               F.transform("covered", lambda i: i + F.col("skip")).alias("covered"),
+                               F.forall("covered", lambda i: F.get("z", i)["p"] == F.get("z", i)["ip"]).alias("same")), "bench-covered")
+    return (runs.where(F.size("covered") > 0).groupBy("doc", "item")
             .agg((F.size(F.array_distinct(F.flatten(F.collect_list("covered")))) / F.max("m")).alias("coverage"),
-                 F.min(F.forall("map", lambda m: m["a"] == m["b"])).alias("same"), F.min("first_word").alias("first_word"))
+                 F.min("same").alias("same"), F.min("first_word").alias("first_word"))
             .where(F.col("coverage") >= coverage)
             .select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "coverage",
                     F.when(F.col("same"), "verbatim").otherwise("reworded").alias("kind"), "first_word"))

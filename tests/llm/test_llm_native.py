@@ -134,6 +134,18 @@ def test_leaks_in_other_case_and_wrapping(spark):
     assert got == {1: ("verbatim", 1.0), 2: ("verbatim", 1.0), 3: ("verbatim", 1.0), 4: ("verbatim", 1.0), 5: ("reworded", 1.0), 6: ("reworded", 1.0)}
 
 
+def test_leaks_with_some_contradicting_slots(spark):
+    long = " ".join(f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)).split()
+    first = " ".join([*long[:10], "12", *long[10:40], "12", *long[40:]])
+    second = "if a boy has 3 apples and his sister gets 5 pears how many fruits do they have then"
+    third = "the road runs 8 km through the old forest and then it goes on for 8 km along the wide river bank"
+    items = spark.createDataFrame([(1, first), (2, second), (3, third)], "item_id long, text string")
+    rows = [(1, first[::-1].replace("21", "31", 1)[::-1]), (2, second.replace("3", "4").replace("5", "4")), (3, third.replace("km", "miles", 1))]
+    got = {(r.doc_id, r.item_id): r.kind for r in find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert "13" in rows[0][1]
+    assert got == {(1, 1): "verbatim", (2, 2): "reworded", (3, 3): "verbatim"}
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
