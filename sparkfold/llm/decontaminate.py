@@ -26,8 +26,8 @@ again only for documents with a hit.
 
 Cases.  Null or empty texts hold no window.  Items of fewer words than
 ``window`` are one window of their length.  Windows with fewer than
-``literals`` other words than placeholders do not count, and a hash of
-placeholders alone is no hint.  Repeated rows of documents or items give one result per pair of ids.
+``literals`` other words than placeholders count only if their words are
+plainly equal.  Repeated rows of documents or items give one result per pair of ids.
 Rows with a null id take no part.  Further columns are ignored by
 ``find_leaks`` and pass through ``drop_leaks``.
 """
@@ -87,19 +87,24 @@ def split_words(text: Column) -> Column:
 def _hashes(width: int, stride: int) -> Column:
     """(pos, hash) of the runs of ``width`` words, ``stride`` apart, in both forms; none if the text has fewer words.
 
-    Runs of placeholders alone are left out.  The form with names adds only runs that hold one."""
+    Of runs of numbers and units alone the plain words are hashed.  The form with names adds only runs that hold one
+    and are not placeholders alone."""
     def run(words: str, i: Column) -> Column:
         return F.slice(words, i + 1, width)
 
-    def hashed(words: str, at: Column) -> Column:
-        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(run(words, i)).alias("hash")))
+    def hashed(at: Column, hash_at: Callable[[Column], Column]) -> Column:
+        return F.transform(at, lambda i: F.struct(i.alias("pos"), hash_at(i).alias("hash")))
+
+    def literal(words: str, i: Column) -> Column:
+        return F.exists(run(words, i), lambda w: ~_is_slot(w))
 
     starts = F.sequence(F.lit(0), F.size("typed") - width, F.lit(stride))
-    literal = F.when(F.array_contains("typed", NUMBER), F.filter(starts, lambda i: F.exists(run("typed", i), lambda w: ~_is_slot(w)))).otherwise(starts)
-    named = F.when(F.array_contains("words", NAME), F.filter(starts, lambda i: F.array_contains(run("words", i), NAME)
-                                                             & F.exists(run("words", i), lambda w: ~_is_slot(w))))
+    typed = F.when(F.array_contains("typed", NUMBER), hashed(starts, lambda i: F.when(
+        literal("typed", i), F.xxhash64(run("typed", i))).otherwise(F.xxhash64(run("plain", i))))).otherwise(
+        hashed(starts, lambda i: F.xxhash64(run("typed", i))))
+    named = F.when(F.array_contains("words", NAME), F.filter(starts, lambda i: F.array_contains(run("words", i), NAME) & literal("words", i)))
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
-    return F.when(F.size("typed") >= width, F.concat(hashed("typed", literal), F.coalesce(hashed("words", named), none)))
+    return F.when(F.size("typed") >= width, F.concat(typed, F.coalesce(hashed(named, lambda i: F.xxhash64(run("words", i))), none)))
 
 
 def _canonical(rows: DataFrame, text_col: str, *keep: str) -> DataFrame:
@@ -165,7 +170,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
             .select("doc", "item", "m", "width", skip.alias("skip"), lo.alias("first"), F.arrays_zip(
                 F.slice("words", lo + 1, long).alias("w"), F.slice("plain", lo + 1, long).alias("p"),
                 F.slice("item_words", skip + 1, long).alias("iw"), F.slice("item_plain", skip + 1, long).alias("ip")).alias("z")))
-    # starts of full windows: all words equal in one of the forms, enough of them literal
+    # starts of full windows: all words plainly equal, or equal in one of the forms and enough of them literal
     starts = F.when(F.size("z") >= F.col("width"), F.sequence(F.lit(0), F.size("z") - F.col("width")))
     least = F.least(F.lit(literals), F.col("width"))
 
@@ -173,7 +178,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
         named = F.forall(z, lambda x: x["w"] == x["iw"]) & (F.size(F.filter(z, lambda x: ~_is_slot(x["w"]))) >= least)
         typed = (F.forall(z, lambda x: (x["p"] == x["ip"]) | ((x["w"] == x["iw"]) & _is_value(x["w"])))
                  & (F.size(F.filter(z, lambda x: (x["p"] == x["ip"]) & ~_is_value(x["w"]))) >= least))
-        return named | typed
+        return named | typed | F.forall(z, lambda x: x["p"] == x["ip"])
     windows = F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice("z", i + 1, F.col("width")).alias("z")))
     full = F.transform(F.filter(windows, lambda x: is_full(x["z"])), lambda x: x["at"])
     # settled, as filters on what follows would repeat these expressions

@@ -146,6 +146,17 @@ def test_leaks_with_some_contradicting_slots(spark):
     assert got == {(1, 1): "verbatim", (2, 2): "reworded", (3, 3): "verbatim"}
 
 
+def test_leaks_with_few_literal_words(spark):
+    texts = ["12 7 45 3 9 88 21 5 6 14 33 2", "5 km 3 miles 12 kg 9 hours", "we met Anna Boris Clara David Emil Frieda Gustav Hanna Ida",
+             "How tall is Mount Everest", "What is 17 times 23"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    noise = "the quick brown fox jumps over lazy dogs"
+    rows = [(k, f"{noise} {x} {noise}") for k, x in enumerate(texts)]
+    rows += [(10, "99 98 97 96 95 94 93 92 91 90 89 87"), (11, "What is 18 times 24"), (12, noise)]
+    got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(k, k): ("verbatim", 1.0) for k in range(5)}
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
