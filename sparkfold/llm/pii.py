@@ -3,15 +3,18 @@
 Base spans are e-mail addresses, IP addresses, card numbers (Luhn) and phone
 numbers.  They are the protected entities.  Words near them can give them away
 too: if, over the corpus, most documents that hold a word also hold the entity
-it stands next to, the word discloses the entity.  For every word within
-``reach`` characters of an entity, counts over all documents estimate
+it stands next to, the word discloses the entity.  For every word that stands
+within ``reach`` characters of the entity somewhere, counts over all documents
+estimate
 
-    share = documents with the word next to the entity / documents with the word
+    share = documents with the word and the entity, wherever they stand / documents with the word
     bits  = log2(share / (documents with the entity / all documents))
 
 Words with a share of at least ``generalise`` that give at least ``least_bits``
-and were seen in ``least_contexts`` different contexts of the entity (copies of
-one context count once) become spans of kind ``term``.  ``sanitise`` replaces
+and stand in documents with ``least_contexts`` different contexts of the entity
+(copies of one context count once) are flagged.  Every occurrence of a flagged
+word, in any document, becomes a span of kind ``term``.  Words inside base
+spans are no words.  ``sanitise`` replaces
 base spans by their kind, terms by ``[TERM]``, and removes terms whose share
 reaches ``remove``.
 
@@ -22,8 +25,11 @@ replaced by a mark of the same length, so that a character class repeats
 instead.  Look-behinds that forbid a start inside a run of the same class keep
 the search linear and change no match.
 
-Scale: texts are read twice and never shuffled; what moves is a row for each
-word near an entity, and counts that are combined before the shuffle.
+Scale: texts are read four times and not shuffled; what moves is a row for each
+word near an entity, counts that are combined before the shuffle, and a row for
+each document and word that can still be flagged: entities in too many
+documents for ``least_bits`` or with too few contexts, and words in too many
+documents for ``generalise``, cannot and go first.
 
 Cases.  Null text: empty.  Null or repeated ids: every row is judged by itself
 (rows get their own number).  Empty tables give empty results.  Further
@@ -48,9 +54,9 @@ WORD = r"\p{L}++"
 FOUND = "array<struct<start:int,stop:int,found:string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str | Column) -> Column:
     """start, stop (code points, stop exclusive) and text of every match of ``pattern``."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     zipped = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))    # one gap more than matches
     step = F.aggregate(
@@ -135,21 +141,43 @@ def _near(text: Column, span: Column, reach: int) -> Column:
     return F.concat(moved(before, lo), moved(after, span["stop"]))
 
 
-def disclosing_terms(near: DataFrame, texts: DataFrame, least_contexts: int, least_bits: float, generalise: float) -> DataFrame:
-    """(entity, term, share) of the words that give an entity away.  ``near``: row, entity, term, context; ``texts``: text."""
-    joint = (near.select("entity", "term", "row", "context").distinct().groupBy("entity", "term")
-             .agg(F.count_distinct("row").alias("both"), F.count_distinct("context").alias("contexts"))
-             .where(F.col("contexts") >= least_contexts))
-    joint = settled(joint, "pii-joint")
-    wanted = bounded_broadcast(settled(joint.select("term").distinct(), "pii-terms"))
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-    with_term = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
-    with_entity = near.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    total = F.lit(texts.count())
+def _row_terms(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row, term): the ``wanted`` words of every row, outside of base spans."""
+    cut = F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
+        F.greatest(acc["at"], s["stop"]).alias("at"),
+        F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.lit(" ")).alias("out")))
+    outside = (rows.select("row", "text", F.when(F.size("base") > 0, cut).alias("cut"))
+               .select("row", F.when(F.col("cut").isNull(), F.col("text"))
+                       .otherwise(F.concat("cut.out", F.substr("text", F.col("cut.at") + 1, F.length("text")))).alias("text")))
+    words = outside.select("row", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
+    return words.join(bounded_broadcast(wanted), "term", "left_semi")
+
+
+def disclosing_terms(near: DataFrame, rows: DataFrame, least_contexts: int, least_bits: float, generalise: float) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, share) of the words that give an entity away, and (row, term) of all rows with a word that could.
+
+    ``near``: row, entity, term, context; ``rows``: row, text, base."""
+    total = F.lit(rows.count())
+    seen = settled(near.select("entity", "row", "context").distinct(), "pii-seen")
+    entities = (seen.groupBy("entity").agg(F.count_distinct("row").alias("with_entity"), F.count_distinct("context").alias("contexts"))
+                .where(F.col("contexts") >= least_contexts).drop("contexts")
+                # the share that is needed; above 1 no word can have it
+                .withColumn("need", F.greatest(F.lit(generalise), F.lit(2.0 ** least_bits) * F.col("with_entity") / total))
+                .where(F.col("need") < 1.000001))
+    pairs = settled(near.select("entity", "term").distinct().join(entities, "entity"), "pii-pairs")
+    terms = settled(pairs.select("term").distinct(), "pii-terms")
+    with_term = _row_terms(rows, terms).groupBy("term").agg(F.count("*").alias("with_term"))
+    # a word in more documents than this has too low a share even if it stands in every document with the entity
+    pairs = settled(pairs.join(with_term, "term").where(F.col("with_term") * F.col("need") <= F.col("with_entity") * 1.000001), "pii-candidates")
+    row_terms = settled(_row_terms(rows, settled(pairs.select("term").distinct(), "pii-rare-terms")), "pii-row-terms")
+    both = (pairs.join(row_terms, "term").join(seen, ["row", "entity"])
+            .groupBy("entity", "term", "with_term", "with_entity")
+            .agg(F.count_distinct("row").alias("both"), F.count_distinct("context").alias("contexts")))
     share = F.col("both") / F.col("with_term")
-    return (joint.join(with_term, "term").join(with_entity, "entity")
-            .where((share >= generalise) & (F.log2(share / (F.col("with_entity") / total)) >= least_bits))
-            .select("entity", "term", share.alias("share")))
+    flagged = (both.where((F.col("contexts") >= least_contexts) & (share >= generalise)
+                          & (F.log2(share / (F.col("with_entity") / total)) >= least_bits))
+               .select("entity", "term", share.alias("share")))
+    return flagged, row_terms
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 80, least_contexts: int = 2,
@@ -162,17 +190,28 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     spans = (rows.where(F.size("base") > 0).select("row", "text", "base", F.explode("base").alias("span"))
              .select("row", "base", F.concat_ws(":", "span.kind", "span.value").alias("entity"),
                      _near(F.col("text"), F.col("span"), reach).alias("words")))
-    near = (spans.select("row", "base", "entity", F.hash(F.col("words.term")).alias("context"), F.explode("words").alias("w"))
-            .where(F.length("w.term") >= 3)
-            .where(~F.exists("base", lambda b: (b["start"] < F.col("w.stop")) & (F.col("w.start") < b["stop"])))
-            .select("row", "entity", "context", F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.stop").alias("stop")))
-    near = settled(near, "pii-near")
-    flagged = settled(disclosing_terms(near, rows.select("text"), least_contexts, least_bits, generalise), "pii-flagged")
-    terms = (near.join(flagged, ["entity", "term"]).groupBy("row", "start", "stop").agg(F.max("share").alias("share"))
-             .groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "stop", "share"))).alias("_terms")))
-    terms = bounded_broadcast(settled(terms, "pii-term-spans"), 200_000)
-    return (rows.join(terms, F.col("row") == F.col("_row"), "left")
-            .select(id_col, "text", "base", F.coalesce("_terms", F.array().cast("array<struct<start:int,stop:int,share:double>>")).alias("terms")))
+    # an entity without any word near it counts too, as a document with the entity
+    near = (spans.select("row", "base", "entity", F.hash(F.col("words.term")).alias("context"), F.explode_outer("words").alias("w"))
+            .select("row", "entity", "context", F.when(
+                (F.length("w.term") >= 3) & ~F.exists("base", lambda b: (b["start"] < F.col("w.stop")) & (F.col("w.start") < b["stop"])),
+                F.col("w.term")).alias("term")))
+    near = settled(near.distinct(), "pii-near")
+    flagged, row_terms = disclosing_terms(near, rows, least_contexts, least_bits, generalise)
+    shares = settled(flagged.groupBy("term").agg(F.max("share").alias("share")), "pii-flagged")
+    hits = (row_terms.join(bounded_broadcast(shares), "term").groupBy(F.col("row").alias("_row"))
+            .agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("_hits")))
+    hits = bounded_broadcast(settled(hits, "pii-row-hits"), 200_000)
+    # the words are runs of letters, so they stand for themselves in a pattern
+    found = rows.join(hits, F.col("row") == F.col("_row"), "left").withColumn("_pattern", F.concat(
+        F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_hits.term", "|"), F.lit(r")(?!\p{L})")))
+    free = F.filter(matches(F.col("text"), F.col("_pattern")), lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
+
+    def share_of(x: Column) -> Column:
+        return F.get(F.filter("_hits", lambda h: h["term"] == F.lower(x["found"])), F.lit(0))["share"]
+    terms = F.filter(F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), share_of(x).alias("share"))),
+                     lambda x: x["share"].isNotNull())
+    return found.select(id_col, "text", "base", F.when(F.col("_hits").isNotNull(), terms).otherwise(
+        F.array().cast("array<struct<start:int,stop:int,share:double>>")).alias("terms"))
 
 
 def span_strings(found: DataFrame) -> DataFrame:

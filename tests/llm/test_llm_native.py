@@ -208,3 +208,19 @@ def test_disclosing_terms(spark):
     assert got[10].spans == "" and got[10].clean_text == rows[3][1]
     assert got[None].clean_text == "[EMAIL]" and got[99].clean_text == ""
     assert find_pii(out.select("doc_id", "text").limit(0)).count() == 0
+
+
+def test_disclosing_terms_far_from_the_address(spark):
+    """A flagged word is a span wherever it stands; documents in which it stands far from the address count as well."""
+    far = " ".join(["plain words stand about here"] * 20)
+    rows = [(1, f"first quixotl of the office wrote jd@mail.com at once. {far} Quixotl again"),
+            (2, f"second note by quixotl to jd@mail.com. {far}"),
+            (3, f"zarbatane came. {far} then jd@mail.com wrote to somebody else"), (4, f"so zarbatane wrote jd@mail.com a line {far}"),
+            (5, f"only the name quixotl, no address {far}"), (6, "mail to xquixotly")]
+    rows += [(10 + i, f"the office wrote nothing to somebody else at once {far}") for i in range(300)]
+    out = {r.doc_id: r for r in sanitise(span_strings(find_pii(spark.createDataFrame(rows, "doc_id long, text string")))).collect()}
+    for i, text in rows[:6]:
+        spans = [x for x in out[i].spans.split(",") if x.startswith("term")]
+        want = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"(?i)\b(quixotl|zarbatane)\b", text)]
+        assert set(want) <= set(spans) and not re.search(r"(?i)\b(quixotl|zarbatane)\b", out[i].clean_text)
+    assert out[6].clean_text == "mail to xquixotly" and out[10].spans == ""
