@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfold.llm.common import bounded_broadcast, settled
 from sparkfold.llm.textbytes import LOWER, WORDLIKE, column_bytes, slices
 
 BUCKETS = 1 << 13
@@ -55,14 +56,15 @@ def features(buf: np.ndarray, borders: np.ndarray) -> np.ndarray:
     n = len(u)
     two = np.zeros(n, np.uint32)
     three = np.zeros(n, np.uint32)
-    if n > 2:
+    if n > 1:
         two[:-1] = ((u[:-1] << 8) | u[1:]) * np.uint32(2654435761) >> np.uint32(19)
+    if n > 2:
         three[:-2] = ((u[:-2] << 16) | (u[1:-1] << 8) | u[2:]) * np.uint32(2246822519) >> np.uint32(19)
     out = np.zeros((len(borders) - 1, BUCKETS), np.float32)
     for row in range(len(borders) - 1):
         s, e = borders[row], borders[row + 1]
-        if e - s > 2:
-            out[row] = np.bincount(three[s:e - 2], minlength=BUCKETS) + np.bincount(two[s:e - 1], minlength=BUCKETS)
+        if e - s > 1:
+            out[row] = np.bincount(three[s:max(s, e - 2)], minlength=BUCKETS) + np.bincount(two[s:e - 1], minlength=BUCKETS)
     np.sqrt(out, out=out)
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
     return out
@@ -140,7 +142,7 @@ def training_rows(docs: DataFrame, usable: Column, per_language: int, id_col: st
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate = rows.groupBy(lang_col).agg((F.lit(3.0 * per_language) / F.count("*")).alias("_rate"))
-    thin = rows.join(F.broadcast(rate.limit(10_000)), lang_col).where(draw < F.col("_rate"))
+    thin = rows.join(bounded_broadcast(settled(rate, "language-rates")), lang_col).where(draw < F.col("_rate"))
     rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)))
     return thin.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select(text_col, lang_col)
 

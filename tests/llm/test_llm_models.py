@@ -274,3 +274,13 @@ def test_equal_passages_give_equal_chunks():
         (_, borders), = bpe_codec.text_chunks(data, np.array([0, len(data)]))
         cuts.append({b - len(head) for b in borders if b - len(head) > 1500})
     assert len(cuts[0] & cuts[1]) >= 2
+
+
+def test_language_training_keeps_every_language(spark):
+    from pyspark.sql import functions as F
+    from sparkfold.llm.language_id import _pack, features, training_rows
+
+    docs = spark.range(10_050).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    assert training_rows(docs, F.lit(True), 300, "doc_id", "text", "lang").count() == 10_050
+    assert [int((row > 0).sum()) for row in features(*_pack(["", "a", "ab", "abc"]))] == [0, 0, 1, 3]
+    assert int((features(*_pack(["ab"])) > 0).sum()) == 1
