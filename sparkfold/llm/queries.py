@@ -198,3 +198,42 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.ngram_join import link_documents
 
     return link_documents(read_table(spark, sf_dir, "documents"))
+
+
+# --- 11: conversation prefix trie -------------------------------------------------------------------------------
+
+#: CRC-32 in SQL: a table of 256 entries from the polynomial, and one step a character of an ASCII string.
+CRC_TABLE = """(SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS tab FROM range(256) r(i))"""
+
+
+def sql_crc32(ascii_text: str, tab: str = "tab") -> str:
+    codes = f"list_transform(string_split({ascii_text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), "
+            f"lambda c, b: xor(c >> 8, {tab}[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT))")
+
+
+@query("op11_prefix_trie", f"""
+WITH crc AS {CRC_TABLE},
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(struct_pack(k := md5(length(r) || ':' || r || x), n := length(x)) ORDER BY turn NULLS FIRST, r, md5(x)) AS ts
+  FROM t GROUP BY conv_id),
+hs AS (SELECT conv_id, ts, {sql_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM o, crc),
+re AS (SELECT c.conv_id, list_concat(coalesce(list_slice(b.ts, 1, c.h), []), list_slice(c.ts, c.h + 1, len(c.ts))) AS ts
+  FROM hs c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 100),
+m AS (SELECT conv_id, d, len(ts) = d AS ends, CASE WHEN d > 0 THEN ts[d].n ELSE 0 END AS chars,
+    md5(array_to_string(list_transform(list_slice(ts, 1, d), lambda z: z.k), '')) AS node,
+    CASE WHEN d > 0 THEN md5(array_to_string(list_transform(list_slice(ts, 1, d - 1), lambda z: z.k), '')) END AS parent
+  FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM re)),
+n AS (SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM m GROUP BY node, d),
+kids AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+below AS (SELECT a.node, a.d, count(*) FILTER (k.parent IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM n JOIN m a ON a.conv_id = n.conv_id AND a.d <= n.d LEFT JOIN kids k ON k.parent = n.node GROUP BY a.node, a.d)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+  b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN n p ON p.node = n.parent LEFT JOIN kids k ON k.parent = n.node JOIN below b ON b.node = n.node
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.prefix_trie import conversation_trie
+
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
