@@ -237,3 +237,51 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.prefix_trie import conversation_trie
 
     return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+# --- 12: conversation structure repair --------------------------------------------------------------------------
+
+@query("op12_turn_repair", rf"""
+WITH RECURSIVE crc AS {CRC_TABLE},
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS x,
+    {sql_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k FROM conversations, crc),
+dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE r END AS r,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS x,
+    unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS again FROM src WHERE k <> 0),
+o AS (SELECT conv_id, turn, r, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS p FROM dam),
+f AS (SELECT *, left(r, 1) AS i, CASE WHEN NOT regexp_matches(x, '[^\x20\x09-\x0D]') THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, r, x ORDER BY p) > 1 THEN 'd'
+      WHEN NOT regexp_matches(x, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM o),
+moves AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) v(st, i, nxt)),
+ins AS (SELECT * FROM (VALUES (0, 0, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 1, 0, ''), (1, 2, 5, 'I'), (1, 3, 10, 'II'),
+    (2, 2, 0, ''), (2, 3, 5, 'I'), (3, 3, 0, ''), (3, 2, 5, 'I')) v(st, nxt, cost, letters)),
+best AS (SELECT conv_id, CAST(0 AS BIGINT) AS p, ins.nxt AS st, ins.cost AS cost, ins.letters AS audit FROM (SELECT DISTINCT conv_id FROM f) c, ins WHERE ins.st = 0
+  UNION ALL
+  SELECT conv_id, p, st, m[1], m[2] FROM (SELECT a.conv_id, a.p, ins.nxt AS st, min(row(a.cost + ins.cost, a.audit || ins.letters)) AS m FROM (
+      SELECT b.conv_id, f.p, b.st, b.cost + 2 AS cost, b.audit || 'D' AS audit FROM best b JOIN f ON f.conv_id = b.conv_id AND f.p = b.p + 1
+      UNION ALL SELECT b.conv_id, f.p, v.nxt, b.cost + CASE WHEN fault = 't' THEN 5 ELSE 0 END, b.audit || 'K' FROM best b
+        JOIN f ON f.conv_id = b.conv_id AND f.p = b.p + 1 JOIN moves v ON v.st = b.st AND v.i = f.i WHERE fault IN ('', 't')
+      UNION ALL SELECT b.conv_id, f.p, v.nxt, b.cost + 1 + CASE WHEN fault = 't' THEN 5 ELSE 0 END, b.audit || 'R' FROM best b
+        JOIN f ON f.conv_id = b.conv_id AND f.p = b.p + 1 JOIN moves v ON v.st = b.st AND v.i <> 's' WHERE fault IN ('', 't')) a
+    JOIN ins ON ins.st = a.st GROUP BY a.conv_id, a.p, ins.nxt)),
+ends AS (SELECT conv_id, max(p) AS p FROM f GROUP BY conv_id),
+done AS (SELECT conv_id, min(row(cost, audit)) AS m FROM best JOIN ends USING (conv_id, p) WHERE st IN (0, 3) GROUP BY conv_id),
+steps AS (SELECT conv_id, m[1] AS cost, m[2] AS audit, unnest(string_split(m[2], '')) AS e, unnest(range(1, len(m[2]) + 1)) AS k FROM done),
+placed AS (SELECT conv_id, e, k, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER w AS p, sum(CASE WHEN e <> 'D' THEN 1 ELSE 0 END) OVER w AS j
+  FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+kept AS (SELECT placed.*, f.r, f.x, max(CASE WHEN e = 'K' AND j = 1 AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY placed.conv_id) AS s
+  FROM placed LEFT JOIN f ON f.conv_id = placed.conv_id AND f.p = placed.p AND placed.e <> 'I' WHERE e <> 'D'),
+fixed AS (SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN r WHEN (j - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN e = 'I' THEN '' ELSE x END, chr(10) ORDER BY k)) AS sha FROM kept GROUP BY conv_id),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal
+  FROM (SELECT *, p > 1 AND lag(i) OVER (PARTITION BY conv_id ORDER BY p) || i NOT IN ('su', 'ua', 'au') AS bad FROM f) GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(m[1], 0) AS BIGINT) AS cost, coalesce(m[2], '') AS audit,
+  coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN done USING (conv_id) LEFT JOIN fixed USING (conv_id)
+""")
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.turn_repair import repair_damaged
+
+    return repair_damaged(read_table(spark, sf_dir, "conversations"))
