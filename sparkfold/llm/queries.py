@@ -285,3 +285,24 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.turn_repair import repair_damaged
 
     return repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+# --- 13: suffix-array dedup -------------------------------------------------------------------------------------
+
+@query("op13_span_dedup", """
+WITH s AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(n - 99)) AS p FROM s WHERE n >= 100)),
+dup AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, p) AS nth FROM w) WHERE nth > 1),
+runs AS (SELECT doc_id, p, sum(CASE WHEN p <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM dup)),
+cuts AS (SELECT doc_id, run, min(p) AS lo, max(p) + 100 AS hi FROM runs GROUP BY doc_id, run),
+pieces AS (SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS after FROM cuts),
+kept AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * after + 1, 2 * (lo - after)), '' ORDER BY lo) AS front, max(hi) AS last
+  FROM pieces JOIN s USING (doc_id) GROUP BY doc_id)
+SELECT s.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM s LEFT JOIN kept USING (doc_id)
+""")
+def op13_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.span_dedup import dedup_spans
+
+    return dedup_spans(read_table(spark, sf_dir, "documents")).drop("removed")
