@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import BROADCAST_ROWS, bounded_broadcast, settled
+from sparkfold.llm.common import bounded_broadcast, settled
 from sparkfold.llm.textbytes import column_bytes, slices
 
 MASK_BITS = 10                # a cut every 1 KiB on average
@@ -275,7 +275,7 @@ def encode_corpus(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         .where("n > 1").select("digest", "owner"), "bpe-shared")
     owned = settled(shared.groupBy(F.col("owner.doc").alias("doc"))
                     .agg(F.collect_list(F.struct("owner.start", "owner.stop", "digest")).alias("owned")), "bpe-owned")
-    bodies = settled(texts.join(bounded_broadcast(owned, BROADCAST_ROWS // 4), "doc").select("text", "owned")
+    bodies = settled(texts.join(bounded_broadcast(owned), "doc").select("text", "owned")
                      .mapInArrow(encode_owned(tokenizer_path), BODY).dropDuplicates(["digest"]), "bpe-bodies")
     known = settled(chunks.join(bodies, "digest")
                     .groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "digest", "head", "tail", "ids")).alias("known")),

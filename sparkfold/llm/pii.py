@@ -200,7 +200,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     shares = settled(flagged.groupBy("term").agg(F.max("share").alias("share")), "pii-flagged")
     hits = (row_terms.join(bounded_broadcast(shares), "term").groupBy(F.col("row").alias("_row"))
             .agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("_hits")))
-    hits = bounded_broadcast(settled(hits, "pii-row-hits"), 200_000)
+    hits = bounded_broadcast(settled(hits, "pii-row-hits"))
     # the words are runs of letters, so they stand for themselves in a pattern
     found = rows.join(hits, F.col("row") == F.col("_row"), "left").withColumn("_pattern", F.concat(
         F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_hits.term", "|"), F.lit(r")(?!\p{L})")))

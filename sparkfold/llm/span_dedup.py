@@ -13,15 +13,16 @@ a run of neighbouring windows (some 35), and the rounds are
 
 1. anchors in buckets of their q-gram, refined by the identifiers at the first and last window they own.  Members of one
    refined bucket own equal windows: all but the earliest are removed.  What stays alone with its q-gram is final.
-2. the windows of the remaining anchors in buckets of their own identifiers.  All but the earliest are removed.
+2. the windows of the remaining anchors, by eights, in buckets of the identifier of the 93 bytes they share.  What stays alone is final.
+3. the windows of the remaining eights, refined by the bytes left and right of the shared ones.  All but the earliest are removed.
 
 Skew.  A task compares the rows of some MiB of text with each other before the shuffle, and sends one row for equal ones:
-a passage in a third of all documents is one row for that much text.  A q-gram met with different surroundings sends one row
-to its bucket, and the others, known not to be alone, straight to their refined buckets.  No bucket is collected: ranks
+a passage in a third of all documents is one row for that much text.  An identifier met with different surroundings sends one row
+to its bucket, and the others, known not to be alone, to the next round.  No bucket is collected: ranks
 come from sorted windows, which spill.
 
-Scale.  About 3 rows of 48 bytes for 100 bytes of text are shuffled in round 1.  Texts move once for round 2 and once
-for the result, unless the lists of spans they meet are small enough to be sent to them.
+Scale.  Round 1 shuffles about 3 rows of some 27 bytes for 100 bytes of text.  The lists of open and of removed spans are sent to the texts
+while they are measured to be small; beyond that, texts move once for round 2 and once for the result.
 
 Cases.  Null text: empty.  Null id: smaller than all others.  Rows with one id and different texts are
 documents ordered by a hash of the text; equal rows are one document and have equal results.  Texts under 100 bytes: nothing
@@ -35,10 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import settled
+from sparkfold.llm.common import bounded_broadcast, settled
 from sparkfold.llm.textbytes import column_bytes, mix, slices
 
 LENGTH, GRAM = 100, 32
@@ -46,7 +47,9 @@ REACH = LENGTH - GRAM + 1                       # q-grams in a window
 #: Bytes that are named at once, and bytes whose rows are compared before the shuffle.
 PIECE, COMPARED = 1 << 18, 8 << 20
 PLACE = np.uint64((1 << 20) - 1)                # low bits of a key: place in the piece
-ALONE, FRONT, KNOWN, REMOVED = range(4)         # states of a row of round 1
+EIGHT = 8                                       # windows that round 2 takes together
+SHARED = LENGTH - EIGHT + 1
+ALONE, FRONT, KNOWN, REMOVED = range(4)         # states of a row, in its two low bits
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -77,6 +80,12 @@ def gram_names(buf: np.ndarray) -> np.ndarray:
     return paired(name, np.concatenate([name, tail])[16:16 + n])
 
 
+def shared_names(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Identifier of the 93 bytes at the positions ``at``."""
+    half = paired(grams[at], grams[at + 32])
+    return paired(half, paired(grams[at + 29], grams[at + SHARED - GRAM]))
+
+
 def window_names(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Identifier of the 100 bytes at the positions ``at``."""
     half = paired(grams[at], grams[at + 32])
@@ -159,22 +168,31 @@ def merged(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return row[start], lo[start], np.maximum.reduceat(hi, start) if len(start) else hi
 
 
-ROWS = "b long, full long, doc_id long, digest long, lo int, hi int, state int"
+ROUND_1 = "b long, full long, doc_id long, digest long, lo int, hi int, state int"
+ROUND_2 = "b long, name long, left long, right long, doc_id long, digest long, lo int, hi int, state int"
 
 
-def _rows(docs: pa.RecordBatch, row, b, full, lo, hi, state) -> pa.RecordBatch:
+def _rows(docs: pa.RecordBatch, row: np.ndarray, names: dict[str, np.ndarray], lo, hi, state) -> pa.RecordBatch:
     at = pa.array(row)
     return pa.RecordBatch.from_arrays(
-        [pa.array(b.view(np.int64)), pa.array(full.view(np.int64)), docs.column(0).take(at), docs.column(1).take(at),
-         pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(state.astype(np.int32))],
-        ["b", "full", "doc_id", "digest", "lo", "hi", "state"])
+        [*(pa.array(x.view(np.int64)) for x in names.values()), docs.column(0).take(at), docs.column(1).take(at),
+         *(pa.array(x.astype(np.int32)) for x in (lo, hi, state))], [*names, "doc_id", "digest", "lo", "hi", "state"])
 
 
-def _removed(docs: pa.RecordBatch, row, lo, hi) -> Iterator[pa.RecordBatch]:
+def _removed(docs: pa.RecordBatch, names: list[str], row, lo, hi) -> Iterator[pa.RecordBatch]:
     """Spans of windows known to be removed; they go through the shuffle, each in a bucket of its own."""
     if len(row):
         own = mix((row.astype(np.uint64) << np.uint64(40)) ^ lo.astype(np.uint64))
-        yield _rows(docs, row, own, own, lo, hi, np.full(len(row), REMOVED))
+        yield _rows(docs, row, dict.fromkeys(names, own), lo, hi, np.full(len(row), REMOVED))
+
+
+def _states(name: np.ndarray) -> np.ndarray:
+    """States of sorted rows: alone with their name, the first of several, or known not to be alone."""
+    front = np.ones(len(name), bool)
+    front[1:] = name[1:] != name[:-1]
+    alone = front.copy()
+    alone[:-1] &= front[1:]
+    return np.where(alone, ALONE, np.where(front, FRONT, KNOWN))
 
 
 def _parts(batch: pa.RecordBatch, borders: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -194,123 +212,174 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row = np.searchsorted(borders, first + lo, "right") - 1         # of rows with one border, the one that is not empty
                 full = paired(paired(window_names(grams, first), window_names(grams, last)),
                               ((anchor - first) * 128 + (last - first)).astype(np.uint64))
-                found.append((row, grams[anchor], full, first + lo - borders[row], last + lo - borders[row]))
+                found.append((row, grams[anchor], full, first + lo - borders[row], last + lo - borders[row], anchor - first))
             if not found:
                 continue
-            row, gram, full, lo, hi = (np.concatenate(c) for c in zip(*found))
+            row, gram, full, lo, hi, offset = (np.concatenate(c) for c in zip(*found))
             if not len(row):
                 continue
             rank = document_order(docs.column(0), docs.column(1).to_numpy())
             order, new, later = earliest(gram, full, (rank[row] << 32) + lo)
             row, gram, full, lo, hi = row[order], gram[order], full[order], lo[order], hi[order]
-            row_k, gram_k, full_k, lo_k, hi_k = row[new], gram[new], full[new], lo[new], hi[new]
-            front = np.ones(len(gram_k), bool)
-            front[1:] = gram_k[1:] != gram_k[:-1]
-            alone = front.copy()
-            alone[:-1] &= front[1:]
-            state = np.where(alone, ALONE, np.where(front, FRONT, KNOWN))
-            yield _rows(docs, row_k, np.where(front, gram_k, paired(gram_k, full_k)), full_k, lo_k, hi_k, state)
-            yield from _removed(docs, *merged(row[later], lo[later], hi[later]))
+            offset = offset[order]
+            yield from _removed(docs, ["b", "full"], *merged(row[later], lo[later], hi[later]))
+            row, gram, full, lo, hi, offset = (x[new] for x in (row, gram, full, lo, hi, offset))
+            state = _states(gram)
+            bucket = np.where(state == KNOWN, paired(gram, full), gram)
+            yield _rows(docs, row, {"b": bucket, "full": full}, lo, hi, state + 4 * offset)
+
+
+def side_key(left: np.ndarray, right: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The ``j`` last bytes of ``left``, the 7 - j first bytes of ``right``, and j: what a window has beside the shared bytes."""
+    bits = (8 * j).astype(np.uint64)
+    before = np.where(j > 0, left >> (np.uint64(64) - np.maximum(bits, np.uint64(8))), np.uint64(0))
+    after = right & ((np.uint64(1) << (np.uint64(56) - bits)) - np.uint64(1))
+    return (j.astype(np.uint64) << np.uint64(56)) | (before << (np.uint64(56) - bits)) | after
+
+
+def _near_spans(begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of sorted spans that lie close together, of about ``PIECE`` bytes at most."""
+    begin, end, at = begin.tolist(), end.tolist(), 0
+    for k in range(1, len(begin) + 1):
+        if k == len(begin) or begin[k] > end[k - 1] + 4 * LENGTH or end[k] - begin[at] > PIECE:
+            yield at, k
+            at = k
 
 
 def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, digest, text, spans) -> rows of round 2 for the windows in the spans, equal ones compared."""
+    """Batches of (doc_id, digest, text, spans) -> rows of round 2, by eights of the windows in the spans, equal windows compared."""
     for batch in batches:
         buf, all_borders = column_bytes(batch.column(2))
         for docs, borders in _parts(batch, all_borders):
             spans = docs.column(3)
             owner = np.repeat(np.arange(len(docs)), spans.value_lengths().to_numpy(zero_copy_only=False))
-            flat = spans.flatten()
-            lo, hi = flat.field("lo").to_numpy().astype(np.int64), flat.field("hi").to_numpy().astype(np.int64)
-            order = np.lexsort((lo, owner))
-            owner, lo, hi = owner[order], lo[order], hi[order]
-            begin, end = borders[owner] + lo, borders[owner] + hi           # window starts, last included
-            found, at = [], 0
-            while at < len(begin):                                          # spans that lie close together are named at once
-                upto = max(at + 1, int(np.searchsorted(end, begin[at] + PIECE, "right")))
-                near = np.concatenate([[True], begin[at + 1:upto] > end[at:upto - 1] + 4 * LENGTH])
-                for s, e in zip(at + np.flatnonzero(near), at + np.append(np.flatnonzero(near)[1:], upto - at)):
-                    from_, to = int(begin[s]), int(end[e - 1]) + LENGTH
-                    grams = gram_names(buf[from_:to])
-                    size = end[s:e] - begin[s:e] + 1
-                    place = np.repeat(begin[s:e] - from_ - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                    row = np.repeat(owner[s:e], size)
-                    found.append((row, window_names(grams, place), _least_gram(grams, place), place + from_ - borders[row]))
-                at = upto
+            packed = spans.flatten().to_numpy()
+            order = np.lexsort((packed, owner))
+            owner, packed = owner[order], packed[order]
+            lo = packed >> 14
+            begin, end, anchor = borders[owner] + lo, borders[owner] + lo + ((packed >> 7) & 127), borders[owner] + lo + (packed & 127)
+            found = []
+            for s, e in _near_spans(begin, end):
+                from_, to = int(begin[s]), int(end[e - 1]) + LENGTH
+                grams, eights = gram_names(buf[from_:to]), (anchor[s:e] - begin[s:e]) // EIGHT - (anchor[s:e] - end[s:e]) // EIGHT + 1
+                span = np.repeat(np.arange(s, e), eights)
+                k = (anchor[span] - end[span]) // EIGHT + np.arange(len(span)) - np.repeat(np.cumsum(eights) - eights, eights)
+                place = anchor[span] - EIGHT * k                         # the last window of the eight; it may lie past the span's end
+                j = np.arange(EIGHT)
+                live = (place[:, None] - j >= begin[span][:, None]) & (place[:, None] - j <= end[span][:, None])
+                padded = np.zeros(to - from_ + 24, np.uint8)
+                padded[8:8 + to - from_] = buf[from_:to]
+                eight_bytes = np.lib.stride_tricks.sliding_window_view(padded, 8)
+                left, right = (np.ascontiguousarray(eight_bytes[x]).view("<u8").ravel() for x in (place - from_, place - from_ + 8 + SHARED))
+                found.append((owner[span], shared_names(grams, place - from_), left, right, place - borders[owner[span]], live))
             if not found:
                 continue
-            row, name, gram, lo = (np.concatenate(c) for c in zip(*found))
+            row, name, left, right, lo, live = (np.concatenate(c) for c in zip(*found))
             rank = document_order(docs.column(0), docs.column(1).to_numpy())
-            order, new, later = earliest(name, gram, (rank[row] << 32) + lo)
-            row, name, gram, lo = row[order], name[order], gram[order], lo[order]
-            yield _rows(docs, row[new], name[new], gram[new], lo[new], lo[new], np.full(int(new.sum()), ALONE))
-            yield from _removed(docs, *merged(row[later], lo[later], lo[later]))
-
-
-def _least_gram(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """A second identifier of the windows ``at``: their least q-gram."""
-    least, span = grams, 1
-    while 2 * span <= REACH:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    return np.minimum(least[at], least[at + REACH - span])
+            k, j = np.nonzero(live)
+            order, new, later = earliest(name[k], side_key(left[k], right[k], j), (rank[row[k]] << 32) + lo[k] - j)
+            yield from _removed(docs, ["b", "name", "left", "right"], *merged(row[k][order][later], *[(lo[k] - j)[order][later]] * 2))
+            mask = np.bincount(k[order][new], 2.0 ** j[order][new], len(row)).astype(np.int64)
+            order = np.lexsort((lo, rank[row], name))
+            order = order[mask[order] > 0]
+            row, name, left, right, lo, mask = (x[order] for x in (row, name, left, right, lo, mask))
+            state = _states(name)
+            spread = mix(name ^ mix((row.astype(np.uint64) << np.uint64(40)) + lo.astype(np.uint64)))
+            yield _rows(docs, row, {"b": np.where(state == KNOWN, spread, name), "name": name, "left": left, "right": right}, lo, lo, state + 4 * mask)
 
 
 def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (doc_id, text, spans of removed windows or null) -> doc_id, sizes, kept bytes' digest and removed byte ranges."""
+    ranges = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         buf, borders = column_bytes(batch.column(1))
-        spans = batch.column(2).to_pylist()
         out = []
-        for k, own in enumerate(spans):
+        for k, own in enumerate(batch.column(2)):
             text = buf[borders[k]:borders[k + 1]]
             cuts: list[list[int]] = []
-            for s in sorted(own or (), key=lambda s: s["lo"]):
-                if cuts and s["lo"] <= cuts[-1][1]:
-                    cuts[-1][1] = max(cuts[-1][1], s["hi"] + LENGTH)
+            for lo, size in sorted(divmod(x, 1 << 31) for x in own.as_py() or ()):
+                if cuts and lo <= cuts[-1][1]:
+                    cuts[-1][1] = max(cuts[-1][1], lo + size + LENGTH)
                 else:
-                    cuts.append([s["lo"], s["hi"] + LENGTH])
+                    cuts.append([lo, lo + size + LENGTH])
             whole, at = hashlib.sha256(), 0
             for lo, hi in cuts:
-                whole.update(text[at:lo].tobytes())
+                whole.update(text[at:lo])
                 at = hi
-            whole.update(text[at:].tobytes())
+            whole.update(text[at:])
             out.append((len(text), sum(hi - lo for lo, hi in cuts), len(cuts), whole.hexdigest(), [{"start": lo, "end": hi} for lo, hi in cuts]))
-        n_bytes, n_removed, n_spans, sha, removed = zip(*out) if out else ([],) * 5
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
-             pa.array(sha, pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
+        if out:
+            n_bytes, n_removed, n_spans, sha, removed = zip(*out)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(sha), pa.array(removed, ranges)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
 
 # --- the rounds -------------------------------------------------------------------------------------------------
 
-def judged(rows: DataFrame) -> DataFrame:
-    """Rows with ``removed`` (not the earliest of its refined bucket) and ``open`` (its first bucket holds others as well)."""
+def kind() -> Column:
+    return F.col("state").bitwiseAND(3)
+
+
+def judged(rows: DataFrame, *refined: str) -> DataFrame:
+    """Rows with ``removed``: known to be, or not the earliest of those with equal ``refined`` columns."""
     place = [F.col("doc_id").asc_nulls_first(), "digest", "lo"]
-    rank = F.rank().over(Window.partitionBy("b", "full").orderBy(*place))
-    bucket = Window.partitionBy("b")
-    known = F.max(F.col("state").isin(FRONT, KNOWN)).over(bucket)
-    return (rows.repartition("b").withColumn("rank", rank)
-            .withColumn("open", known | (F.min("full").over(bucket) != F.max("full").over(bucket)))
-            .select("doc_id", "digest", "lo", "hi", ((F.col("state") == REMOVED) | (F.col("rank") > 1)).alias("removed"),
-                    ((F.col("state") != REMOVED) & F.col("open")).alias("open")))
+    rank = F.rank().over(Window.partitionBy(*refined).orderBy(*place))
+    return rows.repartition(refined[0]).withColumn("removed", (rank > 1) | (kind() == REMOVED))
+
+
+def open_eights(rows: DataFrame) -> DataFrame:
+    """Rows of round 2 whose shared bytes are found elsewhere, and those known to be removed."""
+    bucket = F.count("*").over(Window.partitionBy("b"))
+    return rows.repartition("b").withColumn("n", bucket).where((F.col("n") > 1) | (kind() != ALONE)).drop("n")
+
 
+def windows_of(eights: DataFrame) -> DataFrame:
+    """(b, key, ...) of the live windows of the rows of round 2; ``key``: the bytes beside the shared ones (``side_key``)."""
+    def key(j: int) -> Column:
+        before = F.shiftleft(F.shiftrightunsigned("left", 64 - 8 * j), 56 - 8 * j) if j else F.lit(0).cast("long")
+        after = F.col("right").bitwiseAND(F.lit((1 << (56 - 8 * j)) - 1))
+        return F.lit(j << 56).bitwiseOR(before).bitwiseOR(after)
+    mask = F.shiftright("state", 2)
+    live = [F.when(mask.bitwiseAND(1 << j) != 0, F.struct(key(j).alias("key"), (F.col("lo") - j).alias("at"))) for j in range(EIGHT)]
+    return (eights.where(kind() != REMOVED)
+            .select("name", "doc_id", "digest", F.explode(F.filter(F.array(*live), lambda x: x.isNotNull())).alias("w"))
+            .select(F.xxhash64("name", "w.key").alias("b"), "name", "w.key", "doc_id", "digest", F.col("w.at").alias("lo"),
+                    F.col("w.at").alias("hi"), F.lit(0).alias("state")))
 
-def with_spans(docs: DataFrame, spans: DataFrame, how: str, name: str) -> DataFrame:
-    """``docs`` (doc_id, digest, text) joined with the list of their spans."""
-    lists = settled(spans.groupBy(F.col("doc_id").alias("_d"), F.col("digest").alias("_g")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), name)
-    return docs.join(lists, (F.col("digest") == F.col("_g")) & F.col("doc_id").eqNullSafe(F.col("_d")), how).select("doc_id", "digest", "text", "spans")
+
+def with_spans(docs: DataFrame, spans: DataFrame, packed: Column, how: str, name: str) -> DataFrame:
+    """``docs`` (doc_id, digest, text) joined with the list of their spans, each packed into a long."""
+    lists = settled(spans.groupBy(F.col("doc_id").alias("_d"), F.col("digest").alias("_g")).agg(F.collect_list(packed).alias("spans")), name)
+    same = (F.col("digest") == F.col("_g")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+    return docs.join(bounded_broadcast(lists), same, how).select("doc_id", "digest", "text", "spans")
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, digest, text); ``digest`` tells the texts of one id apart and is 0 where an id stands once."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    twice = settled(docs.groupBy(F.col("doc_id").alias("_d")).agg(F.count("*").alias("_n")).where("_n > 1"), "repeated-ids")
+    found = docs.join(bounded_broadcast(twice), F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    return found.select("doc_id", F.when(F.col("_n").isNull(), 0).otherwise(F.xxhash64("text")).cast("long").alias("digest"), "text")
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ranges of every row of ``docs``."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    anchors = settled(judged(docs.mapInArrow(anchor_rows, ROWS)).where("removed OR open"), "anchors")
-    left = with_spans(docs, anchors.where("NOT removed"), "inner", "open-spans")
-    windows = settled(judged(left.mapInArrow(window_rows, ROWS)).where("removed"), "windows")
-    gone = anchors.where("removed").select("doc_id", "digest", "lo", "hi").unionByName(windows.select("doc_id", "digest", "lo", "hi"))
-    return (with_spans(docs, gone, "left", "removed-spans").select("doc_id", "text", "spans")
+    docs = numbered(docs, id_col, text_col)
+    bucket = Window.partitionBy("b")
+    several = F.max(kind().isin(FRONT, KNOWN)).over(bucket) | (F.min("full").over(bucket) != F.max("full").over(bucket))
+    anchors = settled(judged(docs.mapInArrow(anchor_rows, ROUND_1), "b", "full").withColumn("open", several).where("removed OR open")
+                      .drop("b", "full", "open"), "anchors")
+    anchor = F.shiftright("state", 2)
+    owned = F.shiftleft(F.col("lo").cast("long"), 14) + F.shiftleft(F.col("hi") - F.col("lo"), 7) + anchor
+    left = with_spans(docs, anchors.where("NOT removed"), owned, "inner", "open-spans")
+    eights = settled(open_eights(left.mapInArrow(window_rows, ROUND_2)), "open-eights")
+    windows = judged(windows_of(eights), "b", "name", "key").where("removed")
+    gone = anchors.where("removed")
+    for part in (eights.where(kind() == REMOVED), windows):
+        gone = gone.select("doc_id", "digest", "lo", "hi").unionByName(part.select("doc_id", "digest", "lo", "hi"))
+    removed = F.shiftleft(F.col("lo").cast("long"), 31) + (F.col("hi") - F.col("lo"))
+    return (with_spans(docs, gone, removed, "left", "removed-spans").select("doc_id", "text", "spans")
             .mapInArrow(cut_spans, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                    "removed array<struct<start:int,end:int>>"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -52,33 +53,40 @@ def corpus(seed):
     return texts
 
 
+def best_of(rows, *columns):
+    """Whether a row is not the earliest among those with equal columns."""
+    key = rows.doc_id * (1 << 32) + rows.lo
+    return key > key.groupby([rows[c] for c in columns]).transform("min")
+
+
 @pytest.mark.parametrize("seed,piece,compared", [(1, 1 << 18, 8 << 20), (2, 257, 1500), (3, 64, 1)])
-def test_against_all_windows(spark, monkeypatch, seed, piece, compared):
-    """In one task's pieces of any size (the numbers are read by the tasks of this session only through the module: run them here)."""
+def test_rounds_in_pieces_of_any_size(monkeypatch, seed, piece, compared):
+    """The tasks' part of the rounds, with the aggregations between them done here."""
     monkeypatch.setattr(S, "PIECE", piece)
     monkeypatch.setattr(S, "COMPARED", compared)
     texts = corpus(seed)
     docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(np.zeros(len(texts), np.int64)),
                                        pa.array([t or "" for t in texts])], ["doc_id", "digest", "text"])
     rows = pa.Table.from_batches(list(S.anchor_rows(iter([docs])))).to_pandas()
-    key = rows.doc_id * (1 << 32) + rows.lo
-    best = key.groupby([rows.b, rows.full]).transform("min")
-    rows["removed"] = (rows.state == S.REMOVED) | (key > best)
-    rows["open"] = (rows.state != S.REMOVED) & (rows.groupby("b").state.transform(lambda x: x.isin([S.FRONT, S.KNOWN]).any())
-                                               | (rows.groupby("b").full.transform("nunique") > 1))
-    left = rows[~rows.removed & rows.open]
-    spans = [[{"lo": r.lo, "hi": r.hi} for r in left[left.doc_id == d].itertuples()] for d in range(len(texts))]
-    with_spans = pa.RecordBatch.from_arrays([*docs.columns, pa.array(spans, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))],
-                                            ["doc_id", "digest", "text", "spans"])
-    again = pa.Table.from_batches(list(S.window_rows(iter([with_spans])))).to_pandas()
-    key = again.doc_id * (1 << 32) + again.lo
-    again["removed"] = (again.state == S.REMOVED) | (key > key.groupby([again.b, again.full]).transform("min"))
+    rows["kind"] = rows.state & 3
+    rows["removed"] = (rows.kind == S.REMOVED) | best_of(rows, "b", "full")
+    several = rows.groupby("b").kind.transform(lambda x: x.isin([S.FRONT, S.KNOWN]).any()) | (rows.groupby("b").full.transform("nunique") > 1)
+    left = rows[~rows.removed & several]
+    spans = [[(r.lo << 14) + ((r.hi - r.lo) << 7) + (r.state >> 2) for r in left[left.doc_id == d].itertuples()] for d in range(len(texts))]
+    with_spans = pa.RecordBatch.from_arrays([*docs.columns, pa.array(spans, pa.list_(pa.int64()))], ["doc_id", "digest", "text", "spans"])
+    eights = pa.Table.from_batches(list(S.window_rows(iter([with_spans])))).to_pandas()
+    eights["kind"] = eights.state & 3
+    live = eights[eights.kind != S.REMOVED]
+    windows = [(name, left, right, j, d, lo - j) for name, left, right, d, lo, state
+               in zip(live["name"], live.left, live.right, live.doc_id, live.lo, live.state) for j in range(8) if state >> 2 >> j & 1]
+    windows = pd.DataFrame(windows, columns=["name", "left", "right", "j", "doc_id", "lo"])
+    windows["key"] = S.side_key(windows.left.to_numpy().view(np.uint64), windows.right.to_numpy().view(np.uint64), windows.j.to_numpy())
+    windows["hi"] = windows.lo
     gone = [[] for _ in texts]
-    for part in (rows, again):
-        for r in part[part.removed].itertuples():
-            gone[r.doc_id].append({"lo": r.lo, "hi": r.hi})
-    last = pa.RecordBatch.from_arrays([docs.column(0), docs.column(2), pa.array(gone, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))],
-                                      ["doc_id", "text", "spans"])
+    for part in (rows[rows.removed], eights[eights.kind == S.REMOVED], windows[best_of(windows, "name", "key")]):
+        for doc_id, lo, hi in zip(part.doc_id, part.lo, part.hi):
+            gone[doc_id].append((int(lo) << 31) + int(hi - lo))
+    last = pa.RecordBatch.from_arrays([docs.column(0), docs.column(2), pa.array(gone, pa.list_(pa.int64()))], ["doc_id", "text", "spans"])
     got = sorted((tuple(r.values())[:5] for b in S.cut_spans(iter([last])) for r in b.to_pylist()), key=repr)
     assert got == brute([(d, d, (t or "").encode()) for d, t in enumerate(texts)])
 
