@@ -32,7 +32,7 @@ is removed.  Empty tables: empty result.  Further columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,32 +158,36 @@ def earliest(one: np.ndarray, two: np.ndarray, place: np.ndarray) -> tuple[np.nd
     return order, new, place != place[np.flatnonzero(new)][np.cumsum(new) - 1]
 
 
-def merged(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of window starts, neighbours joined."""
+def merged(row: np.ndarray, lo: np.ndarray, hi: np.ndarray, gap: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of window starts, those at most ``gap`` apart joined."""
     order = np.lexsort((lo, row))
     row, lo, hi = row[order], lo[order], hi[order]
+    upto = np.maximum.accumulate((row << 32) + hi) - (row << 32)         # rows ascend, so none sees an earlier one's end
     new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (lo[1:] > hi[:-1] + 1)
+    new[1:] = (row[1:] != row[:-1]) | (lo[1:] > upto[:-1] + gap)
     start = np.flatnonzero(new)
     return row[start], lo[start], np.maximum.reduceat(hi, start) if len(start) else hi
 
 
-ROUND_1 = "b long, full long, doc_id long, digest long, lo int, hi int, state int"
-ROUND_2 = "b long, name long, left long, right long, doc_id long, digest long, lo int, hi int, state int"
+#: ``at``: offset of the first window (31 bits), a number (31 bits: windows less one; for anchors with 128 times the anchor's
+#: distance; for eights the mask of the live windows) and the state (2 bits)
+ROUND_1 = "b long, full long, doc_id long, digest long, at long"
+ROUND_2 = "b long, name long, left long, right long, doc_id long, digest long, at long"
 
 
-def _rows(docs: pa.RecordBatch, row: np.ndarray, names: dict[str, np.ndarray], lo, hi, state) -> pa.RecordBatch:
-    at = pa.array(row)
+def _rows(docs: pa.RecordBatch, row: np.ndarray, names: dict[str, np.ndarray], lo, number, state) -> pa.RecordBatch:
+    take = pa.array(row)
+    at = (lo.astype(np.int64) << 33) | (np.asarray(number, np.int64) << 2) | state
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(x.view(np.int64)) for x in names.values()), docs.column(0).take(at), docs.column(1).take(at),
-         *(pa.array(x.astype(np.int32)) for x in (lo, hi, state))], [*names, "doc_id", "digest", "lo", "hi", "state"])
+        [*(pa.array(x.view(np.int64)) for x in names.values()), docs.column(0).take(take), docs.column(1).take(take), pa.array(at)],
+        [*names, "doc_id", "digest", "at"])
 
 
 def _removed(docs: pa.RecordBatch, names: list[str], row, lo, hi) -> Iterator[pa.RecordBatch]:
     """Spans of windows known to be removed; they go through the shuffle, each in a bucket of its own."""
     if len(row):
         own = mix((row.astype(np.uint64) << np.uint64(40)) ^ lo.astype(np.uint64))
-        yield _rows(docs, row, dict.fromkeys(names, own), lo, hi, np.full(len(row), REMOVED))
+        yield _rows(docs, row, dict.fromkeys(names, own), lo, hi - lo, REMOVED)
 
 
 def _states(name: np.ndarray) -> np.ndarray:
@@ -226,7 +230,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, gram, full, lo, hi, offset = (x[new] for x in (row, gram, full, lo, hi, offset))
             state = _states(gram)
             bucket = np.where(state == KNOWN, paired(gram, full), gram)
-            yield _rows(docs, row, {"b": bucket, "full": full}, lo, hi, state + 4 * offset)
+            yield _rows(docs, row, {"b": bucket, "full": full}, lo, hi - lo + 128 * offset, state)
 
 
 def side_key(left: np.ndarray, right: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -278,30 +282,39 @@ def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rank = document_order(docs.column(0), docs.column(1).to_numpy())
             k, j = np.nonzero(live)
             order, new, later = earliest(name[k], side_key(left[k], right[k], j), (rank[row[k]] << 32) + lo[k] - j)
-            yield from _removed(docs, ["b", "name", "left", "right"], *merged(row[k][order][later], *[(lo[k] - j)[order][later]] * 2))
+            gone = (lo[k] - j)[order][later]
+            yield from _removed(docs, ["b", "name", "left", "right"], *merged(row[k][order][later], gone, gone))
             mask = np.bincount(k[order][new], 2.0 ** j[order][new], len(row)).astype(np.int64)
             order = np.lexsort((lo, rank[row], name))
             order = order[mask[order] > 0]
             row, name, left, right, lo, mask = (x[order] for x in (row, name, left, right, lo, mask))
             state = _states(name)
             spread = mix(name ^ mix((row.astype(np.uint64) << np.uint64(40)) + lo.astype(np.uint64)))
-            yield _rows(docs, row, {"b": np.where(state == KNOWN, spread, name), "name": name, "left": left, "right": right}, lo, lo, state + 4 * mask)
+            yield _rows(docs, row, {"b": np.where(state == KNOWN, spread, name), "name": name, "left": left, "right": right}, lo, mask, state)
+
+
+def joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc, digest, packed spans) -> with spans whose bytes meet joined: (start << 31) + bytes, in order."""
+    for batch in batches:
+        lists = batch.column(2)
+        row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        packed = lists.flatten().to_numpy()
+        lo = packed >> 31
+        row, lo, hi = merged(row, lo, lo + (packed & ((1 << 31) - 1)), LENGTH)
+        spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)),
+                                         pa.array((lo << 31) + hi - lo + LENGTH))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], batch.schema.names)
 
 
 def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, text, spans of removed windows or null) -> doc_id, sizes, kept bytes' digest and removed byte ranges."""
+    """Batches of (doc_id, text, joined spans or null) -> doc_id, sizes, kept bytes' digest and removed byte ranges."""
     ranges = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         buf, borders = column_bytes(batch.column(1))
         out = []
         for k, own in enumerate(batch.column(2)):
             text = buf[borders[k]:borders[k + 1]]
-            cuts: list[list[int]] = []
-            for lo, size in sorted(divmod(x, 1 << 31) for x in own.as_py() or ()):
-                if cuts and lo <= cuts[-1][1]:
-                    cuts[-1][1] = max(cuts[-1][1], lo + size + LENGTH)
-                else:
-                    cuts.append([lo, lo + size + LENGTH])
+            cuts = [(lo, lo + size) for lo, size in (divmod(x, 1 << 31) for x in own.as_py() or ())]
             whole, at = hashlib.sha256(), 0
             for lo, hi in cuts:
                 whole.update(text[at:lo])
@@ -318,41 +331,72 @@ def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the rounds -------------------------------------------------------------------------------------------------
 
 def kind() -> Column:
-    return F.col("state").bitwiseAND(3)
+    return F.col("at").bitwiseAND(3)
+
+
+def number() -> Column:
+    return F.shiftrightunsigned("at", 2).bitwiseAND((1 << 31) - 1)
 
 
-def judged(rows: DataFrame, *refined: str) -> DataFrame:
-    """Rows with ``removed``: known to be, or not the earliest of those with equal ``refined`` columns."""
-    place = [F.col("doc_id").asc_nulls_first(), "digest", "lo"]
-    rank = F.rank().over(Window.partitionBy(*refined).orderBy(*place))
-    return rows.repartition(refined[0]).withColumn("removed", (rank > 1) | (kind() == REMOVED))
+def place() -> Column:
+    return F.shiftrightunsigned("at", 33)
 
 
-def open_eights(rows: DataFrame) -> DataFrame:
-    """Rows of round 2 whose shared bytes are found elsewhere, and those known to be removed."""
+def not_earliest(*columns: str) -> Column:
+    """Whether rows with equal ``columns`` stand at a smaller place."""
+    return F.rank().over(Window.partitionBy(*columns).orderBy(F.col("doc_id").asc_nulls_first(), "digest", "lo")) > 1
+
+
+def round_1(rows: DataFrame) -> DataFrame:
+    """(doc_id, digest, lo, hi, offset, removed) of the anchors that are removed or whose q-gram stands elsewhere as well."""
+    bucket = Window.partitionBy("b")
+    several = F.max(kind().isin(FRONT, KNOWN)).over(bucket) | (F.min("full").over(bucket) != F.max("full").over(bucket))
+    whole = kind() == REMOVED
+    return (rows.repartition("b").withColumn("lo", place()).withColumn("removed", whole | not_earliest("b", "full"))
+            .withColumn("open", several).where("removed OR open")
+            .select("doc_id", "digest", "lo", (F.col("lo") + F.when(whole, number()).otherwise(number().bitwiseAND(127))).alias("hi"),
+                    F.shiftright(number(), 7).alias("offset"), "removed"))
+
+
+def round_2(rows: DataFrame) -> DataFrame:
+    """Eights whose shared bytes stand elsewhere as well, with ``removed`` where an earlier one has the same windows; spans known to be removed."""
     bucket = F.count("*").over(Window.partitionBy("b"))
-    return rows.repartition("b").withColumn("n", bucket).where((F.col("n") > 1) | (kind() != ALONE)).drop("n")
+    # eights that agree in the seven bytes on each side and in the mask have equal windows
+    whole = [F.shiftright("left", 8).alias("_l"), F.col("right").bitwiseAND(F.lit((1 << 56) - 1)).alias("_r"), number().alias("mask")]
+    return (rows.repartition("b").select("*", place().alias("lo"), *whole)
+            .withColumn("removed", (kind() == REMOVED) | not_earliest("b", "_l", "_r", "mask"))
+            .withColumn("n", bucket).where((F.col("n") > 1) | (kind() != ALONE))
+            .withColumn("spans", F.when(kind() == REMOVED, F.array(F.struct("lo", (F.col("lo") + F.col("mask")).alias("hi"))))
+                        .when(F.col("removed"), _live(lambda j: F.struct((F.col("lo") - j).alias("lo"), (F.col("lo") - j).alias("hi")))))
+            .select("name", "left", "right", "doc_id", "digest", "lo", "mask", "removed", "spans"))
+
+
+def _live(of: Callable[[int], Column]) -> Column:
+    """``of(j)`` for the live windows j of an eight."""
+    return F.filter(F.array(*[F.when(F.col("mask").bitwiseAND(1 << j) != 0, of(j)) for j in range(EIGHT)]), lambda x: x.isNotNull())
 
 
-def windows_of(eights: DataFrame) -> DataFrame:
-    """(b, key, ...) of the live windows of the rows of round 2; ``key``: the bytes beside the shared ones (``side_key``)."""
+def round_3(eights: DataFrame) -> DataFrame:
+    """(doc_id, digest, lo, hi) of the windows that are not the earliest of their kind (``side_key``)."""
     def key(j: int) -> Column:
         before = F.shiftleft(F.shiftrightunsigned("left", 64 - 8 * j), 56 - 8 * j) if j else F.lit(0).cast("long")
         after = F.col("right").bitwiseAND(F.lit((1 << (56 - 8 * j)) - 1))
         return F.lit(j << 56).bitwiseOR(before).bitwiseOR(after)
-    mask = F.shiftright("state", 2)
-    live = [F.when(mask.bitwiseAND(1 << j) != 0, F.struct(key(j).alias("key"), (F.col("lo") - j).alias("at"))) for j in range(EIGHT)]
-    return (eights.where(kind() != REMOVED)
-            .select("name", "doc_id", "digest", F.explode(F.filter(F.array(*live), lambda x: x.isNotNull())).alias("w"))
-            .select(F.xxhash64("name", "w.key").alias("b"), "name", "w.key", "doc_id", "digest", F.col("w.at").alias("lo"),
-                    F.col("w.at").alias("hi"), F.lit(0).alias("state")))
+    windows = (eights.where("NOT removed")
+               .select("name", "doc_id", "digest", F.explode(_live(lambda j: F.struct(key(j).alias("key"), (F.col("lo") - j).alias("at")))).alias("w"))
+               .select("name", "w.key", "doc_id", "digest", F.col("w.at").alias("lo")))
+    return (windows.repartition("name", "key").withColumn("gone", not_earliest("name", "key")).where("gone")
+            .select("doc_id", "digest", "lo", F.col("lo").alias("hi")))
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, packed: Column, how: str, name: str) -> DataFrame:
-    """``docs`` (doc_id, digest, text) joined with the list of their spans, each packed into a long."""
-    lists = settled(spans.groupBy(F.col("doc_id").alias("_d"), F.col("digest").alias("_g")).agg(F.collect_list(packed).alias("spans")), name)
+def span_lists(spans: DataFrame, packed: Column) -> DataFrame:
+    return (spans.groupBy(F.col("doc_id").alias("_d"), F.col("digest").alias("_g")).agg(F.collect_list(packed).alias("spans")))
+
+
+def with_spans(docs: DataFrame, lists: DataFrame, how: str, name: str) -> DataFrame:
+    """``docs`` (doc_id, digest, text) joined with the lists of their spans."""
     same = (F.col("digest") == F.col("_g")) & F.col("doc_id").eqNullSafe(F.col("_d"))
-    return docs.join(bounded_broadcast(lists), same, how).select("doc_id", "digest", "text", "spans")
+    return docs.join(bounded_broadcast(settled(lists, name)), same, how).select("doc_id", "digest", "text", "spans")
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -367,19 +411,15 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ranges of every row of ``docs``."""
     docs = numbered(docs, id_col, text_col)
-    bucket = Window.partitionBy("b")
-    several = F.max(kind().isin(FRONT, KNOWN)).over(bucket) | (F.min("full").over(bucket) != F.max("full").over(bucket))
-    anchors = settled(judged(docs.mapInArrow(anchor_rows, ROUND_1), "b", "full").withColumn("open", several).where("removed OR open")
-                      .drop("b", "full", "open"), "anchors")
-    anchor = F.shiftright("state", 2)
-    owned = F.shiftleft(F.col("lo").cast("long"), 14) + F.shiftleft(F.col("hi") - F.col("lo"), 7) + anchor
-    left = with_spans(docs, anchors.where("NOT removed"), owned, "inner", "open-spans")
-    eights = settled(open_eights(left.mapInArrow(window_rows, ROUND_2)), "open-eights")
-    windows = judged(windows_of(eights), "b", "name", "key").where("removed")
-    gone = anchors.where("removed")
-    for part in (eights.where(kind() == REMOVED), windows):
-        gone = gone.select("doc_id", "digest", "lo", "hi").unionByName(part.select("doc_id", "digest", "lo", "hi"))
-    removed = F.shiftleft(F.col("lo").cast("long"), 31) + (F.col("hi") - F.col("lo"))
-    return (with_spans(docs, gone, removed, "left", "removed-spans").select("doc_id", "text", "spans")
+    anchors = settled(round_1(docs.mapInArrow(anchor_rows, ROUND_1)), "anchors")
+    owned = F.shiftleft(F.col("lo").cast("long"), 14) + F.shiftleft(F.col("hi") - F.col("lo"), 7) + F.col("offset")
+    left = with_spans(docs, span_lists(anchors.where("NOT removed"), owned), "inner", "open-spans")
+    eights = settled(round_2(left.mapInArrow(window_rows, ROUND_2)), "open-eights")
+    where = ["doc_id", "digest", "lo", "hi"]
+    gone = (anchors.where("removed").select(where)
+            .unionByName(eights.where("removed").select("doc_id", "digest", F.inline("spans")).select(where))
+            .unionByName(round_3(eights).select(where)))
+    removed = span_lists(gone, F.shiftleft(F.col("lo").cast("long"), 31) + (F.col("hi") - F.col("lo")))
+    return (with_spans(docs, removed.mapInArrow(joined_spans, removed.schema), "left", "removed-spans").select("doc_id", "text", "spans")
             .mapInArrow(cut_spans, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                    "removed array<struct<start:int,end:int>>"))

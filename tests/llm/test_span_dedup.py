@@ -53,6 +53,13 @@ def corpus(seed):
     return texts
 
 
+def unpacked(batches):
+    rows = pa.Table.from_batches(list(batches)).to_pandas()
+    at = rows["at"].to_numpy()
+    rows["kind"], rows["number"], rows["lo"] = at & 3, (at >> 2) & ((1 << 31) - 1), at >> 33
+    return rows
+
+
 def best_of(rows, *columns):
     """Whether a row is not the earliest among those with equal columns."""
     key = rows.doc_id * (1 << 32) + rows.lo
@@ -67,25 +74,26 @@ def test_rounds_in_pieces_of_any_size(monkeypatch, seed, piece, compared):
     texts = corpus(seed)
     docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(np.zeros(len(texts), np.int64)),
                                        pa.array([t or "" for t in texts])], ["doc_id", "digest", "text"])
-    rows = pa.Table.from_batches(list(S.anchor_rows(iter([docs])))).to_pandas()
-    rows["kind"] = rows.state & 3
+    rows = unpacked(S.anchor_rows(iter([docs])))
     rows["removed"] = (rows.kind == S.REMOVED) | best_of(rows, "b", "full")
     several = rows.groupby("b").kind.transform(lambda x: x.isin([S.FRONT, S.KNOWN]).any()) | (rows.groupby("b").full.transform("nunique") > 1)
     left = rows[~rows.removed & several]
-    spans = [[(r.lo << 14) + ((r.hi - r.lo) << 7) + (r.state >> 2) for r in left[left.doc_id == d].itertuples()] for d in range(len(texts))]
+    spans = [[(r.lo << 14) + ((r.number & 127) << 7) + (r.number >> 7) for r in left[left.doc_id == d].itertuples()] for d in range(len(texts))]
     with_spans = pa.RecordBatch.from_arrays([*docs.columns, pa.array(spans, pa.list_(pa.int64()))], ["doc_id", "digest", "text", "spans"])
-    eights = pa.Table.from_batches(list(S.window_rows(iter([with_spans])))).to_pandas()
-    eights["kind"] = eights.state & 3
+    eights = unpacked(S.window_rows(iter([with_spans])))
     live = eights[eights.kind != S.REMOVED]
-    windows = [(name, left, right, j, d, lo - j) for name, left, right, d, lo, state
-               in zip(live["name"], live.left, live.right, live.doc_id, live.lo, live.state) for j in range(8) if state >> 2 >> j & 1]
+    windows = [(name, left, right, j, d, lo - j) for name, left, right, d, lo, mask
+               in zip(live["name"], live.left, live.right, live.doc_id, live.lo, live.number) for j in range(8) if mask >> j & 1]
     windows = pd.DataFrame(windows, columns=["name", "left", "right", "j", "doc_id", "lo"])
     windows["key"] = S.side_key(windows.left.to_numpy().view(np.uint64), windows.right.to_numpy().view(np.uint64), windows.j.to_numpy())
-    windows["hi"] = windows.lo
+    rows["size"] = np.where(rows.kind == S.REMOVED, rows.number, rows.number & 127)
+    eights["size"], windows["size"] = eights.number, 0
     gone = [[] for _ in texts]
     for part in (rows[rows.removed], eights[eights.kind == S.REMOVED], windows[best_of(windows, "name", "key")]):
-        for doc_id, lo, hi in zip(part.doc_id, part.lo, part.hi):
-            gone[doc_id].append((int(lo) << 31) + int(hi - lo))
+        for doc_id, lo, size in zip(part.doc_id, part.lo, part["size"]):
+            gone[doc_id].append((int(lo) << 31) + int(size))
+    lists = pa.RecordBatch.from_arrays([*docs.columns[:2], pa.array(gone, pa.list_(pa.int64()))], ["doc_id", "digest", "spans"])
+    gone = pa.Table.from_batches(list(S.joined_spans(iter([lists]))))["spans"].to_pylist()
     last = pa.RecordBatch.from_arrays([docs.column(0), docs.column(2), pa.array(gone, pa.list_(pa.int64()))], ["doc_id", "text", "spans"])
     got = sorted((tuple(r.values())[:5] for b in S.cut_spans(iter([last])) for r in b.to_pylist()), key=repr)
     assert got == brute([(d, d, (t or "").encode()) for d, t in enumerate(texts)])
