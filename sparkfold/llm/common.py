@@ -56,5 +56,13 @@ def bounded_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= most else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores appended until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -39,7 +39,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.llm.common import bounded_broadcast, settled
+from sparkfold.llm.common import bounded_broadcast, free_name, settled
 
 STRIDE = 4
 #: set before names; what stands for a name, a number and a unit (a text's own such characters are taken for these)
@@ -223,5 +223,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_te
 
 def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    leaks = settled(find_leaks(docs, items, doc_id, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(bounded_broadcast(leaks), docs[doc_id] == F.col("_leak"), "left_anti")
+    leak = free_name(docs, "_leak")
+    leaks = settled(find_leaks(docs, items, doc_id, **options).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    return docs.join(bounded_broadcast(leaks), docs[doc_id] == F.col(leak), "left_anti")

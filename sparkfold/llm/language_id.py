@@ -9,13 +9,14 @@ close together are flagged as ambiguous.
 Features: counts of byte bigrams and trigrams of the lower-cased text, other
 ASCII than letters as one blank, hashed into ``BUCKETS`` buckets; square roots,
 scaled to unit length.  Training: a bounded sample of whole labelled texts
-(``per_language`` each), and one short piece of each, by logistic regression
-in numpy on the driver.
+(``per_language`` each, about ``total`` in all, every language at least one), and
+one short piece of each, by logistic regression in numpy on the driver, which
+holds the features of the sample sparse and makes blocks of them dense.
 
 Scale: scoring is one pass over the texts without a shuffle; the model has a
 fixed size.  The sample is drawn by hash and thinned before it is ranked.
 
-Cases.  Null text or text without a letter: ``und``, score 0.  No labelled row
+Cases.  A column named as a helper of this module does not matter.  Null text or text without a letter: ``und``, score 0.  No labelled row
 at all: every text is ``und``.  One language only: it gets every text with a
 letter.  Rows with a null language do not train.  Repeated rows: the same
 result each.  Further columns pass through only through ``keep``.
@@ -116,41 +117,69 @@ def train(texts: list[str], langs: list[str], seed: int = 11, rounds: int = 120)
         k = int(rng.integers(2, 13))
         at = int(rng.integers(0, max(1, len(words) - k)))
         pieces.append(" ".join(words[at:at + k]))
-    x = np.vstack([features(*_pack([t])) for t in [*texts, *pieces]]) if texts else np.zeros((0, BUCKETS), np.float32)
-    label = np.array([languages.index(y) for y in [*langs, *langs]], int)
-    y = (code[label] + 1) / 2
+    seen = [_sparse(t) for t in [*texts, *pieces]]
+    number = {lang: i for i, lang in enumerate(languages)}
+    label = np.array([number[y] for y in [*langs, *langs]], int)
     share = 1 / np.maximum(np.bincount(label, minlength=len(languages)), 1)[label].astype(np.float32)
-    share = (share / share.sum())[:, None] if len(share) else share[:, None]
+    share /= max(share.sum(), 1e-9)
     w, b = np.zeros((BUCKETS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)
-    for k in range(1, rounds + 1):                                # Adam, whole batch
-        p = 1 / (1 + np.exp(-(x @ w + b)))
-        g = (p - y) * share
-        gw, gb = x.T @ g + 1e-6 * w, g.sum(0)
+    for k in range(1, rounds + 1):                                # Adam on all rows, a block of them at a time
+        gw, gb = 1e-6 * w, np.zeros_like(b)
+        for at in _blocks(len(seen)):
+            x = _dense(seen[at])
+            g = (1 / (1 + np.exp(-(x @ w + b))) - (code[label[at]] + 1) / 2) * share[at, None]
+            gw += x.T @ g
+            gb += g.sum(0)
         for value, grad, first, second in ((w, gw, m, v), (b, gb, mb, vb)):
             first += 0.1 * (grad - first)
             second += 0.01 * (grad * grad - second)
             value -= 0.5 * (first / (1 - 0.9 ** k)) / (np.sqrt(second / (1 - 0.99 ** k)) + 1e-8)
-    right = ((x @ w + b > 0) == (y > 0.5)).astype(np.float32)
-    trust = np.array([right[label == i].mean(0) if (label == i).any() else np.ones(code.shape[1]) for i in range(len(languages))],
-                     np.float32).reshape(len(languages), code.shape[1])
+    trust = np.zeros_like(code)
+    for at in _blocks(len(seen)):
+        np.add.at(trust, label[at], (_dense(seen[at]) @ w + b > 0) == (code[label[at]] > 0))
+    trust /= np.maximum(np.bincount(label, minlength=len(languages)), 1)[:, None]
     return Model(languages, code, w, b, trust / np.maximum(trust.sum(1, keepdims=True), 1e-9))
 
 
-def training_rows(docs: DataFrame, usable: Column, per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(text, lang): at most ``per_language`` rows of each language, those with the smallest hashes of their id."""
-    rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate = rows.groupBy(lang_col).agg((F.lit(3.0 * per_language) / F.count("*")).alias("_rate"))
-    thin = rows.join(bounded_broadcast(settled(rate, "language-rates")), lang_col).where(draw < F.col("_rate"))
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)))
-    return thin.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select(text_col, lang_col)
+def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, values) of a text's features."""
+    row = features(*_pack([text]))[0]
+    at = np.flatnonzero(row)
+    return at.astype(np.uint16), row[at]
+
+
+def _dense(seen: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    out = np.zeros((len(seen), BUCKETS), np.float32)
+    for row, (at, value) in zip(out, seen):
+        row[at] = value
+    return out
+
+
+def _blocks(n: int, rows: int = 512) -> Iterator[slice]:
+    return (slice(k, min(n, k + rows)) for k in range(0, n, rows))
+
+
+def training_rows(docs: DataFrame, usable: Column, per_language: int, id_col: str, text_col: str, lang_col: str,
+                  total: int = 4000) -> DataFrame:
+    """(text, lang): at most ``per_language`` rows of each language, those with the smallest hashes of their id; if there are
+    many languages fewer of each, about ``total`` in all, but one at least."""
+    rows = (docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+            .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    count = settled(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("first")), "language-counts")
+    most = max(1, min(per_language, total // max(1, count.count())))
+    rate = count.select("lang", "first", (F.lit(3.0 * most) / F.col("n")).alias("rate"))
+    # the row with the smallest hash of its language stands in for a language that draws none
+    thin = rows.join(bounded_broadcast(rate), "lang").where((draw < F.col("rate")) | (F.xxhash64("id") == F.col("first")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text"))
+    return thin.withColumn("rank", rank).where(F.col("rank") <= most).select("text", "lang")
 
 
 def fit(docs: DataFrame, usable: Column, per_language: int = 300, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang") -> Model:
-    """A model of at most ``per_language`` texts of each language among the ``usable`` rows."""
-    rows = sorted(tuple(r) for r in training_rows(docs, usable, per_language, id_col, text_col, lang_col).collect())
+        lang_col: str = "lang", total: int = 4000) -> Model:
+    """A model of at most ``per_language`` texts of each language among the ``usable`` rows, and about ``total`` in all."""
+    rows = sorted(tuple(r) for r in training_rows(docs, usable, per_language, id_col, text_col, lang_col, total).collect())
     return train([r[0] for r in rows], [r[1] for r in rows])
 
 

@@ -29,7 +29,9 @@ No link is lost, in any order.
 
 Scale: what moves for all documents is their keys and signatures (about a
 third of the tokens, 8 bytes each); texts move only for documents in a block
-or an opened group.  A token shared by many groups is cut into chunks whose
+or an opened group.  A token of a third of all documents stands out in the sketch
+and is dealt into parts before the first shuffle; runs of equal tokens are read
+batch by batch.  A token shared by many groups is cut into chunks whose
 pairs are separate pieces of work; a family of near copies is compared with
 its leaders, not pair by pair.
 
@@ -57,6 +59,7 @@ KEYS = 4
 BLOCK = 256
 NEED = 12                       # a signature is longer by a twelfth of the set, and the bound as much stronger
 TILE = 2048
+MOSTLY, HOT_CLASS = 64, 11      # buckets that are mostly excess are dealt into parts of some 2^11 rows
 SKETCH_BITS = 16
 SKETCH_PARTS = 16
 _SEED = np.random.default_rng(99).integers(1, 1 << 62, KEYS + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,7 +169,8 @@ def describe(n: int):
 
 
 def frequency_classes(described: DataFrame) -> np.ndarray:
-    """A class for each of the sketch's buckets: 0, or the size of its excess over chance as a power of two."""
+    """A class for each of the sketch's buckets: 0, or the size of its excess over chance as a power of two, and ``MOSTLY`` more
+    if the excess is most of the bucket."""
     total = (described.where("part IS NOT NULL").select("part", F.posexplode("counts").alias("at", "c"))
              .groupBy("part", "at").agg(F.sum("c").alias("c")).collect())            # 2^16 rows at any input size
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS))
@@ -174,7 +178,13 @@ def frequency_classes(described: DataFrame) -> np.ndarray:
         counts[part, at] = c
     usual = np.median(counts)
     excess = counts.ravel() - usual - 8 * np.sqrt(usual + 1)
-    return np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)), 0).astype(np.int8)
+    level = np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)), 0).astype(np.int8)
+    return np.where(excess > usual, level + MOSTLY, level).astype(np.int8)
+
+
+def spread_of(classes: np.ndarray) -> np.ndarray:
+    """Into how many parts a bucket's tokens are dealt: 1, or for buckets that are mostly excess as many as keep a part small."""
+    return 2 ** np.clip(classes.astype(np.int64) - MOSTLY - HOT_CLASS, 0, 20)
 
 
 # --- groups -----------------------------------------------------------------------------------------------------
@@ -240,16 +250,19 @@ def connected_sets(reps: DataFrame, texts: DataFrame, n: int, num: int, den: int
 # --- token-group matrix -----------------------------------------------------------------------------------------
 
 def signatures(n: int, num: int, den: int, classes):
-    """Batches of (doc, text) -> (token, doc, n, rank): the document's first tokens."""
+    """Batches of (doc, text) -> (token, doc, n, rank, salt): the document's first tokens.
+
+    ``salt``: 0, or for tokens of very full sketch buckets (``spread_of``) the part of its documents that this one is in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
+        spread = spread_of(table)
         held: list[tuple] = []
         rows = 0
 
         def flush() -> pa.RecordBatch:
-            arrays = [pa.array(np.concatenate([h[i] for h in held])) for i in range(4)]
+            arrays = [pa.array(np.concatenate([h[i] for h in held])) for i in range(5)]
             held.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["token", "doc", "n", "rank"])
+            return pa.RecordBatch.from_arrays(arrays, ["token", "doc", "n", "rank", "salt"])
         for doc, tokens in _each_text(batches, n):
             if not len(tokens):
                 continue
@@ -257,8 +270,10 @@ def signatures(n: int, num: int, den: int, classes):
             if level.any():
                 tokens = tokens[np.argsort(level, kind="stable")]
             first = signature_length(len(tokens), num, den)
+            own = spread[(tokens[:first] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+            salt = np.where(own > 1, 1 + int(mix(np.array([doc], np.int64).view(np.uint64))[0] >> np.uint64(1)) % np.maximum(own, 1), 0)
             held.append((tokens[:first].view(np.int64), np.full(first, doc, np.int64), np.full(first, len(tokens), np.int32),
-                         np.arange(first, dtype=np.int32)))
+                         np.arange(first, dtype=np.int32), salt.astype(np.int32)))
             rows += first
             if rows >= 1 << 17:
                 yield flush()
@@ -269,12 +284,21 @@ def signatures(n: int, num: int, den: int, classes):
 
 
 def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of batches sorted by token, the rows whose token stands in more than one document."""
-    for group in sorted_runs(batches, ["token"], 1 << 17):
-        starts = run_starts(group, ["token"])
-        length = np.diff(np.append(starts, group.num_rows))
-        for batch in group.filter(pa.array(np.repeat(length > 1, length))).combine_chunks().to_batches():
-            yield batch
+    """Of batches sorted by token, the rows whose token stands in more than one row, and those of spread tokens.
+
+    A row is compared with its neighbours; only the last one of a batch waits, so a run of any length is read batch by batch."""
+    held, seen = None, False                            # the waiting row, and whether its token stood in the row before it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        token, salt = table["token"].to_numpy(), table["salt"].to_numpy()
+        same = token[1:] == token[:-1]
+        keep = (salt > 0) | np.append(seen, same) | np.append(same, False)
+        held, seen = table.slice(table.num_rows - 1).combine_chunks().to_batches()[0], bool(keep[-1])
+        yield from table.slice(0, table.num_rows - 1).filter(pa.array(keep[:-1])).drop_columns(["salt"]).combine_chunks().to_batches()
+    if held is not None and seen:
+        yield held.drop_columns(["salt"])
 
 
 def candidates(num: int, den: int):
@@ -361,8 +385,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = label.groupBy("comp").agg(F.count("*").alias("size"))
     groups = settled(label.join(sizes, "comp").select(
         "doc", "d1", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK))).alias("gid")), "tgm-groups")
-    tokens = texts.mapInArrow(signatures(n, num, den, classes), "token long, doc long, n int, rank int")
-    shared = settled(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(shared_rows, tokens.schema), "tgm-shared")
+    tokens = texts.mapInArrow(signatures(n, num, den, classes), "token long, doc long, n int, rank int, salt int")
+    shared = settled(tokens.repartition("token", "salt").sortWithinPartitions("token", "salt")
+                     .mapInArrow(shared_rows, "token long, doc long, n int, rank int"), "tgm-shared")
     matrix = settled(shared.join(groups.drop("d1"), "doc").distinct(), "tgm-matrix")
     spread = matrix.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"))
     spread = spread.where("lo < hi").select("token", F.ceil(F.col("rows") / TILE).cast("int").alias("chunks"))

@@ -64,7 +64,7 @@ WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS r
 k AS (SELECT doc_id, source, pos, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line, raw FROM l),
 spread AS (SELECT line, count(DISTINCT coalesce(source, chr(1))) AS sites, min((doc_id, pos)) AS first,
     length(line) - length(replace(line, ' ', '')) + 1 AS words FROM k WHERE line <> '' GROUP BY line),
-boiler AS (SELECT line, first FROM spread WHERE sites >= CASE WHEN words > 50 THEN 2 ELSE 4 END),
+boiler AS (SELECT line, first FROM spread WHERE sites >= CASE WHEN words >= 8 THEN 2 ELSE 4 END),
 flagged AS (SELECT k.*, b.line IS NOT NULL AND (k.doc_id, k.pos) <> b.first AS dropped FROM k LEFT JOIN boiler b USING (line)),
 clean AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_removed,
     coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text FROM flagged GROUP BY doc_id)

@@ -7,12 +7,13 @@ is a slice of its own), so memory does not depend on the batch.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
 #: ``[\x20\x09-\x0D]``
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -26,7 +27,6 @@ _MULT = np.uint64(0x9E3779B97F4A7C15 | 3)           # 3 mod 4: powers stay far f
 _INV = np.uint64(pow(int(_MULT), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240101).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER_BYTE = _BYTE[LOWER]
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -47,13 +47,15 @@ def slices(borders: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         row = upto
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS["up"]) <= n:
-        for key, base in (("up", _MULT), ("down", _INV)):
-            steps = np.full(max(n + 1, SLICE_BYTES + 1), base, np.uint64)
-            steps[0] = 1
-            _POWERS[key] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse for the bytes of one slice."""
+    out = []
+    for base in (_MULT, _INV):
+        steps = np.full(SLICE_BYTES + 1, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -85,20 +87,32 @@ def words(buf: np.ndarray, borders: np.ndarray, inside: np.ndarray) -> tuple[np.
 
 def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case: bool = True) -> np.ndarray:
     """A 64-bit hash of the bytes of every range (in order of start); with ``fold_case`` A-Z count as a-z."""
-    out = np.empty(len(start), np.uint64)
+    out, byte = np.empty(len(start), np.uint64), _LOWER_BYTE if fold_case else _BYTE
     at = 0
     while at < len(start):                            # some MiB at a time: prefix sums take eight bytes for each byte
         upto = max(at + 1, int(np.searchsorted(end, start[at] + SLICE_BYTES, "right")))
         lo, hi = int(start[at]), int(end[upto - 1])
-        s, e = start[at:upto] - lo, end[at:upto] - lo
-        up, down = _powers(hi - lo)
-        total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((_LOWER_BYTE if fold_case else _BYTE)[buf[lo:hi]] * up[:hi - lo], out=total[1:])
-        out[at:upto] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        if hi - lo > SLICE_BYTES:                     # one long range
+            out[at] = _long_hash(buf[lo:hi], byte)
+        else:
+            s, e = start[at:upto] - lo, end[at:upto] - lo
+            up, down = _powers()
+            total = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(byte[buf[lo:hi]] * up[:hi - lo], out=total[1:])
+            out[at:upto] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
         at = upto
     return out
 
 
+def _long_hash(buf: np.ndarray, byte: np.ndarray) -> np.uint64:
+    """The hash of one range that is longer than a slice, block by block."""
+    up, total = _powers()[0], 0
+    for k in range(0, len(buf), SLICE_BYTES):
+        part = buf[k:k + SLICE_BYTES]
+        total += int((byte[part] * up[:len(part)]).sum(dtype=np.uint64)) * pow(int(_MULT), k, 1 << 64)
+    return mix(np.array([(total + len(buf)) & ((1 << 64) - 1)], np.uint64))[0]
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], most_rows: int = 1 << 16) -> Iterator[pa.Table]:
     """Tables of whole runs of equal ``keys``, from batches sorted by them; several short runs come together."""
     held: list[pa.RecordBatch] = []

@@ -345,8 +345,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, per_class:
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)))
     chosen = (kept.join(F.broadcast(rate), "toxic").where(draw < F.col("_rate")).withColumn("_rank", rank)
               .where(F.col("_rank") <= per_class).select(F.col(id_col).alias("_id"), "toxic"))       # 2 per_class rows
-    return (docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
-            .select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), "toxic"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return (texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+            .groupBy("_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))     # one row of a repeated id
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 1000, id_col: str = "doc_id",
@@ -357,7 +358,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 100
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the score (0 to 1) of every row's whole text appended; the other columns are not touched."""
+    """``docs`` with the score (0 to 1) of every row's whole text appended; the other columns are not touched.
+
+    A column of ``docs`` named ``score_col`` is replaced."""
+    docs = docs.drop(score_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)          # a fixed number of buckets
     at = docs.columns.index(text_col)
     schema = docs.withColumn(score_col, F.lit(0.0)).schema

@@ -54,8 +54,8 @@ def jaccard_components(texts, n=5):
     return {d: find(d) for d in texts}, sets
 
 
-def boilerplate_free(docs, min_sites=4, long_words=50, long_min_sites=2):
-    """doc -> cleaned text, from the definition."""
+def boilerplate_free(docs, min_sites=4, long_words=8, long_min_sites=2, whole_share=corpus_pipeline.WHOLE_SHARE):
+    """doc -> cleaned text, from the definition; documents that would lose ``whole_share`` of it keep it."""
     sites, first = collections.defaultdict(set), {}
     for d, (text, site) in sorted(docs.items()):
         for k, line in enumerate(text.split("\n")):
@@ -68,10 +68,11 @@ def boilerplate_free(docs, min_sites=4, long_words=50, long_min_sites=2):
         keep = []
         for k, line in enumerate(text.split("\n")):
             key = line.strip(" \t\r\x0b\x0c")
-            least = long_min_sites if key.count(" ") + 1 > long_words else min_sites
+            least = long_min_sites if key.count(" ") + 1 >= long_words else min_sites
             if not key or len(sites[key]) < least or first[key] == (d, k):
                 keep.append(line)
-        out[d] = "\n".join(keep)
+        clean = "\n".join(keep)
+        out[d] = clean if len(text) - len(clean) < whole_share * len(text) else text
     return out
 
 
