@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.operators.joins import small
+from sparkfold.operators.joins import small, spread
 from sparkfold.operators.pileup import (BASES, aligned_bases, call_variants, clip_past_end, covariates, pileup, recalibrate, vcf_body,
                                         with_reference)
 from sparkfold.plans.genomics import READS_SQL, seq_dict_df, typed_reads
 from sparkfold.plans.registry import query
-from sparkfold.session import scratch_path
+from sparkfold.session import checkpoint_root, scratch_path
 from sparkfold.sinks.text import write_sorted_lines
 from sparkfold.sources.genomics import chrom_number, read_vcf
 
@@ -27,40 +27,49 @@ def _order(qname: Column) -> Column:
     return F.substring(F.substring_index(qname, "_", 1), 2, 30).cast("long")
 
 
-def _letter(number: Column) -> Column:
-    return F.substring(F.lit(BASES), number + 1, F.lit(1))
+#: the reference and its variants repeat after this many positions
+PERIOD = 231 * 200
 
 
-def _rule(pos: Column) -> Column:
+def _rule(p: int) -> int:
     """Number of the reference base at a position."""
-    return ((pos % 7 + pos % 3 + pos % 11) % 4).cast("int")
+    return (p % 7 + p % 3 + p % 11) % 4
+
+
+def _stretch(of, pos: Column, n: Column | int) -> Column:
+    """``n`` letters from a position on; ``of`` gives the number of a base."""
+    cycle = "".join(BASES[of(p) % 4] for p in range(PERIOD)).encode()
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.substring(F.lit(cycle + cycle[:CHUNK]), F.pmod(pos, F.lit(PERIOD)).cast("int") + 1, n).cast("string")
 
 
 def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapped reads with bases from the reference, its variants and errors."""
-    r = typed_reads(spark, sf_dir).where(F.col("flag").bitwiseAND(4) == 0)
+    """Mapped reads with bases from the reference, its variants and errors, built once."""
+    checkpoint_root(spark)
+    r = spread(typed_reads(spark, sf_dir).where(F.col("flag").bitwiseAND(4) == 0))
     n, pos, order = F.length("qual"), F.col("pos"), _order(F.col("qname"))
     line = F.split("qname", "_")[1].cast("int")
     soft = F.col("cigar").contains("S")
     indel = (line % 5 == 0) & (n >= 20)
     cigar = F.when(indel & ~soft, F.concat(F.lit("8M1I"), (n - 13).cast("string"), F.lit("M1D4M"))).otherwise(F.col("cigar"))
 
-    def base(i: Column) -> Column:
-        p = pos + i + F.when(soft, -2).when(indel & (i >= 9) & (i < n - 4), -1).otherwise(0)
-        varied = (p % 200 == 0) | ((p % 40 == 0) & (order % 2 == 0))
-        plain = (_rule(p) + varied.cast("int") + 2 * ((i * 7 + order) % 53 == 0).cast("int")) % 4
-        return F.when(indel & ~soft & (i == 8), F.lit("G")).otherwise(_letter(plain))
-    seq = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), base), "")
+    def bases(at: Column, count: Column | int) -> Column:
+        return (F.when(order % 2 == 0, _stretch(lambda p: _rule(p) + (p % 40 == 0), at, count))
+                .otherwise(_stretch(lambda p: _rule(p) + (p % 200 == 0), at, count)))
+    seq = (F.when(soft, bases(pos - 2, n))
+           .when(indel, F.concat(bases(pos, 8), F.lit("G"), bases(pos + 8, n - 13), bases(pos + n - 4, 4))).otherwise(bases(pos, n)))
+    wrong = F.pmod(order * -38, F.lit(53)).cast("int")          # 7 * 38 = 1 (mod 53): the one offset with an error
+    hit = (wrong < n) & ~(indel & ~soft & (wrong == 8))
+    seq = F.when(hit, F.overlay(seq, F.translate(F.substring(seq, wrong + 1, F.lit(1)), "ACGT", "GTAC"), wrong + 1, F.lit(1))).otherwise(seq)
     shown = F.translate("qual", "".join(chr(c) for c in range(74, 105)), "".join(chr(c) for c in range(43, 74)))
-    return r.select("qname", "flag", "rname", "pos", "aln_end", cigar.alias("cigar"), seq.alias("seq"), shown.alias("qual"), order.alias("order"))
+    return r.select("qname", "flag", "rname", "pos", "aln_end", cigar.alias("cigar"), seq.alias("seq"), shown.alias("qual")).checkpoint()
 
 
 def reference_chunks(reads: DataFrame) -> DataFrame:
     """(name, number, bases) of the chunks of the reference that reads reach."""
     numbers = F.explode(F.sequence(F.floor((F.col("pos") - 1) / CHUNK), F.floor(F.col("aln_end") / CHUNK)))
     found = reads.select(F.col("rname").alias("name"), numbers.alias("number")).distinct()
-    at = F.transform(F.sequence(F.lit(1), F.lit(CHUNK)), lambda i: _letter(_rule(F.col("number") * CHUNK + i)))
-    return found.select("name", "number", F.array_join(at, "").alias("bases"))
+    return found.select("name", "number", _stretch(_rule, F.col("number") * CHUNK + 1, CHUNK).alias("bases"))
 
 
 _SEQUENCED_SQL = READS_SQL + """
