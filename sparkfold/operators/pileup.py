@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfold.operators.reads import PHRED_OFFSET
 
@@ -184,12 +185,13 @@ def recalibrate(reads: DataFrame, table: DataFrame, max_rows: int = 2_000_000) -
     """``reads`` with ``new_qual``: every base's quality replaced by the empirical one of its covariates, if the table has them.
 
     The table is bounded by its covariates (refused beyond ``max_rows``) and sent to every task; reads are not shuffled."""
+    reads = reads.drop("new_qual")
     rows = table.select(*COVARIATES, "empirical").limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} combinations of covariates")
     sent = reads.sparkSession.sparkContext.broadcast({(r.q, r.cycle, r.context): chr(PHRED_OFFSET + max(0, min(TOP_QUALITY, r.empirical))) for r in rows})
     at = [reads.columns.index(c) for c in ("seq", "qual", "flag")]
-    schema = reads.drop("new_qual").withColumn("new_qual", F.lit("").cast("string")).schema
+    schema = T.StructType([*reads.schema.fields, T.StructField("new_qual", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = sent.value
@@ -203,4 +205,4 @@ def recalibrate(reads: DataFrame, table: DataFrame, max_rows: int = 2_000_000) -
                 cycles = range(n, 0, -1) if (flag or 0) & 16 else range(1, n + 1)
                 out.append("".join(new.get((ord(c) - PHRED_OFFSET, k, seq[max(0, i - 1):i + 1]), c) for i, (c, k) in enumerate(zip(qual, cycles))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "new_qual"])
-    return reads.drop("new_qual").mapInArrow(run, schema)
+    return reads.mapInArrow(run, schema)

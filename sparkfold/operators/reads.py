@@ -104,6 +104,14 @@ def five_prime(pos: Column, aln_end: Column, cigar: Column, reverse: Column) ->
     return F.when(reverse, aln_end + trail).otherwise(pos - lead)
 
 
+def with_ends(reads: DataFrame) -> DataFrame:
+    """``reads`` with strand, ``mapped``, 5' position and quality sum."""
+    return (reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0)
+            .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
+            .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
+            .withColumn("qsum", quality_sum(F.col("qual"))))
+
+
 def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     """Among mapped reads with the same (rname, 5' position, strand), all
     but the one with the highest quality sum (then smallest name, flag,
@@ -113,17 +121,71 @@ def mark_duplicates(reads: DataFrame, name: str = "qname") -> DataFrame:
     with a map-side partial stage, so a hot position is pre-combined on every
     mapper -- and one join brings the flag back to every read.
     """
-    r = (reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0)
-         .withColumn("mapped", F.col("flag").bitwiseAND(4) == 0)
-         .withColumn("pos5", five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("is_reverse")))
-         .withColumn("qsum", quality_sum(F.col("qual"))))
-    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"), "flag", "cigar", "qual")
+    r = with_ends(reads)
+    rank_key = F.struct((-F.col("qsum")).alias("nq"), F.col(name).alias("nm"), F.xxhash64("flag", "cigar", "qual").alias("tie"))
     keys = ["rname", "pos5", "is_reverse"]
     best = r.where("mapped").groupBy(*keys).agg(F.min(rank_key).alias("_best"))
     out = r.join(best, keys, "left")
     return out.withColumn("is_dup", F.col("mapped") & (rank_key != F.col("_best"))).drop("_best")
 
 
+def templates(reads: DataFrame, name: str = "qname", library: str = "library") -> DataFrame:
+    """One row per (library, name): ``reads``, ``mapped``, both 5' ends (``lo``, ``hi``: rname, pos5, strand) and the quality sum.
+
+    A template with two mapped primary reads is a pair; its key is both ends in order.  All others are
+    fragments.  Ends are a minimum and a maximum, so a name that a third of all reads carry is combined map-side."""
+    primary = with_ends(reads.where(F.col("flag").bitwiseAND(0x900) == 0))
+    end = F.when(F.col("mapped"), F.struct("rname", "pos5", "is_reverse"))
+    return (primary.groupBy(F.col(library).alias("library"), F.col(name).alias("name"))
+            .agg(F.count("*").alias("reads"), F.count_if("mapped").alias("mapped"), F.min(end).alias("lo"), F.max(end).alias("hi"),
+                 F.sum(F.when(F.col("mapped"), F.col("qsum"))).alias("score")))
+
+
+def mark_template_duplicates(found: DataFrame) -> DataFrame:
+    """``templates`` with ``kind`` (pair, fragment, unmapped; ``other`` for more than two mapped reads) and ``is_dup``.
+
+    Of pairs of one library with both ends equal, all but the one with the highest score (then smallest name) are duplicates.  Of
+    fragments at one end, all but the best are; and all are where a pair has an end.  Others never are."""
+    kind = (F.when(F.col("mapped") == 2, "pair").when(F.col("mapped") == 1, "fragment").when(F.col("mapped") == 0, "unmapped").otherwise("other"))
+    t = found.withColumn("kind", kind)
+    order = F.struct((-F.col("score")).alias("s"), "name")
+    key = ["library", "kind", "lo", "hi"]
+    best = t.where(F.col("kind").isin("pair", "fragment")).groupBy(*key).agg(F.min(order).alias("best"))
+    taken = (t.where("kind = 'pair'").select("library", F.explode(F.array("lo", "hi")).alias("lo")).distinct()
+             .withColumns({"taken": F.lit(True), "kind": F.lit("fragment")}))
+    return (t.join(best, key, "left").join(taken, ["library", "kind", "lo"], "left")
+            .withColumn("is_dup", F.col("best").isNotNull() & ((order != F.col("best")) | F.coalesce("taken", F.lit(False))))
+            .drop("best", "taken"))
+
+
+def library_size(pairs: Column, unique: Column) -> Column:
+    """Distinct templates X in the library from which ``pairs`` draws gave ``unique`` ones: unique / X = 1 - exp(-pairs / X).
+
+    Bisection on log2(X / unique); null without duplicates or without pairs."""
+    n, c = pairs.cast("double"), unique.cast("double")
+
+    def step(acc: Column, _: Column) -> Column:
+        mid = (acc["a"] + acc["b"]) / 2
+        x = c * F.pow(F.lit(2.0), mid)
+        more = c / x - 1 + F.exp(-n / x) > 0               # the root lies at a larger X
+        return F.struct(F.when(more, mid).otherwise(acc["a"]).alias("a"), F.when(more, acc["b"]).otherwise(mid).alias("b"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(F.lit(0.0).alias("a"), F.lit(64.0).alias("b")), step)
+    return F.when((n > c) & (c > 0), F.round(c * F.pow(F.lit(2.0), found["a"])).cast("long"))
+
+
+def duplicate_metrics(marked: DataFrame) -> DataFrame:
+    """One row per library of ``mark_template_duplicates``."""
+    pair, single, dup = F.col("kind") == "pair", F.col("kind") == "fragment", F.col("is_dup")
+    m = marked.groupBy("library").agg(
+        F.count_if(single).alias("unpaired_examined"), F.count_if(pair).alias("pairs_examined"),
+        F.sum(F.col("reads") - F.col("mapped")).alias("unmapped_reads"), F.count_if(single & dup).alias("unpaired_duplicates"),
+        F.count_if(pair & dup).alias("pair_duplicates"))
+    read = F.col("unpaired_examined") + 2 * F.col("pairs_examined")
+    share = (F.col("unpaired_duplicates") + 2 * F.col("pair_duplicates")) / read
+    return (m.withColumn("duplicate_share", F.when(read > 0, share))
+            .withColumn("library_size", library_size(F.col("pairs_examined"), F.col("pairs_examined") - F.col("pair_duplicates"))))
+
+
 def clean_alignments(reads: DataFrame, seq_dict: DataFrame) -> DataFrame:
     """Clip alignment ends past the sequence end; MAPQ 0 for unmapped."""
     d = seq_dict.select(F.col("name").alias("rname"), F.col("length").alias("_len"))

@@ -18,6 +18,7 @@ from sparkfold.operators.placement import assign_groups, greedy_groups, key_coun
 from sparkfold.plans.genomics import _GREEDY_SQL, N_GROUPS, regions
 from sparkfold.plans.registry import query, table
 from sparkfold.session import scratch_path
+from sparkfold.sinks.chunks import read_task_log, write_chunk_files
 from sparkfold.sinks.report import read_report, write_report
 from sparkfold.sources.fastq import fastq_text, read_fastq, with_record_ordinal
 
@@ -123,6 +124,26 @@ def paired_chunks(spark: SparkSession, sf_dir: str):
     return back.select("name", "sequence", "plus", "quality")
 
 
+@query("chunk_files", oracle=_PAIRS_SQL + f"""
+, c2 AS (SELECT conv_id, turn, {_seq_sql('text')} AS s FROM conversations),
+size AS (SELECT greatest(4, CAST(ceil(count(*) / 1000000.0) AS BIGINT)) AS n FROM conversations),
+named AS (SELECT conv_id % n AS chunk, '@c' || conv_id || '_' || turn || '/1' AS name FROM c2, size)
+SELECT CAST(chunk AS INT) AS "partition", 'chunk' || chunk || '.fq.gz' AS file, count(*) AS "rows", 2 * count(*) AS records,
+  min(name) AS first_name, max(name) AS last_name FROM named GROUP BY chunk
+""")
+def chunk_files(spark: SparkSession, sf_dir: str):
+    """Pairs by conversation into numbered chunk files, committed as a whole; the task log beside what is read back."""
+    a, b = _mates(spark, sf_dir)
+    n = max(4, -(-table(spark, sf_dir, "conversations").count() // 1_000_000))
+    pairs = interleave(a, b).withColumn("chunk", (F.regexp_extract("pair", "^@c([0-9]+)_", 1).cast("long") % n).cast("int"))
+    path = write_chunk_files(pairs, scratch_path(spark, "chunk-files"), "pair", "chunk", n)
+    back = (read_fastq(spark, path).groupBy(F.regexp_extract("file", "([^/]*)$", 1).alias("file"))
+            .agg(F.count("*").alias("records"), F.min(F.when(F.col("name").endswith("/1"), F.col("name"))).alias("first_name"),
+                 F.max(F.when(F.col("name").endswith("/1"), F.col("name"))).alias("last_name")))
+    return (read_task_log(spark, path).where("rows > 0").select("partition", "file", "rows").join(back, "file")
+            .select("partition", "file", "rows", "records", "first_name", "last_name"))
+
+
 @query("file_fanout", oracle="SELECT c_nationkey, count(*) AS n_lines FROM customer GROUP BY c_nationkey")
 def file_fanout(spark: SparkSession, sf_dir: str):
     """One text folder per nation; ``wc -l`` runs once per file

@@ -1,4 +1,4 @@
-"""Pileup, variant call and recalibration queries.
+"""Pileup, variant call, recalibration and duplicate metrics queries.
 
 Binding: every ``lineitem`` row is one read, as in ``plans/genomics`` (name, reference, position, strand, qualities
 at offset 33).  Every fifth line of 20 bases and more has an insertion and a deletion, every third a soft clip.  Bases come from a reference
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparkfold.operators.joins import small, spread
 from sparkfold.operators.pileup import (BASES, aligned_bases, call_variants, clip_past_end, covariates, pileup, recalibrate, vcf_body,
                                         with_reference)
+from sparkfold.operators.reads import duplicate_metrics, mark_template_duplicates, templates
 from sparkfold.plans.genomics import READS_SQL, seq_dict_df, typed_reads
 from sparkfold.plans.registry import query
 from sparkfold.session import checkpoint_root, scratch_path
@@ -190,3 +191,58 @@ FROM c
 def clean_cigars(spark: SparkSession, sf_dir: str):
     """What reaches past the end of a sequence is soft-clipped in the CIGAR; the end follows from it."""
     return clip_past_end(typed_reads(spark, sf_dir), small(seq_dict_df(spark))).select("qname", "clean_cigar", "clean_end")
+
+
+# --- mates and duplicate metrics --------------------------------------------------------------------------------
+
+def paired_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads in narrow libraries: two lines of an order are mates; three references, twenty places."""
+    r = typed_reads(spark, sf_dir)
+    part = F.split("qname", "_")
+    line, key = part[1].cast("int"), part[2].cast("long")
+    order, move = _order(F.col("qname")), ((key % 20 - key) * 75).cast("int")
+    return r.select(F.concat(F.lit("LIB"), (order % 3).cast("string")).alias("library"),
+                    F.concat_ws("/", order.cast("string"), F.floor((line + 1) / 2).cast("string")).alias("qname"), "flag",
+                    F.concat(F.lit("chr"), (part[3].cast("long") % 3 + 1).cast("string")).alias("rname"),
+                    (F.col("pos") + move).alias("pos"), (F.col("aln_end") + move).alias("aln_end"), "cigar", "qual")
+
+
+_PAIRS_SQL = READS_SQL + r"""
+, p0 AS (SELECT 'LIB' || CAST(split_part(substr(qname, 2), '_', 1) AS BIGINT) % 3 AS library,
+    split_part(substr(qname, 2), '_', 1) || '/' || (CAST(split_part(qname, '_', 2) AS INT) + 1) // 2 AS name, flag, cigar,
+    'chr' || (CAST(split_part(qname, '_', 4) AS BIGINT) % 3 + 1) AS rname, flag & 16 <> 0 AS rev,
+    list_sum(list_transform(range(1, length(qual) + 1), lambda i: ascii(substr(qual, i, 1)) - 33)) AS qsum,
+    (CAST(split_part(qname, '_', 3) AS BIGINT) % 20 - CAST(split_part(qname, '_', 3) AS BIGINT)) * 75 AS move, pos, aln_end FROM reads),
+p1 AS (SELECT *, CASE WHEN rev THEN aln_end + move + coalesce(TRY_CAST(regexp_extract(cigar, '(\d+)S$', 1) AS INT), 0)
+    ELSE pos + move - coalesce(TRY_CAST(regexp_extract(cigar, '^(\d+)S', 1) AS INT), 0) END AS pos5 FROM p0),
+t AS (SELECT library, name, count(*) AS reads, count(*) FILTER (flag & 4 = 0) AS mapped, min((rname, pos5, rev)) FILTER (flag & 4 = 0) AS lo,
+    max((rname, pos5, rev)) FILTER (flag & 4 = 0) AS hi, sum(qsum) FILTER (flag & 4 = 0) AS score FROM p1 GROUP BY library, name),
+k AS (SELECT *, CASE mapped WHEN 2 THEN 'pair' WHEN 1 THEN 'fragment' WHEN 0 THEN 'unmapped' ELSE 'other' END AS kind FROM t),
+taken AS (SELECT DISTINCT library, unnest([lo, hi]) AS e FROM k WHERE kind = 'pair'),
+marked AS (SELECT library, name, reads, mapped, kind, kind IN ('pair', 'fragment') AND
+      (row_number() OVER (PARTITION BY library, kind, lo, hi ORDER BY score DESC, name) > 1
+       OR (kind = 'fragment' AND EXISTS (SELECT 1 FROM taken WHERE taken.library = k.library AND taken.e = k.lo))) AS is_dup FROM k)
+""".replace("\\d", "\d")
+
+
+@query("mark_pair_duplicates", oracle=_PAIRS_SQL + "SELECT library, name, kind, is_dup FROM marked")
+def mark_pair_duplicates(spark: SparkSession, sf_dir: str):
+    """Duplicates among pairs by both 5' ends, and among fragments."""
+    return mark_template_duplicates(templates(paired_reads(spark, sf_dir))).select("library", "name", "kind", "is_dup")
+
+
+@query("duplicate_metrics", oracle=_PAIRS_SQL + """
+, m AS (SELECT library, count(*) FILTER (kind = 'fragment') AS unpaired_examined, count(*) FILTER (kind = 'pair') AS pairs_examined,
+    CAST(sum(reads - mapped) AS BIGINT) AS unmapped_reads, count(*) FILTER (kind = 'fragment' AND is_dup) AS unpaired_duplicates,
+    count(*) FILTER (kind = 'pair' AND is_dup) AS pair_duplicates FROM marked GROUP BY library),
+u AS (SELECT *, CAST(pairs_examined AS DOUBLE) AS n, CAST(pairs_examined - pair_duplicates AS DOUBLE) AS c FROM m)
+SELECT library, unpaired_examined, pairs_examined, unmapped_reads, unpaired_duplicates, pair_duplicates,
+  (unpaired_duplicates + 2 * pair_duplicates) / (unpaired_examined + 2 * pairs_examined) AS duplicate_share,
+  CASE WHEN n > c AND c > 0 THEN CAST(round(c * pow(2.0, list_reduce(list_concat([[0.0, 64.0]], list_transform(range(60), lambda i: [0.0, 0.0])),
+    lambda s, x: CASE WHEN c / (c * pow(2.0, (s[1] + s[2]) / 2)) - 1 + exp(-n / (c * pow(2.0, (s[1] + s[2]) / 2))) > 0
+      THEN [(s[1] + s[2]) / 2, s[2]] ELSE [s[1], (s[1] + s[2]) / 2] END)[1])) AS BIGINT) END AS library_size
+FROM u
+""")
+def duplicate_metrics_query(spark: SparkSession, sf_dir: str):
+    """One metrics row per library, with the estimated number of distinct templates."""
+    return duplicate_metrics(mark_template_duplicates(templates(paired_reads(spark, sf_dir))))
