@@ -1,18 +1,18 @@
 """Personal data: base patterns and information-theoretic sanitisation (native).
 
 Base spans are e-mail addresses, IP addresses, card numbers (Luhn) and phone
-numbers.  They are the protected entities.  Words near them can give them away
-too: if, over the corpus, most documents that hold a word also hold the entity
-it stands next to, the word discloses the entity.  For every word that stands
-within ``reach`` characters of the entity somewhere, counts over all documents
-estimate
+numbers.  They are the protected entities.  Words can give them away too: if,
+over the corpus, most documents that hold a word also hold the entity, the word
+discloses the entity.  For every word of a document with the entity, wherever
+it stands, counts over all documents estimate
 
     share = documents with the word and the entity, wherever they stand / documents with the word
     bits  = log2(share / (documents with the entity / all documents))
 
 Words with a share of at least ``generalise`` that give at least ``least_bits``
 and stand in documents with ``least_contexts`` different contexts of the entity
-(copies of one context count once) are flagged.  Every occurrence of a flagged
+are flagged (a context is the words within ``reach`` characters of the entity;
+copies of one passage count once).  Words have three letters at least.  Every occurrence of a flagged
 word, in any document, becomes a span of kind ``term``.  Words inside base
 spans are no words.  ``sanitise`` replaces
 base spans by their kind, terms by ``[TERM]``, and removes terms whose share
@@ -25,11 +25,11 @@ replaced by a mark of the same length, so that a character class repeats
 instead.  Look-behinds that forbid a start inside a run of the same class keep
 the search linear and change no match.
 
-Scale: texts are read four times and not shuffled; what moves is a row for each
-word near an entity, counts that are combined before the shuffle, and a row for
-each document and word that can still be flagged: entities in too many
-documents for ``least_bits`` or with too few contexts, and words in too many
-documents for ``generalise``, cannot and go first.
+Scale: texts are read four times and shuffled only where lists of rows are not
+measured to be small; what moves is a row for each word of a document with an
+entity that can still be disclosed, and counts that are combined before the
+shuffle: entities in too many documents for ``least_bits`` or with too few
+contexts, and words in too many documents for ``generalise``, go first.
 
 Cases.  Null text: empty.  Null or repeated ids: every row is judged by itself
 (rows get their own number).  Empty tables give empty results.  Further
@@ -127,57 +127,56 @@ def count_of(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
-def _near(text: Column, span: Column, reach: int) -> Column:
-    """(start, stop, found) of the whole words within ``reach`` characters of a span."""
+def _context(text: Column, span: Column, reach: int) -> Column:
+    """The whole words within ``reach`` characters of a span: what tells copies of one passage from different mentions."""
     lo = F.greatest(span["start"] - reach, F.lit(0))
     left = F.substr(text, lo + 1, span["start"] - lo)
     right = F.substr(text, span["stop"] + 1, F.lit(reach))
     before = F.filter(matches(left, WORD), lambda x: ((x["start"] > 0) | (lo == 0)) & (x["stop"] < F.length(left)))
     after = F.filter(matches(right, WORD), lambda x: (x["start"] > 0) & (x["stop"] < reach))
+    return F.transform(F.concat(before, after), lambda x: F.lower(x["found"]))
 
-    def moved(words: Column, by: Column) -> Column:
-        return F.transform(words, lambda x: F.struct((x["start"] + by).alias("start"), (x["stop"] + by).alias("stop"),
-                                                     F.lower(x["found"]).alias("term")))
-    return F.concat(moved(before, lo), moved(after, span["stop"]))
 
-
-def _row_terms(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(row, term): the ``wanted`` words of every row, outside of base spans."""
+def _row_words(rows: DataFrame) -> DataFrame:
+    """(row, term): the distinct words of three letters and more of every row, outside of base spans."""
     cut = F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
         F.greatest(acc["at"], s["stop"]).alias("at"),
         F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.lit(" ")).alias("out")))
     outside = (rows.select("row", "text", F.when(F.size("base") > 0, cut).alias("cut"))
                .select("row", F.when(F.col("cut").isNull(), F.col("text"))
                        .otherwise(F.concat("cut.out", F.substr("text", F.col("cut.at") + 1, F.length("text")))).alias("text")))
-    words = outside.select("row", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-    return words.join(bounded_broadcast(wanted), "term", "left_semi")
+    return (outside.select("row", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
+            .where(F.length("term") >= 3))
 
 
-def disclosing_terms(near: DataFrame, rows: DataFrame, least_contexts: int, least_bits: float, generalise: float) -> tuple[DataFrame, DataFrame]:
+def disclosing_terms(seen: DataFrame, rows: DataFrame, least_contexts: int, least_bits: float, generalise: float) -> tuple[DataFrame, DataFrame]:
     """(entity, term, share) of the words that give an entity away, and (row, term) of all rows with a word that could.
 
-    ``near``: row, entity, term, context; ``rows``: row, text, base."""
+    ``seen``: row, entity, context; ``rows``: row, text, base.  Candidates are all words of the documents with an entity."""
     total = F.lit(rows.count())
-    seen = settled(near.select("entity", "row", "context").distinct(), "pii-seen")
     entities = (seen.groupBy("entity").agg(F.count_distinct("row").alias("with_entity"), F.count_distinct("context").alias("contexts"))
                 .where(F.col("contexts") >= least_contexts).drop("contexts")
                 # the share that is needed; above 1 no word can have it
                 .withColumn("need", F.greatest(F.lit(generalise), F.lit(2.0 ** least_bits) * F.col("with_entity") / total))
                 .where(F.col("need") < 1.000001))
-    pairs = settled(near.select("entity", "term").distinct().join(entities, "entity"), "pii-pairs")
-    terms = settled(pairs.select("term").distinct(), "pii-terms")
-    with_term = _row_terms(rows, terms).groupBy("term").agg(F.count("*").alias("with_term"))
-    # a word in more documents than this has too low a share even if it stands in every document with the entity
-    pairs = settled(pairs.join(with_term, "term").where(F.col("with_term") * F.col("need") <= F.col("with_entity") * 1.000001), "pii-candidates")
-    row_terms = settled(_row_terms(rows, settled(pairs.select("term").distinct(), "pii-rare-terms")), "pii-row-terms")
-    both = (pairs.join(row_terms, "term").join(seen, ["row", "entity"])
-            .groupBy("entity", "term", "with_term", "with_entity")
-            .agg(F.count_distinct("row").alias("both"), F.count_distinct("context").alias("contexts")))
+    entities = settled(entities, "pii-entities")
+    holders = settled(seen.join(bounded_broadcast(entities.select("entity")), "entity", "left_semi"), "pii-holders")
+    of_holders = _row_words(rows.join(bounded_broadcast(holders.select("row").distinct()), "row", "left_semi"))
+    both = (of_holders.join(holders, "row").groupBy("entity", "term")
+            .agg(F.count_distinct("row").alias("both"), F.count_distinct("context").alias("contexts"))
+            .where(F.col("contexts") >= least_contexts))
+    pairs = settled(both.join(entities, "entity"), "pii-pairs")
+    terms = settled(pairs.groupBy("term").agg(F.max(F.col("both") / F.col("need")).alias("most")), "pii-terms")
+    # a word in more documents than both / need has too low a share for every entity
+    with_term = (_row_words(rows).join(bounded_broadcast(terms), "term").groupBy("term", "most").agg(F.count("*").alias("with_term"))
+                 .where(F.col("with_term") <= F.col("most") * 1.000001))
+    rare = settled(with_term.select("term", "with_term"), "pii-rare-terms")
     share = F.col("both") / F.col("with_term")
-    flagged = (both.where((F.col("contexts") >= least_contexts) & (share >= generalise)
-                          & (F.log2(share / (F.col("with_entity") / total)) >= least_bits))
+    flagged = (pairs.join(rare, "term").where((share >= generalise) & (F.log2(share / (F.col("with_entity") / total)) >= least_bits))
                .select("entity", "term", share.alias("share")))
-    return flagged, row_terms
+    flagged = settled(flagged, "pii-flagged-pairs")
+    named = settled(flagged.select("term").distinct(), "pii-flagged-terms")
+    return flagged, _row_words(rows).join(bounded_broadcast(named), "term", "left_semi")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 80, least_contexts: int = 2,
@@ -187,27 +186,21 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     # rows are numbered once; contexts are cut out where the text is at hand
     rows = settled(base_spans(texts).select(
         F.monotonically_increasing_id().alias("row"), id_col, "text", "base"), "pii-rows")
-    spans = (rows.where(F.size("base") > 0).select("row", "text", "base", F.explode("base").alias("span"))
-             .select("row", "base", F.concat_ws(":", "span.kind", "span.value").alias("entity"),
-                     _near(F.col("text"), F.col("span"), reach).alias("words")))
-    # an entity without any word near it counts too, as a document with the entity
-    near = (spans.select("row", "base", "entity", F.hash(F.col("words.term")).alias("context"), F.explode_outer("words").alias("w"))
-            .select("row", "entity", "context", F.when(
-                (F.length("w.term") >= 3) & ~F.exists("base", lambda b: (b["start"] < F.col("w.stop")) & (F.col("w.start") < b["stop"])),
-                F.col("w.term")).alias("term")))
-    near = settled(near.distinct(), "pii-near")
-    flagged, row_terms = disclosing_terms(near, rows, least_contexts, least_bits, generalise)
+    spans = (rows.where(F.size("base") > 0).select("row", "text", F.explode("base").alias("span"))
+             .select("row", F.concat_ws(":", "span.kind", "span.value").alias("entity"), _context(F.col("text"), F.col("span"), reach).alias("words")))
+    seen = settled(spans.select("row", "entity", F.xxhash64("words").alias("context")).distinct(), "pii-seen")
+    flagged, row_terms = disclosing_terms(seen, rows, least_contexts, least_bits, generalise)
     shares = settled(flagged.groupBy("term").agg(F.max("share").alias("share")), "pii-flagged")
     hits = (row_terms.join(bounded_broadcast(shares), "term").groupBy(F.col("row").alias("_row"))
             .agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("_hits")))
     hits = bounded_broadcast(settled(hits, "pii-row-hits"))
     # the words are runs of letters, so they stand for themselves in a pattern
-    found = rows.join(hits, F.col("row") == F.col("_row"), "left").withColumn("_pattern", F.concat(
+    found = rows.join(hits, F.col("row") == F.col("_row"), "left").withColumn("_shares", F.map_from_entries("_hits")).withColumn("_pattern", F.concat(
         F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_hits.term", "|"), F.lit(r")(?!\p{L})")))
     free = F.filter(matches(F.col("text"), F.col("_pattern")), lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
 
     def share_of(x: Column) -> Column:
-        return F.get(F.filter("_hits", lambda h: h["term"] == F.lower(x["found"])), F.lit(0))["share"]
+        return F.try_element_at(F.col("_shares"), F.lower(x["found"]))
     terms = F.filter(F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), share_of(x).alias("share"))),
                      lambda x: x["share"].isNotNull())
     return found.select(id_col, "text", "base", F.when(F.col("_hits").isNotNull(), terms).otherwise(

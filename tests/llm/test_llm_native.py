@@ -224,3 +224,46 @@ def test_disclosing_terms_far_from_the_address(spark):
         want = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"(?i)\b(quixotl|zarbatane)\b", text)]
         assert set(want) <= set(spans) and not re.search(r"(?i)\b(quixotl|zarbatane)\b", out[i].clean_text)
     assert out[6].clean_text == "mail to xquixotly" and out[10].spans == ""
+
+
+def test_terms_against_brute_force_counts(spark):
+    """Flagged (document, term) pairs from direct co-occurrence counts, the entity anywhere in its documents."""
+    import collections
+    import math
+    import random
+
+    from sparkfold.llm.pii import find_pii
+
+    rng = random.Random(8)
+    people = {f"p{k}@x.org": f"name{chr(97 + k) * 3}" for k in range(6)}
+    texts = []
+    for k in range(160):
+        words = [rng.choice("alpha beta gamma delta omega sigma kappa theta".split()) + rng.choice("xyz") for _ in range(60)]
+        if k % 9 == 0:
+            mail = rng.choice(sorted(people))
+            words.insert(0, mail)
+            words[rng.randrange(30, 55)] = people[mail] if rng.random() < 0.9 else "nobody"
+        elif k % 31 == 0:
+            words[5] = rng.choice(sorted(people.values()))
+        texts.append(" ".join(words))
+    texts += [texts[0], None, ""]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, term string")
+    got = {(r.doc_id, t.lower()) for r in find_pii(docs).collect() for t in [r.text[s.start:s.stop] for s in r.terms]}
+    mails, contexts, words = collections.defaultdict(set), collections.defaultdict(set), collections.defaultdict(set)
+    for k, t in enumerate(texts):
+        t = t or ""
+        found = [m for m in re.finditer(r"[a-z0-9.]+@[a-z.]+", t)]
+        for w in re.findall(r"[a-z]{3,}", re.sub(r"[a-z0-9.]+@[a-z.]+", " ", t)):
+            words[w].add(k)
+        for m in found:
+            mails[m.group()].add(k)
+            after = t[m.end():m.end() + 80]
+            contexts[m.group(), k].add(tuple(re.findall(r"(?<=[^a-z])[a-z]+(?=[^a-z])", after)))
+    flagged = set()
+    for mail, own in mails.items():
+        for w, has in words.items():
+            share = len(own & has) / len(has)
+            if share >= 0.5 and math.log2(share / (len(own) / len(texts))) >= 4 and len(set().union(*(contexts[mail, k] for k in own & has))) >= 2:
+                flagged.add(w)
+    assert flagged and any(w.startswith("name") for w in flagged)
+    assert got == {(k, w) for w in flagged for k in words[w]}
