@@ -13,10 +13,13 @@ equal payloads of at least ``min_revisit`` bytes, the one with the largest id
 is the response and the others are ``revisit`` records that refer to it;
 smaller payloads are responses in every record (but are still stored once).
 
-Scale: only digests are grouped and joined for all records; payload bytes move
-once, those of the chosen owners only matter, and a payload shared by a third
-of all records is one stored row.  The header join is an equi-join on the
-digest that AQE splits when one payload is very frequent.
+The query's columns are read from the rebuilt records' bytes (``record_facts``).
+
+Scale: digests are grouped and joined for all records; writing the store moves
+no payload (rows that do not own theirs are left out where they are read, by a
+list that is sent while it is measured small); rebuilding moves each stored
+payload once, to the headers with its key, a join that AQE splits when one
+payload is very frequent.
 
 Cases.  A null payload is an empty one.  A null or multi-line url: no, or an
 escaped, target line.  Rows repeated with one id: each gives a record, all of
@@ -30,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.llm.common import bounded_broadcast, settled
 from sparkfold.session import scratch_path
 
 CRLF = "\r\n"
@@ -75,10 +79,20 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
      .select("page_id", header_block(kind, F.col("page_id"), F.col("url"), F.col("sha1"), F.col("payload_length"),
                                      F.col("owner"), date).alias("header"), "payload_key", "payload_length")
      .write.parquet(f"{root}/headers"))
-    # the bytes: one row per key, that of the owner
-    (rows.select(F.sha2("payload", 256).alias("payload_key"), F.octet_length("payload").cast("long").alias("payload_length"), "payload")
-     .groupBy("payload_key", "payload_length").agg(F.first("payload").alias("payload"))
-     .write.parquet(f"{root}/payloads"))
+    # the bytes: one row per key.  Rows that do not own theirs are left out where the texts are read; only keys whose owner
+    # is not one row (no id, or an id that stands there more than once) bring their texts together
+    key = ["payload_key", "payload_length"]
+    copies = keyed.groupBy(*key, "page_id").agg(F.count("*").alias("n"))
+    many = copies.groupBy(*key).agg(F.max("page_id").alias("owner"), F.max_by("n", "page_id").alias("n"))
+    odd = settled(many.where("owner IS NULL OR n > 1").select(F.col("payload_key").alias("_k")), "warc-odd-keys")
+    spare = settled(copies.join(many.drop("n"), key).where(~F.col("page_id").eqNullSafe(F.col("owner")))
+                    .select(F.col("payload_key").alias("_k"), F.col("page_id").alias("_p")), "warc-spare")
+    stored = rows.select("page_id", F.sha2("payload", 256).alias("payload_key"), F.octet_length("payload").cast("long").alias("payload_length"), "payload")
+    one = (stored.join(bounded_broadcast(spare), (F.col("payload_key") == F.col("_k")) & F.col("page_id").eqNullSafe(F.col("_p")), "left_anti")
+           .join(bounded_broadcast(odd), F.col("payload_key") == F.col("_k"), "left_anti").select(*key, "payload"))
+    rest = (stored.join(bounded_broadcast(odd), F.col("payload_key") == F.col("_k"), "left_semi")
+            .groupBy(*key).agg(F.first("payload").alias("payload")).select(*key, "payload"))
+    one.unionByName(rest).write.parquet(f"{root}/payloads")
     return root
 
 
@@ -108,17 +122,6 @@ def read_payloads(spark: SparkSession, root: str, with_bytes: bool = True) -> Da
                          F.sha1("payload").alias("payload_digest"), *(["payload"] if with_bytes else []))
 
 
-def read_records(spark: SparkSession, root: str) -> DataFrame:
-    """Every record's fields with the facts (length, SHA-1) of its payload as stored; no payload bytes move."""
-    headers = read_headers(spark, root)
-    facts = read_payloads(spark, root, with_bytes=False)
-    same = F.when(F.col("sha1") == F.col("payload_digest"), F.col("payload_digest")).otherwise(
-        F.raise_error(F.concat(F.lit("header and payload differ in record "), F.col("page_id").cast("string"))).cast("string"))
-    return (headers.join(facts, ["payload_key", "payload_length"])
-            .select("page_id", F.col("payload_length").alias("payload_bytes"), same.alias("payload_digest"), "record_type",
-                    "refers_to", "url"))
-
-
 def restore(spark: SparkSession, root: str) -> DataFrame:
     """page_id, record (the exact bytes of the WARC record) and payload (a revisit's is the one it refers to)."""
     rows = read_headers(spark, root).join(read_payloads(spark, root), ["payload_key", "payload_length"])
@@ -126,6 +129,29 @@ def restore(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("page_id", F.concat("header", block, F.lit(CRLF + CRLF).cast("binary")).alias("record"), "payload")
 
 
+def record_facts(records: DataFrame) -> DataFrame:
+    """Fields of rebuilt records (page_id, record, payload), from their bytes alone; a record that contradicts itself raises.
+
+    The header ends at the first empty line.  Content-Length must be that of the block, and the digest that of
+    the block (response) or of the payload that a revisit refers to."""
+    end = CRLF + CRLF
+    head = F.decode(F.encode(F.substring_index(F.decode("record", "ISO-8859-1"), end, 1), "ISO-8859-1"), "UTF-8")
+    rows = records.select("payload", F.octet_length("record").alias("size"), F.concat(F.lit("\n"), head, F.lit("\r")).alias("head"))
+
+    def field(name: str) -> Column:
+        return F.nullif(F.regexp_extract("head", rf"\n{name}: ([^\r\n]*)\r", 1), F.lit(""))
+
+    def page(name: str) -> Column:
+        return F.regexp_extract(field(name), "^<urn:page:(-?[0-9]*)>$", 1).try_cast("long")
+    block = F.col("size") - F.octet_length("head") + 2 - 8                    # without the header, its empty line and the closing one
+    kind, sha1, length = field("WARC-Type"), F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", ""), F.octet_length("payload").cast("long")
+    good = ((block == field("Content-Length").cast("long")) & (sha1 == F.sha1("payload"))
+            & (block == F.when(kind == "revisit", F.lit(0)).otherwise(length)))
+    digest = F.when(good, sha1).otherwise(F.raise_error(F.concat(F.lit("record contradicts itself: "), F.col("head"))).cast("string"))
+    return rows.select(page("WARC-Record-ID").alias("page_id"), length.alias("payload_bytes"), digest.alias("payload_digest"),
+                       kind.alias("record_type"), page("WARC-Refers-To").alias("refers_to"), field("WARC-Target-URI").alias("url"))
+
+
 def archive_pages(spark: SparkSession, pages: DataFrame, root: str | None = None, **options) -> DataFrame:
-    """Write the archive, then read its records back."""
-    return read_records(spark, write_archive(pages, root or scratch_path(spark, "warc"), **options))
+    """Write the archive, rebuild its records through joins, and read the fields of the rebuilt ones."""
+    return record_facts(restore(spark, write_archive(pages, root or scratch_path(spark, "warc"), **options)))

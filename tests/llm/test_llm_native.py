@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from sparkfold.llm.decontaminate import drop_leaks, find_leaks
 from sparkfold.llm.line_dedup import dedup_lines
 from sparkfold.llm.pii import find_pii, sanitise, span_strings
@@ -102,6 +104,25 @@ def test_warc_round_trip(spark):
     assert archive_pages(spark, pages.limit(0)).count() == 0
 
 
+def test_records_are_read_from_their_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from sparkfold.llm.warc_archive import record_facts
+
+    big = "é" * 600
+    rows = [(1, "http://a/\u00fc", big), (2, "http://b", big), (2, "http://b", big), (3, None, "x\r\n\r\ny"), (4, "u", None), (None, "n", big), (None, "n", "only null ids")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    root = write_archive(pages, scratch_path(spark, "warc-test"))
+    records = restore(spark, root)
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.url) for r in record_facts(records).collect()), key=repr)
+    assert got == sorted([(1, 1200, "revisit", 2, "http://a/\u00fc"), (2, 1200, "response", None, "http://b"), (2, 1200, "response", None, "http://b"),
+                          (3, 6, "response", None, None), (4, 0, "response", None, "u"), (None, 1200, "revisit", 2, "n"), (None, 13, "response", None, "n")], key=repr)
+    assert spark.read.parquet(f"{root}/payloads").count() == 4
+    for broken in (F.substring(F.col("record"), F.lit(1), F.octet_length("record") - 1), F.concat("record", F.lit(b"z"))):
+        with pytest.raises(Exception, match="contradicts"):
+            record_facts(records.withColumn("record", broken)).collect()
+
+
 QUESTION = "In spring Anna walked 12 km from Rome, then Anna rested 3 hours before the last 12 km home."
 
 
