@@ -222,7 +222,7 @@ taken AS (SELECT DISTINCT library, unnest([lo, hi]) AS e FROM k WHERE kind = 'pa
 marked AS (SELECT library, name, reads, mapped, kind, kind IN ('pair', 'fragment') AND
       (row_number() OVER (PARTITION BY library, kind, lo, hi ORDER BY score DESC, name) > 1
        OR (kind = 'fragment' AND EXISTS (SELECT 1 FROM taken WHERE taken.library = k.library AND taken.e = k.lo))) AS is_dup FROM k)
-""".replace("\\d", "\d")
+"""
 
 
 @query("mark_pair_duplicates", oracle=_PAIRS_SQL + "SELECT library, name, kind, is_dup FROM marked")
