@@ -18,9 +18,12 @@ from sparkfold.sources.retweetlog import read_retweet_log, write_retweet_log
 
 
 def pagecount_lines(spark: SparkSession, sf_dir: str):
-    """documents -> ``<lang>.<source> <first word> <n_chars> <doc_id>`` lines."""
+    """documents -> ``<lang>.<source> <title> <n_chars> <doc_id>`` lines.
+
+    A document is titled by its id; one whose length is divisible by 10 is the
+    front page of its language and bears its code."""
     d = table(spark, sf_dir, "documents")
-    title = F.lower(F.regexp_extract("text", r"^(\S+)", 1))
+    title = F.when(F.col("n_chars") % 10 == 0, F.col("lang")).otherwise(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")))
     return d.select(F.concat_ws(" ", F.concat_ws(".", "lang", "source"), title,
                                 F.col("n_chars").cast("string"),
                                 F.col("doc_id").cast("string")).alias("value"))
@@ -29,7 +32,7 @@ def pagecount_lines(spark: SparkSession, sf_dir: str):
 _PAGEVIEWS_ORACLE = r"""
 WITH pv AS (
   SELECT split_part(lang || '.' || source, '.', 1) AS language_code,
-         lower(regexp_extract(text, '^(\S+)', 1)) AS page_title,
+         CASE WHEN n_chars % 10 = 0 THEN lang ELSE 'doc_' || doc_id END AS page_title,
          n_chars AS view_count
   FROM documents),
 f AS (SELECT * FROM pv WHERE language_code <> page_title),

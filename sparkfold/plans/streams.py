@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.plans.registry import query
-from sparkfold.streaming.windows import (dedup_stream, read_stream_table, run_available_now, window_counts,
+from sparkfold.plans.registry import query, table
+from sparkfold.session import scratch_path
+from sparkfold.sources.linelog import stream_lines
+from sparkfold.streaming.windows import (dedup_stream, interval_join, read_stream_table, run_available_now, run_to_end, window_counts,
                                          windowed_spread, write_report_batch)
 
 _WINDOW_ORACLE = """
@@ -48,16 +50,20 @@ FROM j JOIN tot USING (ws, language_code)
 """
 
 
+def _retweet_windows(spark: SparkSession, sf_dir: str):
+    s = read_stream_table(spark, sf_dir, "events")
+    rt = s.where(F.col("event_type") != "signup").select(
+        "ts", F.col("user_id").alias("id"), F.col("event_type").alias("language_code"),
+        F.col("props").alias("text"), F.col("value").cast("bigint").alias("count"))
+    return windowed_spread(rt, "ts", "id", "language_code", "count", "text", "6 hours", "30 minutes", "1 hour")
+
+
 @query("stream_retweets", oracle=_RETWEET_STREAM_ORACLE)
 def stream_retweets(spark: SparkSession, sf_dir: str):
     """ST3 ST4 ST5 P5 P6 A4 A5 J2 J3 O3 K2: 6 h window sliding by 30 min;
     per id spread, per language total weighted by rows, written per
     micro-batch; windows starting before the first event are not reported."""
-    s = read_stream_table(spark, sf_dir, "events")
-    rt = s.where(F.col("event_type") != "signup").select(
-        "ts", F.col("user_id").alias("id"), F.col("event_type").alias("language_code"),
-        F.col("props").alias("text"), F.col("value").cast("bigint").alias("count"))
-    agg = windowed_spread(rt, "ts", "id", "language_code", "count", "text", "6 hours", "30 minutes", "1 hour")
+    agg = _retweet_windows(spark, sf_dir)
     out = run_available_now(spark, agg, "stream-retweets",
                             lambda path: write_report_batch(path, "id", "language_code", "text"))
     return out.drop("batch")
@@ -72,3 +78,41 @@ def stream_dedup(spark: SparkSession, sf_dir: str):
     d = dedup_stream(a.unionByName(b), "ts", "event_id", "1 hour")
     out = run_available_now(spark, d.select("event_id", "ts", "user_id", "event_type"), "stream-dedup")
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_retweet_log", oracle=_RETWEET_STREAM_ORACLE.replace("SELECT ws AS window_start", """
+SELECT (epoch_us(ws + INTERVAL 6 HOUR) - (SELECT epoch_us(min(ts)) FROM e)) // 1000000 AS elapsed_seconds, ws AS window_start"""))
+def stream_retweet_log(spark: SparkSession, sf_dir: str):
+    """K2 ST5: the same windows with the seconds elapsed since the first event of the stream."""
+    out = run_available_now(spark, _retweet_windows(spark, sf_dir), "stream-retweet-log",
+                            lambda path: write_report_batch(path, "id", "language_code", "text", elapsed="elapsed_seconds"))
+    return out.drop("batch")
+
+
+@query("stream_interval_join", oracle="""
+SELECT a.event_id AS view_id, b.event_id AS click_id, a.user_id, a.ts AS viewed, b.ts AS clicked
+FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 1 HOUR
+WHERE a.event_type = 'view' AND b.event_type = 'click'
+""")
+def stream_interval_join(spark: SparkSession, sf_dir: str):
+    """Two streams joined: the clicks of a user with the views of the hour before."""
+    a = read_stream_table(spark, sf_dir, "events").where("event_type = 'view'")
+    b = read_stream_table(spark, sf_dir, "events").where("event_type = 'click'")
+    pairs = interval_join(a.select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("viewed")),
+                          b.select("user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("clicked")),
+                          "user_id", "viewed", "clicked", 3600, "1 hour")
+    out = run_available_now(spark, pairs, "stream-interval-join")
+    return out.withColumn("viewed", F.col("viewed").cast("timestamp_ntz")).withColumn("clicked", F.col("clicked").cast("timestamp_ntz"))
+
+
+@query("stream_log_source", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_log_source(spark: SparkSession, sf_dir: str):
+    """S8 ST1: events written as logs of JSON lines and read by the live source in bounded micro-batches."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    root = scratch_path(spark, "event-log")
+    (e.repartitionByRange(4, "ts").select(F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
+     .write.text(f"{root}/log"))
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema)
+    lines = stream_lines(spark, f"{root}/log", max_bytes=256 << 20, split_bytes=16 << 20)
+    rows = lines.select(F.from_json("value", shape, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "mode": "FAILFAST"}).alias("e")).select("e.*")
+    return run_to_end(spark, rows, f"{root}/out", f"{root}/checkpoint")

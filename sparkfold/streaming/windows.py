@@ -69,7 +69,7 @@ def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "
 
 
 def write_report_batch(path: str, id_col: str, group: str, carry: str,
-                       warm_up: bool = True) -> Callable[[DataFrame, int], None]:
+                       warm_up: bool = True, elapsed: str | None = None) -> Callable[[DataFrame, int], None]:
     """K2 ST5: ``foreachBatch`` writer; one folder per batch id, overwritten
     on a retry, so a replayed batch never duplicates rows.
 
@@ -77,15 +77,16 @@ def write_report_batch(path: str, id_col: str, group: str, carry: str,
     only part of their span and are not reported.  Windows close in event
     time order, so the first batch with rows holds the earliest event; its
     time is kept as one small marker table beside the output (written once,
-    read by every later batch)."""
+    read by every later batch).  ``elapsed`` names a column for the whole
+    seconds from that first event to the end of the window."""
     marker = f"{path}/_first_event"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()                 # the stateful stage runs once for all uses below
         try:
-            rows = batch
-            if warm_up:
+            rows, t0 = batch, None
+            if warm_up or elapsed:
                 # a marker counts once it is complete; any other failure to read it is an error
                 if not path_exists(spark, f"{marker}/_SUCCESS"):
                     earliest = batch.agg(F.min("first_ts").alias("t0"))
@@ -93,9 +94,12 @@ def write_report_batch(path: str, id_col: str, group: str, carry: str,
                         earliest.write.mode("overwrite").parquet(marker)
                 if path_exists(spark, f"{marker}/_SUCCESS"):
                     t0 = spark.read.schema("t0 timestamp_ntz").parquet(marker).first()["t0"]
-                    rows = batch.where(F.col("window_start") >= F.lit(t0))
+                    rows = batch.where(F.col("window_start") >= F.lit(t0)) if warm_up else batch
             out = finish_windows(rows.drop("first_ts"), id_col, group)
             out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
+            if elapsed:
+                since = F.unix_micros(F.col("window_end").cast("timestamp")) - F.unix_micros(F.lit(t0).cast("timestamp_ntz").cast("timestamp"))
+                out = out.withColumn(elapsed, F.floor(since / 1_000_000))
             out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -114,6 +118,28 @@ def start_live(stream: DataFrame, sink_path: str, checkpoint: str, every: str =
     return w.foreachBatch(foreach_batch(sink_path)).start()
 
 
+def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, within: int, delay: str) -> DataFrame:
+    """J2 J3 as a join of two streams: every ``right`` row with the ``left`` rows of its key of the ``within`` seconds up to it.
+
+    -> all columns of ``left``, and those of ``right`` but for the key; the other names must differ.  Both sides wait for the watermark
+    (``delay``), and the bound on times lets Spark drop rows that no later row can meet.  The join is also on a slice of
+    time of ``within`` seconds (a right row asks for its own slice and the one before), so a key with a third of all rows is many
+    groups, each bounded by its slice, and a pair is found once.  Null keys and times join with nothing."""
+    if within <= 0:
+        raise ValueError("within must be positive")
+    clash = (set(left.columns) & set(right.columns)) - {key}
+    if clash:
+        raise ValueError(f"columns of both sides: {sorted(clash)}")
+
+    def slice_of(ts: str):
+        return F.floor(F.unix_micros(F.col(ts)) / (within * 1_000_000))
+    a = event_time(left, left_ts).where(F.col(key).isNotNull()).withWatermark(left_ts, delay).withColumn("_slice_l", slice_of(left_ts))
+    b = event_time(right, right_ts).where(F.col(key).isNotNull()).withWatermark(right_ts, delay)
+    b = (b.withColumnRenamed(key, "_key_r").withColumn("_slice_r", F.explode(F.array(slice_of(right_ts), slice_of(right_ts) - 1))))
+    near = ((F.col(right_ts) >= F.col(left_ts)) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within} SECONDS")))
+    return a.join(b, (F.col(key) == F.col("_key_r")) & (F.col("_slice_l") == F.col("_slice_r")) & near).drop("_key_r", "_slice_l", "_slice_r")
+
+
 def dedup_stream(stream: DataFrame, ts: str, key: str, delay: str) -> DataFrame:
     """Drop repeated ``key`` values within the watermark delay."""
     return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
@@ -141,6 +167,17 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str,
     return spark.read.parquet(out)
 
 
+def run_to_end(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Run micro-batches until the source has nothing more, and stop; a further call with the same folders goes on from the checkpoint.
+    (Sources with admission control need it: an available-now trigger takes one offset only.)"""
+    q = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append").format("parquet").option("path", out).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def read_stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Stream one table (``<name>.parquet``, a file or a directory of part files) of a folder."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
