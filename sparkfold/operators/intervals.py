@@ -16,10 +16,12 @@ whole chromosome inside one task, so the merge is a distributed scan:
 4. a final hash aggregate (with map-side partial stage) folds continued
    pieces into their islands.
 
-``intersect_intervals`` (range join): both sides are exploded into fixed
-coordinate bins and equi-joined on (chrom, bin) with an overlap residual;
-each overlapping pair is emitted exactly once, in the bin holding the start
-of the overlap.
+``intersect_intervals`` (range join): bins of nested widths, each four times
+the one below.  An interval is at home on the level whose bins are just as wide
+as it is, and covers two of them at most; it asks for its bins there and on the
+wider levels that the other side uses.  A pair meets on the wider of its two
+levels, once, in the bin that holds the start of the overlap.  So an interval
+is two rows a level whatever its length, and long ones among short ones do no harm.
 """
 
 from __future__ import annotations
@@ -150,8 +152,24 @@ def region_strings(islands: DataFrame, chrom: str = "chrom", start: str = "start
     return islands.select(F.format_string("%s:%d-%d", chrom, start, end).alias("value"))
 
 
-def _bins(s, e, b: int):
-    return F.sequence(F.floor(s / b).cast("long"), F.floor((e - 1) / b).cast("long"))
+_FOUR = 4
+
+
+def _level(s, e, unit: int):
+    """The lowest level whose bins (``unit`` times a power of four) are as wide as the interval."""
+    return F.length(F.conv(F.floor((e - s - 1) / unit).cast("string"), 10, _FOUR))
+
+
+def _width(level, unit: int):
+    return (F.pow(F.lit(float(_FOUR)), level) * unit).cast("long")
+
+
+def _binned(df: DataFrame, start: str, end: str, own: str, others: list[int], unit: int) -> DataFrame:
+    """``df`` with ``_l`` and ``_b``: its bins on its own level and on the wider ones among ``others``."""
+    wider = F.filter(F.array(*[F.lit(x) for x in others]).cast("array<int>"), lambda x: x > F.col(own))
+    at = df.withColumn("_l", F.explode(F.concat(F.array(F.col(own)), wider)))
+    wide = _width(F.col("_l"), unit)
+    return at.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / wide), F.floor((F.col(end) - 1) / wide))))
 
 
 def auto_bin_size(a: DataFrame, b: DataFrame, start: str = "start", end: str = "end") -> int:
@@ -167,27 +185,21 @@ def intersect_intervals(a: DataFrame, b: DataFrame, bin_size: int | None = None,
                         start: str = "start", end: str = "end") -> DataFrame:
     """Half-open overlap of every (a, b) pair on the same chrom -> a's columns
     with start/end cut to the overlap (``bedtools intersect -a A -b B``).
-    ``bin_size=None`` picks the median interval length."""
-    if bin_size is None:
-        bin_size = auto_bin_size(a, b, start, end)
+    ``bin_size`` is the unit of the bin widths (any gives the same result)."""
+    unit = bin_size or 1
     a_cols = [c for c in a.columns]
-    ax = a.where(F.col(end) > F.col(start)).select(
-        *[F.col(c).alias(f"a_{c}") for c in a_cols],
-        F.explode(_bins(F.col(start), F.col(end), bin_size)).alias("bin"))
-    bx = b.where(F.col(end) > F.col(start)).select(
-        F.col(chrom).alias("b_chrom"), F.col(start).alias("b_s"), F.col(end).alias("b_e"),
-        F.explode(_bins(F.col(start), F.col(end), bin_size)).alias("b_bin"))
-    j = ax.join(bx, (F.col(f"a_{chrom}") == F.col("b_chrom")) & (F.col("bin") == F.col("b_bin"))
-                & (F.col(f"a_{start}") < F.col("b_e")) & (F.col("b_s") < F.col(f"a_{end}")))
-    ov_s = F.greatest(F.col(f"a_{start}"), F.col("b_s"))
-    ov_e = F.least(F.col(f"a_{end}"), F.col("b_e"))
-    j = j.where(F.col("bin") == F.floor(ov_s / bin_size))
-    sel = []
-    for c in a_cols:
-        if c == start:
-            sel.append(ov_s.alias(start))
-        elif c == end:
-            sel.append(ov_e.alias(end))
-        else:
-            sel.append(F.col(f"a_{c}").alias(c))
-    return j.select(*sel)
+    s, e = F.col(start).cast("long"), F.col(end).cast("long")
+    ax = a.where(e > s).select(*[F.col(c).alias(f"a_{c}") for c in a_cols], s.alias("_as"), e.alias("_ae"), _level(s, e, unit).alias("_al"))
+    bx = b.where(e > s).select(F.col(chrom).alias("b_chrom"), s.alias("_bs"), e.alias("_be"), _level(s, e, unit).alias("_bl"))
+    # at most one row per power of four and side
+    used = ax.select(F.lit(0).alias("side"), F.col("_al").alias("l")).unionByName(bx.select(F.lit(1).alias("side"), F.col("_bl").alias("l"))).distinct().collect()
+    ax = _binned(ax, "_as", "_ae", "_al", sorted(r["l"] for r in used if r["side"] == 1), unit)
+    bx = _binned(bx, "_bs", "_be", "_bl", sorted(r["l"] for r in used if r["side"] == 0), unit).withColumnsRenamed({"_l": "_lb", "_b": "_bb"})
+    ov_s, ov_e = F.greatest("_as", "_bs"), F.least("_ae", "_be")
+    j = ax.join(bx, (F.col(f"a_{chrom}") == F.col("b_chrom")) & (F.col("_l") == F.col("_lb")) & (F.col("_b") == F.col("_bb"))
+                & (F.col("_as") < F.col("_be")) & (F.col("_bs") < F.col("_ae")))
+    j = j.where((F.col("_l") == F.greatest("_al", "_bl")) & (F.col("_b") == F.floor(ov_s / _width(F.col("_l"), unit))))
+    cut = {start: ov_s, end: ov_e}
+    types = {f.name: f.dataType for f in a.schema.fields}
+    wide = {c: "int" if types[c].simpleString() == "int" and dict(b.dtypes)[c] == "int" else "long" for c in cut}
+    return j.select(*[cut[c].cast(wide[c]).alias(c) if c in cut else F.col(f"a_{c}").alias(c) for c in a_cols])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sparkfold.operators.intervals import (bed_lines, intersect_intervals, island_extent, merge_intervals,
                                            region_strings)
 from sparkfold.operators.joins import small
-from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts, rank_in_group
+from sparkfold.operators.placement import assign_groups, greedy_groups, key_counts, rank_in_group, write_regions
 from sparkfold.operators.reads import (clean_alignments, concordance, fix_quality, mark_duplicates,
                                        quality_encoding, with_read_groups)
 from sparkfold.plans.registry import query, table
@@ -170,6 +170,26 @@ def region_sorted(spark: SparkSession, sf_dir: str):
     return rank_in_group(placed, "grp", ["ref_idx", "pos", "qname"]).select("grp", "rank", "region", "pos", "qname")
 
 
+@query("region_files", oracle=_GREEDY_SQL.replace("WITH dict", "WITH RECURSIVE dict") + """
+SELECT g.grp, r.region, count(*) AS n, min(r.pos) AS first_pos, max(r.pos) AS last_pos, 0::BIGINT AS out_of_order
+FROM regions r JOIN g ON g.region = r.region AND g.rn > 0 GROUP BY g.grp, r.region
+""")
+def region_files(spark: SparkSession, sf_dir: str):
+    """Reads written as sorted files, a folder per group, and read back in file order:
+    rows of every region, and how many of them stand before a smaller key of their file."""
+    r = regions(spark, sf_dir)
+    groups = greedy_groups(key_counts(r, "region"), "region", "n", N_GROUPS)
+    placed = assign_groups(r, groups, "region").select("grp", "region", "ref_idx", "pos", "qname")
+    path = write_regions(placed, scratch_path(spark, "regions"), "grp", ["ref_idx", "pos", "qname"])
+    back = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    key, before = F.struct("ref_idx", "pos", "qname"), F.struct("_i", "_p", "_q")
+    earlier = back.select("file", (F.col("row") + 1).alias("row"), F.col("ref_idx").alias("_i"), F.col("pos").alias("_p"), F.col("qname").alias("_q"))
+    checked = back.join(earlier, ["file", "row"], "left")
+    return (checked.groupBy(F.col("grp").cast("int").alias("grp"), "region")
+            .agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"),
+                 F.sum((F.col("_i").isNotNull() & (before > key)).cast("long")).alias("out_of_order")))
+
+
 _ISLANDS_SQL = READS_SQL + """
 , f AS (SELECT rname, ref_idx, pos AS s, aln_end AS e,
                CASE WHEN pos <= max(aln_end) OVER (PARTITION BY ref_idx ORDER BY pos, aln_end

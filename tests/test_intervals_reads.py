@@ -131,3 +131,22 @@ def test_sequence_dict_skips_header_and_bad_length(spark, tmp_path):
     p.write_text("@HD\tVN:1.0\n@SQ\tSN:chrM\tLN:16571\tUR:x\n@SQ\tSN:chr1\tLN:abc\n")
     assert [tuple(r) for r in read_sequence_dict(spark, str(p)).orderBy("idx").collect()] == \
         [(0, "chrM", 16571), (1, "chr1", 0)]
+
+
+def test_intersection_of_long_and_short_intervals(spark):
+    rng = random.Random(8)
+
+    def rows(n, name):
+        out = []
+        for i in range(n):
+            s = rng.randrange(5000)
+            out.append((rng.choice("xy"), s, s + rng.choice([-1, 0, 1, 1, 3, 4, 5, 16, 17, 64, 700, 50_000_000]), f"{name}{i}"))
+        return out + [(None, 1, 5, "n"), ("x", None, 5, "n"), ("x", 0, 1 << 40, f"{name}w")]
+    a, b = rows(150, "a"), rows(120, "b")
+    schema = "chrom string, start long, end long, name string"
+    A, B = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema).drop("name")
+    want = sorted((c, max(s, t), min(e, f), n) for c, s, e, n in a for d, t, f, _ in b
+                  if c and c == d and s is not None and t is not None and s < e and t < f and s < f and t < e)
+    for unit in (None, 7):
+        assert sorted(tuple(r) for r in intersect_intervals(A, B, bin_size=unit).collect()) == want
+    assert intersect_intervals(A.where("false"), B).count() == 0
