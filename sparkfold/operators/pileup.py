@@ -3,6 +3,9 @@
 * ``aligned_bases`` walks the CIGAR of every read and gives one row per base that stands on a reference position.
 * ``pileup`` sums them per position.  Every sum has a map-side partial stage, so a position covered by a
   third of all reads is one row per task, and no position's reads are ever collected.
+* ``aligned_pieces`` cuts reads at the chunks of the reference instead; ``pileup_on_reference`` and ``read_covariates`` move these
+  pieces (a letter and a quality per base) to their chunk and make rows of bases only there, so no row per base is ever shuffled.
+  Chunks in which more than ``HOT`` reads start are not dealt by chunk: their reads stay where they are and only sums move.
 * ``call_variants`` turns the sums of a position into likelihoods of the three genotypes of its reference base and its most
   frequent other base.  The sums hold log10 likelihoods in millionths as integers, so they do not depend on the order of addition.
 * ``covariates`` counts mismatches outside known sites per reported quality, machine cycle and preceding base pair, and
@@ -28,6 +31,10 @@ BASES = "ACGT"
 TOP_QUALITY = 93
 #: one log10 unit in the integer sums
 UNIT = 1_000_000
+#: reads that start in one chunk of the reference
+HOT = 100_000
+#: reads dealt to one task
+DEAL = 200_000
 
 
 def _error(q: int) -> float:
@@ -61,7 +68,10 @@ def aligned_blocks(cigar: Column, pos: Column) -> Column:
             F.when(both | x["op"].isin("I", "S"), acc["read"] + n).otherwise(acc["read"]).alias("read"),
             F.when(both, F.concat(acc["out"], F.array(F.struct(acc["ref"].alias("ref"), acc["read"].alias("read"), n.alias("n")))))
             .otherwise(acc["out"]).alias("out"))
-    return F.aggregate(cigar_ops(cigar), F.struct(pos.cast("int").alias("ref"), F.lit(0).alias("read"), none.alias("out")), step)["out"]
+    walked = F.aggregate(cigar_ops(cigar), F.struct(pos.cast("int").alias("ref"), F.lit(0).alias("read"), none.alias("out")), step)["out"]
+    # most reads match as a whole
+    plain = F.array(F.struct(pos.cast("int").alias("ref"), F.lit(0).alias("read"), F.substring_index(cigar, "M", 1).try_cast("int").alias("n")))
+    return F.when((F.translate(cigar, "0123456789", "") == "M") & F.endswith(cigar, F.lit("M")) & (F.length(cigar) > 1), plain).otherwise(walked)
 
 
 def aligned_bases(reads: DataFrame, *keep: str) -> DataFrame:
@@ -75,6 +85,43 @@ def aligned_bases(reads: DataFrame, *keep: str) -> DataFrame:
     return base.where(F.col("base").isin(*BASES) & F.col("q").between(0, TOP_QUALITY))
 
 
+def aligned_pieces(reads: DataFrame, chunk: int, *keep: str) -> DataFrame:
+    """(keep, rname, number, pos, at, lead, seq, qual): what a read has on one chunk of ``chunk`` positions, one row per stretch without a gap.
+
+    ``pos`` and ``at``: reference position and read offset of the first base, ``lead``: the read's base before it."""
+    blocks = (reads.where("pos IS NOT NULL AND rname IS NOT NULL").select(*keep, "rname", "seq", "qual", F.explode(aligned_blocks(F.col("cigar"), F.col("pos"))).alias("b"))
+              .where("b.n > 0"))
+    first, last = F.floor((F.col("b.ref") - 1) / chunk), F.floor((F.col("b.ref") + F.col("b.n") - 2) / chunk)
+    cut = blocks.select(*keep, "rname", "seq", "qual", "b", F.explode(F.sequence(first, last)).alias("number"))
+    start = F.greatest(F.col("b.ref").cast("long"), F.col("number") * chunk + 1)
+    n = F.least(F.col("b.ref") + F.col("b.n"), (F.col("number") + 1) * chunk + 1) - start
+    at = F.col("b.read") + start - F.col("b.ref")
+    return (cut.withColumn("_pos", start.cast("int")).withColumn("_at", at.cast("int")).withColumn("_n", n.cast("int"))
+            .select(*keep, "rname", "number", F.col("_pos").alias("pos"), F.col("_at").alias("at"),
+                    F.when(F.col("_at") > 0, F.substring(F.col("seq"), F.col("_at"), F.lit(1))).otherwise(F.lit("")).alias("lead"),
+                    F.substring(F.col("seq"), F.col("_at") + 1, F.col("_n")).alias("seq"), F.substring(F.col("qual"), F.col("_at") + 1, F.col("_n")).alias("qual"))
+            .where(F.length("seq") > 0))
+
+
+def on_reference(pieces: DataFrame, reference: DataFrame, chunk: int, *more: str) -> DataFrame:
+    """``pieces`` with ``ref``, the bases of ``reference`` (name, number, bases and ``more``) below them."""
+    d = reference.select(F.col("name").alias("rname"), "number", F.col("bases").alias("_bases"), *more)
+    place = ((F.col("pos") - 1) - F.col("number") * chunk + 1).cast("int")
+    return (pieces.join(d, ["rname", "number"])
+            .withColumn("ref", F.upper(F.substring(F.col("_bases"), place, F.length("seq")))).drop("_bases"))
+
+
+def piece_bases(pieces: DataFrame, *keep: str) -> DataFrame:
+    """(keep, rname, number, pos, base, q, at, before, ref) of ``on_reference``: as ``aligned_bases``, with the reference's base."""
+    each = pieces.select(*keep, "rname", "number", "pos", "at", "lead", "seq", "qual", "ref", F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("k"))
+    k, one = F.col("k"), F.lit(1)
+    base = each.select(*keep, "rname", "number", (F.col("pos") + k).alias("pos"), F.substring(F.col("seq"), k + 1, one).alias("base"),
+                       (F.ascii(F.substring(F.col("qual"), k + 1, one)) - PHRED_OFFSET).alias("q"), (F.col("at") + k).alias("at"),
+                       F.when(k > 0, F.substring(F.col("seq"), k, one)).otherwise(F.col("lead")).alias("before"),
+                       F.substring(F.col("ref"), k + 1, one).alias("ref"))
+    return base.where(F.col("base").isin(*BASES) & F.col("q").between(0, TOP_QUALITY))
+
+
 def clip_past_end(reads: DataFrame, lengths: DataFrame) -> DataFrame:
     """``reads`` with ``clean_cigar`` and ``clean_end``.
 
@@ -110,17 +157,18 @@ def clip_past_end(reads: DataFrame, lengths: DataFrame) -> DataFrame:
 
 # --- pileup and calls -------------------------------------------------------------------------------------------
 
-def pileup(bases: DataFrame) -> DataFrame:
-    """(rname, pos, n, right, wrong, half): per position arrays over A, C, G, T.
+def pileup(bases: DataFrame, *keys: str) -> DataFrame:
+    """(rname, pos, keys, n, right, wrong, half): per position (and ``keys`` that belong to it) arrays over A, C, G, T.
 
     ``n``: bases; sums of log10 likelihoods of these bases if they are what was read from (``right``), if another base
     was (``wrong``), and if it was one of two alleles (``half``)."""
     q1 = F.col("q") + 1
     values = {"n": F.lit(1).cast("long"), "right": F.element_at(_table(lambda e: 1 - e), q1), "wrong": F.element_at(_table(lambda e: e / 3), q1),
               "half": F.element_at(_table(lambda e: (1 - e + e / 3) / 2), q1)}
-    rows = bases.select("rname", "pos", "base", *[v.alias(k) for k, v in values.items()])
+    by = ["rname", "pos", *keys]
+    rows = bases.select(*by, "base", *[v.alias(k) for k, v in values.items()])
     sums = [F.sum(F.when(F.col("base") == b, F.col(k)).otherwise(0)).alias(f"{k}_{b}") for k in values for b in BASES]
-    return rows.groupBy("rname", "pos").agg(*sums).select("rname", "pos", *[F.array(*[f"{k}_{b}" for b in BASES]).alias(k) for k in values])
+    return rows.groupBy(*by).agg(*sums).select(*by, *[F.array(*[f"{k}_{b}" for b in BASES]).alias(k) for k in values])
 
 
 def with_reference(sites: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
@@ -131,26 +179,58 @@ def with_reference(sites: DataFrame, reference: DataFrame, chunk: int) -> DataFr
             .withColumn("ref", F.upper(F.substring(F.col("_bases"), (place % chunk + 1).cast("int"), F.lit(1)))).drop("_number", "_bases"))
 
 
+def pileup_on_reference(reads: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
+    """(rname, pos, ref, n, right, wrong, half): ``with_reference(pileup(aligned_bases(reads)), ...)`` without rows of bases in a shuffle.
+
+    Pieces of reads are dealt by chunk and summed where they arrive; those of chunks where more than ``HOT`` reads start, and of the
+    chunk after, are summed where they are, and the sums of these few positions are moved."""
+    here = F.floor((F.col("pos") - 1) / chunk)
+    starts = reads.where("pos IS NOT NULL AND rname IS NOT NULL").groupBy("rname", here.alias("number")).agg(F.count("*").alias("n"))
+    hot = (starts.where(F.col("n") > HOT).select("rname", F.explode(F.array(F.col("number"), F.col("number") + 1)).alias("number"))
+           .distinct().checkpoint())                        # at most two rows for every HOT reads
+    tasks = max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-reads.count() // DEAL))
+    pieces = aligned_pieces(reads, chunk)
+
+    def sums(some: DataFrame, texts: DataFrame) -> DataFrame:
+        return pileup(piece_bases(on_reference(some, texts, chunk)), "number", "ref").drop("number")
+    if hot.isEmpty():
+        return sums(pieces.repartition(tasks, "rname", "number"), reference)
+    few = F.broadcast(hot)
+    cold = sums(pieces.join(few, ["rname", "number"], "left_anti").repartition(tasks, "rname", "number"), reference)
+    named = reference.join(few.withColumnRenamed("rname", "name"), ["name", "number"], "left_semi")
+    return cold.unionByName(sums(pieces.join(few, ["rname", "number"], "left_semi"), F.broadcast(named)))
+
+
 def call_variants(sites: DataFrame, min_quality: int = 30) -> DataFrame:
-    """(rname, pos, ref, alt, qual, gt, dp, ad_ref, ad_alt, pl) of the positions of ``pileup`` (with ``ref``) that vary.
+    """(rname, pos, ref, alt, gt, pl, dp, ad_ref, ad_alt, qual) of the positions of ``pileup`` (with ``ref``) that vary.
 
     ``pl``: phred-scaled likelihoods of 0/0, 0/1 and 1/1, the best one 0; ``qual``: that of 0/0.  The alternative is
     the most frequent base other than the reference's, the first by letter if tied."""
     ri = F.instr(F.lit(BASES), F.col("ref")) - 1
-    others = F.filter(F.array(*[F.struct(F.get("n", F.lit(i)).alias("n"), F.lit(-i).alias("i")) for i in range(4)]), lambda x: x["i"] != -F.col("ri"))
-    s = (sites.where(F.col("ref").isin(*BASES)).withColumn("ri", ri).withColumn("best", F.array_max(others)).where("best.n > 0")
-         .withColumn("ai", -F.col("best.i")).withColumn("off", F.aggregate("wrong", F.lit(0).cast("long"), lambda a, x: a + x)))
+    def once(df: DataFrame, *cols: Column) -> DataFrame:
+        """``df`` with further columns; the row of an explode, as a later filter would compute them anew for every use."""
+        return df.select("*", F.explode(F.array(F.struct(*cols))).alias("_c")).select(*df.columns, "_c.*")
+    # count and letter of a base in one number
+    best = F.greatest(*[F.when(ri == i, -1).otherwise(F.get("n", F.lit(i)) * 4 + (3 - i)) for i in range(4)])
+    s = sites.where(F.col("ref").isin(*BASES)).where(best > 3)
+    s = once(s, ri.alias("ri"), (3 - best % 4).cast("int").alias("ai"))
+
     def of(name: str, i: str) -> Column:
         return F.get(name, F.col(i))
-    like = [of("right", "ri") + F.col("off") - of("wrong", "ri"),
-            of("half", "ri") + of("half", "ai") + F.col("off") - of("wrong", "ri") - of("wrong", "ai"),
-            of("right", "ai") + F.col("off") - of("wrong", "ai")]
-    s = s.withColumn("like", F.array(*like)).withColumn("top", F.array_max("like"))
-    pl = F.transform("like", lambda x: F.floor((F.col("top") - x + UNIT // 20) / (UNIT // 10)).cast("int"))
-    gt = F.get(F.array(F.lit("0/0"), F.lit("0/1"), F.lit("1/1")), (F.array_position("like", F.col("top")) - 1).cast("int"))
-    return (s.select("rname", "pos", "ref", F.substring(F.lit(BASES), F.col("ai") + 1, F.lit(1)).alias("alt"), gt.alias("gt"), pl.alias("pl"),
-                     F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x).alias("dp"), of("n", "ri").alias("ad_ref"), of("n", "ai").alias("ad_alt"))
-            .withColumn("qual", F.get("pl", F.lit(0))).where((F.col("gt") != "0/0") & (F.col("qual") >= min_quality)))
+
+    def total(name: str) -> Column:
+        return sum((F.get(name, F.lit(i)) for i in range(1, 4)), F.get(name, F.lit(0)))
+    off = total("wrong")
+    s = once(s, F.substring(F.lit(BASES), F.col("ai") + 1, F.lit(1)).alias("alt"), total("n").alias("dp"),
+             of("n", "ri").alias("ad_ref"), of("n", "ai").alias("ad_alt"),
+             (of("right", "ri") + off - of("wrong", "ri")).alias("l0"),
+             (of("half", "ri") + of("half", "ai") + off - of("wrong", "ri") - of("wrong", "ai")).alias("l1"),
+             (of("right", "ai") + off - of("wrong", "ai")).alias("l2"))
+    top = F.greatest("l0", "l1", "l2")
+    pl = [F.floor((top - F.col(x) + UNIT // 20) / (UNIT // 10)).cast("int") for x in ("l0", "l1", "l2")]
+    s = s.where((F.col("l0") < top) & (pl[0] >= min_quality))
+    gt = F.when(F.col("l1") == top, "0/1").otherwise("1/1")
+    return s.select("rname", "pos", "ref", "alt", gt.alias("gt"), F.array(*pl).alias("pl"), "dp", "ad_ref", "ad_alt", pl[0].alias("qual"))
 
 
 def vcf_body(calls: DataFrame) -> Column:
@@ -176,7 +256,27 @@ def covariates(bases: DataFrame, known: DataFrame) -> DataFrame:
     """(q, cycle, context, n, wrong, empirical) over ``bases`` (with ``ref``) outside the ``known`` sites (rname, pos).
 
     ``empirical``: phred of (mismatches + 1) / (bases + 2), rounded.  The table is as long as qualities x cycles x contexts."""
-    rows = with_covariates(bases.join(known.select("rname", "pos").distinct(), ["rname", "pos"], "left_anti"))
+    return covariate_table(bases.join(known.select("rname", "pos").distinct(), ["rname", "pos"], "left_anti"))
+
+
+def read_covariates(reads: DataFrame, reference: DataFrame, known: DataFrame, chunk: int) -> DataFrame:
+    """``covariates`` of all bases of ``reads`` (with is_reverse and length): pieces of reads meet the chunks and their known sites
+    (one array per chunk, at most ``chunk`` long), and bases are counted where they are."""
+    here = F.floor((F.col("pos") - 1) / chunk)
+    sites = (known.where("rname IS NOT NULL AND pos IS NOT NULL").select(F.col("rname").alias("name"), here.alias("number"), "pos").distinct()
+             .groupBy("name", "number").agg(F.collect_list("pos").alias("_known")))
+    chunks = reference.select("name", "number", "bases").join(sites, ["name", "number"], "left")
+    keep = ["is_reverse", "length"]
+    pieces = on_reference(aligned_pieces(reads, chunk, *keep), chunks, chunk, "_known")
+    end = F.col("pos") + F.length("seq")
+    inside = F.coalesce(F.filter("_known", lambda p: (p >= F.col("pos")) & (p < end)), F.array().cast("array<int>"))
+    bases = piece_bases(pieces.withColumn("_known", inside), *keep, "_known")
+    return covariate_table(bases.where(~F.array_contains("_known", F.col("pos"))))
+
+
+def covariate_table(bases: DataFrame) -> DataFrame:
+    """The sums of ``covariates`` over ``bases`` as they are."""
+    rows = with_covariates(bases)
     table = rows.groupBy(*COVARIATES).agg(F.count("*").alias("n"), F.sum((F.col("base") != F.col("ref")).cast("long")).alias("wrong"))
     return table.withColumn("empirical", F.round(-10 * F.log10((F.col("wrong") + 1) / (F.col("n") + 2))).cast("int"))
 

@@ -12,12 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfold.operators.joins import small, spread
-from sparkfold.operators.pileup import (BASES, aligned_bases, call_variants, clip_past_end, covariates, pileup, recalibrate, vcf_body,
-                                        with_reference)
+from sparkfold.operators.pileup import BASES, call_variants, clip_past_end, pileup_on_reference, read_covariates, recalibrate, vcf_body
 from sparkfold.operators.reads import duplicate_metrics, mark_template_duplicates, templates
 from sparkfold.plans.genomics import READS_SQL, seq_dict_df, typed_reads
 from sparkfold.plans.registry import query
-from sparkfold.session import checkpoint_root, scratch_path
+from sparkfold.session import checkpoint_root, scratch_path, stored
 from sparkfold.sinks.text import write_sorted_lines
 from sparkfold.sources.genomics import chrom_number, read_vcf
 
@@ -37,11 +36,16 @@ def _rule(p: int) -> int:
     return (p % 7 + p % 3 + p % 11) % 4
 
 
-def _stretch(of, pos: Column, n: Column | int) -> Column:
-    """``n`` letters from a position on; ``of`` gives the number of a base."""
+def _cycle(of) -> Column:
+    """The letters of all positions of a period; ``of`` gives the number of a base."""
     cycle = "".join(BASES[of(p) % 4] for p in range(PERIOD)).encode()
+    return F.lit(cycle + cycle[:CHUNK])
+
+
+def _stretch(cycle: Column, pos: Column, n: Column | int) -> Column:
+    """``n`` letters of a cycle from a position on."""
     n = F.lit(n) if isinstance(n, int) else n
-    return F.substring(F.lit(cycle + cycle[:CHUNK]), F.pmod(pos, F.lit(PERIOD)).cast("int") + 1, n).cast("string")
+    return F.substring(cycle, F.pmod(pos, F.lit(PERIOD)).cast("int") + 1, n).cast("string")
 
 
 def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,23 +58,28 @@ def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     indel = (line % 5 == 0) & (n >= 20)
     cigar = F.when(indel & ~soft, F.concat(F.lit("8M1I"), (n - 13).cast("string"), F.lit("M1D4M"))).otherwise(F.col("cigar"))
 
+    cycles = [_cycle(lambda p, every=every: _rule(p) + (p % every == 0)) for every in (40, 200)]
+    r = r.select("*", n.alias("_n"), order.alias("_order"), F.when(order % 2 == 0, cycles[0]).otherwise(cycles[1]).alias("_cycle"),
+                 soft.alias("_soft"), indel.alias("_indel"), F.pmod(order * -38, F.lit(53)).cast("int").alias("_wrong"))     # 7 * 38 = 1 (mod 53): the one offset with an error
+    n, soft, indel, wrong = (F.col(c) for c in ("_n", "_soft", "_indel", "_wrong"))
+
     def bases(at: Column, count: Column | int) -> Column:
-        return (F.when(order % 2 == 0, _stretch(lambda p: _rule(p) + (p % 40 == 0), at, count))
-                .otherwise(_stretch(lambda p: _rule(p) + (p % 200 == 0), at, count)))
+        return _stretch(F.col("_cycle"), at, count)
     seq = (F.when(soft, bases(pos - 2, n))
            .when(indel, F.concat(bases(pos, 8), F.lit("G"), bases(pos + 8, n - 13), bases(pos + n - 4, 4))).otherwise(bases(pos, n)))
-    wrong = F.pmod(order * -38, F.lit(53)).cast("int")          # 7 * 38 = 1 (mod 53): the one offset with an error
+    r = r.withColumn("_seq", seq)
+    seq = F.col("_seq")
     hit = (wrong < n) & ~(indel & ~soft & (wrong == 8))
     seq = F.when(hit, F.overlay(seq, F.translate(F.substring(seq, wrong + 1, F.lit(1)), "ACGT", "GTAC"), wrong + 1, F.lit(1))).otherwise(seq)
     shown = F.translate("qual", "".join(chr(c) for c in range(74, 105)), "".join(chr(c) for c in range(43, 74)))
-    return r.select("qname", "flag", "rname", "pos", "aln_end", cigar.alias("cigar"), seq.alias("seq"), shown.alias("qual")).checkpoint()
+    return stored(r.select("qname", "flag", "rname", "pos", "aln_end", cigar.alias("cigar"), seq.alias("seq"), shown.alias("qual")), "sequenced-reads")
 
 
 def reference_chunks(reads: DataFrame) -> DataFrame:
     """(name, number, bases) of the chunks of the reference that reads reach."""
     numbers = F.explode(F.sequence(F.floor((F.col("pos") - 1) / CHUNK), F.floor(F.col("aln_end") / CHUNK)))
     found = reads.select(F.col("rname").alias("name"), numbers.alias("number")).distinct()
-    return found.select("name", "number", _stretch(_rule, F.col("number") * CHUNK + 1, CHUNK).alias("bases"))
+    return found.select("name", "number", _stretch(_cycle(_rule), F.col("number") * CHUNK + 1, CHUNK).alias("bases"))
 
 
 _SEQUENCED_SQL = READS_SQL + """
@@ -114,7 +123,8 @@ FROM calls WHERE rname NOT IN ('chrM', 'chrUn_gl000220')
 def variant_calls(spark: SparkSession, sf_dir: str):
     """CIGAR walk, pileup, genotype likelihoods; written as sorted VCF text and read back."""
     reads = sequenced_reads(spark, sf_dir)
-    calls = call_variants(with_reference(pileup(aligned_bases(reads)), reference_chunks(reads), CHUNK))
+    # stored: the sort reads its input twice
+    calls = stored(call_variants(pileup_on_reference(reads, reference_chunks(reads), CHUNK)), "variant-calls")
     lines = calls.withColumn("line", vcf_body(calls)).withColumn("chr_num", chrom_number(F.col("rname")))
     ok, _ = read_vcf(spark, write_sorted_lines(lines, scratch_path(spark, "calls"), ["chr_num", "pos", "line"], "line"))
     field = F.split("line", "\t")
@@ -129,7 +139,7 @@ SELECT rname, depth, count(*) AS positions, CAST(sum(other) AS BIGINT) AS mismat
 def pileup_depth(spark: SparkSession, sf_dir: str):
     """Positions and mismatching bases by depth."""
     reads = sequenced_reads(spark, sf_dir)
-    sites = with_reference(pileup(aligned_bases(reads)), reference_chunks(reads), CHUNK)
+    sites = pileup_on_reference(reads, reference_chunks(reads), CHUNK)
     depth = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
     same = F.coalesce(F.get("n", F.instr(F.lit(BASES), F.col("ref")) - 1), F.lit(0))
     return (sites.select("rname", depth.alias("depth"), (depth - same).alias("other")).groupBy("rname", "depth")
@@ -155,8 +165,7 @@ def known_sites(reads: DataFrame) -> DataFrame:
 
 def recalibration_table(reads: DataFrame) -> DataFrame:
     named = reads.withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0).withColumn("length", F.length("qual"))
-    bases = with_reference(aligned_bases(named, "is_reverse", "length"), reference_chunks(reads), CHUNK)
-    return covariates(bases, known_sites(reads))
+    return read_covariates(named, reference_chunks(reads), known_sites(reads), CHUNK)
 
 
 @query("recalibration_table", oracle=_COVARIATES_SQL + """

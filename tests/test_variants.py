@@ -149,3 +149,38 @@ def test_chunk_sink(spark, tmp_path):
     with pytest.raises(Exception, match="holds chunks"):
         rows.select("value").write.format("chunks").mode("append").save(path)
     assert len(glob.glob(f"{path}/chunk*")) == 4
+
+
+def test_pileup_and_covariates_by_chunk_equal_those_by_base(spark, monkeypatch):
+    from sparkfold.operators import pileup as module
+    from sparkfold.operators.pileup import pileup_on_reference, read_covariates
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        seq = "".join(rng.choice("ACGTN") for _ in range(14))
+        rows.append((f"r{i}", rng.choice([0, 16]), rng.choice("cd"), rng.choice([None, rng.randrange(1, 60)]), 0, rng.choice([*CIGARS, "14M", "M", "9999M"]), seq,
+                     "".join(chr(33 + rng.randrange(0, 41)) for _ in range(rng.choice([14, 9])))))
+    rows.append(("null", 0, "c", 3, 0, "2M", None, None))
+    reads = reads_of(spark, rows).withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0).withColumn("length", F.length("qual"))
+    reference = spark.createDataFrame([(c, k, "".join(rng.choice("acGTN") for _ in range(10))) for c in "cd" for k in range(7)], "name string, number long, bases string")
+    known = spark.createDataFrame([("c", 7), ("c", 7), ("d", 20), ("d", 21), (None, 3), ("c", None)], "rname string, pos int")
+    bases = aligned_bases(reads, "is_reverse", "length")
+    columns = ["rname", "pos", "ref", "n", "right", "wrong", "half"]
+    want = sorted(map(str, with_reference(pileup(bases), reference, 10).select(columns).collect()))
+    assert sorted(map(str, pileup_on_reference(reads, reference, 10).select(columns).collect())) == want
+    monkeypatch.setattr(module, "HOT", 5)                       # most chunks are frequent ones
+    assert sorted(map(str, pileup_on_reference(reads, reference, 10).select(columns).collect())) == want
+    table = covariates(with_reference(bases, reference, 10), known)
+    assert sorted(map(tuple, read_covariates(reads, reference, known, 10).collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_recalibration_moves_no_row_per_base(spark):
+    """Every exchange of the plan lies below the explode of bases, or above the sums."""
+    from sparkfold.operators.pileup import read_covariates
+
+    reads = reads_of(spark, [("a", 0, "c", 1, 4, "4M", "ACGT", "IIII")]).withColumn("is_reverse", F.lit(False)).withColumn("length", F.length("qual"))
+    reference = spark.createDataFrame([("c", 0, "ACGT" * 5)], "name string, number long, bases string")
+    plan = read_covariates(reads, reference, spark.createDataFrame([("c", 2)], "rname string, pos int"), 20)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate explode(sequence(0")]
+    assert above.count("Exchange") == 1 and above.index("Exchange") < above.index("partial_count")
