@@ -85,23 +85,58 @@ class FastqReader(DataSourceReader):
                 yield from _stream_records(split.path, gzip.GzipFile(fileobj=raw, mode="rb"))
             return
         with fsys.open_input_file(split.path) as f:
-            size = f.size()
-            base = max(split.start - 1, 0)
-            f.seek(base)
-            # a record starting before `end` may run past it: read ahead in steps
-            want = split.end - base + (1 << 16)
-            while True:
-                data = f.read(want)
-                at_eof = base + len(data) >= size
-                done = _complete_enough(data, split.end - base) or at_eof
-                if done:
-                    break
-                f.seek(base)
-                want *= 2
-            yield from _records(split.path, data, base, split.start, split.end, final=at_eof)
-
-
-_BLOCK = 32 << 20
+            yield from _split_records(split.path, f, split.start, split.end)
+
+
+_BLOCK = 4 << 20
+
+
+def _first_record(data: bytes, limit: int, final: bool) -> int | None:
+    """Where the first record of a split starts in ``data`` (it begins with the byte before the split); None if more bytes must be
+    read to tell, -1 if there is none before ``limit``."""
+    unknown = -1 if final else None
+    at = data.find(b"\n") + 1
+    if not at:
+        return unknown
+    while at < limit:
+        second = data.find(b"\n", at) + 1
+        third = data.find(b"\n", second) + 1 if second else 0
+        if not third or third == len(data):
+            return unknown
+        if data.startswith(b"@", at) and data.startswith(b"+", third):
+            return at
+        at = second
+    return -1
+
+
+def _split_records(path: str, stream, start: int, end: int) -> Iterator[pa.RecordBatch]:
+    """The records that start in [start, end) of a file, read block by block: each block is cut after its last complete
+    record and the rest carried over, so memory is bounded by the block (or the longest record), not by the split."""
+    base = max(start - 1, 0)
+    stream.seek(base)
+    data, rec0, searching = b"", 0, start > 0
+    while base < end:
+        chunk = stream.read(_BLOCK)
+        final = not chunk
+        data += chunk
+        if searching:
+            at = _first_record(data, end - base, final)
+            if at == -1:
+                return
+            if at is None:
+                continue
+            base, data, searching = base + at, data[at:], False
+        if not data:
+            return
+        cut = len(data) if final else _record_cut(data)
+        block, data = data[:cut], data[cut:]
+        n = 0
+        for batch in _records(path, block, base, base, end, final=final, resync=False, split_start=start, rec_base=rec0) if block else ():
+            n += batch.num_rows
+            yield batch
+        rec0, base = rec0 + n, base + cut
+        if final:
+            return
 
 
 def _stream_records(path: str, stream) -> Iterator[pa.RecordBatch]:
@@ -144,19 +179,6 @@ def _auto_split(total: int) -> int:
     return int(min(max(total // 16, 4 << 20), 128 << 20))
 
 
-def _complete_enough(data: bytes, rel_end: int) -> bool:
-    # enough when, past rel_end, there are at least 4 more newlines
-    n = 0
-    i = rel_end
-    while n < 5:
-        j = data.find(b"\n", i)
-        if j < 0:
-            return False
-        n += 1
-        i = j + 1
-    return True
-
-
 def _records(path: str, data: bytes, base: int, start: int, end: int, final: bool,
              resync: bool | None = None, split_start: int | None = None, rec_base: int = 0):
     """Parse records whose first byte lies in [start, end) of the file;

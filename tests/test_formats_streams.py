@@ -117,3 +117,49 @@ def test_stream_windows_equal_batch_on_closed_windows(spark, tmp_path):
     dd = run_available_now(spark, dedup_stream(stream.unionByName(spark.readStream.schema(schema).parquet(str(src))),
                                                "ts", "id", "1 hour").select("id"), "t-dedup")
     assert sorted(r["id"] for r in dd.collect()) == list(range(10))
+
+
+def test_fastq_splits_are_read_block_by_block(spark, tmp_path, monkeypatch):
+    """Records of a split larger than a block, lines that look like headers, CRLF, a truncated end: the same records for all sizes."""
+    from sparkfold.sources import fastq
+
+    rng = random.Random(4)
+    text = b""
+    for i in range(60):
+        n = rng.choice([0, 1, 7, 40, 900])
+        seq = "".join(rng.choice("ACGT") for _ in range(n))
+        qual = "".join(rng.choice("@+I#") for _ in range(n))
+        text += f"@r{i}\n{seq}\n+{rng.choice(['', 'r'])}\n{qual}\n".encode().replace(b"\n", rng.choice([b"\n", b"\r\n"]))
+    path = tmp_path / "x.fq"
+    for end in (b"", b"@last\nACG\n", b"@last\nACG\n+\nIII"):
+        path.write_bytes(text + end)
+
+        def rows(size):
+            reader = fastq.FastqReader({"path": str(path), "splitSize": str(size)})
+            got = [r for part in reader.partitions() for b in reader.read(part) for r in b.to_pylist()]
+            for split in {r["split_start"] for r in got}:
+                assert [r["rec_in_split"] for r in got if r["split_start"] == split] == list(range(sum(r["split_start"] == split for r in got)))
+            return [tuple(r[c] for c in ("offset", "name", "sequence", "plus", "quality", "complete")) for r in got]
+        want = rows(1 << 20)
+        assert len(want) == 60 + bool(end) and [r[0] for r in want] == sorted({r[0] for r in want}) and want[0][1] == "@r0"
+        assert all(r[5] for r in want) is (end != b"@last\nACG\n")
+        for block in (16, 61, 300):
+            monkeypatch.setattr(fastq, "_BLOCK", block)
+            # a split that starts at a truncated record cannot tell it from a quality line
+            assert all(rows(size) == want for size in ((1 << 20,) if not all(r[5] for r in want) else (1 << 20, 700, 333)))
+        monkeypatch.setattr(fastq, "_BLOCK", 4 << 20)
+
+
+def test_fastq_reader_holds_blocks_not_splits(tmp_path):
+    import tracemalloc
+
+    from sparkfold.sources import fastq
+
+    path = tmp_path / "x.fq"
+    path.write_bytes((b"@r\n" + b"A" * 500 + b"\n+\n" + b"I" * 500 + b"\n") * 40_000)          # 40 MB
+    reader = fastq.FastqReader({"path": str(path), "splitSize": str(1 << 30)})
+    tracemalloc.start()
+    assert sum(b.num_rows for b in reader.read(reader.partitions()[0])) == 40_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
