@@ -69,3 +69,33 @@ def test_language_names_unknown_code_returns_itself(spark):
     df = spark.createDataFrame([("en",), ("zz",), ("commons",), ("DE",)], "c string")
     got = [r["language"] for r in with_language_name(df, "c").collect()]
     assert got == ["English", "zz", "commons", "German"]
+
+
+def test_language_scores_move_one_row_per_document(spark, monkeypatch):
+    """Rows of one id count as one document, unknown trigrams count as places, null ids and unlabelled rows as before; with and without a broadcast."""
+    from collections import Counter
+
+    from sparkfold.functions import langid
+
+    docs = [(1, "aaaa bbb", "x"), (1, "cccd", "y"), (2, "cccc cdd", "y"), (3, "zzzzz", None), (4, "aab", "x"), (None, "ccc", "y"), (5, None, "x"), (6, "bbb ccc", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+
+    def grams(t):
+        t = f" {t} " if t is not None else ""
+        return [t[i:i + 3] for i in range(len(t) - 2)]
+    counts = {v: Counter(g for _, t, x in docs if x == v for g in grams(t)) for v in "xy"}
+    f = {v: {g: n / sum(c.values()) for g, n in c.items()} for v, c in counts.items()}
+    norm = {v: sum(w * w for w in p.values()) for v, p in f.items()}
+    want = set()
+    for key in {d for d, _, _ in docs}:
+        own = [g for d, t, _ in docs if d == key and key is not None for g in grams(t)]
+        seen = [v for v in "xy" if any(g in f[v] for g in own)]
+        some = [(round(norm[v] - 2 * sum(f[v].get(g, 0) for g in own) / len(own), 9), v) for v in seen]
+        want.add((key, min([*some, min((round(norm[v], 9), v) for v in "xy")])[1]))
+    for few in (langid.FEW, 0):
+        monkeypatch.setattr(langid, "FEW", few)
+        got = langid.fit_and_identify(df)
+        assert {tuple(r) for r in got.collect()} == want
+    monkeypatch.setattr(langid, "FEW", 300_000)
+    plan = langid.fit_and_identify(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(_w0" in plan and "hashpartitioning(doc_id" in plan and plan.index("partial_sum(_w0") < plan.index("BroadcastHashJoin")
