@@ -69,11 +69,8 @@ class Codec:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -85,6 +82,16 @@ class Codec:
                                       special_tokens=self.special)
         self.split = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
+    @functools.cached_property
+    def slow(self):
+        """The library itself, loaded by the first piece that needs it: 28 MB of a worker's memory."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []

@@ -284,3 +284,15 @@ def test_language_training_keeps_every_language(spark):
     assert training_rows(docs, F.lit(True), 300, "doc_id", "text", "lang").count() == 10_050
     assert [int((row > 0).sum()) for row in features(*_pack(["", "a", "ab", "abc"]))] == [0, 0, 1, 3]
     assert int((features(*_pack(["ab"])) > 0).sum()) == 1
+
+
+def test_codec_loads_the_library_only_for_pieces_that_need_it():
+    import public_tokenizers
+
+    from sparkfold.llm.bpe_codec import Codec
+
+    own = Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    plain = own.encode("plain words, déjà vu")
+    assert plain and "slow" not in vars(own)
+    other = own.encode("snow ☃ 雪")
+    assert own.slow.encode("snow ☃ 雪", add_special_tokens=False).ids == other and own.slow.encode("plain words, déjà vu", add_special_tokens=False).ids == plain
