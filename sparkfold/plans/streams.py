@@ -50,12 +50,15 @@ FROM j JOIN tot USING (ws, language_code)
 """
 
 
+_SIZE, _SLIDE = 6 * 3600, 30 * 60         # seconds
+
+
 def _retweet_windows(spark: SparkSession, sf_dir: str):
     s = read_stream_table(spark, sf_dir, "events")
     rt = s.where(F.col("event_type") != "signup").select(
         "ts", F.col("user_id").alias("id"), F.col("event_type").alias("language_code"),
         F.col("props").alias("text"), F.col("value").cast("bigint").alias("count"))
-    return windowed_spread(rt, "ts", "id", "language_code", "count", "text", "6 hours", "30 minutes", "1 hour")
+    return windowed_spread(rt, "ts", "id", "language_code", "count", "text", _SIZE, _SLIDE, "1 hour")
 
 
 @query("stream_retweets", oracle=_RETWEET_STREAM_ORACLE)
@@ -65,7 +68,7 @@ def stream_retweets(spark: SparkSession, sf_dir: str):
     micro-batch; windows starting before the first event are not reported."""
     agg = _retweet_windows(spark, sf_dir)
     out = run_available_now(spark, agg, "stream-retweets",
-                            lambda path: write_report_batch(path, "id", "language_code", "text"))
+                            lambda path: write_report_batch(path, "id", "language_code", "text", _SIZE, _SLIDE))
     return out.drop("batch")
 
 
@@ -85,7 +88,7 @@ SELECT (epoch_us(ws + INTERVAL 6 HOUR) - (SELECT epoch_us(min(ts)) FROM e)) // 1
 def stream_retweet_log(spark: SparkSession, sf_dir: str):
     """K2 ST5: the same windows with the seconds elapsed since the first event of the stream."""
     out = run_available_now(spark, _retweet_windows(spark, sf_dir), "stream-retweet-log",
-                            lambda path: write_report_batch(path, "id", "language_code", "text", elapsed="elapsed_seconds"))
+                            lambda path: write_report_batch(path, "id", "language_code", "text", _SIZE, _SLIDE, elapsed="elapsed_seconds"))
     return out.drop("batch")
 
 

@@ -2,12 +2,12 @@
 
 * ``window_counts``: event-time sliding windows with a watermark, append mode
   (a window is emitted once, when the watermark passes its end).
-* ``windowed_spread`` + ``finish_windows``: the retweet statistics of a
-  sliding window.  The only stateful stage is one windowed aggregate per
-  (window, id, group, carry) with min / max / row count.  All groups of a
-  window close in the same micro-batch, so the per-id spread and the
-  per-group totals are computed batch-side in ``foreachBatch`` with plain
-  aggregates and joins -- no stream-stream join.
+* ``windowed_spread`` + ``write_report_batch``: the retweet statistics of a
+  sliding window.  The only stateful stage is one aggregate per window, which
+  says when a window closes.  Its rows per (window, id, group, carry) with
+  min / max / row count, the per-id spread and the per-group totals are
+  computed batch-side in ``foreachBatch`` from the events kept so far, with
+  plain aggregates and joins -- no stream-stream join.
 * ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on an id column.
 * ``run_available_now``: drive a streaming query over everything available
   (fresh checkpoint under the shared checkpoint root) and hand back the sink
@@ -16,14 +16,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfold.functions.langnames import with_language_name
 from sparkfold.functions.text import strip_newlines
-from sparkfold.session import is_directory, path_exists, scratch_path
+from sparkfold.session import is_directory, path_exists, remove_path, scratch_path
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -42,36 +44,81 @@ def window_counts(stream: DataFrame, ts: str, key: str, value: str, size: str, s
 
 
 def windowed_spread(stream: DataFrame, ts: str, id_col: str, group: str, count: str, carry: str,
-                    size: str, slide: str, delay: str) -> DataFrame:
-    """Stateful stage: per (window, id, group, carry) min / max count and rows."""
-    s = event_time(stream, ts).withWatermark(ts, delay)
-    agg = (s.groupBy(F.window(ts, size, slide).alias("w"), id_col, group, carry)
-           .agg(F.min(count).alias("min_count"), F.max(count).alias("max_count"), F.count(F.lit(1)).alias("n"),
-                F.min(ts).alias("first_ts")))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                      id_col, group, carry, "min_count", "max_count", "n",
-                      F.col("first_ts").cast("timestamp_ntz").alias("first_ts"))
-
+                    size: int, slide: int, delay: str) -> DataFrame:
+    """The stream of ``write_report_batch``: a row for each event, in its pane, and a row for each closed window.
 
-def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "total_retweets_in_lang",
-                   count_col: str = "retweet_count") -> DataFrame:
-    """Batch side of one micro-batch of closed windows (A4 A5 J2 J3 O3):
-    spread per (window, id); group total = sum(spread x rows) per (window,
-    group) -- a tweet seen k times adds k x its count; sorted output."""
+    The stateful stage holds one row per window (its first event time), not one per window and event: ``size / slide``
+    windows hold an event, and its state would be as many times the input.  Windows of ``size`` seconds that start every
+    ``slide`` seconds are made of whole panes, as long as the greatest common divisor of both (start in microseconds)."""
+    s = event_time(stream, ts).withWatermark(ts, delay)
+    closed = (s.groupBy(F.window(ts, f"{size} seconds", f"{slide} seconds").alias("w")).agg(F.min(ts).alias("first_ts"))
+              .select(F.unix_micros("w.start").alias("_start"), F.col("first_ts").cast("timestamp_ntz").alias("first_ts")))
+    pane = math.gcd(size, slide) * 1_000_000
+    events = (event_time(stream, ts).where(F.col(ts).isNotNull())
+              .select(_slot(F.unix_micros(ts), pane).alias("_pane"), id_col, group, carry, F.col(count).alias("_count")))
+    return events.unionByName(closed, allowMissingColumns=True)
+
+
+def _slot(micros: Column, length: int) -> Column:
+    """The last multiple of ``length`` up to ``micros``."""
+    return micros - F.pmod(micros, F.lit(length))
+
+
+def window_rows(events: DataFrame, closed: DataFrame, id_col: str, group: str, carry: str, size: int, slide: int) -> DataFrame:
+    """Per (window, id, group, carry) min / max count and rows of the ``closed`` windows (``_start``).
+
+    Events are summed up by pane, and panes shuffled by id and by block, ``size`` seconds of window starts: a pane is in two
+    blocks at most, and its windows are made where it lies.  All windows of an id in one block are in one task (``_block`` stays
+    with the rows), so an id with most of the events is as many pieces as there are blocks."""
+    key = [id_col, group, carry]
+    span, step = size * 1_000_000, slide * 1_000_000
+    last = _slot(F.col("_pane"), step)                                      # the windows of a pane start at first, ..., last
+    first = _slot(F.col("_pane") - span, step) + step
+    block = F.sequence(_slot(first, span), _slot(last, span), F.lit(span))
+    panes = (events.groupBy("_pane", *key).agg(F.min("_count").alias("_mn"), F.max("_count").alias("_mx"), F.count(F.lit(1)).alias("_n"))
+             .withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+             .withColumn("_block", F.explode(block)).repartition("_block", id_col))
+    begin = F.greatest("_first", _slot(F.col("_block") + F.lit(step - 1), step))
+    upto = F.least("_last", F.col("_block") + F.lit(span - 1))
+    windows = (panes.where(begin <= upto).withColumn("_start", F.explode(F.sequence(begin, upto, F.lit(step))))
+               .join(F.broadcast(closed.select("_start")), "_start"))        # a row per window, whatever the number of events
+    rows = windows.groupBy("_block", "_start", *key).agg(F.min("_mn").alias("min_count"), F.max("_mx").alias("max_count"), F.sum("_n").alias("n"))
+    return rows.select("_block", F.timestamp_micros("_start").cast("timestamp_ntz").alias("window_start"),
+                       F.timestamp_micros(F.col("_start") + F.lit(span)).cast("timestamp_ntz").alias("window_end"),
+                       *key, "min_count", "max_count", "n")
+
+
+def window_spreads(batch: DataFrame, id_col: str, count_col: str = "retweet_count") -> DataFrame:
+    """The spread per (window, id) beside every row; ids that are null have none and go.  (``_block``: see ``window_rows``.)"""
+    wk = [c for c in ("_block", "window_start", "window_end") if c in batch.columns]
+    same = Window.partitionBy(*wk, id_col)
+    return (batch.where(F.col(id_col).isNotNull())
+            .withColumn(count_col, F.max("max_count").over(same) - F.min("min_count").over(same) + 1).drop("_block"))
+
+
+def window_totals(rows: DataFrame, group: str, total_col: str = "total_retweets_in_lang", count_col: str = "retweet_count") -> DataFrame:
+    """Group total = sum(spread x rows) per (window, group) -- a tweet seen k times adds k x its count; sorted output."""
     wk = ["window_start", "window_end"]
-    per_id = (batch.groupBy(*wk, id_col)
-              .agg((F.max("max_count") - F.min("min_count") + 1).alias(count_col)))
-    rows = batch.join(per_id, [*wk, id_col])
     totals = rows.groupBy(*wk, group).agg(F.sum(F.col(count_col) * F.col("n")).alias(total_col))
     return (rows.join(totals, [*wk, group])
             .orderBy(*wk, F.desc(total_col), F.desc(count_col)))
 
 
-def write_report_batch(path: str, id_col: str, group: str, carry: str,
+def finish_windows(batch: DataFrame, id_col: str, group: str, total_col: str = "total_retweets_in_lang",
+                   count_col: str = "retweet_count") -> DataFrame:
+    """Batch side of closed windows (A4 A5 J2 J3 O3): spread per (window, id), total per (window, group), sorted."""
+    return window_totals(window_spreads(batch, id_col, count_col), group, total_col, count_col)
+
+
+def write_report_batch(path: str, id_col: str, group: str, carry: str, size: int, slide: int,
                        warm_up: bool = True, elapsed: str | None = None) -> Callable[[DataFrame, int], None]:
-    """K2 ST5: ``foreachBatch`` writer; one folder per batch id, overwritten
-    on a retry, so a replayed batch never duplicates rows.
+    """K2 ST5: ``foreachBatch`` writer for ``windowed_spread``; one folder per batch id,
+    overwritten on a retry, so a replayed batch never duplicates rows.
+
+    A batch's events are kept beside the output (``_events``) until the windows
+    that hold them have closed; a window is made in the batch that closes it, of
+    all events that came up to then.  An event that came after its window closed
+    counts in those of its windows that were still open.
 
     Warm-up: windows that start before the first event of the stream saw
     only part of their span and are not reported.  Windows close in event
@@ -79,30 +126,49 @@ def write_report_batch(path: str, id_col: str, group: str, carry: str,
     time is kept as one small marker table beside the output (written once,
     read by every later batch).  ``elapsed`` names a column for the whole
     seconds from that first event to the end of the window."""
-    marker = f"{path}/_first_event"
+    marker, kept, spreads = f"{path}/_first_event", f"{path}/_events", f"{path}/_spreads"
+
+    def drop_closed(spark: SparkSession, shape, batch_id: int) -> None:
+        """Remove kept batches of which no window was open before this batch (so that it can be replayed)."""
+        ends = (spark.read.schema(shape).parquet(kept).where(F.col("_at") < batch_id).groupBy("_at")
+                .agg(F.max("_pane").alias("pane"), F.max("_start").alias("closed")).collect())     # a row per kept batch
+        opens = max((r["closed"] + slide * 1_000_000 for r in ends if r["closed"] is not None), default=None)
+        for r in ends:
+            if opens is not None and r["_at"] < batch_id - 1 and (r["pane"] is None or r["pane"] < opens):
+                remove_path(spark, f"{kept}/_at={r['_at']}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()                 # the stateful stage runs once for all uses below
-        try:
-            rows, t0 = batch, None
-            if warm_up or elapsed:
-                # a marker counts once it is complete; any other failure to read it is an error
-                if not path_exists(spark, f"{marker}/_SUCCESS"):
-                    earliest = batch.agg(F.min("first_ts").alias("t0"))
-                    if earliest.first()["t0"] is not None:
-                        earliest.write.mode("overwrite").parquet(marker)
-                if path_exists(spark, f"{marker}/_SUCCESS"):
-                    t0 = spark.read.schema("t0 timestamp_ntz").parquet(marker).first()["t0"]
-                    rows = batch.where(F.col("window_start") >= F.lit(t0)) if warm_up else batch
-            out = finish_windows(rows.drop("first_ts"), id_col, group)
-            out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
-            if elapsed:
-                since = F.unix_micros(F.col("window_end").cast("timestamp")) - F.unix_micros(F.lit(t0).cast("timestamp_ntz").cast("timestamp"))
-                out = out.withColumn(elapsed, F.floor(since / 1_000_000))
-            out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        # written once: the stateful stage runs once for all uses below, and later windows need these events
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{kept}/_at={batch_id}")
+        shape = T.StructType([*batch.schema.fields, T.StructField("_at", T.LongType())])
+        if batch_id:
+            drop_closed(spark, shape, batch_id)
+        rows = spark.read.schema(shape).parquet(kept)
+        closed = rows.where((F.col("_at") == batch_id) & F.col("_start").isNotNull())
+        t0 = None
+        if warm_up or elapsed:
+            # a marker counts once it is complete; any other failure to read it is an error
+            if not path_exists(spark, f"{marker}/_SUCCESS"):
+                earliest = closed.agg(F.min("first_ts").alias("t0"))
+                if earliest.first()["t0"] is not None:
+                    earliest.write.mode("overwrite").parquet(marker)
+            if path_exists(spark, f"{marker}/_SUCCESS"):
+                t0 = spark.read.schema("t0 timestamp_ntz").parquet(marker).first()["t0"]
+                if warm_up:
+                    closed = closed.where(F.timestamp_micros("_start").cast("timestamp_ntz") >= F.lit(t0))
+        bounds = closed.agg(F.min("_start").alias("lo"), F.max("_start").alias("hi")).first()
+        lo, hi = bounds["lo"] or 0, (bounds["hi"] or 0) + size * 1_000_000
+        events = rows.where((F.col("_at") <= batch_id) & (F.col("_pane") >= lo) & (F.col("_pane") < hi))
+        spread = window_spreads(window_rows(events, closed, id_col, group, carry, size, slide), id_col)
+        # read for the totals, for the ranges of the sort and for the sort itself
+        spread.write.mode("overwrite").option("compression", "zstd").parquet(spreads)
+        out = window_totals(spark.read.schema(spread.schema).parquet(spreads), group)
+        out = with_language_name(out, group).withColumn(carry, strip_newlines(F.col(carry)))
+        if elapsed:
+            since = F.unix_micros(F.col("window_end").cast("timestamp")) - F.unix_micros(F.lit(t0).cast("timestamp_ntz").cast("timestamp"))
+            out = out.withColumn(elapsed, F.floor(since / 1_000_000))
+        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return run
 
@@ -163,7 +229,7 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str,
         if foreach_batch is None:
             return empty
         foreach_batch(out)(empty, 0)
-    # "_"-prefixed folders (the warm-up marker) are skipped by the file listing
+    # "_"-prefixed folders (kept events, the warm-up marker) are skipped by the file listing
     return spark.read.parquet(out)
 
 
