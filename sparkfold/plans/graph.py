@@ -9,7 +9,7 @@ epilogue, male and female files) and read back through the real reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkfold.operators.graph import (cooccurrence_degrees, group_sizes, hop_distances, incidence,
@@ -44,11 +44,12 @@ def render_cast_files(spark: SparkSession, sf_dir: str) -> dict[bool, str]:
     raw_title = F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" ("), year,
                          F.lit(") [Role "), F.col("l_linenumber").cast("string"), F.lit("]"))
     title = F.when(F.col("l_returnflag") == "N", F.concat(F.lit('"'), raw_title, F.lit('"'))).otherwise(raw_title)
-    first = li.groupBy("l_partkey").agg(F.min("ord").alias("_first"))
-    rows = (li.join(first, "l_partkey")
+    # rows that repeat the first one are first, too
+    first = F.rank().over(Window.partitionBy("l_partkey").orderBy("ord")) == 1
+    rows = (li.where("l_partkey IS NOT NULL").withColumn("_first", first)
             .join(part.select("p_partkey", actor_name(part).alias("name")),
                   F.col("l_partkey") == F.col("p_partkey")))
-    is_first = F.col("ord") == F.col("_first")
+    is_first = F.col("_first")
     body = rows.select(
         (F.col("l_partkey") % 2 == 0).alias("is_male"),
         (F.col("l_partkey") * n_chunks / top).cast("int").alias("chunk"),

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfold.operators.ordinals import with_file_ordinal
-from sparkfold.session import checkpoint_root
+from sparkfold.session import stored
 
 # preamble/epilogue markers of the cast-list format.
 START_MARKER = "----\t\t\t------"
@@ -45,12 +45,14 @@ def clean_title(line: Column, min_year: int = 2011, strict_year: bool = False) -
 def parse_cast_records(records: DataFrame, text_col: str = "text", min_year: int = 2011,
                        strict_year: bool = False) -> DataFrame:
     """record text -> (name, movies array<string>); records without a valid title dropped."""
-    lines = F.split(F.col(text_col), "\n")
-    movies = F.filter(F.transform(lines, lambda ln: clean_title(ln, min_year, strict_year)),
-                      lambda t: t.isNotNull())
+    # the lines' titles as in ``clean_title``, all found in one pass over the record; a title ends in its year
+    before = r"[^\t\n]*" if strict_year else r"[^\t\n(]*"
+    found = F.regexp_extract_all(F.col(text_col), F.lit(rf'(?md)(?:^|\t)(?!")({before}\([0-9]{{4}})[^\t\n]*$'), F.lit(1))
+    valid = F.filter(found, lambda t: F.right(t, F.lit(4)).cast("int") >= min_year)
+    movies = F.transform(valid, lambda t: F.concat(t, F.lit(")")))
     keep = [c for c in records.columns if c != text_col]
     return (
-        records.select(*keep, F.substring_index(F.get(lines, 0), "\t", 1).alias("name"),
+        records.select(*keep, F.substring_index(F.substring_index(F.col(text_col), "\n", 1), "\t", 1).alias("name"),
                        movies.alias("movies"))
         .where(F.size("movies") > 0)
     )
@@ -59,10 +61,9 @@ def parse_cast_records(records: DataFrame, text_col: str = "text", min_year: int
 def scan_records(spark: SparkSession, path: str, charset: str = "ISO-8859-1") -> DataFrame:
     """Blank-line separated records with their file and record number, decoded from ``charset``."""
     raw = spark.read.option("lineSep", RECORD_SEP).text(path)
-    # numbered once: whoever looks for markers and records reads the numbered copy, not the text again
-    checkpoint_root(spark)
-    numbered = with_file_ordinal(raw, name="rec_no").checkpoint(eager=True)
-    return numbered.select("file", "rec_no", F.decode(F.col("value").cast("binary"), charset).alias("text"))
+    # numbered and decoded once: whoever looks for markers and records reads the compressed copy, not the text again
+    numbered = with_file_ordinal(raw, name="rec_no")
+    return stored(numbered.select("file", "rec_no", F.decode(F.col("value").cast("binary"), charset).alias("text")), "cast-records")
 
 
 def trim_markers(records: DataFrame, text_col: str = "text", start: str = START_MARKER,
@@ -72,12 +73,12 @@ def trim_markers(records: DataFrame, text_col: str = "text", start: str = START_
     s, e = _quote(start), _quote(end)
     after_start = F.regexp_extract(F.col(text_col), r"(?s)^(?:.*?\n)?" + s + r"(?:\n(.*))?$", 1)
     before_end = F.regexp_extract(F.col(text_col), r"(?s)^(?:(.*?)\n)?" + e + r"(?:\n.*)?$", 1)
-    r = records.withColumn("_has_start", F.col(text_col).rlike("(?m)^" + s + "$"))
+    r = records.withColumn("_has_start", F.col(text_col).contains(start) & F.col(text_col).rlike("(?m)^" + s + "$"))
     # one row per file: where the body starts
     first_start = r.where("_has_start").groupBy("file").agg(F.min("rec_no").alias("_s"))
     r = r.join(first_start, "file").where(F.col("rec_no") >= F.col("_s"))
     r = r.withColumn(text_col, F.when(F.col("rec_no") == F.col("_s"), after_start).otherwise(F.col(text_col)))
-    r = r.withColumn("_has_end", F.col(text_col).rlike("(?m)^" + e + "$"))
+    r = r.withColumn("_has_end", F.col(text_col).contains(end) & F.col(text_col).rlike("(?m)^" + e + "$"))
     first_end = r.where("_has_end").groupBy("file").agg(F.min("rec_no").alias("_e"))
     r = r.join(first_end, "file", "left").where(F.col("_e").isNull() | (F.col("rec_no") <= F.col("_e")))
     r = r.withColumn(text_col, F.when(F.col("rec_no") == F.col("_e"), before_end).otherwise(F.col(text_col)))
