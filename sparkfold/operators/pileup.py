@@ -3,49 +3,57 @@
 * ``aligned_bases`` walks the CIGAR of every read and gives one row per base that stands on a reference position.
 * ``pileup`` sums them per position.  Every sum has a map-side partial stage, so a position covered by a
   third of all reads is one row per task, and no position's reads are ever collected.
-* ``aligned_pieces`` cuts reads at the chunks of the reference instead; ``pileup_on_reference`` and ``read_covariates`` move these
-  pieces (a letter and a quality per base) to their chunk and make rows of bases only there, so no row per base is ever shuffled.
-  Chunks in which more than ``HOT`` reads start are not dealt by chunk: their reads stay where they are and only sums move.
+* ``pileup_on_reference`` and ``read_covariates`` do the same for many reads (``operators/basewise``): reads are dealt by chunk of the
+  reference and summed there in numpy, so no row per base is ever made.  Chunks in which more than ``HOT`` reads start are dealt into
+  parts, whose sums are added.
 * ``call_variants`` turns the sums of a position into likelihoods of the three genotypes of its reference base and its most
   frequent other base.  The sums hold log10 likelihoods in millionths as integers, so they do not depend on the order of addition.
 * ``covariates`` counts mismatches outside known sites per reported quality, machine cycle and preceding base pair, and
   ``recalibrate`` replaces reported qualities by the empirical ones.
 * ``clip_past_end`` soft-clips what reaches past the end of a sequence.
 
-All but ``recalibrate``'s lookup are built-in expressions.  Reads without a CIGAR (``*``, empty, null), null positions and bases other
+``aligned_bases``, ``pileup`` and ``covariates`` are built-in expressions and state what the sums are.  Reads without a CIGAR (``*``, empty, null), null positions and bases other
 than A, C, G, T count nowhere.  Qualities missing at the end of a short quality string leave their bases out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log10
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfold.operators.basewise import (BASES, SITES, TOP_QUALITY, Finish, code_points, covariate_counts, cut_pieces, every_site, finished, on_chunks, ragged,
+                                           summed_sites)
 from sparkfold.operators.reads import PHRED_OFFSET
+from sparkfold.session import checkpoint_root
 
-BASES = "ACGT"
-TOP_QUALITY = 93
 #: one log10 unit in the integer sums
 UNIT = 1_000_000
 #: reads that start in one chunk of the reference
 HOT = 100_000
 #: reads dealt to one task
-DEAL = 200_000
+DEAL = 400_000
+#: cells of a table of covariates that is held as an array
+DENSE = 1 << 26
 
 
 def _error(q: int) -> float:
     return min(10 ** (-q / 10), 0.75)
 
 
-def _table(of) -> Column:
-    """A literal array of ``of(error)`` in log10 millionths, by quality."""
-    from math import log10
+def _values(of) -> list[int]:
+    """``of(error)`` in log10 millionths, by quality."""
+    return [round(log10(of(_error(q))) * UNIT) for q in range(TOP_QUALITY + 1)]
 
-    return F.array(*[F.lit(round(log10(of(_error(q))) * UNIT)).cast("long") for q in range(TOP_QUALITY + 1)])
+
+#: what a base adds to the sums of its position, by quality
+VALUES = {"n": [1] * (TOP_QUALITY + 1), "right": _values(lambda e: 1 - e), "wrong": _values(lambda e: e / 3), "half": _values(lambda e: (1 - e + e / 3) / 2)}
 
 
 # --- CIGAR walks ------------------------------------------------------------------------------------------------
@@ -85,43 +93,6 @@ def aligned_bases(reads: DataFrame, *keep: str) -> DataFrame:
     return base.where(F.col("base").isin(*BASES) & F.col("q").between(0, TOP_QUALITY))
 
 
-def aligned_pieces(reads: DataFrame, chunk: int, *keep: str) -> DataFrame:
-    """(keep, rname, number, pos, at, lead, seq, qual): what a read has on one chunk of ``chunk`` positions, one row per stretch without a gap.
-
-    ``pos`` and ``at``: reference position and read offset of the first base, ``lead``: the read's base before it."""
-    blocks = (reads.where("pos IS NOT NULL AND rname IS NOT NULL").select(*keep, "rname", "seq", "qual", F.explode(aligned_blocks(F.col("cigar"), F.col("pos"))).alias("b"))
-              .where("b.n > 0"))
-    first, last = F.floor((F.col("b.ref") - 1) / chunk), F.floor((F.col("b.ref") + F.col("b.n") - 2) / chunk)
-    cut = blocks.select(*keep, "rname", "seq", "qual", "b", F.explode(F.sequence(first, last)).alias("number"))
-    start = F.greatest(F.col("b.ref").cast("long"), F.col("number") * chunk + 1)
-    n = F.least(F.col("b.ref") + F.col("b.n"), (F.col("number") + 1) * chunk + 1) - start
-    at = F.col("b.read") + start - F.col("b.ref")
-    return (cut.withColumn("_pos", start.cast("int")).withColumn("_at", at.cast("int")).withColumn("_n", n.cast("int"))
-            .select(*keep, "rname", "number", F.col("_pos").alias("pos"), F.col("_at").alias("at"),
-                    F.when(F.col("_at") > 0, F.substring(F.col("seq"), F.col("_at"), F.lit(1))).otherwise(F.lit("")).alias("lead"),
-                    F.substring(F.col("seq"), F.col("_at") + 1, F.col("_n")).alias("seq"), F.substring(F.col("qual"), F.col("_at") + 1, F.col("_n")).alias("qual"))
-            .where(F.length("seq") > 0))
-
-
-def on_reference(pieces: DataFrame, reference: DataFrame, chunk: int, *more: str) -> DataFrame:
-    """``pieces`` with ``ref``, the bases of ``reference`` (name, number, bases and ``more``) below them."""
-    d = reference.select(F.col("name").alias("rname"), "number", F.col("bases").alias("_bases"), *more)
-    place = ((F.col("pos") - 1) - F.col("number") * chunk + 1).cast("int")
-    return (pieces.join(d, ["rname", "number"])
-            .withColumn("ref", F.upper(F.substring(F.col("_bases"), place, F.length("seq")))).drop("_bases"))
-
-
-def piece_bases(pieces: DataFrame, *keep: str) -> DataFrame:
-    """(keep, rname, number, pos, base, q, at, before, ref) of ``on_reference``: as ``aligned_bases``, with the reference's base."""
-    each = pieces.select(*keep, "rname", "number", "pos", "at", "lead", "seq", "qual", "ref", F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("k"))
-    k, one = F.col("k"), F.lit(1)
-    base = each.select(*keep, "rname", "number", (F.col("pos") + k).alias("pos"), F.substring(F.col("seq"), k + 1, one).alias("base"),
-                       (F.ascii(F.substring(F.col("qual"), k + 1, one)) - PHRED_OFFSET).alias("q"), (F.col("at") + k).alias("at"),
-                       F.when(k > 0, F.substring(F.col("seq"), k, one)).otherwise(F.col("lead")).alias("before"),
-                       F.substring(F.col("ref"), k + 1, one).alias("ref"))
-    return base.where(F.col("base").isin(*BASES) & F.col("q").between(0, TOP_QUALITY))
-
-
 def clip_past_end(reads: DataFrame, lengths: DataFrame) -> DataFrame:
     """``reads`` with ``clean_cigar`` and ``clean_end``.
 
@@ -163,8 +134,7 @@ def pileup(bases: DataFrame, *keys: str) -> DataFrame:
     ``n``: bases; sums of log10 likelihoods of these bases if they are what was read from (``right``), if another base
     was (``wrong``), and if it was one of two alleles (``half``)."""
     q1 = F.col("q") + 1
-    values = {"n": F.lit(1).cast("long"), "right": F.element_at(_table(lambda e: 1 - e), q1), "wrong": F.element_at(_table(lambda e: e / 3), q1),
-              "half": F.element_at(_table(lambda e: (1 - e + e / 3) / 2), q1)}
+    values = {k: F.element_at(F.array(*[F.lit(x).cast("long") for x in v]), q1) for k, v in VALUES.items()}
     by = ["rname", "pos", *keys]
     rows = bases.select(*by, "base", *[v.alias(k) for k, v in values.items()])
     sums = [F.sum(F.when(F.col("base") == b, F.col(k)).otherwise(0)).alias(f"{k}_{b}") for k in values for b in BASES]
@@ -179,26 +149,54 @@ def with_reference(sites: DataFrame, reference: DataFrame, chunk: int) -> DataFr
             .withColumn("ref", F.upper(F.substring(F.col("_bases"), (place % chunk + 1).cast("int"), F.lit(1)))).drop("_number", "_bases"))
 
 
-def pileup_on_reference(reads: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
-    """(rname, pos, ref, n, right, wrong, half): ``with_reference(pileup(aligned_bases(reads)), ...)`` without rows of bases in a shuffle.
-
-    Pieces of reads are dealt by chunk and summed where they arrive; those of chunks where more than ``HOT`` reads start, and of the
-    chunk after, are summed where they are, and the sums of these few positions are moved."""
-    here = F.floor((F.col("pos") - 1) / chunk)
-    starts = reads.where("pos IS NOT NULL AND rname IS NOT NULL").groupBy("rname", here.alias("number")).agg(F.count("*").alias("n"))
-    hot = (starts.where(F.col("n") > HOT).select("rname", F.explode(F.array(F.col("number"), F.col("number") + 1)).alias("number"))
-           .distinct().checkpoint())                        # at most two rows for every HOT reads
-    tasks = max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-reads.count() // DEAL))
-    pieces = aligned_pieces(reads, chunk)
-
-    def sums(some: DataFrame, texts: DataFrame) -> DataFrame:
-        return pileup(piece_bases(on_reference(some, texts, chunk)), "number", "ref").drop("number")
-    if hot.isEmpty():
-        return sums(pieces.repartition(tasks, "rname", "number"), reference)
-    few = F.broadcast(hot)
-    cold = sums(pieces.join(few, ["rname", "number"], "left_anti").repartition(tasks, "rname", "number"), reference)
-    named = reference.join(few.withColumnRenamed("rname", "name"), ["name", "number"], "left_semi")
-    return cold.unionByName(sums(pieces.join(few, ["rname", "number"], "left_semi"), F.broadcast(named)))
+def frequent_chunks(reads: DataFrame, chunk: int) -> tuple[int, DataFrame | None]:
+    """The number of placed reads, and (rname, number, parts): the chunks where more than ``HOT`` reads start and those after them, if any."""
+    placed, wide = reads.where("pos IS NOT NULL AND rname IS NOT NULL").select("rname", "pos"), 1000 * chunk
+
+    def counted(some: DataFrame, size: int, name: str) -> DataFrame:
+        return some.groupBy("rname", F.floor((F.col("pos") - 1) / size).alias(name)).agg(F.count("*").alias("n"))
+    bins = counted(placed, wide, "bin")                     # a few rows, also of reads in any order
+    total, most = bins.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) <= HOT:
+        return total or 0, None
+    few = F.broadcast(bins.where(F.col("n") > HOT).select("rname", "bin"))          # at most one row for every HOT reads
+    starts = counted(placed.withColumn("bin", F.floor((F.col("pos") - 1) / wide)).join(few, ["rname", "bin"], "left_semi"), chunk, "number")
+    hot = (starts.where(F.col("n") > HOT).select("rname", F.explode(F.array(F.col("number"), F.col("number") + 1)).alias("number"), "n")
+           .groupBy("rname", "number").agg(F.ceil(F.sum("n") / HOT).cast("int").alias("parts")))
+    checkpoint_root(reads.sparkSession)
+    hot = hot.checkpoint()                                  # at most two rows for every HOT reads
+    return total, None if hot.isEmpty() else F.broadcast(hot)
+
+
+def _tasks(reads: DataFrame, total: int) -> int:
+    return max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // DEAL))
+
+
+def _in_parts(df: DataFrame, hot: DataFrame | None, name: str = "rname", every: bool = True) -> DataFrame:
+    """``df`` with ``part``: rows of frequent chunks once for ``every`` part, or each row in one of them."""
+    if hot is None:
+        return df.withColumn("part", F.lit(0))
+    parts = F.coalesce("parts", F.lit(1))
+    number = F.explode(F.sequence(F.lit(0), parts - 1)) if every else F.pmod(F.monotonically_increasing_id(), parts).cast("int")
+    return df.join(hot.withColumnRenamed("rname", name), [name, "number"], "left").withColumn("part", number).drop("parts")
+
+
+def pileup_on_reference(reads: DataFrame, reference: DataFrame, chunk: int, finish: Finish = every_site, schema: str = SITES,
+                        values: tuple[str, ...] = tuple(VALUES)) -> DataFrame:
+    """``finish`` of (rname, pos, ref, n, right, wrong, half): ``with_reference(pileup(aligned_bases(reads)), ...)`` without rows of bases.
+
+    ``finish`` gets whole positions, batch by batch, and gives rows of ``schema``; ``values``: the sums it needs."""
+    total, hot = frequent_chunks(reads, chunk)
+    tasks, pieces = _tasks(reads, total), cut_pieces(reads, chunk)
+    added = {c: np.array(VALUES[c], np.float64) for c in values}
+    if hot is None:
+        return summed_sites(on_chunks(_in_parts(pieces, None), _in_parts(reference, None), tasks), chunk, added, finish, schema)
+    cold = summed_sites(on_chunks(_in_parts(pieces.join(hot, ["rname", "number"], "left_anti"), None), _in_parts(reference, None), tasks), chunk, added, finish, schema)
+    named = reference.join(hot.withColumnRenamed("rname", "name"), ["name", "number"], "left_semi")
+    stream = on_chunks(_in_parts(pieces.join(hot, ["rname", "number"], "left_semi"), hot, every=False), _in_parts(named, hot, "name"), tasks)
+    partial = summed_sites(stream, chunk, added, every_site, "rname string, pos int, ref string, " + ", ".join(f"{c} array<long>" for c in values))
+    sums = [F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(len(BASES))]).alias(c) for c in values]
+    return cold.unionByName(finished(partial.groupBy("rname", "pos", "ref").agg(*sums), finish, schema))
 
 
 def call_variants(sites: DataFrame, min_quality: int = 30) -> DataFrame:
@@ -260,49 +258,118 @@ def covariates(bases: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def read_covariates(reads: DataFrame, reference: DataFrame, known: DataFrame, chunk: int) -> DataFrame:
-    """``covariates`` of all bases of ``reads`` (with is_reverse and length): pieces of reads meet the chunks and their known sites
-    (one array per chunk, at most ``chunk`` long), and bases are counted where they are."""
-    here = F.floor((F.col("pos") - 1) / chunk)
-    sites = (known.where("rname IS NOT NULL AND pos IS NOT NULL").select(F.col("rname").alias("name"), here.alias("number"), "pos").distinct()
-             .groupBy("name", "number").agg(F.collect_list("pos").alias("_known")))
-    chunks = reference.select("name", "number", "bases").join(sites, ["name", "number"], "left")
-    keep = ["is_reverse", "length"]
-    pieces = on_reference(aligned_pieces(reads, chunk, *keep), chunks, chunk, "_known")
-    end = F.col("pos") + F.length("seq")
-    inside = F.coalesce(F.filter("_known", lambda p: (p >= F.col("pos")) & (p < end)), F.array().cast("array<int>"))
-    bases = piece_bases(pieces.withColumn("_known", inside), *keep, "_known")
-    return covariate_table(bases.where(~F.array_contains("_known", F.col("pos"))))
+    """``covariates`` of all bases of ``reads`` (with is_reverse and length): reads meet the chunks and their known sites, and bases are
+    counted where they are."""
+    total, hot = frequent_chunks(reads, chunk)
+    sites = (known.where("rname IS NOT NULL AND pos IS NOT NULL")
+             .select("rname", F.floor((F.col("pos") - 1) / chunk).alias("number"), F.col("pos").cast("int").alias("pos")))
+    turned = reads.withColumn("origin", F.when(F.col("is_reverse"), F.col("length")).otherwise(1)).withColumn("step", F.when(F.col("is_reverse"), -1).otherwise(1))
+    keep = ["origin", "step"]
+    stream = on_chunks(_in_parts(cut_pieces(turned, chunk, *keep), hot, every=False), _in_parts(reference, hot, "name"), _tasks(reads, total), _in_parts(sites, hot), *keep)
+    return _covariate_sums(covariate_counts(stream, chunk))
 
 
 def covariate_table(bases: DataFrame) -> DataFrame:
     """The sums of ``covariates`` over ``bases`` as they are."""
-    rows = with_covariates(bases)
-    table = rows.groupBy(*COVARIATES).agg(F.count("*").alias("n"), F.sum((F.col("base") != F.col("ref")).cast("long")).alias("wrong"))
+    return _covariate_sums(with_covariates(bases).withColumn("wrong", (F.col("base") != F.col("ref")).cast("long")).withColumn("more", F.lit(0)))
+
+
+def _covariate_sums(rows: DataFrame) -> DataFrame:
+    """A row stands for one base and ``more`` like it."""
+    table = rows.groupBy(*COVARIATES).agg((F.count("*") + F.sum("more")).alias("n"), F.sum("wrong").alias("wrong"))
     return table.withColumn("empirical", F.round(-10 * F.log10((F.col("wrong") + 1) / (F.col("n") + 2))).cast("int"))
 
 
+class _Lookup:
+    """New quality letters by (q, cycle, context), as an array over all of them; contexts are pairs of the code points seen."""
+
+    def __init__(self, q: np.ndarray, cycle: np.ndarray, context: list[str | None], letter: np.ndarray):
+        fits = np.array([c is not None and len(c) <= 2 for c in context], bool)
+        pairs = [c.rjust(2, "\0") for c, f in zip(context, fits) if f]
+        q, cycle, self.letter = q[fits].astype(np.int64), cycle[fits].astype(np.int64), letter[fits]
+        before, base = (np.array([ord(p[i]) for p in pairs], np.int64) for i in (0, 1))
+        self.points = np.unique(np.concatenate((before, base)))
+        self.low = (q.min(initial=0), cycle.min(initial=0))
+        self.size = (int(q.max(initial=0)) - int(self.low[0]) + 1, int(cycle.max(initial=0)) - int(self.low[1]) + 1)
+        key = self._key(q, cycle, before, base)[0]
+        order = np.argsort(key)
+        self.key, self.letter = key[order], self.letter[order]
+        self.dense = None
+        cells = self.size[0] * self.size[1] * len(self.points) ** 2
+        if cells <= DENSE:
+            self.dense = np.zeros(cells, np.uint8)
+            self.dense[self.key] = self.letter
+
+    def _key(self, q: np.ndarray, cycle: np.ndarray, before: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        q, cycle = q - self.low[0], cycle - self.low[1]
+        good = (q >= 0) & (q < self.size[0]) & (cycle >= 0) & (cycle < self.size[1])
+        key, top = cycle * self.size[0] + q, max(len(self.points) - 1, 0)
+        for points in (before, base):
+            if len(self.points) and self.points[-1] < 256:
+                place = self._small()[np.minimum(points, 255)]
+                good &= (place >= 0) & (points < 256)
+            else:
+                place = np.minimum(np.searchsorted(self.points, points), top)
+                good &= self.points[place] == points if len(self.points) else False
+            key = key * len(self.points) + place
+        return key, good
+
+    def _small(self) -> np.ndarray:
+        table = np.full(256, -1, np.int64)
+        table[self.points] = range(len(self.points))
+        return table
+
+    def of(self, q: np.ndarray, cycle: np.ndarray, before: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Letters, 0 where there is none."""
+        if not len(self.key):
+            return np.zeros(len(q), np.uint8)
+        key, good = self._key(q, cycle, before, base)
+        if self.dense is not None:
+            return np.where(good, self.dense[np.where(good, key, 0)], 0)
+        place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(good & (self.key[place] == key), self.letter[place], 0).astype(np.uint8)
+
+
 def recalibrate(reads: DataFrame, table: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """``reads`` with ``new_qual``: every base's quality replaced by the empirical one of its covariates, if the table has them.
 
     The table is bounded by its covariates (refused beyond ``max_rows``) and sent to every task; reads are not shuffled."""
     reads = reads.drop("new_qual")
-    rows = table.select(*COVARIATES, "empirical").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = table.select(*[F.col(c).cast("long").alias(c) for c in ("q", "cycle", "empirical")], "context").where("q IS NOT NULL AND cycle IS NOT NULL").limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         raise ValueError(f"more than {max_rows} combinations of covariates")
-    sent = reads.sparkSession.sparkContext.broadcast({(r.q, r.cycle, r.context): chr(PHRED_OFFSET + max(0, min(TOP_QUALITY, r.empirical))) for r in rows})
+    q, cycle, empirical = (rows[c].to_numpy() for c in ("q", "cycle", "empirical"))
+    letter = (PHRED_OFFSET + np.clip(empirical, 0, TOP_QUALITY)).astype(np.uint8)
+    sent = reads.sparkSession.sparkContext.broadcast(_Lookup(q, cycle, rows["context"].to_pylist(), letter))
     at = [reads.columns.index(c) for c in ("seq", "qual", "flag")]
     schema = T.StructType([*reads.schema.fields, T.StructField("new_qual", T.StringType())])
 
+    def renewed(seq: pa.Array, qual: pa.Array, flag: pa.Array) -> pa.Array:
+        bases, begin = code_points(seq)
+        old, qual_begin = code_points(qual)
+        n, reverse = np.diff(qual_begin), (flag.fill_null(0).to_numpy() & 16) > 0
+        k, of = ragged(np.zeros(len(n), np.int64), n), np.repeat(np.arange(len(n)), n)
+        size, place = np.diff(begin)[of], begin[of] + k
+        bases = np.append(bases, 0).astype(np.int64)
+
+        def read_at(offset: int) -> np.ndarray:
+            here = k + offset
+            inside = (here >= 0) & (here < size)
+            return np.where(inside, bases[np.where(inside, place + offset, 0)], 0)
+        before, base = read_at(-1), read_at(0)
+        ended = base == 0                                   # past the last base: it stands alone
+        before, base = np.where(ended, 0, before), np.where(ended, before, base)
+        cycle = np.where(reverse[of], n[of] - k, k + 1)
+        new = sent.value.of(old.astype(np.int64) - PHRED_OFFSET, cycle, before, base)
+        new = np.where((new > 0) & ~(seq.is_null().to_numpy(zero_copy_only=False))[of], new, old)
+        if new.max(initial=0) > 127:
+            text = new.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            out = pa.array([text[a:z] for a, z in zip(qual_begin[:-1].tolist(), qual_begin[1:].tolist())], pa.string())
+        else:
+            out = pa.StringArray.from_buffers(len(n), pa.py_buffer(qual_begin.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(new, np.uint8)))
+        return pc.if_else(qual.is_null(), pa.scalar(None, pa.string()), out) if qual.null_count else out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = sent.value
         for batch in batches:
-            out = []
-            for seq, qual, flag in zip(*(batch.column(i).to_pylist() for i in at)):
-                if qual is None or seq is None:
-                    out.append(qual)
-                    continue
-                n = len(qual)
-                cycles = range(n, 0, -1) if (flag or 0) & 16 else range(1, n + 1)
-                out.append("".join(new.get((ord(c) - PHRED_OFFSET, k, seq[max(0, i - 1):i + 1]), c) for i, (c, k) in enumerate(zip(qual, cycles))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "new_qual"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, renewed(*(batch.column(i) for i in at))], [*batch.schema.names, "new_qual"])
     return reads.mapInArrow(run, schema)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.operators.covered import covered_numbers
 from sparkfold.operators.joins import small, spread
 from sparkfold.operators.pileup import BASES, call_variants, clip_past_end, pileup_on_reference, read_covariates, recalibrate, vcf_body
 from sparkfold.operators.reads import duplicate_metrics, mark_template_duplicates, templates
@@ -77,8 +78,7 @@ def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reference_chunks(reads: DataFrame) -> DataFrame:
     """(name, number, bases) of the chunks of the reference that reads reach."""
-    numbers = F.explode(F.sequence(F.floor((F.col("pos") - 1) / CHUNK), F.floor(F.col("aln_end") / CHUNK)))
-    found = reads.select(F.col("rname").alias("name"), numbers.alias("number")).distinct()
+    found = covered_numbers(reads.select(F.col("rname").alias("name"), F.floor((F.col("pos") - 1) / CHUNK).alias("first"), F.floor(F.col("aln_end") / CHUNK).alias("last")))
     return found.select("name", "number", _stretch(_cycle(_rule), F.col("number") * CHUNK + 1, CHUNK).alias("bases"))
 
 
@@ -160,7 +160,8 @@ def known_sites(reads: DataFrame) -> DataFrame:
     """(rname, pos): the places of the reference that are known to vary, where reads reach them."""
     first = F.ceil(F.col("pos") / _KNOWN)
     last = F.floor((F.col("aln_end") + 2) / _KNOWN)
-    return (reads.where(first <= last).select("rname", F.explode(F.transform(F.sequence(first, last), lambda k: (k * _KNOWN).cast("int"))).alias("pos")).distinct())
+    found = covered_numbers(reads.where(first <= last).select(F.col("rname").alias("name"), first.alias("first"), last.alias("last")))
+    return found.select(F.col("name").alias("rname"), (F.col("number") * _KNOWN).cast("int").alias("pos"))
 
 
 def recalibration_table(reads: DataFrame) -> DataFrame:
