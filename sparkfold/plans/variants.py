@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.operators.basewise import SITES, varying_sites
 from sparkfold.operators.covered import covered_numbers
 from sparkfold.operators.joins import small, spread
 from sparkfold.operators.pileup import BASES, call_variants, clip_past_end, pileup_on_reference, read_covariates, recalibrate, vcf_body
@@ -124,7 +125,7 @@ def variant_calls(spark: SparkSession, sf_dir: str):
     """CIGAR walk, pileup, genotype likelihoods; written as sorted VCF text and read back."""
     reads = sequenced_reads(spark, sf_dir)
     # stored: the sort reads its input twice
-    calls = stored(call_variants(pileup_on_reference(reads, reference_chunks(reads), CHUNK)), "variant-calls")
+    calls = stored(call_variants(pileup_on_reference(reads, reference_chunks(reads), CHUNK, varying_sites, SITES)), "variant-calls")
     lines = calls.withColumn("line", vcf_body(calls)).withColumn("chr_num", chrom_number(F.col("rname")))
     ok, _ = read_vcf(spark, write_sorted_lines(lines, scratch_path(spark, "calls"), ["chr_num", "pos", "line"], "line"))
     field = F.split("line", "\t")

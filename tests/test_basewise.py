@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from sparkfold.operators import basewise
 from sparkfold.operators import pileup as module
-from sparkfold.operators.basewise import chunk_runs, covariate_counts, cut_pieces, on_chunks, site_sums
+from sparkfold.operators.basewise import SITES, chunk_runs, covariate_counts, cut_pieces, on_chunks, site_sums, varying_sites
 from sparkfold.operators.covered import covered_numbers
-from sparkfold.operators.pileup import aligned_bases, covariates, pileup, pileup_on_reference, read_covariates, recalibrate, with_reference
+from sparkfold.operators.pileup import aligned_bases, call_variants, covariates, pileup, pileup_on_reference, read_covariates, recalibrate, with_reference
 
 READS = "qname string, flag int, rname string, pos int, aln_end int, cigar string, seq string, qual string"
 COLUMNS = ["rname", "pos", "ref", "n", "right", "wrong", "half"]
@@ -60,6 +60,16 @@ def test_pileup_makes_no_row_per_base(spark, case):
     assert "MapInArrow" in plan and "explode" not in plan and "Join" not in plan
 
 
+def test_sites_that_can_vary(spark, case, monkeypatch):
+    reads, reference, _ = case
+    want = text(call_variants(wanted(reads, reference), 5), ["rname", "pos", "ref", "alt", "gt", "pl", "dp", "ad_ref", "ad_alt", "qual"])
+    for hot in (100, 4):
+        monkeypatch.setattr(module, "HOT", hot)
+        few = pileup_on_reference(reads, reference, 10, varying_sites, SITES)
+        assert few.count() < pileup_on_reference(reads, reference, 10).count()
+        assert text(call_variants(few, 5), ["rname", "pos", "ref", "alt", "gt", "pl", "dp", "ad_ref", "ad_alt", "qual"]) == want and want
+
+
 def test_sums_do_not_depend_on_slices(spark, case, monkeypatch):
     reads, reference, _ = case
     stream = on_chunks(cut_pieces(reads, 10).withColumn("part", F.lit(0)), reference.withColumn("part", F.lit(0)), 1).toArrow()
