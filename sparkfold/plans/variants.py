@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfold.operators.basewise import SITES, varying_sites
+from sparkfold.operators.basewise import DEPTHS, SITES, depth_counts, varying_sites
 from sparkfold.operators.covered import covered_numbers
 from sparkfold.operators.joins import small, spread
 from sparkfold.operators.pileup import BASES, call_variants, clip_past_end, pileup_on_reference, read_covariates, recalibrate, vcf_body
@@ -140,11 +140,8 @@ SELECT rname, depth, count(*) AS positions, CAST(sum(other) AS BIGINT) AS mismat
 def pileup_depth(spark: SparkSession, sf_dir: str):
     """Positions and mismatching bases by depth."""
     reads = sequenced_reads(spark, sf_dir)
-    sites = pileup_on_reference(reads, reference_chunks(reads), CHUNK)
-    depth = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
-    same = F.coalesce(F.get("n", F.instr(F.lit(BASES), F.col("ref")) - 1), F.lit(0))
-    return (sites.select("rname", depth.alias("depth"), (depth - same).alias("other")).groupBy("rname", "depth")
-            .agg(F.count("*").alias("positions"), F.sum("other").alias("mismatches")))
+    counts = pileup_on_reference(reads, reference_chunks(reads), CHUNK, depth_counts, DEPTHS, ("n",))
+    return counts.groupBy("rname", "depth").agg(F.sum("positions").alias("positions"), F.sum("mismatches").alias("mismatches"))
 
 
 _KNOWN = 40

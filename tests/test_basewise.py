@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from sparkfold.operators import basewise
 from sparkfold.operators import pileup as module
-from sparkfold.operators.basewise import SITES, chunk_runs, covariate_counts, cut_pieces, on_chunks, site_sums, varying_sites
+from sparkfold.operators.basewise import DEPTHS, SITES, chunk_runs, covariate_counts, cut_pieces, depth_counts, on_chunks, site_sums, varying_sites
 from sparkfold.operators.covered import covered_numbers
-from sparkfold.operators.pileup import aligned_bases, call_variants, covariates, pileup, pileup_on_reference, read_covariates, recalibrate, with_reference
+from sparkfold.operators.pileup import BASES, aligned_bases, call_variants, covariates, pileup, pileup_on_reference, read_covariates, recalibrate, with_reference
 
 READS = "qname string, flag int, rname string, pos int, aln_end int, cigar string, seq string, qual string"
 COLUMNS = ["rname", "pos", "ref", "n", "right", "wrong", "half"]
@@ -70,6 +70,21 @@ def test_sites_that_can_vary(spark, case, monkeypatch):
         assert text(call_variants(few, 5), ["rname", "pos", "ref", "alt", "gt", "pl", "dp", "ad_ref", "ad_alt", "qual"]) == want and want
 
 
+def test_depths_are_counted_where_sites_are(spark, case, monkeypatch):
+    reads, reference, _ = case
+    same = F.coalesce(F.get("n", F.instr(F.lit(BASES), F.col("ref")) - 1), F.lit(0))
+    depth = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
+    full = reference.withColumn("bases", F.rpad("bases", 10, "N"))
+    want = text(with_reference(pileup(aligned_bases(reads)), full, 10).select("rname", depth.alias("depth"), (depth - same).alias("other")).groupBy("rname", "depth")
+                .agg(F.count("*").alias("positions"), F.sum("other").alias("mismatches")), ["rname", "depth", "positions", "mismatches"])
+    for hot in (100, 4):
+        monkeypatch.setattr(module, "HOT", hot)
+        counts = pileup_on_reference(reads, full, 10, depth_counts, DEPTHS, ("n",))
+        assert "explode" not in counts._jdf.queryExecution().executedPlan().toString() or hot == 4
+        got = counts.groupBy("rname", "depth").agg(F.sum("positions").alias("positions"), F.sum("mismatches").alias("mismatches"))
+        assert text(got, ["rname", "depth", "positions", "mismatches"]) == want
+
+
 def test_sums_do_not_depend_on_slices(spark, case, monkeypatch):
     reads, reference, _ = case
     stream = on_chunks(cut_pieces(reads, 10).withColumn("part", F.lit(0)), reference.withColumn("part", F.lit(0)), 1).toArrow()
